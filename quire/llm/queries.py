@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, language, media, packing
+from quire.llm import bpe, language, media, neardup, packing, toxicity
 
 QUERIES = {
     "op2_media_columns": media.query,
     "op3_language_id": language.query,
+    "op4_minhash_neardup": neardup.query,
     "op6_bpe": bpe.query,
+    "op8_toxicity": toxicity.query,
     "op9_packing": packing.query,
 }
 
