@@ -7,6 +7,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +63,10 @@ def doc_id_crc_mod(n: int):
 
 def crc_mod(doc_id: int | None, n: int) -> int | None:
     return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % n
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

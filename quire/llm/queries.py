@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, language, media, neardup, packing, toxicity
+from quire.llm import bpe, language, media, neardup, packing, repeats, toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": repeats.query,
     "op2_media_columns": media.query,
     "op3_language_id": language.query,
     "op4_minhash_neardup": neardup.query,
