@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, language, media, neardup, packing, repeats, toxicity
+from quire.llm import bpe, language, media, merkle, neardup, packing, repeats, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": repeats.query,
     "op2_media_columns": media.query,
     "op3_language_id": language.query,
     "op4_minhash_neardup": neardup.query,
+    "op5_merkle_fingerprints": merkle.query,
     "op6_bpe": bpe.query,
     "op8_toxicity": toxicity.query,
     "op9_packing": packing.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_merkle_fingerprints": merkle.ORACLE}
