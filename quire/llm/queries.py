@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, language, media, merkle, neardup, packing, repeats, toxicity
+from quire.llm import bpe, language, media, merkle, neardup, packing, pii, repeats, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": repeats.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_bpe": bpe.query,
     "op8_toxicity": toxicity.query,
     "op9_packing": packing.query,
+    "op10_pii": pii.query,
 }
 
 ORACLES: dict[str, str] = {"op5_merkle_fingerprints": merkle.ORACLE}
