@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, language, media, merkle, neardup, packing, pii, repeats, toxicity
+from quire.llm import bpe, language, media, merkle, neardup, packing, pii, repeats, secrets, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": repeats.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_minhash_neardup": neardup.query,
     "op5_merkle_fingerprints": merkle.query,
     "op6_bpe": bpe.query,
+    "op7_secret_scans": secrets.query,
     "op8_toxicity": toxicity.query,
     "op9_packing": packing.query,
     "op10_pii": pii.query,

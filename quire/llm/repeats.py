@@ -40,6 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.llm.common import mix, table
 
@@ -98,7 +99,7 @@ class Runs:
         last = np.flatnonzero(ok & np.concatenate([change[1:] | ~ok[1:], [True]])) + 1
         n, at = last - first, at[first]
         phrase = mix(mix((sums[last + LENGTH - 1] - sums[first]) * _POWER[first]) + (n * 64 + (at - first)).astype(np.uint64))
-        return [first + c, n, at + c, h[at], phrase]
+        return [first + c, n, at + c, mix(h[at]), phrase]  # mixed again: least hashes crowd at zero
 
 
 class Block:
@@ -341,19 +342,20 @@ def removal(columns: str):
         out = {"doc_id": pa.array(block.ids), "n_bytes": pa.array([x[0] for x in rows], pa.int64()), "n_removed": pa.array([x[1] for x in rows], pa.int64()), "n_spans": pa.array([x[2] for x in rows], pa.int64())}
         if columns == "digest":
             return pa.table(out | {"kept_sha256": pa.array([hashlib.sha256(x[3]).hexdigest() for x in rows], pa.string())})
-        return pa.table(out | {"row": docs.column("row").take(pa.array(block.order)), "kept": pa.array([x[3] for x in rows], pa.binary())})
+        carried = docs.select([c for c in docs.column_names if c.startswith("_")]).take(pa.array(block.order))
+        return carried.append_column("kept", pa.array([x[3].decode("utf-8", "ignore") for x in rows], pa.string()))
 
     return run
 
 
 def deduplicated(docs: DataFrame, output: str = "digest") -> DataFrame:
-    """Per row of ``docs`` (doc_id, text; row if output is "bytes"): sizes, and a digest of the kept bytes or the bytes."""
+    """Per row of ``docs`` (doc_id, text): sizes and a digest of the kept bytes, or (output "text") the kept text and all columns with a leading underscore."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, (total // (SPAN // 2) // BUCKET_TRIGGERS).bit_length())
     blocks = max(1, total // BLOCK_BYTES)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // PARTITION_BYTES)
-    extra = ["row"] if output == "bytes" else []
+    extra = [c for c in docs.columns if c.startswith("_")]
     dealt = docs.select("doc_id", "text", *extra).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).repartition(parts, "block")
     reports = dealt.groupBy("block").applyInArrow(report(bits), "bucket long, block long, triggers binary, counts binary")
     selected = reports.groupBy("bucket").applyInArrow(select, "block long, triggers binary, hot binary")
@@ -362,10 +364,20 @@ def deduplicated(docs: DataFrame, output: str = "digest") -> DataFrame:
     again = phrases.repartition(parts, "trigger").sortWithinPartitions(*order).mapInArrow(repeated, REPEATED)
     decided = selected.select("block", "hot", *[F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("copy", "int"), ("start", "long"), ("stop", "long"))])
     decided = decided.unionByName(again.withColumn("hot", F.lit(None).cast("binary")))
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if output == "digest" else f"row {docs.schema['row'].dataType.simpleString()}, kept binary")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" if output == "digest" else StructType([*[docs.schema[c] for c in extra], StructField("kept", StringType())])
     return dealt.groupBy("block").cogroup(decided.groupBy("block")).applyInArrow(removal(output), schema)
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated bytes gone from text (broken characters at the cuts go too) and n_chars to match; null texts stay null."""
+    others = [c for c in docs.columns if c != "text"]
+    held = [*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(others)], F.col("text").isNull().alias("_null")]
+    out = deduplicated(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), F.col("text").cast("string"), *held), "text")
+    text = F.when(~F.col("_null"), F.col("kept"))
+    made = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in others else None}
+    return out.select(*[(made[c] if made.get(c) is not None else F.col(f"_{others.index(c)}")).alias(c) for c in docs.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return deduplicated(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))

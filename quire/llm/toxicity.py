@@ -264,6 +264,17 @@ class Scorer:
         return [float(sigmoid(z.max())) for z in self.window_logits([words_of(t) for t in texts])]
 
 
+_LAST: list = [None, None]
+
+
+def _scorer(weights: dict[str, np.ndarray]) -> Scorer:
+    """The worker's last scorer if it has these weights: its known words serve further tasks."""
+    mark = zlib.crc32(weights["gram"].tobytes())
+    if _LAST[0] != mark:
+        _LAST[:] = mark, Scorer(weights)
+    return _LAST[1]
+
+
 def fit(texts: list[str | None], toxic: list[int], seed: int = 7) -> dict[str, np.ndarray] | None:
     """Weights learned from labelled texts; None without both labels."""
     toxic_of = np.array(toxic, np.float32)
@@ -333,15 +344,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
     return texts, values
 
 
-def score(docs: DataFrame, weights: dict[str, np.ndarray] | None, columns: list[str] | None = None) -> DataFrame:
-    """``columns`` of ``docs`` (doc_id by default) with a score each."""
-    columns = columns or ["doc_id"]
+def _scored(docs: DataFrame, weights: dict[str, np.ndarray] | None, columns: list[str]) -> DataFrame:
+    """Columns _0, _1, ... for ``columns``, whatever their names, and _score."""
     model = docs.sparkSession.sparkContext.broadcast(weights)
-    inner = docs.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate(columns)], F.col("text").cast("string").alias("_text"))
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(columns)], F.col("text").cast("string").alias("_text"))
     schema = ", ".join(f"_{k} {inner.schema[f'_{k}'].dataType.simpleString()}" for k in range(len(columns))) + ", _score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.value) if model.value else None
+        scorer = _scorer(model.value) if model.value else None
         for batch in batches:
             step = max(1, int(batch.num_rows * (1 << 20) / max(batch.nbytes, 1)))
             for at in range(0, batch.num_rows, step):
@@ -350,8 +360,17 @@ def score(docs: DataFrame, weights: dict[str, np.ndarray] | None, columns: list[
                 made = scorer.scores(texts) if scorer else [0.0] * len(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(made, pa.float64())], [*part.schema.names[:-1], "_score"])
 
-    out = inner.mapInArrow(run, schema)
-    return out.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(columns)], F.col("_score").alias("score"))
+    return inner.mapInArrow(run, schema)
+
+
+def score(docs: DataFrame, weights: dict[str, np.ndarray] | None) -> DataFrame:
+    """doc_id and score of each row."""
+    return _scored(docs, weights, ["doc_id"]).select(F.col("_0").alias("doc_id"), F.col("_score").alias("score"))
+
+
+def below(docs: DataFrame, weights: dict[str, np.ndarray] | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with their columns, that score under ``threshold``."""
+    return _scored(docs, weights, docs.columns).filter(F.col("_score") < threshold).select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)])
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray] | None:
