@@ -1 +1 @@
-"""See the modules."""
+"""Readers and derived tables."""
