@@ -96,10 +96,12 @@ def yaml_scalar(c: str | Column) -> Column:
     """A string as a YAML scalar: plain where that reads back as the same string, else quoted."""
     t = col(c)
     word = r"(?i)^(y|n|yes|no|true|false|on|off|null|~|)$"
-    number = r"^[-+]?(0[xob])?[0-9][0-9_,:.]*([eE][-+]?[0-9]+)?$|^[-+]?\.[0-9]+$|^[-+]?\.(inf|Inf|INF)$|^\.(nan|NaN|NAN)$|^[0-9]{4}-[0-9]"
+    number = r"^[-+]?0[xX][0-9A-Fa-f_]+$|^[-+]?(0[ob])?[0-9][0-9_,:.]*([eE][-+]?[0-9]+)?$|^[-+]?\.[0-9]+$|^[-+]?\.(inf|Inf|INF)$|^\.(nan|NaN|NAN)$|^[0-9]{4}-[0-9]"
     sign = r"^[-?:,\[\]{}#&*!|>'\"%@`=<]|^\.\.\.|: |:$| #|^[\s]|[\s]$"
     double = r"[\x00-\x1f\x7f]"
-    escaped = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"\\", r"\\\\\\\\"), '"', r'\\\\"'), "\n", r"\\\\n"), "\t", r"\\\\t")
+    escaped = t
+    for raw, code in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\t", "\\t"), ("\r", "\\r")):
+        escaped = F.replace(escaped, F.lit(raw), F.lit(code))
     return F.when(t.rlike(double), F.concat(F.lit('"'), escaped, F.lit('"'))).when(t.rlike(word) | t.rlike(number) | t.rlike(sign), F.concat(F.lit("'"), F.replace(t, F.lit("'"), F.lit("''")), F.lit("'"))).otherwise(t)
 
 

@@ -149,12 +149,12 @@ def toc_dry_run(spark: SparkSession, sf: str) -> DataFrame:
     return dry_run(_planned(spark, sf))
 
 
-@query("article_pages", "select doc_id, pos, title, unnest(generate_series(start, \"end\")) as page from (" + _PLAN + _PLAN_SELECT + ") where kind = 'file'")
+@query("article_pages", "select doc_id, pos, title, cast(unnest(generate_series(start, \"end\")) as int) as page from (" + _PLAN + _PLAN_SELECT + ") where kind = 'file'")
 def article_pages(spark: SparkSession, sf: str) -> DataFrame:
     return toc.article_pages(_planned(spark, sf))
 
 
-@query("uncovered_pages", "with p as (" + _PLAN + _PLAN_SELECT + "), d as (select doc_id, n_pages from (with " + X.SQL["toc"] + " select * from toc_docs)) select doc_id, page from (select doc_id, unnest(generate_series(0, n_pages - 1)) as page from d) x where not exists (select 1 from p where p.doc_id = x.doc_id and kind = 'file' and x.page between start and \"end\")")
+@query("uncovered_pages", "with p as (" + _PLAN + _PLAN_SELECT + "), d as (select doc_id, n_pages from (with " + X.SQL["toc"] + " select * from toc_docs)) select doc_id, page from (select doc_id, cast(unnest(generate_series(0, n_pages - 1)) as int) as page from d) x where not exists (select 1 from p where p.doc_id = x.doc_id and kind = 'file' and x.page between start and \"end\")")
 def uncovered_pages(spark: SparkSession, sf: str) -> DataFrame:
     return toc.uncovered_pages(_planned(spark, sf), _toc(spark, sf)[1])
 
@@ -226,13 +226,13 @@ _NUMBERED = "'^([0-9.]+|[一二三四五六七八九十百]+[、.]?)[ \\t]+(.*)$
 _HEAD = "concat(case n % 3 when 0 then '一　' when 1 then '1.2  ' else '' end, line)"
 
 
-@query("heading_normalize", "with " + X.SQL["lines"] + f", k as (select doc_id, n, {_strip(f"replace({_HEAD}, '　', ' ')")} as t from lines) select doc_id, n, case when regexp_matches(t, {_NUMBERED}) then regexp_extract(t, {_NUMBERED}, 1) || ' ' || replace(regexp_extract(t, {_NUMBERED}, 2), ' ', '') else replace(t, ' ', '') end as heading from k")
+@query("heading_normalize", "with " + X.SQL["lines"] + f", k as (select doc_id, n, {_strip(f"replace({_HEAD}, '　', ' ')")} as t from lines) select doc_id, cast(n as int) as n, case when regexp_matches(t, {_NUMBERED}) then regexp_extract(t, {_NUMBERED}, 1) || ' ' || replace(regexp_extract(t, {_NUMBERED}, 2), ' ', '') else replace(t, ' ', '') end as heading from k")
 def heading_normalize(spark: SparkSession, sf: str) -> DataFrame:
     lead = F.when(F.col("n") % 3 == 0, "一　").when(F.col("n") % 3 == 1, "1.2  ").otherwise("")
     return X.spark_lines(spark, sf).select("doc_id", "n", T.normalized_heading(F.concat(lead, "line")).alias("heading"))
 
 
-@query("page_marker_clean", "with " + X.SQL["lines"] + " select doc_id, n, line as cleaned from lines")
+@query("page_marker_clean", "with " + X.SQL["lines"] + " select doc_id, cast(n as int) as n, line as cleaned from lines")
 def page_marker_clean(spark: SparkSession, sf: str) -> DataFrame:
     marked = F.concat(F.when(F.col("n") % 2 == 0, "[ 接 上 页]").otherwise(""), "line", F.when(F.col("n") % 3 == 0, "[转下页 ]").otherwise(""))
     return X.spark_lines(spark, sf).select("doc_id", "n", T.without_page_markers(marked).alias("cleaned"))
