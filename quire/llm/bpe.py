@@ -13,6 +13,7 @@ string gives that token's id there, as the library does by default.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import struct
@@ -25,14 +26,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import map_rows, table
+from quire.llm.common import map_slices, mix, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-#: Words kept by a worker before it starts its table anew, and the longest that are kept.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 64
+#: Words whose ids a worker keeps, and the longest that are kept.
+KEPT_WORDS, KEPT_LENGTH = 400_000, 48
 WORD_END = "</w>"
-#: White space to str.split but not to the library, and what is white space to the library.
-NOT_SPACE = regex.compile("[\x1c-\x1f]")
+#: What is white space to the library.
 SPACES = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
@@ -108,8 +108,7 @@ class BacktrackingBPE:
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.compatible: dict[tuple[int, int], bool] = {}
-        self.kept: dict[str, bytes] = {}  # by run without white space
-        self.words: dict[str, bytes] = {}  # by piece of such a run
+        self.kept: dict[str, bytes] = {}
 
     def _stands(self, whole: int) -> bool:
         """An entry is its own encoding if its halves are, and stay apart until its own merge."""
@@ -144,71 +143,73 @@ class BacktrackingBPE:
     def word(self, word: str) -> list[int]:
         """Ids of one word of byte letters."""
         text = word + "\0"
-        n = len(text)
+        n, length, compatible = len(text), self.length, self.compatible
         at: list[list[int]] = [[] for _ in range(n)]
-        length = self.length
         for end, i in self.automaton.iter(text):
             at[end - length[i] + 1].append(i)  # the longest last
         out: list[int] = []
-        dead, compatible = bytearray(n + 1), self.compatible
-        place = 0
+        dead = bytearray(n + 1)
+        place, last = 0, -1
         while place < n:
             found = at[place]
             while found:
                 i = found[-1]
                 end = place + length[i]
                 if not dead[end]:
-                    ok = not out or compatible.get((out[-1], i))
-                    if ok or ok is None and self._pair_ok(out[-1], i):
+                    if last < 0:
+                        break
+                    ok = compatible.get((last, i))
+                    if ok or ok is None and self._pair_ok(last, i):
                         break
                 found.pop()
             if found:
                 out.append(i)
-                place = end
+                place, last = end, i
             else:
                 dead[place] = 1
                 if not out:
                     raise ValueError(f"no encoding of {word!r}")
-                last = out.pop()
-                place -= length[last]
+                place -= length[out.pop()]
                 at[place].pop()
+                last = out[-1] if out else -1
         return out
 
-    def chunk(self, chunk: str) -> bytes:
+    def chunk_ids(self, chunk: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a run of normalised text without white space."""
-        pieces = [chunk] if chunk.isalpha() else self.split.findall(chunk)
-        if len(pieces) == 1:
-            made = self._word_ids(pieces[0])
-        else:
-            known = self.words.get
-            made = b"".join([known(p) or self._word_ids(p) for p in pieces])
-        if len(chunk) <= KEPT_LENGTH:
-            if len(self.kept) >= KEPT_WORDS:
-                self.kept.clear()
-            self.kept[chunk] = made
-        return made
+        if chunk.isalpha():
+            return self._word_ids(chunk)
+        return b"".join([self._word_ids(p) for p in self.split.findall(chunk)])
 
     def _word_ids(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        made = pack(self.word(letters if letters.isprintable() else letters.translate(self.letters)))
-        if len(piece) <= KEPT_LENGTH:
-            if len(self.words) >= KEPT_WORDS:
-                self.words.clear()
-            self.words[piece] = made
+        made = self.kept.get(piece)
+        if made is None:
+            made = self._encode_word(piece)
+            if len(piece) <= KEPT_LENGTH:
+                if len(self.kept) >= KEPT_WORDS:
+                    self.kept.clear()
+                self.kept[piece] = made
         return made
 
-    def _ids(self, runs: list[str]) -> list[bytes]:
-        kept, chunk = self.kept.get, self.chunk
-        return [kept(c) or chunk(c) for c in runs]
+    def _encode_word(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
+        longest = [i for _, i in self.automaton.iter_long(letters + "\0")]
+        if sum(map(self.length.__getitem__, longest)) != len(letters) + 1:
+            return pack(self.word(letters))
+        compatible = self.compatible
+        for pair in zip(longest, longest[1:]):
+            ok = compatible.get(pair)
+            if not ok and (ok is not None or not self._pair_ok(*pair)):
+                return pack(self.word(letters))  # the longest entries do not fit: backtrack
+        return pack(longest)
 
     @staticmethod
-    def chunks(text: str) -> list[str]:
+    def normalised(text: str) -> str:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
-        if NOT_SPACE.search(text):
-            return [c for c in SPACES.split(text) if c]
-        return text.split()
+            text = SPACES.sub(" ", unicodedata.normalize("NFC", text)).replace("Σ", "σ")
+        return text.lower()
+
+    def chunks(self, text: str) -> list[str]:
+        return [c for c in SPACES.split(self.normalised(text)) if c]
 
     def pieces(self, text: str) -> list[tuple[str, bytes]]:
         """(normalised run, its ids) in order; special tokens come with an empty run."""
@@ -219,51 +220,214 @@ class BacktrackingBPE:
                 out.append(("", np.array([self.special[part]], np.uint32).tobytes()))
             elif part:
                 runs = self.chunks(part)
-                out += zip(runs, self._ids(runs), strict=True)
+                out += [(c, self.chunk_ids(c)) for c in runs]
         return out
 
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if self.marks and "<|" in text:
-            return np.frombuffer(b"".join(b for _, b in self.pieces(text)), np.uint32)
-        return np.frombuffer(b"".join(self._ids(self.chunks(text))), np.uint32)
+        """Ids of one text."""
+        return np.frombuffer(b"".join(b for _, b in self.pieces(text or "")), np.uint32)
 
     def tables(self) -> tuple[OffsetTable, OffsetTable]:
         """For texts of entries, as the library decodes without a decoder, and for decimal ids."""
         return OffsetTable([s.encode() for s in self.names]), OffsetTable([str(i).encode() for i in range(self.size)])
 
 
+class BatchEncoder:
+    """Encodes many texts at once: runs are found, hashed and looked up in arrays; only new runs go through the encoder.
+
+    A run's key is a 64-bit rolling hash and a second number from its length and its first and last eight bytes.
+    """
+
+    BITS, BLOCK = 22, 1 << 19
+    SENTENCE_ENDS = np.isin(np.arange(256), list(b".!?"))
+
+    def __init__(self, bpe: BacktrackingBPE):
+        self.bpe = bpe
+        n = self.BLOCK + 64
+        base = 0xD6E8FEB86659FD93
+        with np.errstate(over="ignore"):
+            self.power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, base, np.uint64))])
+            self.inverse = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))])
+        self.byte = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
+        self.space = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+        self._fresh()
+
+    def _fresh(self):
+        n = 1 << self.BITS
+        self.one, self.two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        self.where, self.count = np.zeros(n, np.int64), np.full(n, -1, np.int32)
+        self.pool, self.filled, self.known = np.zeros(1 << 20, np.uint32), 0, 0
+
+    def _find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Slots of keys, -1 for unknown ones."""
+        mask = (1 << self.BITS) - 1
+        slot = (mix(one) & np.uint64(mask)).astype(np.int64)
+        out = np.full(len(one), -1, np.int64)
+        left = np.arange(len(one))
+        while len(left):
+            used = self.count[slot] >= 0
+            same = used & (self.one[slot] == one[left]) & (self.two[slot] == two[left])
+            out[left[same]] = slot[same]
+            go = used & ~same
+            left, slot = left[go], (slot[go] + 1) & mask
+        return out
+
+    def _add(self, one: np.ndarray, two: np.ndarray, runs: list[bytes]):
+        """Takes in new keys, all different, with their runs' ids."""
+        ids = [self.bpe.chunk_ids(r.decode("utf-8", "surrogatepass")) for r in runs]
+        count = np.array([len(b) >> 2 for b in ids], np.int32)
+        made = np.frombuffer(b"".join(ids), np.uint32)
+        while self.filled + len(made) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.filled : self.filled + len(made)] = made
+        where = self.filled + np.cumsum(count) - count
+        self.filled += len(made)
+        self.known += len(runs)
+        mask = (1 << self.BITS) - 1
+        slot = (mix(one) & np.uint64(mask)).astype(np.int64)
+        left = np.arange(len(one))
+        while len(left):
+            free = np.flatnonzero(self.count[slot] < 0)
+            got = free[np.unique(slot[free], return_index=True)[1]]
+            s, k = slot[got], left[got]
+            self.one[s], self.two[s], self.where[s], self.count[s] = one[k], two[k], where[k], count[k]
+            rest = np.ones(len(left), bool)
+            rest[got] = False
+            left, slot = left[rest], (slot[rest] + 1) & mask
+
+    def _block(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Starts of the runs of ``data``, how many ids each has, the ids, and which runs end a sentence."""
+        a = np.frombuffer(data, np.uint8)
+        gap = np.concatenate([[True], self.space[a], [True]])
+        edge = np.flatnonzero(gap[1:] != gap[:-1])
+        start, end = edge[::2], edge[1::2]
+        if not len(start):
+            return start, np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, bool)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.byte[a] * self.inverse[: len(a)])])
+        one = (sums[end] - sums[start]) * self.power[start]
+        eight = np.lib.stride_tricks.as_strided(np.frombuffer(b"\0" * 8 + data + b"\0" * 8, np.uint8), (len(a) + 9, 8), (1, 1))
+        size = (end - start).astype(np.uint64)
+        cut = np.minimum(size, 8) * np.uint64(8)
+        head = np.ascontiguousarray(eight[start + 8]).view("<u8").ravel()
+        tail = np.ascontiguousarray(eight[end]).view("<u8").ravel()
+        short = cut < 64
+        head = np.where(short, head & ((np.uint64(1) << np.where(short, cut, 0).astype(np.uint64)) - np.uint64(1)), head)
+        tail = np.where(short, np.uint64(0), tail)
+        two = head + mix(tail + size)
+        slot = self._find(one, two)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            if self.known + len(new) > 0.7 * (1 << self.BITS):
+                self._fresh()
+                slot[:] = -1
+                new = np.arange(len(slot))
+            order = new[np.lexsort((two[new], one[new]))]
+            first = order[np.concatenate([[True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])])]
+            self._add(one[first], two[first], [data[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(), strict=True)])
+            slot[new] = self._find(one[new], two[new])
+        count = self.count[slot].astype(np.int64)
+        stop = np.cumsum(count)
+        ids = self.pool[np.repeat(self.where[slot] - (stop - count), count) + np.arange(stop[-1])]
+        return start, count, ids, self.SENTENCE_ENDS[a[end - 1]]
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text its ids and how many come before each end of a sentence."""
+        out: list = [None] * len(texts)
+        parts: list[tuple[int, bytes]] = []
+        held = 0
+        special = "<|" if self.bpe.marks else None
+
+        def flush():
+            nonlocal held
+            if not parts:
+                return
+            start, count, ids, ends = self._block(b"\n".join(data for _, data in parts))
+            starts = np.cumsum([0] + [len(data) + 1 for _, data in parts])
+            runs = np.searchsorted(start, starts)
+            stop = np.concatenate([[0], np.cumsum(count)])
+            for j, (k, _) in enumerate(parts):
+                a, b = runs[j], runs[j + 1]
+                made = ids[stop[a] : stop[b]], stop[a + 1 : b + 1][ends[a:b]] - stop[a]
+                if out[k] is not None:  # a text in several parts
+                    made = np.concatenate([out[k][0], made[0]]), np.concatenate([out[k][1], made[1] + len(out[k][0])])
+                out[k] = made
+            parts.clear()
+            held = 0
+
+        for k, text in enumerate(texts):
+            if not text:
+                out[k] = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+                continue
+            if special and special in text:
+                pieces = self.bpe.pieces(text)
+                stop = np.cumsum([len(b) >> 2 for _, b in pieces])
+                out[k] = np.frombuffer(b"".join(b for _, b in pieces), np.uint32), stop[[j for j, (r, _) in enumerate(pieces) if r and r[-1] in ".!?"]].astype(np.int64)
+                continue
+            data = self.bpe.normalised(text).encode("utf-8", "surrogatepass")
+            for part in self._cut(data):
+                if held + len(part) + len(parts) > self.BLOCK:
+                    flush()
+                if len(part) > self.BLOCK:  # a run longer than a block
+                    flush()
+                    ids = np.frombuffer(self.bpe.chunk_ids(part.decode("utf-8", "surrogatepass").strip()), np.uint32)
+                    out[k] = (np.concatenate([out[k][0], ids]), out[k][1]) if out[k] is not None else (ids, np.zeros(0, np.int64))
+                    continue
+                parts.append((k, part))
+                held += len(part)
+        flush()
+        return out
+
+    def _cut(self, data: bytes) -> list[bytes]:
+        """Parts of at most a block, cut at blanks."""
+        if len(data) <= self.BLOCK:
+            return [data]
+        gaps = np.flatnonzero(self.space[np.frombuffer(data, np.uint8)])
+        out, at = [], 0
+        while at < len(data):
+            if len(data) - at <= self.BLOCK:
+                end = len(data)
+            else:
+                k = np.searchsorted(gaps, at + self.BLOCK, side="right") - 1
+                if k < 0 or gaps[k] <= at:
+                    k += 1
+                end = int(gaps[k]) if k < len(gaps) else len(data)
+            out.append(data[at:end])
+            at = end + 1
+        return out
+
+
+@functools.cache
+def shared_batch(path: str = VOCABULARY) -> BatchEncoder:
+    """One encoder for each worker process, so that its known runs serve all its tasks."""
+    return BatchEncoder(shared(path))
+
+
+@functools.cache
+def shared(path: str = VOCABULARY) -> BacktrackingBPE:
+    """One encoder for each worker process, so that its kept words serve all its tasks."""
+    return BacktrackingBPE(path)
+
+
 def encode_decode(docs: DataFrame, path: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, its token ids, and the text decoded from them through the offset table."""
 
     def make():
-        bpe = BacktrackingBPE(path)
-        texts, _ = bpe.tables()
-
-        def one(doc_id, text):
-            ids = bpe.encode(text)
-            return doc_id, ids.tolist(), texts.join(ids).decode()
-
-        return one
+        texts, _ = shared(path).tables()
+        encoder = shared_batch(path)
+        return lambda ids, values: [(k, x.tolist(), texts.join(x).decode()) for k, (x, _) in zip(ids, encoder.encode(values), strict=True)]
 
-    return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), make, "doc_id long, ids array<int>, decoded string")
+    return map_slices(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), make, "doc_id long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """The query's row per document: count, digest of the ids, digest of what they decode to."""
 
     def make():
-        bpe = BacktrackingBPE(path)
-        texts, numbers = bpe.tables()
-
-        def one(doc_id, text):
-            ids = bpe.encode(text)
-            return doc_id, len(ids), hashlib.sha256(numbers.join(ids)).hexdigest(), hashlib.sha256(texts.join(ids)).hexdigest()
-
-        return one
+        texts, numbers = shared(path).tables()
+        encoder, sha = shared_batch(path), hashlib.sha256
+        return lambda ids, values: [(k, len(x), sha(numbers.join(x)).hexdigest(), sha(texts.join(x)).hexdigest()) for k, (x, _) in zip(ids, encoder.encode(values), strict=True)]
 
-    return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_slices(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,27 +35,53 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str, slice_bytes: int = 8 << 20) -> DataFrame:
-    """One output row for each input row: ``make()`` builds, once for each task, the function from a row's columns.
+def map_slices(df: DataFrame, make: Callable[[], Callable[..., list[tuple]]], schema: str, slice_bytes: int = 4 << 20) -> DataFrame:
+    """``make()`` builds, once for each task, the function from lists of a slice's columns to output rows.
 
-    Batches are cut by bytes, so that a run of very long texts does not pile up in a worker.
+    Batches are sliced by bytes, so that a run of very long texts does not pile up in a worker.
     """
     out_type = StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = make()
+        several = make()
         arrow = to_arrow_schema(out_type)
         for batch in batches:
             step = max(1, int(batch.num_rows * slice_bytes / max(batch.nbytes, 1)))
             for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                rows = [one(*row) for row in zip(*(c.to_pylist() for c in part.columns), strict=True)]
-                columns = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+                rows = several(*(c.to_pylist() for c in batch.slice(at, step).columns))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
     return df.mapInArrow(run, out_type)
 
 
+def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str) -> DataFrame:
+    """One output row for each input row."""
+
+    def make_slices():
+        one = make()
+        return lambda *columns: [one(*row) for row in zip(*columns, strict=True)]
+
+    return map_slices(df, make_slices, schema)
+
+
+def aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` as doc_id (long), text and its other columns under plain numbers, and what undoes that.
+
+    Whatever the other columns are called, they do not clash with names that operators use.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    inner = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(others)])
+
+    def back(df: DataFrame) -> DataFrame:
+        of = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("text")} | {c: F.col(f"_{k}") for k, c in enumerate(others)}
+        if "n_chars" in others:
+            of["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+        return df.select(*[of[c].alias(c) for c in docs.columns])
+
+    return inner, back
+
+
 def doc_id_crc_mod(n: int):
     """crc32 of doc_id as text, modulo ``n``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n

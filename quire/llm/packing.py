@@ -34,14 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quire.llm.bpe import VOCABULARY, BacktrackingBPE
+from quire.llm.bpe import VOCABULARY, shared_batch
 from quire.llm.common import table
 
 LENGTH, END_ID = 2048, 1
 #: Costs in ids: a cut at a sentence's end, a cut elsewhere, and each window.
 SENTENCE_CUT, FORCED_CUT, OPENING = 4, 48, 16
-BLOCK_IDS = 1 << 18
-SENTENCE_END = ".!?。！？"
+BLOCK_IDS, SLICE_BYTES = 1 << 18, 2 << 20
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -152,22 +151,6 @@ class Packer:
         self.size -= keep
 
 
-def encoded(bpe: BacktrackingBPE, text: str | None, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids with the end id, and the places after sentences."""
-    if not text:
-        return np.array([end_id], np.uint32), np.zeros(0, np.int64)
-    if "<|" in text:
-        runs, made = map(list, zip(*bpe.pieces(text), strict=True)) if text.strip() else ([], [])
-    else:
-        runs = bpe.chunks(text)
-        made = bpe._ids(runs)
-    ends = [k for k, run in enumerate(runs, 1) if run and run[-1] in SENTENCE_END]
-    ids = np.frombuffer(b"".join([*made, np.uint32(end_id).tobytes()]), np.uint32)
-    if not ends:
-        return ids, np.zeros(0, np.int64)
-    return ids, np.concatenate([[0], np.cumsum([len(b) >> 2 for b in made])])[ends]
-
-
 def pack(docs: DataFrame, path: str = VOCABULARY, length: int = LENGTH, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of documents in sequences of at most ``length`` ids; ``with_ids`` adds the ids themselves.
 
@@ -176,7 +159,7 @@ def pack(docs: DataFrame, path: str = VOCABULARY, length: int = LENGTH, end_id:
     out_type = StructType.fromDDL(SCHEMA + (", ids array<int>" if with_ids else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, packer = BacktrackingBPE(path), Packer(length)
+        encoder, packer, end = shared_batch(path), Packer(length), np.array([end_id], np.uint32)
         base = TaskContext.get().partitionId() << 40
         arrow = to_arrow_schema(out_type)
         rows: list[tuple] = []
@@ -192,10 +175,11 @@ def pack(docs: DataFrame, path: str = VOCABULARY, length: int = LENGTH, end_id:
                 rows.append((*row, ids.tolist()) if with_ids else row)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    take(packer.add(key, *encoded(bpe, text, end_id)))
+            step = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, 1)))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                for key, (ids, ends) in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
+                    take(packer.add(key, np.concatenate([ids, end]), ends))
                     if len(rows) > 4096:
                         yield flush()
         take(packer.finish())
