@@ -72,7 +72,7 @@ def train(rows: DataFrame, text: str | Column = "text", lang: str | Column = "la
         for name, have in sums.items():
             for k in range(0, BUCKETS, step):
                 rows_of = k + np.flatnonzero(have[k : k + step])
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows_of)), pa.array(rows_of.astype(np.int32)), pa.array(have[rows_of])], ["lang", "bucket", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows_of), pa.string()), pa.array(rows_of.astype(np.int32)), pa.array(have[rows_of])], ["lang", "bucket", "n"])
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([-1], pa.int32()), pa.array([int(have[-1])])], ["lang", "bucket", "n"])
 
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
