@@ -9,7 +9,6 @@ columns are carried along.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quire.llm import neardup, packing, pii, repeats, toxicity
 from quire.llm.common import staged, table
@@ -32,9 +31,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
-    columns = docs.columns
-    found = pii.with_spans(docs).withColumn("text", pii.masked(F.col("text"), F.col("every")))
-    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*columns)
+    return pii.without_pii(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import staged, table
+from quire.llm.common import aside, staged, table
 
 #: Kinds in the order that ties have, their pattern, and what a text must hold to be searched.
 KINDS: list[tuple[str, str, str]] = [
@@ -151,6 +151,12 @@ def masked(text: Column, every: Column) -> Column:
     return F.when(F.size(every) == 0, text).otherwise(F.aggregate(every, start, step, lambda s: F.concat(s["done"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))))
 
 
+def without_pii(docs: DataFrame) -> DataFrame:
+    """``docs`` with spans replaced by their kinds and n_chars to match; null texts stay null."""
+    inner, back = aside(docs)
+    return back(with_spans(inner).withColumn("text", masked(F.col("text"), F.col("every"))))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     count = lambda rank: F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quire.llm.common import mix, table
+from quire.llm.common import aside, mix, table
 
 LENGTH, K = 100, 50
 SPAN = LENGTH - K + 1  # K-byte strings of a window
@@ -370,12 +370,11 @@ def deduplicated(docs: DataFrame, output: str = "digest") -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated bytes gone from text (broken characters at the cuts go too) and n_chars to match; null texts stay null."""
-    others = [c for c in docs.columns if c != "text"]
-    held = [*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(others)], F.col("text").isNull().alias("_null")]
-    out = deduplicated(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), F.col("text").cast("string"), *held), "text")
-    text = F.when(~F.col("_null"), F.col("kept"))
-    made = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in others else None}
-    return out.select(*[(made[c] if made.get(c) is not None else F.col(f"_{others.index(c)}")).alias(c) for c in docs.columns])
+    inner, back = aside(docs)
+    # Rows without an id come before all others, as smaller ids do.
+    held = inner.withColumn("_id", F.col("doc_id")).withColumn("_null", F.col("text").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    out = deduplicated(held, "text")
+    return back(out.withColumn("doc_id", F.col("_id")).withColumn("text", F.when(~F.col("_null"), F.col("kept"))))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
