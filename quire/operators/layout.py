@@ -74,32 +74,43 @@ def with_references(rows: DataFrame) -> DataFrame:
 
 
 def with_text(rows: DataFrame, profile: Profile, strict: bool = False) -> DataFrame:
-    """``text``: the line as Markdown with its prefix.  ``strict`` loses what follows an inserted break in a numbered heading."""
+    """``text``: the line as Markdown with its prefix.  ``strict`` loses what follows an inserted break in a numbered heading.
+
+    Spans go through a few projections of their array, each computing a thing once; only where breaks fall is a fold.
+    """
     exact = [s for s, p in profile.fonts if p.startswith("#")]
     prefix = F.col("prefix")
     head = F.startswith(prefix, F.lit("#"))
     no_split = (prefix == "### ") | (prefix.isin("# ", "## ") if profile.heading_continues else F.lit(False))
-    cleaned = F.transform("spans", lambda s: F.struct(without_page_markers(s["text"]).alias("text"), s["size"].alias("size"), s["flags"].alias("flags"), s["font"].alias("font")))
-    start = F.struct(F.lit("").alias("done"), F.when(head, "header").otherwise("body").alias("last"), F.col("refs_before").alias("refs"))
+    each = lambda f: F.transform("_s", f)
+    struct = lambda **columns: F.struct(*[c.alias(k) for k, c in columns.items()])
+    bold = lambda s: (s["flags"].bitwiseAND(16) != 0) | F.lower(s["font"]).rlike("hei|bold")
+    italic = lambda s: (s["flags"].bitwiseAND(2) != 0) | F.contains(F.lower(s["font"]), F.lit("kai"))
+    emphasis = lambda s: F.when(bold(s) & italic(s), "***").when(bold(s), "**").when(italic(s), "*").otherwise("")
+
+    rows = rows.withColumn("_s", F.transform("spans", lambda s: struct(text=without_page_markers(s["text"]), size=s["size"], emphasis=emphasis(s), n=F.regexp_count(s["text"], F.lit(GLYPH)))))
+    rows = rows.withColumn("_s", F.filter("_s", lambda s: s["text"] != ""))
+    rows = rows.withColumn("_s", each(lambda s: struct(text=s["text"], bare=strip(s["text"]), emphasis=s["emphasis"], n=s["n"], header=s["size"].isin(exact), subtitle=nearest_prefix(s["size"], profile) == "SUBTITLE")))
+    mark = lambda s: (F.length(s["bare"]) == 1) & ~is_cjk(s["bare"]) & ~s["bare"].rlike(r"^[\p{L}\p{N}]$")
+    before = lambda k: F.col("refs_before") + F.aggregate(F.slice("_s", 1, k), F.lit(0), lambda a, s: a + s["n"])
+    shown = lambda s: F.when(s["subtitle"], F.concat(F.lit("**"), s["bare"], F.lit("**"))).otherwise(s["text"])
+    numbered = lambda s, k: F.when(s["n"] > 0, referenced(shown(s), before(k))).otherwise(shown(s))
+    rows = rows.withColumn("_s", F.transform("_s", lambda s, k: struct(text=numbered(s, k), emphasis=s["emphasis"], subtitle=s["subtitle"], mark=mark(s), header=s["header"], joins=s["bare"].rlike(f"^({GLYPH}|[0-9]+)$"))))
+    rows = rows.withColumn("_s", each(lambda s: struct(text=s["text"], core=F.when(head | (s["emphasis"] == ""), "").otherwise(strip(s["text"])), emphasis=s["emphasis"], subtitle=s["subtitle"], mark=s["mark"], header=s["header"], joins=s["joins"])))
+    around = lambda s: F.concat(F.regexp_extract(s["text"], f"^{BLANK}*", 0), s["emphasis"], s["core"], s["emphasis"], F.regexp_extract(s["text"], f"{BLANK}*$", 0))
+    rows = rows.withColumn("_s", each(lambda s: struct(text=F.when(s["core"] == "", s["text"]).otherwise(around(s)), subtitle=s["subtitle"], mark=s["mark"], header=s["header"], joins=s["joins"])))
+
+    start = struct(done=F.lit(""), header=head)
 
     def step(acc: Column, s: Column) -> Column:
-        bare = strip(s["text"])
-        kind = F.when(s["size"].isin(exact), "header").otherwise("body")
-        mark = (F.length(bare) == 1) & ~is_cjk(bare) & ~bare.rlike(r"^[\p{L}\p{N}]$")
-        cut = (acc["last"] == "header") & (kind == "body") & ~mark & ~no_split & ~bare.rlike(f"^({GLYPH}|[0-9]+)$")
-        subtitle = nearest_prefix(s["size"], profile) == "SUBTITLE"
-        text = F.when(subtitle, F.concat(F.lit("**"), bare, F.lit("**"))).otherwise(s["text"])
-        gap = F.when(cut, "\n\n").when(subtitle & ((acc["done"] != "") | (prefix != "")) & ~F.endswith(acc["done"], F.lit("\n")), "\n\n").otherwise("")
-        text = referenced(text, acc["refs"])
-        text = F.when(head, text).otherwise(styled(text, s["flags"], s["font"]))
-        new = F.struct(F.concat(acc["done"], gap, text).alias("done"), F.when(mark, acc["last"]).otherwise(kind).alias("last"), (acc["refs"] + F.regexp_count(s["text"], F.lit(GLYPH))).alias("refs"))
-        return F.when(s["text"] == "", acc).otherwise(new)
-
-    body = F.aggregate(cleaned, start, step, lambda a: a["done"])
-    rows = rows.withColumn("_body", strip(body))
+        cut = acc["header"] & ~s["header"] & ~s["mark"] & ~no_split & ~s["joins"]
+        later = s["subtitle"] & ((acc["done"] != "") | (prefix != "")) & ~F.endswith(acc["done"], F.lit("\n"))
+        return struct(done=F.concat(acc["done"], F.when(cut | later, "\n\n").otherwise(""), s["text"]), header=F.when(s["mark"], acc["header"]).otherwise(s["header"]))
+
+    rows = rows.withColumn("_body", F.aggregate("_s", start, step, lambda a: a["done"])).withColumn("_body", strip("_body"))
     content = F.when(F.lit(strict) & F.contains("_body", F.lit("\n")), normalized_heading(F.substring_index("_body", "\n", 1))).otherwise(normalized_heading("_body"))
     text = F.when(head, F.concat(prefix, content)).when(prefix == "> ", F.concat(prefix, F.col("_body"))).otherwise(F.col("_body"))
-    return rows.withColumn("text", F.when(F.col("_body") == "", "").otherwise(text)).drop("_body")
+    return rows.withColumn("text", F.when(F.col("_body") == "", "").otherwise(text)).drop("_body", "_s")
 
 
 def split_lines(pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profile: Profile) -> DataFrame:
