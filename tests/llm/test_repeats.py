@@ -1,0 +1,87 @@
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from quire.llm import repeats
+
+
+def brute(docs):
+    """(sizes, removed, spans, digest) by a set of all windows in order."""
+    seen, out = set(), []
+    for _, text in docs:
+        b = (text or "").encode()
+        cover = np.zeros(len(b) + 1, int)
+        for p in range(len(b) - 99):
+            w = b[p : p + 100]
+            if w in seen:
+                cover[p] += 1
+                cover[p + 100] -= 1
+            seen.add(w)
+        gone = np.cumsum(cover[:-1]) > 0
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        out.append((len(b), int(gone.sum()), int(gone[:1].sum() + (np.diff(gone.astype(int)) == 1).sum()) if len(b) else 0, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abé ") for _ in range(rng.randint(1, 9)))
+    passages = [" ".join(word() for _ in range(rng.choice([15, 30, 60]))) for _ in range(6)]
+    docs = []
+    for k in range(60):
+        parts = [rng.choice(passages) if rng.random() < 0.5 else " ".join(word() for _ in range(rng.randint(1, 40))) for _ in range(rng.randint(0, 6))]
+        docs.append((3 * k, " ".join(parts)))
+    docs += [(400, None), (401, ""), (402, "a" * 350), (403, "ab" * 300), (404, docs[5][1]), (405, docs[5][1]), (406, "x" * 99), (407, "x" * 100)]
+    return docs
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_same_as_brute_force(spark, seed):
+    docs = corpus(seed)
+    got = repeats.deduplicated(spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id long, text string, block string").select("doc_id", "text")).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got}
+    assert [got[d] for d, _ in docs] == brute(docs)
+
+
+@pytest.mark.parametrize("hot", [0, 1, 3, 4096])
+def test_hot_triggers(monkeypatch, hot):
+    """The same result whatever triggers go the way of single windows; no Spark, the same functions."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "SORT_ROWS", 7)
+    docs = corpus(7)
+    blocks = [[d for k, d in enumerate(docs) if k % 3 == b] for b in range(3)]
+    tables = [pa.table({"doc_id": pa.array([d for d, _ in b], pa.int64()), "text": pa.array([t for _, t in b], pa.string())}) for b in blocks]
+    key = lambda b: (pa.scalar(b),)
+    reports = pa.concat_tables([repeats.report(2)(key(b), t) for b, t in enumerate(tables)])
+    chosen = pa.concat_tables([repeats.select(key(k), reports.filter(pa.compute.equal(reports.column("bucket"), k))) for k in range(4)])
+    of = lambda b: chosen.filter(pa.compute.equal(chosen.column("block"), b))
+    phrases = pa.concat_tables([repeats.dictionary(key(b), t, of(b)) for b, t in enumerate(tables)])
+    phrases = phrases.sort_by([(c, "ascending") for c in ("trigger", "phrase", "doc_id", "copy", "start")])
+    again = pa.Table.from_batches(list(repeats.repeated(iter(phrases.to_batches(max_chunksize=5)))))
+    got = {}
+    for b, t in enumerate(tables):
+        mine = again.filter(pa.compute.equal(again.column("block"), b)).drop_columns(["block"])
+        rows = mine.append_column("hot", pa.nulls(mine.num_rows, pa.binary()))
+        none = {c: pa.nulls(of(b).num_rows, rows.schema.field(c).type) for c in ("doc_id", "copy", "start", "stop")}
+        decided = pa.concat_tables([rows, pa.table(none | {"hot": of(b).column("hot")}).select(rows.column_names)])
+        for r in repeats.removal("digest")(key(b), t, decided).to_pylist():
+            got[r["doc_id"]] = (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+    assert [got[d] for d, _ in docs] == brute(docs)
+
+
+def test_repeated_ids_and_empty(spark):
+    text = "some text that is long enough to have a window of one hundred bytes, which is what this needs to be now"
+    df = spark.createDataFrame([(1, text), (1, text), (1, "b" + text)], "doc_id long, text string")
+    assert sorted(r.n_removed for r in repeats.deduplicated(df).collect()) == [0, len(text), len(text)]
+    assert repeats.deduplicated(df.limit(0)).collect() == []
+
+
+def test_without_repeats_keeps_columns(spark):
+    text = "é" * 20 + "0123456789" * 12
+    df = spark.createDataFrame([(1, text, len(text), 5, "a"), (2, "x" + text, len(text) + 1, 6, "b"), (3, None, None, 7, "c"), (None, "no id", 5, 8, "d")], "doc_id long, text string, n_chars long, block int, _0 string")
+    got = {r.block: r for r in repeats.without_repeats(df).collect()}
+    assert got[5].text == "é" * 20 + "0123456789" and got[7].text is None and got[8].text == "no id" and got[8].doc_id is None
+    assert got[6].text.startswith("x") and got[6].n_chars == len(got[6].text) < 10 and got[6]._0 == "b"
