@@ -13,7 +13,6 @@ string gives that token's id there, as the library does by default.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import struct
@@ -26,11 +25,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import map_slices, mix, table
+from quire.llm.common import held_by_worker, map_slices, mix, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Words whose ids a worker keeps, and the longest that are kept.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 48
+KEPT_WORDS, KEPT_LENGTH = 250_000, 48
 WORD_END = "</w>"
 #: What is white space to the library.
 SPACES = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -238,7 +237,7 @@ class BatchEncoder:
     A run's key is a 64-bit rolling hash and a second number from its length and its first and last eight bytes.
     """
 
-    BITS, BLOCK = 22, 1 << 19
+    BITS, BLOCK = 21, 1 << 19
     SENTENCE_ENDS = np.isin(np.arange(256), list(b".!?"))
 
     def __init__(self, bpe: BacktrackingBPE):
@@ -396,24 +395,17 @@ class BatchEncoder:
         return out
 
 
-@functools.cache
-def shared_batch(path: str = VOCABULARY) -> BatchEncoder:
+def shared(path: str = VOCABULARY) -> BatchEncoder:
     """One encoder for each worker process, so that its known runs serve all its tasks."""
-    return BatchEncoder(shared(path))
-
-
-@functools.cache
-def shared(path: str = VOCABULARY) -> BacktrackingBPE:
-    """One encoder for each worker process, so that its kept words serve all its tasks."""
-    return BacktrackingBPE(path)
+    return held_by_worker(f"bpe {path}", lambda: BatchEncoder(BacktrackingBPE(path)))
 
 
 def encode_decode(docs: DataFrame, path: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, its token ids, and the text decoded from them through the offset table."""
 
     def make():
-        texts, _ = shared(path).tables()
-        encoder = shared_batch(path)
+        encoder = shared(path)
+        texts, _ = encoder.bpe.tables()
         return lambda ids, values: [(k, x.tolist(), texts.join(x).decode()) for k, (x, _) in zip(ids, encoder.encode(values), strict=True)]
 
     return map_slices(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), make, "doc_id long, ids array<int>, decoded string")
@@ -423,8 +415,8 @@ def digests(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """The query's row per document: count, digest of the ids, digest of what they decode to."""
 
     def make():
-        texts, numbers = shared(path).tables()
-        encoder, sha = shared_batch(path), hashlib.sha256
+        encoder, sha = shared(path), hashlib.sha256
+        texts, numbers = encoder.bpe.tables()
         return lambda ids, values: [(k, len(x), sha(numbers.join(x)).hexdigest(), sha(texts.join(x)).hexdigest()) for k, (x, _) in zip(ids, encoder.encode(values), strict=True)]
 
     return map_slices(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, Any] = {}
+
+
+def held_by_worker(name: str, make: Callable[[], Any]) -> Any:
+    """What one operator keeps between the tasks of a worker process.  Another operator's is let go, so they don't add up."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def map_slices(df: DataFrame, make: Callable[[], Callable[..., list[tuple]]], schema: str, slice_bytes: int = 4 << 20) -> DataFrame:
     """``make()`` builds, once for each task, the function from lists of a slice's columns to output rows.
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quire.llm.bpe import VOCABULARY, shared_batch
+from quire.llm.bpe import VOCABULARY, shared
 from quire.llm.common import table
 
 LENGTH, END_ID = 2048, 1
@@ -159,7 +159,7 @@ def pack(docs: DataFrame, path: str = VOCABULARY, length: int = LENGTH, end_id:
     out_type = StructType.fromDDL(SCHEMA + (", ids array<int>" if with_ids else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer, end = shared_batch(path), Packer(length), np.array([end_id], np.uint32)
+        encoder, packer, end = shared(path), Packer(length), np.array([end_id], np.uint32)
         base = TaskContext.get().partitionId() << 40
         arrow = to_arrow_schema(out_type)
         rows: list[tuple] = []

@@ -24,14 +24,16 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quire.llm.common import doc_id_crc_mod, table
+from quire.llm.common import doc_id_crc_mod, held_by_worker, table
 
 WINDOW, STEP = 48, 32
 HIDDEN, EVIDENCE, LEARNED = 8, 3, 5
@@ -77,7 +79,7 @@ class Vocabulary:
 
     def __init__(self):
         self.row: dict[str, int] = {}
-        self.own, self.flat, self.sizes = [0], [0], [1]
+        self.own, self.flat, self.sizes = array("i", [0]), array("i", [0]), array("i", [1])
 
     def add(self, words: list[str]) -> np.ndarray:
         row = self.row
@@ -86,7 +88,7 @@ class Vocabulary:
                 row[w] = len(self.own)
                 own, grams = features(w)
                 self.own.append(own)
-                self.flat += grams
+                self.flat.extend(grams)
                 self.sizes.append(len(grams))
         return np.array([row[w] for w in words], np.int32)
 
@@ -116,7 +118,7 @@ class Network:
 
     def inputs(self, vocabulary: Vocabulary, tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """Of all the vocabulary's rows but the first."""
-        own, sizes, flat = np.array(vocabulary.own[1:]), np.array(vocabulary.sizes[1:]), np.array(vocabulary.flat[1:])
+        own, sizes, flat = (np.array(x[1:], np.int32) for x in (vocabulary.own, vocabulary.sizes, vocabulary.flat))
         words, grams = tables
         known = evidence(own, flat, sizes, words.__getitem__, grams.__getitem__)
         sums = np.add.reduceat(self.p["gram"][flat % VECTOR_ROWS], np.cumsum(sizes) - sizes)
@@ -219,7 +221,7 @@ class Scorer:
         self.row: dict[str, int] = {}
         self.wide = np.concatenate([p["Wf"], p["Wb"]], 1)
         self.bias = np.concatenate([p["cf"], p["cb"]])
-        self.table = np.zeros((1 << 14, 6 * HIDDEN), np.float32)
+        self.table = np.zeros((KEPT_WORDS + (1 << 16), 6 * HIDDEN), np.float32)  # pages are taken as they fill
         self.table[0] = self.bias
         self.filled = 1
 
@@ -228,8 +230,8 @@ class Scorer:
         v = Vocabulary()
         v.add(words)
         made = self.net.inputs(v, self.tables) @ self.wide + self.bias
-        while self.filled + len(made) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        if self.filled + len(made) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((len(made), 6 * HIDDEN), np.float32)])
         self.table[self.filled : self.filled + len(made)] = made
         for w in v.row:
             self.row[w] = self.filled
@@ -264,15 +266,9 @@ class Scorer:
         return [float(sigmoid(z.max())) for z in self.window_logits([words_of(t) for t in texts])]
 
 
-_LAST: list = [None, None]
-
-
 def _scorer(weights: dict[str, np.ndarray]) -> Scorer:
-    """The worker's last scorer if it has these weights: its known words serve further tasks."""
-    mark = zlib.crc32(weights["gram"].tobytes())
-    if _LAST[0] != mark:
-        _LAST[:] = mark, Scorer(weights)
-    return _LAST[1]
+    """The worker's scorer for these weights: its known words serve further tasks."""
+    return held_by_worker(f"toxicity {zlib.crc32(weights['gram'].tobytes())}", lambda: Scorer(weights))
 
 
 def fit(texts: list[str | None], toxic: list[int], seed: int = 7) -> dict[str, np.ndarray] | None:
@@ -282,22 +278,21 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7) -> dict[str, n
         return None
     rng = np.random.default_rng(seed)
     net, vocabulary = Network(seed), Vocabulary()
-    split = [words_of(t) for t in texts]
-    ids = [vocabulary.add(w) for w in split]
+    ids = [vocabulary.add(words_of(t)) for t in texts]
     bounds = vocabulary.bounds = np.concatenate([[0], np.cumsum(vocabulary.sizes)])
     vocabulary.flat = np.array(vocabulary.flat)
     own_of, sizes_of = np.array(vocabulary.own), np.array(vocabulary.sizes)
     n_of = [float((toxic_of == y).sum()) for y in (0, 1)]
     counts = [[np.zeros(n, np.float32) for n in (WORD_ROWS, GRAM_ROWS)] for _ in (0, 1)]
-    used = []
+    grams_of = lambda rows: np.concatenate([vocabulary.flat[bounds[r] : bounds[r + 1]] for r in rows]) if len(rows) else np.zeros(0, np.int32)
     for k, x in enumerate(ids):
-        rows, back = np.unique(x, return_inverse=True)
-        flat = np.concatenate([vocabulary.flat[bounds[r] : bounds[r + 1]] for r in rows]) if len(rows) else np.zeros(0, np.int64)
-        used.append((rows, back, flat))
-        for c, where in zip(counts[int(toxic_of[k])], (own_of[rows], flat), strict=True):
+        rows = np.unique(x)
+        for c, where in zip(counts[int(toxic_of[k])], (own_of[rows], grams_of(rows)), strict=True):
             c[np.unique(where)] += 1
     known = []
-    for k, (rows, back, flat) in enumerate(used):
+    for k, x in enumerate(ids):
+        rows, back = np.unique(x, return_inverse=True)
+        flat = grams_of(rows)
         if not len(rows):
             known.append(np.zeros((0, EVIDENCE), np.float32))
             continue
@@ -325,7 +320,8 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7) -> dict[str, n
                 m += 0.1 * (grad - m)
                 v += 0.001 * (grad * grad - v)
                 net.p[name] = net.p[name] * (1 - DECAY) - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        top = [int(z.argmax()) for z in Scorer(net.p | tables).window_logits(split)]
+        scorer = Scorer(net.p | tables)
+        top = [int(scorer.window_logits([words_of(t)])[0].argmax()) for t in texts]
     return net.p | tables
 
 
@@ -347,8 +343,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
 def _scored(docs: DataFrame, weights: dict[str, np.ndarray] | None, columns: list[str]) -> DataFrame:
     """Columns _0, _1, ... for ``columns``, whatever their names, and _score."""
     model = docs.sparkSession.sparkContext.broadcast(weights)
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(columns)], F.col("text").cast("string").alias("_text"))
-    schema = ", ".join(f"_{k} {inner.schema[f'_{k}'].dataType.simpleString()}" for k in range(len(columns))) + ", _score double"
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(columns)], *([] if "text" in columns else [F.col("text").alias("_text")]))
+    where = columns.index("text") if "text" in columns else len(columns)
+    schema = StructType([*[inner.schema[f"_{k}"] for k in range(len(columns))], StructField("_score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model.value) if model.value else None
@@ -356,9 +353,9 @@ def _scored(docs: DataFrame, weights: dict[str, np.ndarray] | None, columns: lis
             step = max(1, int(batch.num_rows * (1 << 20) / max(batch.nbytes, 1)))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                texts = part.column(len(columns)).to_pylist()
+                texts = part.column(where).to_pylist()
                 made = scorer.scores(texts) if scorer else [0.0] * len(texts)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(made, pa.float64())], [*part.schema.names[:-1], "_score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(columns)], pa.array(made, pa.float64())], [*part.schema.names[: len(columns)], "_score"])
 
     return inner.mapInArrow(run, schema)
 
