@@ -18,8 +18,10 @@ Null texts are empty.  Values with no known signature have the type
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -40,8 +42,26 @@ class Found:
     size: int
 
 
-def check_wav(b: memoryview, at: int) -> int:
+class Value:
+    """Bytes with the places of closing marks, found once however many objects ask for them."""
+
+    def __init__(self, data: bytes):
+        self.data, self.view, self._places = data, memoryview(data), {}
+
+    def places(self, mark: bytes) -> list[int]:
+        if mark not in self._places:
+            self._places[mark] = [m.start() for m in re.finditer(re.escape(mark), self.data)]
+        return self._places[mark]
+
+    def after(self, mark: bytes, at: int) -> int:
+        found = self.places(mark)
+        k = bisect_left(found, at)
+        return found[k] if k < len(found) else -1
+
+
+def check_wav(v: Value, at: int) -> int:
     """Bytes of a RIFF/WAVE file with a format and a data chunk, or 0."""
+    b = v.view
     if len(b) - at < 44 or bytes(b[at + 8 : at + 12]) != b"WAVE":
         return 0
     size = 8 + struct.unpack_from("<I", b, at + 4)[0]
@@ -57,7 +77,8 @@ def check_wav(b: memoryview, at: int) -> int:
     return size if place == at + size and {b"fmt ", b"data"} <= seen else 0
 
 
-def check_bmp(b: memoryview, at: int) -> int:
+def check_bmp(v: Value, at: int) -> int:
+    b = v.view
     if len(b) - at < 54:
         return 0
     size, _, pixels, header, width, height, planes, bits = struct.unpack_from("<IIIIiiHH", b, at + 2)
@@ -66,7 +87,8 @@ def check_bmp(b: memoryview, at: int) -> int:
     return size if pixels + (width * bits + 31) // 32 * 4 * abs(height) == size else 0
 
 
-def check_png(b: memoryview, at: int) -> int:
+def check_png(v: Value, at: int) -> int:
+    b = v.view
     place, first = at + 8, True
     while place + 12 <= len(b):
         n, name = struct.unpack_from(">I4s", b, place)
@@ -78,8 +100,9 @@ def check_png(b: memoryview, at: int) -> int:
     return 0
 
 
-def check_gif(b: memoryview, at: int) -> int:
+def check_gif(v: Value, at: int) -> int:
     """Walks the blocks of a GIF to its trailer."""
+    b = v.view
     if len(b) - at < 14:
         return 0
     flags, place = b[at + 10], at + 13
@@ -103,7 +126,8 @@ def check_gif(b: memoryview, at: int) -> int:
     return 0
 
 
-def check_jpeg(b: memoryview, at: int) -> int:
+def check_jpeg(v: Value, at: int) -> int:
+    b = v.view
     place = at + 2
     while place + 4 <= len(b) and b[place] == 0xFF:
         mark = b[place + 1]
@@ -114,28 +138,32 @@ def check_jpeg(b: memoryview, at: int) -> int:
         if n < 2 or place > len(b):
             return 0
         if mark == 0xDA:
-            end = bytes(b[place:]).find(b"\xff\xd9")
-            return 0 if end < 0 else place + end + 2 - at
+            end = v.after(b"\xff\xd9", place)
+            return 0 if end < 0 else end + 2 - at
     return 0
 
 
-def check_pdf(b: memoryview, at: int) -> int:
-    data = bytes(b[at:])
-    end = data.rfind(b"%%EOF")
-    return end + 5 if len(data) > 8 and data[5:6].isdigit() and data[6:7] == b"." and end > 0 and b"startxref" in data[:end] else 0
+def check_pdf(v: Value, at: int) -> int:
+    """To the last end mark before another header; an update of a file has marks of its own."""
+    if not v.data[at + 5 : at + 6].isdigit() or v.data[at + 6 : at + 7] != b".":
+        return 0
+    limit = v.after(b"%PDF-", at + 1)
+    ends = v.places(b"%%EOF")
+    k = bisect_left(ends, limit if limit >= 0 else len(v.data)) - 1
+    start = v.after(b"startxref", at)
+    return ends[k] + 5 - at if k >= 0 and at < start < ends[k] else 0
 
 
-def check_zip(b: memoryview, at: int) -> int:
-    data = bytes(b[at:])
-    end = data.find(b"PK\x05\x06")
-    if end < 0 or len(data) < end + 22:
+def check_zip(v: Value, at: int) -> int:
+    end = v.after(b"PK\x05\x06", at)
+    if end < 0 or len(v.data) < end + 22:
         return 0
-    size, start, note = struct.unpack_from("<IIH", data, end + 12)
-    return end + 22 + note if start + size == end and len(data) >= end + 22 + note else 0
+    size, start, note = struct.unpack_from("<IIH", v.data, end + 12)
+    return end + 22 + note - at if start + size == end - at and len(v.data) >= end + 22 + note else 0
 
 
 #: Magic bytes, media type, validator.
-FORMATS: list[tuple[bytes, str, Callable[[memoryview, int], int]]] = [
+FORMATS: list[tuple[bytes, str, Callable[[Value, int], int]]] = [
     (b"RIFF", "audio/wav", check_wav),
     (b"BM", "image/bmp", check_bmp),
     (b"\x89PNG\r\n\x1a\n", "image/png", check_png),
@@ -156,11 +184,11 @@ class Sniffer:
 
     def find(self, value: bytes) -> list[Found]:
         """Objects by offset whose structure holds, those inside others included."""
-        view, out = memoryview(value), []
+        held, out = Value(value), []
         for end, k in self.automaton.iter(value.decode("latin-1")):
             magic, kind, valid = FORMATS[k]
             at = end + 1 - len(magic)
-            if size := valid(view, at):
+            if size := valid(held, at):
                 out.append(Found(kind, at, size))
         return sorted(out, key=lambda x: (x.offset, -x.size))
 

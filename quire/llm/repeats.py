@@ -50,7 +50,7 @@ CHUNK = 1 << 15
 #: Most phrases of a trigger that one task compares.
 HOT = 4096
 #: Bytes of text in a block, bytes of text for a shuffle partition, triggers for a bucket.
-BLOCK_BYTES, PARTITION_BYTES, BUCKET_TRIGGERS = 4 << 20, 24 << 20, 1 << 21
+BLOCK_BYTES, PARTITION_BYTES, BUCKET_TRIGGERS = 4 << 20, 24 << 20, 1 << 18
 #: Rows of the dictionary that a task sorts at once.
 SORT_ROWS = 6000
 #: The order in which a suffix's eight-byte words are compared: its ends differ first.

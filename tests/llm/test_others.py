@@ -1,3 +1,6 @@
+import io
+import zipfile
+
 import duckdb
 import numpy as np
 import pandas as pd
@@ -61,6 +64,14 @@ def test_media_round_trip():
     assert sniffer.find(bytes(broken)) == []
     gif = b"GIF89a\x01\x00\x01\x00\x80\x00\x00" + b"\0" * 6 + b"\x2c\0\0\0\0\1\0\1\0\0\x02\x02\x44\x01\x00\x3b"
     assert sniffer.true_type(gif)[0] == "image/gif"
+    box = io.BytesIO()
+    with zipfile.ZipFile(box, "w") as z:
+        z.writestr("a", "text")
+    pdf = b"%PDF-1.4\n1 0 obj\nendobj\nstartxref\n9\n%%EOF"
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xda\x00\x02data\xff\xd9"
+    found = sniffer.find(b"x" + pdf + b"y" + box.getvalue() + jpeg)
+    assert [(f.kind, f.size) for f in found] == [("application/pdf", len(pdf)), ("application/zip", len(box.getvalue())), ("image/jpeg", len(jpeg))]
+    assert sniffer.find(b"%PDF-1." * 20_000 + b"PK\x03\x04" * 20_000) == []
 
 
 def test_media_query(spark):
