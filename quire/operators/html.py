@@ -149,11 +149,17 @@ def _render(node: Node, depth: int = 0) -> str:
     return "".join(parts)
 
 
-def to_markdown(html: str | None) -> str:
-    """The body (or the whole document without one) as Markdown, blocks apart by one blank line."""
+def to_markdown(html: str | None, images: dict[str, str] | None = None) -> str:
+    """The body (or the whole document without one) as Markdown, blocks apart by one blank line.
+
+    ``images`` gives the stored files of image addresses; other images stay as they are.
+    """
     if not html:
         return ""
     root = parse(html)
+    for n in walk(root) if images else ():
+        if n.tag == "img" and n.attrs.get("src") in images:
+            n.attrs = {"src": images[n.attrs["src"]], "alt": "img"}
     body = next((n for n in walk(root) if n.tag == "body"), root)
     text = "\n".join(x.rstrip(" ") if not x.endswith("  ") else x.rstrip(" ") + "  " for x in _render(body).split("\n"))
     return re.sub(r"(\s*\n){3,}", "\n\n", text).strip()
@@ -171,6 +177,26 @@ def markdown_pages(pages: DataFrame, html: str = "html", output: str = "markdown
     return pages.withColumn(output, convert(F.col(html)))
 
 
+def image_list(html: str = "html") -> Column:
+    """Addresses of a page's images in order."""
+
+    @F.pandas_udf("array<string>")
+    def sources(s: pd.Series) -> pd.Series:
+        return s.map(image_sources)
+
+    return sources(F.col(html))
+
+
+def markdown_with_images(html: str, images: str) -> Column:
+    """Markdown of ``html`` with the files that ``images`` (array of structs src, file) names."""
+
+    @F.pandas_udf("string")
+    def convert(h: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([to_markdown(x, {i["src"]: i["file"] for i in y} if y is not None else None) for x, y in zip(h, m, strict=True)])
+
+    return convert(F.col(html), F.col(images))
+
+
 def headings(pages: DataFrame) -> DataFrame:
     """(page_id, n, level, title) of closed headings."""
     text = F.regexp_extract_all(without_scripts("html"), F.lit(r"(?is)<h([1-6])\b[^>]*>(.*?)</h\1\s*>"), F.lit(0))

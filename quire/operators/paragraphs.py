@@ -27,8 +27,8 @@ def indented(raw: Column, x0: Column, profile: Profile) -> Column:
     return (x0 > profile.indent) | F.startswith(raw, F.lit("　")) | F.startswith(raw, F.lit("  "))
 
 
-def with_islands(rows: DataFrame, profile: Profile) -> DataFrame:
-    """``is_new`` and ``island`` of each line that has text and is no divider."""
+def with_islands(rows: DataFrame, profile: Profile, strict: bool = False) -> DataFrame:
+    """``is_new`` and ``island`` of each line that has text and is no divider; ``strict`` glues text on to an image."""
     rows = rows.filter((F.col("text") != "") & ~F.col("text").rlike(DIVIDER))
     image = F.col("is_image") if "is_image" in rows.columns else F.lit(False)
     rows = rows.withColumns({"_heading": F.startswith("text", F.lit("#")) & ~image, "_quote": F.startswith("text", F.lit("> "))})
@@ -36,6 +36,8 @@ def with_islands(rows: DataFrame, profile: Profile) -> DataFrame:
     heading = ~last_heading if profile.heading_continues else F.lit(True)
     note = F.col("text").rlike(f"^{BLANK}*" + r"\[\^[0-9]+\]")
     rows = rows.withColumns({"_first": F.row_number().over(in_order()) == 1, "_base": F.when(image, True).when(note, False).when(F.col("_heading"), heading).otherwise(indented(F.col("raw"), F.col("x0"), profile))})
+    if not strict and "is_image" in rows.columns:
+        rows = rows.withColumn("_base", F.col("_base") | F.coalesce(F.lag("is_image").over(in_order()), F.lit(False)))
     decides = F.col("_base") | F.col("_quote") | F.col("_first")
     state = F.coalesce(F.last(F.when(decides, F.col("_quote")), ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
     rows = rows.withColumn("is_new", F.col("_first") | F.col("_base") | (F.col("_quote") & ~state))

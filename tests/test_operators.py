@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import html, layout, paragraphs, profiling, reflow, toc
+from quire.plans import books
 from quire.plans.bundles import write_files
 from quire.profiles import PROFILE_A, PROFILE_B
 from quire.sources import epub, files
@@ -75,7 +76,7 @@ def article(spark, profile, cases):
     """Lines as (text, indented) to articles."""
     rows = [(d, 0, n, t, "", 200.0 if new else 0.0, t.startswith("![")) for d, lines in enumerate(cases) for n, (new, t) in enumerate(lines)]
     df = spark.createDataFrame(rows, "doc_id int, page int, ord int, text string, raw string, x0 double, is_image boolean")
-    paras = paragraphs.merged_quotes(paragraphs.paragraphs(paragraphs.with_pieces(paragraphs.with_islands(df, profile), profile)))
+    paras = paragraphs.merged_quotes(paragraphs.paragraphs(paragraphs.with_pieces(paragraphs.with_islands(df, profile, strict=True), profile)))
     none = spark.createDataFrame([], "doc_id int, note int, text string")
     return {r.doc_id: r.markdown for r in paragraphs.articles(paras, none).collect()}
 
@@ -212,6 +213,30 @@ def test_epub(spark, tmp_path):
     assert [(r.href, r.extension) for r in epub.matched_images(images, part("item")).collect()] == [("OEBPS/img/p.png", ".png")]
 
 
+def test_epub_bundles(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "b.epub", "w") as z:
+        for name, data in (("META-INF/container.xml", BOX), ("OEBPS/c.opf", OPF), ("OEBPS/toc.ncx", NCX), ("OEBPS/a.xhtml", '<p>hi</p><img src="img/p.png" alt="x"/><img src="gone.png"/>'), ("OEBPS/img/p.png", b"\x89PNG\r\n\x1a\n")):
+            z.writestr(name, data)
+    made, assets = books.epub_bundles(spark, str(tmp_path / "b.epub"))
+    r = made.first()
+    assert r.rel_path == "Part_ 1/One/index.md" and r.markdown == "---\nbook: Book\ncategory: Part_ 1\norder: 1\ntitle: One\n---\n\nhi\n\n![img](assets/img_1.png)![](gone.png)"
+    assert [(a.rel_path, bytes(a.content)[:4]) for a in assets.collect()] == [("Part_ 1/One/assets/img_1.png", b"\x89PNG")]
+
+
+def test_layout_bundles(spark):
+    rows = [("b", 0, 0, 0, "编 者", 14.4, "S", 0, 0.0, 150.0), ("b", 0, 1, 0, "正文①。", 9.6, "S", 0, 110.0, 200.0), ("b", 0, 2, 0, "①注", 9.6, "S", 0, 60.0, 450.0), ("b", 1, 0, 0, "续", 9.6, "S", 0, 0.0, 150.0), ("b", 0, 3, 0, "页眉", 9.6, "S", 0, 0.0, 20.0)]
+    spans = spark.createDataFrame(rows, "doc_id string, page int, line_idx int, span_idx int, text string, size double, font string, flags int, x0 double, y0 double")
+    outline = spark.createDataFrame([("b", 0, 1, "Part", 1, 3), ("b", 1, 2, "A:1", 1, 3), ("b", 2, 2, "B", 3, 3)], "doc_id string, pos int, level int, title string, page int, n_pages int")
+    pages = spark.createDataFrame([("b", 0, 595.0), ("b", 1, 595.0)], "doc_id string, page int, height double")
+    blocks = spark.createDataFrame([], "doc_id string, page int, block_idx int, y0 double, text string")
+    drawings = spark.createDataFrame([("b", 0, 10.0, 440.0, 80.0, 441.0)], "doc_id string, page int, x0 double, y0 double, x1 double, y1 double")
+    images = spark.createDataFrame([("b", 1, 0, b"\xff\xd8\xff")], "doc_id string, page int, block_idx int, content binary")
+    made, assets = books.layout_bundles(outline, spans, pages, blocks, drawings, PROFILE_A, [], 2, images)
+    got = {r.rel_path: r.markdown for r in made.collect()}
+    assert got == {"Part/A_1/index.md": "---\nbook: b\ncategory: Part\norder: 1\ntitle: A:1\n---\n\n# 编者\n\n正文[^1]。\n\n![img](assets/img_1.jpg)\n\n续\n\n[^1]: 注"}
+    assert [r.rel_path for r in assets.collect()] == ["Part/A_1/assets/img_1.jpg"]
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "t.txt").write_text("a\nb")
     assert [r.line for r in files.text_lines(spark, str(tmp_path / "t.txt")).orderBy("n").collect()] == ["a", "b"]
