@@ -256,3 +256,12 @@ def test_streaming(spark, tmp_path):
     spark.createDataFrame([(1, "u", "<p>a</p>"), (2, "u", "<h1>b</h1>")], "page_id long, url string, html string").write.parquet(str(tmp_path / "in"))
     ingest.upsert_to(ingest.markdown_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
     assert {r.page_id: r.markdown for r in ingest.latest(spark, str(tmp_path / "out")).collect()} == {1: "a", 2: "# b"}
+
+
+def test_command_line(spark, tmp_path):
+    from quire.__main__ import main
+
+    (tmp_path / "page.html").write_text("<h1>T</h1><p>x</p>")
+    main(["html", str(tmp_path / "page.html"), str(tmp_path / "out")])
+    r = spark.read.parquet(str(tmp_path / "out/bundles")).first()
+    assert r.rel_path == "page/index.md" and r.markdown.endswith("---\n\n# T\n\nx")
