@@ -79,9 +79,10 @@ def train(rows: DataFrame, text: str | Column = "text", lang: str | Column = "la
     counted = rows.select(as_col(text).cast("string"), as_col(lang).cast("string").alias("lang")).filter("lang is not null").mapInArrow(run, "lang string, bucket int, n long")
     totals = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     per_lang = totals.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c"))  # at most BUCKETS + 1 each
-    found = per_lang.toArrow()
-    if found.num_rows * (BUCKETS + 1) * 4 > MODEL_BYTES:
-        raise ValueError(f"{found.num_rows} languages: the model would take over {MODEL_BYTES} bytes")
+    most = MODEL_BYTES // ((BUCKETS + 1) * 4)
+    found = per_lang.limit(most + 1).toArrow()
+    if found.num_rows > most:
+        raise ValueError(f"over {most} languages: the model would take over {MODEL_BYTES} bytes")
     order = sorted(range(found.num_rows), key=lambda k: found.column(0)[k].as_py())
     matrix = np.zeros((len(order), BUCKETS + 1), np.float64)
     for row, k in enumerate(order):

@@ -41,8 +41,8 @@ WIDTH = EVIDENCE + LEARNED
 #: Rows of the evidence tables for words and n-grams and of the learned vectors.
 WORD_ROWS, GRAM_ROWS, VECTOR_ROWS = 1 << 17, 1 << 19, 1 << 12
 GRAMS = (3, 4, 5, 6)
-#: Most labelled texts of each label that are learned from, and windows scored at once.
-PER_CLASS, BATCH_WINDOWS = 1000, 1 << 11
+#: Most labelled texts of each label that are learned from, their most characters, and windows scored at once.
+PER_CLASS, SAMPLE_CHARS, BATCH_WINDOWS = 1000, 200_000, 1 << 11
 ROUNDS, STEPS, BATCH, RATE, DECAY, DROPPED = 4, 80, 64, 0.01, 1e-4, 0.3
 KEPT_WORDS = 300_000
 THRESHOLD = 0.7
@@ -326,14 +326,14 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7) -> dict[str, n
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[list[str], list[int]]:
-    """At most ``per_class`` texts of each label, by a hash of the id; ids with conflicting labels are left out."""
+    """At most ``per_class`` texts of each label, by a hash of the id; ids with conflicting labels and giant texts are left out."""
     known = labels.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most and toxic in (0, 1)").select("doc_id", "toxic")
     texts, values = [], []
     chosen = None
     for y in (0, 1):
         some = known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(2 * per_class)
+    rows = docs.select("doc_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(2 * per_class)
     for r in rows.collect():
         texts.append(r.text)
         values.append(r.toxic)
