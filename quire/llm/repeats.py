@@ -352,9 +352,9 @@ def deduplicated(docs: DataFrame, output: str = "digest") -> DataFrame:
     """Per row of ``docs`` (doc_id, text): sizes and a digest of the kept bytes, or (output "text") the kept text and all columns with a leading underscore."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, (total // (SPAN // 2) // BUCKET_TRIGGERS).bit_length())
     blocks = max(1, total // BLOCK_BYTES)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // PARTITION_BYTES)
+    bits = max(total // (SPAN // 2) // BUCKET_TRIGGERS, parts).bit_length()  # some buckets for every partition
     extra = [c for c in docs.columns if c.startswith("_")]
     dealt = docs.select("doc_id", "text", *extra).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).repartition(parts, "block")
     reports = dealt.groupBy("block").applyInArrow(report(bits), "bucket long, block long, triggers binary, counts binary")
