@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zlib
@@ -39,10 +40,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 _HELD: dict[str, Any] = {}
 
 
+def give_back() -> None:
+    """Returns freed memory to the system where the C library can; an idle worker keeps it otherwise."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def held_by_worker(name: str, make: Callable[[], Any]) -> Any:
     """What one operator keeps between the tasks of a worker process.  Another operator's is let go, so they don't add up."""
     if name not in _HELD:
         _HELD.clear()
+        give_back()
         _HELD[name] = make()
     return _HELD[name]
 

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quire.llm.common import aside, mix, table
+from quire.llm.common import aside, give_back, mix, table
 
 LENGTH, K = 100, 50
 SPAN = LENGTH - K + 1  # K-byte strings of a window
@@ -313,6 +313,7 @@ def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = pending[0].num_rows
     if held:
         yield done(pa.concat_tables(pending))
+    give_back()
 
 
 def removal(columns: str):
@@ -326,6 +327,7 @@ def removal(columns: str):
         _, _, later = block.hot(np.sort(unpack(decided.column("hot"))))
         np.add.at(cover, later, 1)
         np.add.at(cover, later + LENGTH, -1)
+        give_back()
         spans = decided.filter(pa.compute.is_valid(decided.column("start")))
         if spans.num_rows:
             doc, copy, start, stop = (spans.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "copy", "start", "stop"))
