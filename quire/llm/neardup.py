@@ -5,12 +5,14 @@ occurred before.  For each of SKETCHES hash functions the ORDER labelled
 shingles of least hash are taken and hashed in the order the text has them, so
 equal sketches speak for an alignment rather than for common content alone.
 
-Texts that share a sketch are candidates.  Nothing pairs up all members of a
-bucket: each member meets the one of least id.  In buckets whose members are in
-several classes after that, members meet the ends (least, largest, least by
-hash) of other classes than their own; three members so meet in every pair.
-Such buckets are also split by further sketches, and the parts treated alike, so
-a bucket held together by a common passage falls into its real groups.
+Texts that share a sketch are candidates.  First each member of a bucket meets
+the one of least id.  In buckets whose members are in several classes after
+that, every pair of members from different classes is weighed by a profile: the
+counts of shingles by some bits of their hashes, whose differences bound the
+common ones from above.  Pairs that the bound rules out are not similar; of the
+others, each member meets its PARTNERS likeliest first, then GROWTH times as
+many, with the classes found anew, until a round holds no pair back.  So no two
+classes are left that share a bucket and a similar pair in it.
 
 A pair is verified by aligning the two shingle sequences: the longest common
 subsequence of labelled shingles, by sparse dynamic programming inside the band
@@ -33,11 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import aside, held_by_worker, map_rows, mix, staged, table
+from quire.llm.common import aside, held_by_worker, map_rows, map_slices, mix, staged, table
 
 SHINGLE, SKETCHES, ORDER, THRESHOLD = 5, 24, 4, 0.8
-#: Offsets to further sketches that split a bucket.
-SPLITS = (1, 5, 11)
+#: Partners of a member that the first round over unsettled buckets verifies, and by what that grows.
+PARTNERS, GROWTH = 4, 16
+#: Most counts in a profile; members of a bucket that are weighed at once (larger buckets go in pairs of parts).
+PROFILE, PART = 1 << 12, 1 << 11
 BLOCK = 1 << 15
 _M2, _M3 = np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -149,18 +153,110 @@ def sketched(docs: DataFrame) -> DataFrame:
     return map_rows(docs.select("doc_id", F.col("text").cast("string")), make, "doc_id long, digest binary, sketches array<long>")
 
 
-def candidates(buckets: DataFrame, first: bool) -> DataFrame:
-    """Distinct pairs (a < b) of members of a bucket (key, doc, root): each with the least one, and for ``not first``
-    with the largest and the least by hash too, of buckets that still have several roots and pairs that differ in theirs.
+def profile(h: np.ndarray) -> bytes:
+    """Counts of shingles by bits of their hashes, up to 255 each; as many counts as shingles, in powers of two."""
+    size = min(PROFILE, 1 << (len(h) - 1).bit_length())
+    return np.minimum(np.bincount((mix(h) & np.uint64(size - 1)).astype(np.int64), minlength=size), 255).astype(np.uint8).tobytes()
 
-    The order is the same in all buckets, so a document meets few others however many buckets it is in.
+
+def possible(roots: np.ndarray, sizes: np.ndarray, parts: np.ndarray, profiles: list[bytes], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs of different roots (and different parts, where there are two) that may be similar, with the bound of their similarity.
+
+    Counts that differ, cut at 255 or added up in pairs or not, stand for at least as many shingles that are not common.
     """
-    ends = [F.min(F.struct("doc", "root"))]
-    if not first:
-        ends += [F.max(F.struct("doc", "root")), F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "root")).dropFields("h")]
-    heads = buckets.groupBy("key").agg(F.array_distinct(F.array(*ends)).alias("heads"), (F.min("root") != F.max("root")).alias("several")).filter("several").select("key", "heads")
-    met = buckets.join(heads, "key").select("doc", "root", F.explode("heads").alias("head")).filter("doc <> head.doc and root <> head.root")
-    return met.select(F.least("doc", "head.doc").alias("a"), F.greatest("doc", "head.doc").alias("b")).distinct()
+    width = np.array([len(p) for p in profiles])
+    across = parts.min() != parts.max()
+    none = np.zeros(0, np.int64)
+    left, right, bounds = [none], [none], [np.zeros(0)]
+    for w in np.unique(width):
+        same, twice = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+        at = np.concatenate([same, twice])
+        counts = np.frombuffer(b"".join(profiles[k] for k in same), np.uint8).reshape(-1, w)
+        if len(twice):
+            wide = np.frombuffer(b"".join(profiles[k] for k in twice), np.uint8).reshape(-1, 2, w).sum(1, dtype=np.uint16)
+            counts = np.concatenate([counts, np.minimum(wide, 255).astype(np.uint8)])
+        for k in range(len(same)):
+            i, others = same[k], at[k + 1 :]
+            fits = (roots[others] != roots[i]) & (np.minimum(sizes[others], sizes[i]) >= threshold * np.maximum(sizes[others], sizes[i]))
+            if across:
+                fits &= parts[others] != parts[i]
+            j = np.flatnonzero(fits) + k + 1
+            if len(j) == 0:
+                continue
+            apart = (np.maximum(counts[j], counts[k]) - np.minimum(counts[j], counts[k])).sum(1, dtype=np.int64)
+            both = sizes[at[j]] + sizes[i]
+            most = (both - apart) // 2
+            bound = most / (both - most)
+            may = bound >= threshold
+            left.append(np.full(int(may.sum()), i))
+            right.append(at[j[may]])
+            bounds.append(bound[may])
+    return np.concatenate(left), np.concatenate(right), np.concatenate(bounds)
+
+
+def likeliest(i: np.ndarray, j: np.ndarray, bounds: np.ndarray, partners: int) -> np.ndarray:
+    """Which pairs are among the ``partners`` of highest bound of either member."""
+    pair = np.tile(np.arange(len(i)), 2)
+    member = np.concatenate([i, j])
+    order = np.lexsort((pair, -bounds[pair], member))
+    s = member[order]
+    place = np.arange(len(s))
+    start = np.maximum.accumulate(np.where(np.concatenate([[True], s[1:] != s[:-1]]), place, 0)) if len(s) else place
+    out = np.zeros(len(i), bool)
+    out[pair[order[place - start < partners]]] = True
+    return out
+
+
+def profiled(texts: DataFrame) -> DataFrame:
+    """doc, number of shingles, profile."""
+
+    def make():
+        shingles = shared()
+
+        def one(doc_id, text):
+            h = shingles(text)
+            return doc_id, len(h), profile(h)
+
+        return one
+
+    return map_rows(texts.select("doc_id", "text"), make, "doc long, size long, profile binary")
+
+
+def candidates(buckets: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of members of a bucket (key, doc): each with the least one."""
+    heads = buckets.groupBy("key").agg(F.min("doc").alias("head"), F.count("*").alias("members")).filter("members > 1").select("key", "head")
+    return buckets.join(heads, "key").filter("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
+
+
+def unsettled(buckets: DataFrame) -> DataFrame:
+    """Members (key, doc, root, head, parts) of buckets that have several roots and pairs that have not met by ``candidates``."""
+    mixed = buckets.groupBy("key").agg(F.count("*").alias("members"), (F.min("root") != F.max("root")).alias("several"), F.min("doc").alias("head")).filter("several and members > 2")
+    return buckets.join(mixed.select("key", "head", F.ceil(F.col("members") / PART).cast("int").alias("parts")), "key").filter("doc <> head")
+
+
+def weighed(members: DataFrame, profiles: DataFrame, partners: int, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs (a < b) of ``unsettled`` members that may be similar, ``partners`` for each; a row without ids where a bucket holds some back."""
+    part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
+    dealt = members.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "doc", "root", "part")
+    groups = dealt.join(profiles.hint("merge"), "doc").groupBy("key", "low", "high").agg(F.collect_list(F.struct("doc", "root", "size", "part", "profile")).alias("of"), F.min("root").alias("least"), F.max("root").alias("most"))
+
+    def make():
+        def several(groups):
+            out = set()
+            for of in groups:
+                docs, roots, sizes, parts = (np.array([m[c] for m in of], np.int64) for c in ("doc", "root", "size", "part"))
+                i, j, bounds = possible(roots, sizes, parts, [m["profile"] for m in of], threshold)
+                taken = likeliest(i, j, bounds, partners)
+                a, b = docs[i[taken]], docs[j[taken]]
+                out.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
+                if not taken.all():
+                    out.add((None, None))
+            return list(out)
+
+        return several
+
+    return map_slices(groups.filter("least <> most").select("of"), make, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -206,7 +302,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     seen = staged(sketched(docs), "sketches")
     copies = staged(seen.groupBy("digest").agg(F.min(F.struct("doc_id", "sketches")).alias("x")).select("digest", "x.*"), "copies")
     sketch = copies.select(F.col("doc_id").alias("doc"), F.posexplode("sketches").alias("n", "sketch"))
-    first = staged(candidates(sketch.select("doc", F.col("doc").alias("root"), F.xxhash64("n", "sketch").alias("key")), first=True), "pairs")
+    first = staged(candidates(sketch.select("doc", F.xxhash64("n", "sketch").alias("key"))), "pairs")
     # Every document that shares a sketch is in a first pair, so what follows needs no others.
     met = first.select(F.col("a").alias("doc_id")).union(first.select("b")).distinct()
     # Merged, not broadcast where few ids would allow it: one plan at every size.
@@ -214,16 +310,23 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = staged(verified(first, texts, threshold), "links")
     roots = staged(components(links), "components")
 
-    now = copies.join(met, "doc_id", "left_semi").join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(F.col("doc_id").alias("doc"), F.coalesce("root", "doc_id").alias("root"), "sketches")
-    now = staged(now, "rooted")
-    buckets = now.select("doc", "root", F.posexplode("sketches").alias("n", "sketch")).select("doc", "root", "n", F.xxhash64("n", "sketch").alias("key"))
-    mixed = buckets.groupBy("key").agg(F.count("*").alias("members"), (F.min("root") != F.max("root")).alias("mixed")).filter("mixed and members > 2").select("key")
-    unsettled = staged(buckets.join(mixed, "key", "left_semi"), "unsettled")
-    finer = unsettled.join(now.select("doc", "sketches"), "doc").select("doc", "root", F.explode(F.array(*[F.xxhash64("key", F.lit(k), F.element_at("sketches", ((F.col("n") + k) % SKETCHES) + 1)) for k in SPLITS])).alias("key"))
-    second = staged(candidates(unsettled.select("doc", "root", "key").unionByName(finer), first=False).join(first, ["a", "b"], "left_anti"), "pairs")
-    more = staged(verified(second, texts, threshold), "links")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    buckets = copies.join(met, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), F.posexplode("sketches").alias("n", "sketch")).select("doc", F.xxhash64("n", "sketch").alias("key"))
+    rooted = lambda: buckets.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("key", "doc", F.coalesce("root", "doc").alias("root"))
+    left = staged(unsettled(rooted()), "unsettled")
+    profiles, partners = None, PARTNERS
+    while not left.isEmpty():
+        if profiles is None:  # later rounds have members of the first only
+            profiles = staged(profiled(texts.join(left.select(F.col("doc").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")), "profiles")
+        round_ = staged(weighed(left, profiles, partners, threshold), "weighed")
+        pairs = staged(round_.filter("a is not null").join(first, ["a", "b"], "left_anti"), "pairs")
+        more = staged(verified(pairs, texts, threshold), "links")
+        first = first.unionByName(pairs)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = staged(components(links), "components")
+        if round_.filter("a is null").isEmpty():
+            break
+        left, partners = staged(unsettled(rooted()), "unsettled"), partners * GROWTH
     class_of = copies.select("digest", F.col("doc_id").alias("copy_of")).join(roots.select(F.col("node").alias("copy_of"), F.col("root").alias("class_id")), "copy_of", "left")
     return seen.select("doc_id", "digest").join(class_of, "digest").select("doc_id", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"))
 

@@ -89,3 +89,43 @@ def test_sketches_order_and_blocks(monkeypatch):
     monkeypatch.setattr(N, "BLOCK", 64)
     assert (N.sketches(h) == whole).all()
     assert (N.sketches(h[::-1].copy()) != whole).all()
+
+
+def test_star_around_a_middle_id(spark, monkeypatch):
+    """Variants that resemble their original and not each other are one class, whatever the original's id; also with parts of buckets."""
+    rng = random.Random(4)
+    base = words(rng, 400)
+    docs = [(500, " ".join(base))]
+    for d in [*range(500), *range(501, 1001)]:
+        w = list(base)
+        for k in rng.sample(range(400), 7):
+            w[k] = words(rng, 1)[0]
+        docs.append((d, " ".join(w)))
+    shingles = {d: N.Shingler()(t) for d, t in docs}
+    want = {d: 0 if N.similarity(shingles[500], shingles[d]) >= N.THRESHOLD else None for d in shingles}
+    assert None not in want.values() and N.similarity(shingles[0], shingles[1000]) < N.THRESHOLD
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.class_id for r in N.classes(df).collect()} == want
+    monkeypatch.setattr(N, "PART", 300)
+    assert {r.doc_id: r.class_id for r in N.classes(df).collect()} == want
+
+
+def test_bound_of_similarity():
+    """No pair over the threshold is ruled out, also where counts are cut and lengths differ."""
+    rng = random.Random(7)
+    texts = []
+    for n in (1, 9, 70, 250, 300, 6000):
+        base = words(rng, n)
+        for edits in (0, 1, n // 90, n // 30, n // 10):
+            w = list(base)
+            for _ in range(edits):
+                w[rng.randrange(len(w))] = words(rng, 1)[0]
+            texts.append(w[: max(1, len(w) - rng.randrange(n // 12 + 1))])
+    h = [N.Shingler()(" ".join(w)) for w in texts]
+    many = np.arange(1, 3001, dtype=np.uint64) << np.uint64(20)
+    h += [many, many[:2900]]
+    i, j, bounds = N.possible(np.arange(len(h)), np.array([len(x) for x in h]), np.zeros(len(h), int), [N.profile(x) for x in h], N.THRESHOLD)
+    got = {(min(a, b), max(a, b)): s for a, b, s in zip(i.tolist(), j.tolist(), bounds, strict=True)}
+    similar = {(a, b): s for a in range(len(h)) for b in range(a + 1, len(h)) if (s := N.similarity(h[a], h[b])) >= N.THRESHOLD}
+    assert len(similar) > 20 and all(got[p] >= s for p, s in similar.items())
+    assert len(got) < len(h) * 4
