@@ -35,7 +35,8 @@ from quire.llm.common import table
 LEAST, BESIDE = 16, 32
 SAMPLE, SAMPLE_CHARS, FINDINGS, TREES, DEPTH, LEAF = 600, 200_000, 3000, 24, 10, 4
 THRESHOLD = 0.5
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.-]{%d,}={0,2}" % LEAST)
+#: Signs of equality behind belong to it as padding, unless a value follows them: then they assign.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{%d,}(?:={1,2}(?![\"'`]?[A-Za-z0-9+/_=]))?" % LEAST)
 KEYWORDS = re.compile(r"(?i)(token|secret|api.?key|access.?key|private.?key|passw|pwd|auth|bearer|credential)")
 BENIGN = re.compile(r"(?i)(sha\d*|md5|commit|digest|checksum|uuid|hash|etag|revision|version|serial|order|invoice|isbn)")
 ASSIGNED = re.compile(r"[=:]\s*[\"'`]?$|(?i:bearer)\s+$")

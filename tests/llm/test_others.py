@@ -175,3 +175,22 @@ def test_secrets(spark):
     rows = [(1, 'the token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" here', "src/a.py"), (2, "commit 04dbebab91ab85687d33eeaaf9ac699e1188f962 is fine", "docs/x"), (3, None, None), (4, "thththetionthreshtion internationalization", None), (4, "", None)]
     got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, path string"), (dictionary, pairs, forest)).collect()
     assert [(r.doc_id, r.spans) for r in got] == [(1, "13:53"), (2, ""), (3, ""), (4, ""), (4, "")]
+
+
+def test_secrets_in_whole_sentences(spark):
+    """Made secrets are found by scanning the text they are in, also directly after an equals sign."""
+    texts = pd.read_parquet("/root/testdata/sf0.01/documents.parquet").text.head(300).tolist()
+    model = secrets.fit(texts)
+    made = [f for f in secrets.labelled_findings([s for t in texts for s in t.split(".") if len(s) > 20], 800, seed=99) if f[4]]
+    assert sum(f[1].endswith("=") for f in made) > 10
+    rows = [(k, before + value + after, path) for k, (value, before, after, path, _) in enumerate(made)]
+    secret = "wJalrXUtnFEMIK7MDENGbPxRfiCYzq81KLmV02Qa"
+    lines = [f"export AWS_SECRET_ACCESS_KEY={secret}", f'AWS_SECRET_ACCESS_KEY="{secret}"', "https://example.org/a?token=ghp_abcdefghijklmnopqrstuvwxyz0123456789"]
+    rows += [(1000 + k, line, ".env") for k, line in enumerate(lines)]
+    got = {r.doc_id: r.spans.split(",") for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, path string"), model).collect()}
+    found = [f"{len(before)}:{len(before) + len(value)}" in got[k] for k, (value, before, _, _, _) in enumerate(made)]
+    assert np.mean(found) > 0.95
+    assert np.mean([x for x, f in zip(found, made, strict=True) if f[1].endswith("=")]) > 0.95
+    assert f"29:{29 + len(secret)}" in got[1000] and f"23:{23 + len(secret)}" in got[1001] and "28:68" in got[1002]
+    assert [m.group() for m in secrets.CANDIDATE.finditer(lines[0])] == ["AWS_SECRET_ACCESS_KEY", secret]
+    assert secrets.CANDIDATE.search('key = "YWJjZGVmZ2hpamtsbW5vcA==", x').group() == "YWJjZGVmZ2hpamtsbW5vcA=="
