@@ -9,8 +9,10 @@ whether the path it comes from is one of tests, examples or lock files.
 The forest (TREES trees, at most DEPTH deep) is trained from labelled findings:
 secrets of many formats and look-alikes (digests, numbers, identifiers, long
 words, placeholders) made by a seeded generator and set into sentences of a
-sample of at most SAMPLE documents of at most SAMPLE_CHARS each, which also gives the dictionary and the
-character pairs.  Every document is scanned whole.
+sample of at most SAMPLE documents of at most SAMPLE_CHARS each.  The dictionary
+(words of three documents at least; where those are more than DICTIONARY words or
+WORD_CHARS characters, the ones of most documents that fit) and the character
+pairs are counted over all documents.  Every document is scanned whole.
 
 Null texts have no candidates.  Rows keep their number; an empty table gives no
 rows, and a forest trained without any sample still separates the formats.
@@ -30,11 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import table
+from quire.llm.common import staged, table
 
 LEAST, BESIDE = 16, 32
 SAMPLE, SAMPLE_CHARS, FINDINGS, TREES, DEPTH, LEAF = 600, 200_000, 3000, 24, 10, 4
 THRESHOLD = 0.5
+DICTIONARY, WORD_CHARS, MANY = 1 << 18, 1 << 22, 3
+#: A task adds up its counts until it has so many words or has read so many characters.
+COUNTED_WORDS, COUNTED_CHARS = 1 << 16, 1 << 25
 #: Signs of equality behind belong to it as padding, unless a value follows them: then they assign.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{%d,}(?:={1,2}(?![\"'`]?[A-Za-z0-9+/_=]))?" % LEAST)
 KEYWORDS = re.compile(r"(?i)(token|secret|api.?key|access.?key|private.?key|passw|pwd|auth|bearer|credential)")
@@ -45,12 +50,32 @@ HEX = set("0123456789abcdefABCDEF")
 N_FEATURES = 18
 
 
-def pair_table(words: list[str]) -> np.ndarray:
+class Counts:
+    """In how many texts each word is, and pairs of letters beside each other."""
+
+    def __init__(self):
+        self.words: Counter[str] = Counter()
+        self.pairs = np.zeros(128 * 128, np.int64)
+        self.chars = 0
+
+    def add(self, text: str) -> None:
+        self.words.update(set(re.findall(r"[A-Za-z]{4,}", text.lower())))
+        for at in range(0, len(text), 1 << 20):
+            c = np.frombuffer(text[at : at + (1 << 20) + 1].encode("ascii", "replace"), np.uint8).astype(np.int64)
+            letter = ((c | 32) >= 97) & ((c | 32) <= 122)
+            self.pairs += np.bincount((c[:-1] * 128 + c[1:])[letter[:-1] & letter[1:]], minlength=128 * 128)
+        self.chars += len(text)
+
+    def rows(self) -> Iterator[tuple[str, int]]:
+        """Words, and pairs as words of two letters; words have four at least."""
+        yield from self.words.items()
+        for k in np.flatnonzero(self.pairs).tolist():
+            yield chr(k // 128) + chr(k % 128), int(self.pairs[k])
+
+
+def pair_table(pairs: np.ndarray) -> np.ndarray:
     """Log-probability of the second character given the first, over 128 codes."""
-    counts = np.full((128, 128), 0.05)
-    for w in words:
-        c = np.frombuffer(w.encode("ascii", "ignore"), np.uint8)
-        np.add.at(counts, (c[:-1], c[1:]), 1)
+    counts = pairs.reshape(128, 128) + 0.05
     return np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32)
 
 
@@ -184,13 +209,9 @@ def labelled_findings(sentences: list[str], n: int = FINDINGS, seed: int = 5) ->
     return [f for f in out if CANDIDATE.fullmatch(f[0])]
 
 
-def fit(texts: list[str]) -> tuple[list[str], np.ndarray, Forest]:
-    """Dictionary, character pairs and forest from sample texts."""
-    seen: Counter[str] = Counter()
-    for t in texts:
-        seen.update(set(re.findall(r"[A-Za-z]{4,}", t.lower())))
-    dictionary = sorted(w for w, k in seen.items() if k >= 3)
-    pairs = pair_table([w for w in re.findall(r"[A-Za-z]+", " ".join(texts)[: 1 << 22])])
+def model(dictionary: list[str], counts: np.ndarray, texts: list[str]) -> tuple[list[str], np.ndarray, Forest]:
+    """Dictionary, character pairs and forest; findings are set into ``texts``."""
+    pairs = pair_table(counts)
     sentences = [s.strip() for t in texts for s in re.split(r"[.\n]", t[:2000]) if len(s) > 20]
     findings = labelled_findings(sentences)
     featurer = Featurer(dictionary, pairs)
@@ -198,6 +219,48 @@ def fit(texts: list[str]) -> tuple[list[str], np.ndarray, Forest]:
     return dictionary, pairs, Forest().fit(x, np.array([f[4] for f in findings], float))
 
 
+def fit(texts: list[str]) -> tuple[list[str], np.ndarray, Forest]:
+    """``model`` of texts at hand."""
+    counts = Counts()
+    for t in texts:
+        counts.add(t)
+    return model(sorted(w for w, k in counts.words.items() if k >= MANY), counts.pairs, texts)
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """word, n over all texts: ``Counts.rows`` added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out():
+            words, n = zip(*counts.rows(), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64())], ["word", "n"])
+
+        counts = Counts()
+        for batch in batches:
+            for text in batch.column(0):
+                counts.add(text.as_py() or "")
+                if len(counts.words) > COUNTED_WORDS or counts.chars > COUNTED_CHARS and counts.pairs.any():
+                    yield out()
+                    counts = Counts()
+        if counts.pairs.any():
+            yield out()
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def dictionary_of(words: DataFrame) -> list[str]:
+    """The words of MANY texts at least, or those above the least count at which DICTIONARY and WORD_CHARS hold."""
+    grade = F.floor(F.log2("n") * 64).cast("long")
+    least, total, chars = None, 0, 0
+    graded = words.filter((F.length("word") >= 4) & (F.col("n") >= MANY)).withColumn("grade", grade)
+    for r in graded.groupBy("grade").agg(F.count("*").alias("k"), F.sum(F.length("word")).alias("chars")).orderBy(F.desc("grade")).collect():
+        total, chars = total + r.k, chars + r.chars
+        if total > DICTIONARY or chars > WORD_CHARS:
+            break
+        least = r.grade
+    return [] if least is None else sorted(r.word for r in graded.filter(F.col("grade") >= least).select("word").collect())
+
+
 def scan(docs: DataFrame, model: tuple[list[str], np.ndarray, Forest], threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, path): counts, highest score, findings as start:end (code points)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -228,8 +291,12 @@ def scan(docs: DataFrame, model: tuple[list[str], np.ndarray, Forest], threshold
 
 
 def trained(docs: DataFrame) -> tuple[list[str], np.ndarray, Forest]:
+    words = staged(counted(docs), "words")
+    pairs = np.zeros(128 * 128, np.int64)
+    for r in words.filter(F.length("word") == 2).collect():
+        pairs[ord(r.word[0]) * 128 + ord(r.word[1])] = r.n
     rows = docs.select("doc_id", "text").filter(F.length("text") <= SAMPLE_CHARS).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
-    return fit([r.text for r in rows])
+    return model(dictionary_of(words), pairs, [r.text for r in rows])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

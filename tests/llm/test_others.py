@@ -194,3 +194,20 @@ def test_secrets_in_whole_sentences(spark):
     assert f"29:{29 + len(secret)}" in got[1000] and f"23:{23 + len(secret)}" in got[1001] and "28:68" in got[1002]
     assert [m.group() for m in secrets.CANDIDATE.finditer(lines[0])] == ["AWS_SECRET_ACCESS_KEY", secret]
     assert secrets.CANDIDATE.search('key = "YWJjZGVmZ2hpamtsbW5vcA==", x').group() == "YWJjZGVmZ2hpamtsbW5vcA=="
+
+
+def test_secrets_count_all_documents(spark, monkeypatch):
+    """Words and pairs of rows outside the sample, and behind any length, count; the dictionary keeps its bound."""
+    monkeypatch.setattr(secrets, "SAMPLE", 5)
+    texts = [f"plain words of an ordinary document {k} are here and make a sentence" for k in range(60)] + ["x" * 250_000 + " qzqzqzqz"] * 3 + [None, ""]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    dictionary, pairs, _ = secrets.trained(docs)
+    want, local, _ = secrets.fit([t or "" for t in texts])
+    assert "qzqzqzqz" in dictionary and dictionary == want
+    assert (pairs == local).all()
+    monkeypatch.setattr(secrets, "COUNTED_WORDS", 3)
+    few = secrets.counted(docs)
+    assert secrets.dictionary_of(few) == want
+    monkeypatch.setattr(secrets, "DICTIONARY", 9)
+    assert len(secrets.dictionary_of(few)) <= 9 and "ordinary" in secrets.dictionary_of(few)
+    assert secrets.trained(docs.limit(0))[0] == []
