@@ -8,7 +8,10 @@ goes on with a shorter one.  Each place is left at most once, so a word takes
 linear time, and the result is that of the merge procedure.
 
 Nulls are empty texts and give no ids.  A text that holds a special token's
-string gives that token's id there, as the library does by default.
+string gives that token's id there, as the library does by default.  Repeated
+rows and rows without an id are encoded like any other; an empty table gives no
+rows; other columns, whatever their names, are not looked at.  Texts of any
+length are encoded whole, in blocks of BatchEncoder.BLOCK bytes cut at blanks.
 """
 
 from __future__ import annotations
@@ -232,101 +235,125 @@ class BacktrackingBPE:
 
 
 class BatchEncoder:
-    """Encodes many texts at once: runs are found, hashed and looked up in arrays; only new runs go through the encoder.
+    """Encodes many texts at once: runs are found and looked up in arrays; only new runs go through the encoder.
 
-    A run's key is a 64-bit rolling hash and a second number from its length and its first and last eight bytes.
+    The key of a run of at most SHORT bytes is the run: its bytes as two 64-bit
+    numbers, and its length.  Longer runs, which are few, are looked up by their bytes.
     """
 
-    BITS, BLOCK = 21, 1 << 19
+    BITS, BLOCK, SHORT = 21, 1 << 19, 16
+    #: Ids in the pool at which the tables begin anew.
+    POOL = 1 << 24
     SENTENCE_ENDS = np.isin(np.arange(256), list(b".!?"))
 
     def __init__(self, bpe: BacktrackingBPE):
         self.bpe = bpe
-        n = self.BLOCK + 64
-        base = 0xD6E8FEB86659FD93
-        with np.errstate(over="ignore"):
-            self.power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, base, np.uint64))])
-            self.inverse = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))])
-        self.byte = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
         self.space = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+        #: By length, which bits of eight bytes belong to a run.
+        self.bits = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
         self._fresh()
 
     def _fresh(self):
         n = 1 << self.BITS
-        self.one, self.two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-        self.where, self.count = np.zeros(n, np.int64), np.full(n, -1, np.int32)
+        self.one, self.two, self.size = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.uint8)
+        self.where, self.count = np.zeros(n, np.int32), np.full(n, -1, np.int32)
+        self.long: dict[bytes, tuple[int, int]] = {}
         self.pool, self.filled, self.known = np.zeros(1 << 20, np.uint32), 0, 0
 
-    def _find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    def _slots(self, one: np.ndarray, two: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return (mix(one + mix(two + size)) & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
+
+    def _find(self, one: np.ndarray, two: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Slots of keys, -1 for unknown ones."""
         mask = (1 << self.BITS) - 1
-        slot = (mix(one) & np.uint64(mask)).astype(np.int64)
+        slot = self._slots(one, two, size)
         out = np.full(len(one), -1, np.int64)
         left = np.arange(len(one))
         while len(left):
             used = self.count[slot] >= 0
-            same = used & (self.one[slot] == one[left]) & (self.two[slot] == two[left])
+            same = used & (self.one[slot] == one[left]) & (self.two[slot] == two[left]) & (self.size[slot] == size[left])
             out[left[same]] = slot[same]
             go = used & ~same
             left, slot = left[go], (slot[go] + 1) & mask
         return out
 
-    def _add(self, one: np.ndarray, two: np.ndarray, runs: list[bytes]):
-        """Takes in new keys, all different, with their runs' ids."""
+    def _pooled(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the pool the ids of new runs are, and how many."""
         ids = [self.bpe.chunk_ids(r.decode("utf-8", "surrogatepass")) for r in runs]
-        count = np.array([len(b) >> 2 for b in ids], np.int32)
+        count = np.array([len(b) >> 2 for b in ids], np.int64)
         made = np.frombuffer(b"".join(ids), np.uint32)
         while self.filled + len(made) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         self.pool[self.filled : self.filled + len(made)] = made
         where = self.filled + np.cumsum(count) - count
         self.filled += len(made)
+        return where, count
+
+    def _add(self, one: np.ndarray, two: np.ndarray, size: np.ndarray, runs: list[bytes]):
+        """Takes in new keys, all different, with their runs' ids."""
+        where, count = self._pooled(runs)
         self.known += len(runs)
         mask = (1 << self.BITS) - 1
-        slot = (mix(one) & np.uint64(mask)).astype(np.int64)
+        slot = self._slots(one, two, size)
         left = np.arange(len(one))
         while len(left):
             free = np.flatnonzero(self.count[slot] < 0)
             got = free[np.unique(slot[free], return_index=True)[1]]
             s, k = slot[got], left[got]
-            self.one[s], self.two[s], self.where[s], self.count[s] = one[k], two[k], where[k], count[k]
+            self.one[s], self.two[s], self.size[s], self.where[s], self.count[s] = one[k], two[k], size[k], where[k], count[k]
             rest = np.ones(len(left), bool)
             rest[got] = False
             left, slot = left[rest], (slot[rest] + 1) & mask
 
+    def _short(self, data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Slots of runs of at most SHORT bytes, new ones taken in."""
+        eight = np.lib.stride_tricks.as_strided(np.frombuffer(data + b"\0" * 2 * self.SHORT, np.uint8), (len(data) + 9, 8), (1, 1))
+        one = np.ascontiguousarray(eight[start]).view("<u8").ravel() & self.bits[np.minimum(size, 8)]
+        two = np.zeros(len(start), np.uint64)
+        more = np.flatnonzero(size > 8)
+        two[more] = np.ascontiguousarray(eight[start[more] + 8]).view("<u8").ravel() & self.bits[size[more] - 8]
+        size = size.astype(np.uint64)
+        slot = self._find(one, two, size)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            order = new[np.lexsort((size[new], two[new], one[new]))]
+            differs = np.zeros(len(order) - 1, bool)
+            for key in (one, two, size):
+                differs |= key[order][1:] != key[order][:-1]
+            first = order[np.concatenate([[True], differs])]
+            self._add(one[first], two[first], size[first], [data[s : s + int(n)] for s, n in zip(start[first].tolist(), size[first].tolist(), strict=True)])
+            slot[new] = self._find(one[new], two[new], size[new])
+        return slot
+
+    def _long(self, run: bytes) -> tuple[int, int]:
+        found = self.long.get(run)
+        if found is None:
+            where, count = self._pooled([run])
+            found = int(where[0]), int(count[0])
+            if len(run) <= KEPT_LENGTH:
+                self.long[run] = found
+        return found
+
     def _block(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Starts of the runs of ``data``, how many ids each has, the ids, and which runs end a sentence."""
+        if self.known > 1 << self.BITS - 1 or self.filled > self.POOL:
+            self._fresh()
         a = np.frombuffer(data, np.uint8)
         gap = np.concatenate([[True], self.space[a], [True]])
         edge = np.flatnonzero(gap[1:] != gap[:-1])
         start, end = edge[::2], edge[1::2]
         if not len(start):
             return start, np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, bool)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.byte[a] * self.inverse[: len(a)])])
-        one = (sums[end] - sums[start]) * self.power[start]
-        eight = np.lib.stride_tricks.as_strided(np.frombuffer(b"\0" * 8 + data + b"\0" * 8, np.uint8), (len(a) + 9, 8), (1, 1))
-        size = (end - start).astype(np.uint64)
-        cut = np.minimum(size, 8) * np.uint64(8)
-        head = np.ascontiguousarray(eight[start + 8]).view("<u8").ravel()
-        tail = np.ascontiguousarray(eight[end]).view("<u8").ravel()
-        short = cut < 64
-        head = np.where(short, head & ((np.uint64(1) << np.where(short, cut, 0).astype(np.uint64)) - np.uint64(1)), head)
-        tail = np.where(short, np.uint64(0), tail)
-        two = head + mix(tail + size)
-        slot = self._find(one, two)
-        new = np.flatnonzero(slot < 0)
-        if len(new):
-            if self.known + len(new) > 0.7 * (1 << self.BITS):
-                self._fresh()
-                slot[:] = -1
-                new = np.arange(len(slot))
-            order = new[np.lexsort((two[new], one[new]))]
-            first = order[np.concatenate([[True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])])]
-            self._add(one[first], two[first], [data[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(), strict=True)])
-            slot[new] = self._find(one[new], two[new])
-        count = self.count[slot].astype(np.int64)
+        size = end - start
+        where, count = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        wide = size > self.SHORT
+        short = np.flatnonzero(~wide)
+        slot = self._short(data, start[short], size[short])
+        where[short], count[short] = self.where[slot], self.count[slot]
+        for k in np.flatnonzero(wide).tolist():
+            where[k], count[k] = self._long(data[start[k] : end[k]])
         stop = np.cumsum(count)
-        ids = self.pool[np.repeat(self.where[slot] - (stop - count), count) + np.arange(stop[-1])]
+        ids = self.pool[np.repeat(where - (stop - count), count) + np.arange(stop[-1])]
         return start, count, ids, self.SENTENCE_ENDS[a[end - 1]]
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 
@@ -45,6 +46,45 @@ def test_table_starts_anew(library):
             assert encoder.encode([w])[0][0].tolist() == library.encode(w, add_special_tokens=False).ids
 
 
+def thue_morse(n, letters="ab"):
+    return "".join(letters[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_runs_of_equal_hashes_differ(spark, library):
+    """Words that polynomial hashes modulo a power of two cannot tell apart, in one batch, over tasks, after each other."""
+    texts = [f"prefixab{thue_morse(n, letters)}suffixab" for n in (256, 1024, 2048, 4096) for letters in ("ab", "ba")]
+    texts += ["a", "a\0", "a\0\0", "abcdefgh", "abcdefgh\0", "abcdefghijklmnop", "abcdefghijklmnop\0", "abcdefghijklmnopq", "abcdefghijklmnopr"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = bpe.BatchEncoder(bpe.BacktrackingBPE())
+    assert [ids.tolist() for ids, _ in encoder.encode(texts)] == want
+    assert [encoder.encode([t])[0][0].tolist() for t in texts] == want
+    rows = bpe.encode_decode(spark.createDataFrame(list(enumerate(texts * 3)), "doc_id long, text string").repartition(5)).collect()
+    assert all(r.ids == want[r.doc_id % len(texts)] for r in rows) and len(rows) == 3 * len(texts)
+
+
+def test_bpe_query(spark, library, documents):
+    docs = [(1, "Hello, world!"), (2, None), (None, "no id"), (3, ""), (3, "Hello, world!"), (3, "Hello, world!"), (4, "long words and " * 120_000)]
+    got = bpe.query(spark, documents(docs))
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.schema["n_tokens"].dataType.simpleString() == "bigint"
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = []
+    for d, t in docs:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((d, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_packing_query(spark, library, documents):
+    rng = random.Random(6)
+    docs = [(k, " ".join("word%d." % rng.randint(0, 9999) for _ in range(rng.choice([0, 3, 40, 900])))) for k in range(60)]
+    docs += [(100, None), (101, "one long text. " * 70_000)]
+    got = packing.query(spark, documents(docs))
+    assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    check_pieces(got.collect(), docs, library)
+    repeated = packing.pack(spark.createDataFrame([(7, "some words. and more"), (7, "some words. and more"), (None, "x")], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.doc_tokens) for r in repeated if r.start == 0) == [(0, 2), (7, 6), (7, 6)]
+
+
 def test_encode_decode(spark, library):
     rows = [(1, "Hello, world!", "x"), (2, None, "x"), (2, None, "x"), (3, "", "x")]
     got = bpe.encode_decode(spark.createDataFrame(rows, "doc_id long, text string, ids string")).collect()
