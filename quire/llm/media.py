@@ -11,8 +11,14 @@ reported as embedded.
 Payloads are stored as 8-bit samples in one of three containers (chosen by the
 payload's digest, so equal texts have equal values): WAVE, bitmap, PNG.
 
+Walks over blocks and chunks keep their ends for each value, so many hits in a
+long value take a time near its length.
+
 Null texts are empty.  Values with no known signature have the type
 ``application/octet-stream``; truncated or damaged objects are not accepted.
+Repeated rows and rows without an id give a row each, equal texts equal values;
+objects at one place come with the longest first; empty tables give no rows;
+other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -43,10 +49,58 @@ class Found:
 
 
 class Value:
-    """Bytes with the places of closing marks, found once however many objects ask for them."""
+    """Bytes with the places of closing marks and the ends of walks, found once however many objects ask for them."""
 
     def __init__(self, data: bytes):
         self.data, self.view, self._places = data, memoryview(data), {}
+        self._ends: dict[str, dict[int, int]] = {}
+        self._jumps: dict[tuple[int, int], tuple[int, int] | None] = {}
+
+    def end(self, walk: str, at: int, step: Callable[[int], tuple[int, bool]]) -> int:
+        """Where the walk from ``at`` ends (-1: nowhere).  ``step`` gives the next place and whether it is the end.
+
+        All places of a walk keep its end, so walks that meet are gone once.
+        """
+        ends, way = self._ends.setdefault(walk, {}), []
+        while at not in ends:
+            way.append(at)
+            at, last = step(at)
+            if last:
+                ends[way[-1]] = at
+                at = way[-1]
+        found = ends[at]
+        for p in way:
+            ends[p] = found
+        return found
+
+    def _jump(self, at: int, level: int, step: Callable[[int], tuple[int, int] | None]) -> tuple[int, int] | None:
+        """Sixteen to the power of ``level`` steps at once: (place, marks seen)."""
+        if (at, level) not in self._jumps:
+            made: tuple[int, int] | None = (at, 0)
+            if level == 0:
+                made = step(at)
+            for _ in range(16 if level else 0):
+                more = self._jump(made[0], level - 1, step)
+                made = more and (more[0], made[1] | more[1])
+                if made is None:
+                    break
+            self._jumps[at, level] = made
+        return self._jumps[at, level]
+
+    def marks(self, at: int, end: int, step: Callable[[int], tuple[int, int] | None]) -> int | None:
+        """Marks of the steps from ``at`` to exactly ``end``; None if they do not meet it.  Few jumps do for many steps."""
+        seen, level, taken = 0, 0, 0
+        while at < end:
+            made = self._jump(at, level, step)
+            if made and made[0] <= end:
+                at, seen, taken = made[0], seen | made[1], taken + 1
+                if taken == 16:
+                    level, taken = level + 1, 0
+            elif level:
+                level, taken = level - 1, 0
+            else:
+                return None
+        return seen if at == end else None
 
     def places(self, mark: bytes) -> list[int]:
         if mark not in self._places:
@@ -67,14 +121,16 @@ def check_wav(v: Value, at: int) -> int:
     size = 8 + struct.unpack_from("<I", b, at + 4)[0]
     if at + size > len(b):
         return 0
-    place, seen = at + 12, set()
-    while place + 8 <= at + size:
-        name, n = bytes(b[place : place + 4]), struct.unpack_from("<I", b, place + 4)[0]
-        if place + 8 + n > at + size or name == b"fmt " and n < 16:
-            return 0
-        seen.add(name)
-        place += 8 + n + (n & 1)
-    return size if place == at + size and {b"fmt ", b"data"} <= seen else 0
+
+    def step(p: int) -> tuple[int, int] | None:
+        """The next chunk, and 1 for a format, 2 for data, 4 for a format that is too short."""
+        if p + 8 > len(b):
+            return None
+        name, n = bytes(b[p : p + 4]), struct.unpack_from("<I", b, p + 4)[0]
+        mark = (4 if n < 16 else 1) if name == b"fmt " else 2 if name == b"data" else 0
+        return (p + 8 + n + (n & 1), mark) if p + 8 + n <= len(b) else None
+
+    return size if v.marks(at + 12, at + size, step) == 3 else 0
 
 
 def check_bmp(v: Value, at: int) -> int:
@@ -88,16 +144,21 @@ def check_bmp(v: Value, at: int) -> int:
 
 
 def check_png(v: Value, at: int) -> int:
+    """To the end chunk; each chunk's checksum is computed once."""
     b = v.view
-    place, first = at + 8, True
-    while place + 12 <= len(b):
-        n, name = struct.unpack_from(">I4s", b, place)
-        if place + 12 + n > len(b) or first != (name == b"IHDR") or zlib.crc32(b[place + 4 : place + 8 + n]) != struct.unpack_from(">I", b, place + 8 + n)[0]:
-            return 0
-        place, first = place + 12 + n, False
-        if name == b"IEND":
-            return place - at
-    return 0
+    if len(b) < at + 33 or bytes(b[at + 8 : at + 16]) != b"\0\0\0\rIHDR" or zlib.crc32(b[at + 12 : at + 29]) != struct.unpack_from(">I", b, at + 29)[0]:
+        return 0
+
+    def step(p: int) -> tuple[int, bool]:
+        if p + 12 > len(b):
+            return -1, True
+        n, name = struct.unpack_from(">I4s", b, p)
+        if p + 12 + n > len(b) or name == b"IHDR" or zlib.crc32(b[p + 4 : p + 8 + n]) != struct.unpack_from(">I", b, p + 8 + n)[0]:
+            return -1, True
+        return p + 12 + n, name == b"IEND"
+
+    end = v.end("png", at + 33, step)
+    return end - at if end >= 0 else 0
 
 
 def check_gif(v: Value, at: int) -> int:
@@ -105,42 +166,44 @@ def check_gif(v: Value, at: int) -> int:
     b = v.view
     if len(b) - at < 14:
         return 0
-    flags, place = b[at + 10], at + 13
-    place += 3 << ((flags & 7) + 1) if flags & 0x80 else 0
 
-    def blocks(p: int) -> int:
-        while p < len(b) and b[p]:
-            p += b[p] + 1
-        return p + 1
+    def colours(flags: int) -> int:
+        return 3 << ((flags & 7) + 1) if flags & 0x80 else 0
 
-    while place < len(b):
-        if b[place] == 0x3B:
-            return place + 1 - at
-        if b[place] == 0x21:
-            place = blocks(place + 2)
-        elif b[place] == 0x2C and place + 10 < len(b):
-            flags = b[place + 9]
-            place = blocks(place + 11 + (3 << ((flags & 7) + 1) if flags & 0x80 else 0))
-        else:
-            return 0
-    return 0
+    def part(p: int) -> tuple[int, bool]:
+        return (p + b[p] + 1, False) if p < len(b) and b[p] else (p + 1, True)
+
+    def block(p: int) -> tuple[int, bool]:
+        if p >= len(b):
+            return -1, True
+        if b[p] == 0x3B:
+            return p + 1, True
+        if b[p] == 0x21:
+            return v.end("gif parts", p + 2, part), False
+        if b[p] == 0x2C and p + 10 < len(b):
+            return v.end("gif parts", p + 11 + colours(b[p + 9]), part), False
+        return -1, True
+
+    end = v.end("gif", at + 13 + colours(b[at + 10]), block)
+    return end - at if end >= 0 else 0
 
 
 def check_jpeg(v: Value, at: int) -> int:
     b = v.view
-    place = at + 2
-    while place + 4 <= len(b) and b[place] == 0xFF:
-        mark = b[place + 1]
-        if not 0xC0 <= mark <= 0xFE or 0xD0 <= mark <= 0xD9:
-            return 0
-        n = struct.unpack_from(">H", b, place + 2)[0]
-        place += 2 + n
-        if n < 2 or place > len(b):
-            return 0
-        if mark == 0xDA:
-            end = v.after(b"\xff\xd9", place)
-            return 0 if end < 0 else end + 2 - at
-    return 0
+
+    def step(p: int) -> tuple[int, bool]:
+        if p + 4 > len(b) or b[p] != 0xFF:
+            return -1, True
+        mark, n = b[p + 1], struct.unpack_from(">H", b, p + 2)[0]
+        if not 0xC0 <= mark <= 0xFE or 0xD0 <= mark <= 0xD9 or n < 2 or p + 2 + n > len(b):
+            return -1, True
+        if mark != 0xDA:
+            return p + 2 + n, False
+        end = v.after(b"\xff\xd9", p + 2 + n)
+        return (end + 2 if end >= 0 else -1), True
+
+    end = v.end("jpeg", at + 2, step)
+    return end - at if end >= 0 else 0
 
 
 def check_pdf(v: Value, at: int) -> int:
