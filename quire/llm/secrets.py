@@ -6,16 +6,22 @@ log-likelihood of its character pairs under pairs of ordinary words, its
 coverage by dictionary words, entropy, the words and signs beside it, and
 whether the path it comes from is one of tests, examples or lock files.
 
+The path is that of the row together with the last path-like word in the
+PATH_CHARS characters before the candidate.
+
 The forest (TREES trees, at most DEPTH deep) is trained from labelled findings:
 secrets of many formats and look-alikes (digests, numbers, identifiers, long
 words, placeholders) made by a seeded generator and set into sentences of a
-sample of at most SAMPLE documents of at most SAMPLE_CHARS each.  The dictionary
+sample of at most SAMPLE documents of at most SAMPLE_CHARS characters each.  The dictionary
 (words of three documents at least; where those are more than DICTIONARY words or
 WORD_CHARS characters, the ones of most documents that fit) and the character
 pairs are counted over all documents.  Every document is scanned whole.
 
-Null texts have no candidates.  Rows keep their number; an empty table gives no
-rows, and a forest trained without any sample still separates the formats.
+Null texts have no candidates.  Rows keep their number, repeated ones and those
+without an id too; an empty table gives no rows, and a forest trained without
+any sample still separates the formats.  A score equal to the threshold counts
+as a secret.  Very long texts and candidates are read whole.  Other columns are
+not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,10 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import staged, table
+from quire.llm.common import map_slices, staged, table
 
-LEAST, BESIDE = 16, 32
-SAMPLE, SAMPLE_CHARS, FINDINGS, TREES, DEPTH, LEAF = 600, 200_000, 3000, 24, 10, 4
+LEAST, BESIDE, PATH_CHARS = 16, 32, 160
+SAMPLE, SAMPLE_CHARS, FINDINGS, TREES, DEPTH, LEAF = 600, 20_000, 3000, 24, 10, 4
 THRESHOLD = 0.5
 DICTIONARY, WORD_CHARS, MANY = 1 << 18, 1 << 22, 3
 #: A task adds up its counts until it has so many words or has read so many characters.
@@ -46,6 +52,7 @@ KEYWORDS = re.compile(r"(?i)(token|secret|api.?key|access.?key|private.?key|pass
 BENIGN = re.compile(r"(?i)(sha\d*|md5|commit|digest|checksum|uuid|hash|etag|revision|version|serial|order|invoice|isbn)")
 ASSIGNED = re.compile(r"[=:]\s*[\"'`]?$|(?i:bearer)\s+$")
 DULL_PATH = re.compile(r"(?i)(test|example|sample|doc|lock|fixture|vendor|node_modules)")
+PATH = re.compile(r"(?:[\w.-]*/)+[\w.-]+|[\w-]+\.(?:py|js|ts|java|go|rb|rs|sh|sql|ya?ml|json|toml|ini|cfg|conf|env|properties|md|rst|txt|lock)\b")
 HEX = set("0123456789abcdefABCDEF")
 N_FEATURES = 18
 
@@ -111,6 +118,14 @@ class Featurer:
         ]
 
 
+def near_path(path: str | None, before: str) -> str:
+    """The row's path and the last one that ``before`` names."""
+    last = path or ""
+    for m in PATH.finditer(before):
+        last = f"{path or ''} {m.group()}"
+    return last
+
+
 class Forest:
     """Bagged trees with random features at each split, kept as flat arrays."""
 
@@ -212,7 +227,7 @@ def labelled_findings(sentences: list[str], n: int = FINDINGS, seed: int = 5) ->
 def model(dictionary: list[str], counts: np.ndarray, texts: list[str]) -> tuple[list[str], np.ndarray, Forest]:
     """Dictionary, character pairs and forest; findings are set into ``texts``."""
     pairs = pair_table(counts)
-    sentences = [s.strip() for t in texts for s in re.split(r"[.\n]", t[:2000]) if len(s) > 20]
+    sentences = [s.strip() for t in texts for s in re.split(r"[.\n]", t) if len(s) > 20]
     findings = labelled_findings(sentences)
     featurer = Featurer(dictionary, pairs)
     x = np.array([featurer(*f[:4]) for f in findings])
@@ -265,29 +280,37 @@ def scan(docs: DataFrame, model: tuple[list[str], np.ndarray, Forest], threshold
     """Per row of ``docs`` (doc_id, text, path): counts, highest score, findings as start:end (code points)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         dictionary, pairs, forest = shared.value
         featurer = Featurer(dictionary, pairs)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids, texts, paths = (c.to_pylist() for c in part.columns)
-                x, where = [], []
-                for k, (text, path) in enumerate(zip(texts, paths, strict=True)):
-                    for m in CANDIDATE.finditer(text or ""):
-                        s, e = m.span()
-                        x.append(featurer(m.group(), text[max(0, s - BESIDE) : s], text[e : e + BESIDE], path or ""))
-                        where.append((k, s, e))
-                scores = forest.predict(np.array(x)) if x else []
-                total, most, found = [0] * len(ids), [0.0] * len(ids), [[] for _ in ids]
-                for (k, s, e), score in zip(where, scores, strict=True):
-                    total[k] += 1
-                    most[k] = max(most[k], float(score))
-                    if score >= threshold:
-                        found[k].append(f"{s}:{e}")
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total, pa.int64()), pa.array([len(f) for f in found], pa.int64()), pa.array(most, pa.float64()), pa.array([",".join(f) for f in found], pa.string())], ["doc_id", "n_candidates", "n_secrets", "max_score", "spans"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("path").cast("string")).mapInArrow(run, "doc_id long, n_candidates long, n_secrets long, max_score double, spans string")
+
+        def several(ids, texts, paths):
+            x, where = [], []
+            for k, (text, path) in enumerate(zip(texts, paths, strict=True)):
+                for m in CANDIDATE.finditer(text or ""):
+                    s, e = m.span()
+                    x.append(featurer(m.group(), text[max(0, s - BESIDE) : s], text[e : e + BESIDE], near_path(path, text[max(0, s - PATH_CHARS) : s])))
+                    where.append((k, s, e))
+            scores = forest.predict(np.array(x)) if x else []
+            total, most, found = [0] * len(ids), [0.0] * len(ids), [[] for _ in ids]
+            for (k, s, e), score in zip(where, scores, strict=True):
+                total[k] += 1
+                most[k] = max(most[k], float(score))
+                if score >= threshold:
+                    found[k].append(f"{s}:{e}")
+            return [(i, t, len(f), m, ",".join(f)) for i, t, m, f in zip(ids, total, most, found, strict=True)]
+
+        return several
+
+    return map_slices(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("path").cast("string")), make, "doc_id long, n_candidates long, n_secrets long, max_score double, spans string")
+
+
+def sampled(docs: DataFrame) -> list[str]:
+    """At most SAMPLE texts of at most SAMPLE_CHARS characters, by a hash of row; other rows fall out where they are read, so tasks send few."""
+    total, of = docs.count(), 1 << 30
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(of))
+    some = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.length("text").between(1, SAMPLE_CHARS)).filter(place < min(of, 4 * SAMPLE * of // max(1, total) + 1))
+    return [r.text for r in some.orderBy(place, "doc_id").limit(SAMPLE).collect()]
 
 
 def trained(docs: DataFrame) -> tuple[list[str], np.ndarray, Forest]:
@@ -295,10 +318,9 @@ def trained(docs: DataFrame) -> tuple[list[str], np.ndarray, Forest]:
     pairs = np.zeros(128 * 128, np.int64)
     for r in words.filter(F.length("word") == 2).collect():
         pairs[ord(r.word[0]) * 128 + ord(r.word[1])] = r.n
-    rows = docs.select("doc_id", "text").filter(F.length("text") <= SAMPLE_CHARS).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
-    return model(dictionary_of(words), pairs, [r.text for r in rows])
+    return model(dictionary_of(words), pairs, sampled(docs))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("path", F.col("source"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("path"))
     return scan(docs, trained(docs))
