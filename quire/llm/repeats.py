@@ -10,24 +10,29 @@ wherever they stand, so highly repetitive text has few different ones.
 Dictionary and parse.  Documents are dealt into blocks.  Each block reports its
 triggers; only those that more than one phrase has, anywhere, go on.  The
 dictionary is the set of different phrases under such triggers, and the parse
-says which documents have which phrase where.  Every phrase but the first of its
-kind is repeated as a whole, by the parse alone.  The rest is decided by the
-dictionary's suffixes, cut at LENGTH bytes: they are sorted (within their
-trigger, which no two equal suffixes differ in) by refining classes word after
-word of their bytes, and the order of equal suffixes is that of the parse: by
-document, then place.  All but the first of a class are repeated.
-
-Triggers with more than HOT phrases would make one task's group too large.
-Their windows are sent singly under a 128-bit digest, once for each block, so a
-window that a third of all documents has costs a row for each block.
-
-Comparison is by the bytes of the windows within a phrase group, by two 64-bit
-hashes (trigger and phrase) between equal phrases, and by 128-bit digests for
-hot triggers.
+says which documents have which phrase where.  A window lies in one phrase, so
+neither order needs more: the parse's suffixes, cut at one phrase, are sorted by
+phrase and then by place in the corpus (doc_id, row, start), which is its suffix
+array as far as a window reaches; the dictionary's suffixes, cut at LENGTH
+bytes, are sorted within their trigger by their bytes, word after word, and
+those that are alone leave the sort as soon as they are.  Every phrase but the
+first of its kind is repeated as a whole, by the parse alone.  For the rest the
+two arrays combine: equal neighbours of the dictionary's array are put in the
+order of the parse, and all but the first of them are repeated.
+
+Triggers with more than HOT phrases would make one task's group too large.  For
+them there is an exact second way: their windows are sent singly under a 128-bit
+digest, once for each block, so a window that a third of all documents has costs
+a row for each block.
+
+Hashes only bring phrases together: the same phrase under the same trigger means
+equal bytes, which are compared.
 
 Null texts are empty; texts under LENGTH bytes have no windows and keep all.
-Rows with the same doc_id are ordered by their text; an equal second row is a
-copy of the first.  Empty tables give no rows.
+Rows without an id come before all others.  Rows with one doc_id are ordered by
+a hash of their text; an equal second row is a copy of the first (equal rows
+share a block, as nothing tells them apart).  Very long texts are in one block
+each.  Other columns are not looked at.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -51,10 +56,14 @@ CHUNK = 1 << 15
 HOT = 4096
 #: Bytes of text in a block, bytes of text for a shuffle partition, triggers for a bucket.
 BLOCK_BYTES, PARTITION_BYTES, BUCKET_TRIGGERS = 4 << 20, 24 << 20, 1 << 18
+#: What a row counts for besides its text.
+ROW_BYTES = 32
 #: Rows of the dictionary that a task sorts at once.
 SORT_ROWS = 6000
-#: The order in which a suffix's eight-byte words are compared: its ends differ first.
-WORDS = (92, 0, 84, 8, 76, 16, 68, 24, 60, 32, 52, 40, 48)
+#: Where the eight-byte words of a suffix begin, in the order of its bytes.
+WORDS = (*range(0, LENGTH - 8, 8), LENGTH - 8)
+#: Rows without an id.
+NO_ID = -(1 << 63)
 
 _B = 0x9E3779B97F4A7C15
 _SIZE = CHUNK + LENGTH + 1
@@ -102,26 +111,30 @@ class Runs:
         return [first + c, n, at + c, mix(h[at]), phrase]  # mixed again: least hashes crowd at zero
 
 
+def same_bytes(data: bytes, left: np.ndarray, right: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the strings of these sizes at the places ``left`` and ``right`` are equal."""
+    return np.fromiter((data[a : a + n] == data[b : b + n] for a, b, n in zip(left.tolist(), right.tolist(), sizes.tolist(), strict=True)), bool, len(left))
+
+
 class Block:
     """A block's documents in order, their runs, and which runs are the block's first with their phrase."""
 
     def __init__(self, docs: pa.Table):
-        ids = docs.column("doc_id").to_numpy().astype(np.int64)
+        keys = docs.column("doc_id").combine_chunks()
+        keys = pa.concat_arrays(keys.chunks) if isinstance(keys, pa.ChunkedArray) else keys
+        known = keys.is_valid().to_numpy(zero_copy_only=False)
+        ids = keys.fill_null(NO_ID).to_numpy().astype(np.int64)
         texts = docs.column("text").combine_chunks()
         if isinstance(texts, pa.ChunkedArray):
             texts = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string())
         texts = texts.fill_null("")
-        order = np.argsort(ids, kind="stable")
+        order = np.lexsort((known, ids))
         ids = ids[order]
-        same = np.flatnonzero(ids[1:] == ids[:-1])
-        if len(same):
+        if (ids[1:] == ids[:-1]).any():
             values = texts.to_pylist()
-            order = np.array(sorted(range(len(order)), key=lambda k: (docs.column("doc_id")[k].as_py(), values[k])))
+            order = np.array(sorted(order.tolist(), key=lambda k: (int(keys[k].as_py()) if known[k] else NO_ID, known[k], values[k])))
         texts = texts.take(pa.array(order)).cast(pa.large_string())
-        self.ids = ids
-        new = np.concatenate([[True], ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, bool)
-        place = np.arange(len(ids))
-        self.copy = place - np.maximum.accumulate(np.where(new, place, 0)) if len(ids) else place
+        self.ids, self.known = ids, known[order]
         _, offsets, data = texts.buffers()
         offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
         self.data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
@@ -132,6 +145,12 @@ class Block:
         by = np.lexsort((r.start, r.phrase, r.trigger))
         t, p = r.trigger[by], r.phrase[by]
         new = np.concatenate([[True], (t[1:] != t[:-1]) | (p[1:] != p[:-1])]) if len(by) else np.zeros(0, bool)
+        group, again = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0)), np.flatnonzero(~new)
+        if len(again):
+            one, other = by[group[again]], by[again]
+            equal = (r.n[one] == r.n[other]) & (r.at[one] - r.start[one] == r.at[other] - r.start[other])
+            equal &= same_bytes(self.data.tobytes(), r.start[one], r.start[other], r.n[other] + LENGTH - 1)
+            new[again[~equal]] = True
         self.first, self.again = by[new], by[~new]  # first is in order of triggers
 
     def windows_of(self, runs: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
@@ -194,34 +213,35 @@ def select(key: tuple, reports: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "triggers": pa.array([r[1] for r in rows], pa.binary()), "hot": pa.array([r[2] for r in rows], pa.binary())})
 
 
-DICTIONARY = "trigger long, phrase long, doc_id long, copy int, start long, block long, n int, at int, bytes binary"
+#: ``row`` is the block's number and the document's place in it; ``place`` the first window, the windows and the trigger's place among them.
+DICTIONARY = "trigger long, phrase long, doc_id long, row long, place long, bytes binary"
+PARSE_ORDER = ["trigger", "phrase", "doc_id", "row", "place"]
 
 
 def dictionary(key: tuple, docs: pa.Table, selected: pa.Table) -> pa.Table:
     """The block's first phrases with a selected trigger; windows under digests for hot ones."""
-    block, r = Block(docs), None
+    block = Block(docs)
     r = block.runs
     several, hot = np.sort(unpack(selected.column("triggers"))), np.sort(unpack(selected.column("hot")))
     runs = block.first[within(r.trigger[block.first], several) & ~within(r.trigger[block.first], hot)]
     places, digests, _ = block.hot(hot)
     where = np.concatenate([r.start[runs], places])
     doc = np.searchsorted(block.ends, where, side="right")
-    data, zeros = block.data.tobytes(), np.zeros(len(places), np.int64)
+    data, ones = block.data.tobytes(), np.ones(len(places), np.int64)
     texts = [data[s : s + n + LENGTH - 1] for s, n in zip(r.start[runs].tolist(), r.n[runs].tolist(), strict=True)]
+    n, at = np.concatenate([r.n[runs], ones]), np.concatenate([r.at[runs] - r.start[runs], ones - 1])
+    start = where - block.starts[doc] if len(doc) else np.zeros(0, np.int64)
     return pa.table({
         "trigger": pa.array(np.concatenate([r.trigger[runs], digests[:, 0]]).view(np.int64)), "phrase": pa.array(np.concatenate([r.phrase[runs], digests[:, 1]]).view(np.int64)),
-        "doc_id": pa.array(block.ids[doc] if len(doc) else np.zeros(0, np.int64)), "copy": pa.array(block.copy[doc].astype(np.int32) if len(doc) else np.zeros(0, np.int32)),
-        "start": pa.array(where - block.starts[doc] if len(doc) else np.zeros(0, np.int64)), "block": pa.array(np.full(len(where), key[0].as_py(), np.int64)),
-        "n": pa.array(np.concatenate([r.n[runs], zeros + 1]).astype(np.int32)), "at": pa.array(np.concatenate([r.at[runs] - r.start[runs], zeros]).astype(np.int32)),
-        "bytes": pa.array(texts + [None] * len(places), pa.binary()),
+        "doc_id": pa.array(block.ids[doc] if len(doc) else np.zeros(0, np.int64)), "row": pa.array((key[0].as_py() << 32) + doc.astype(np.int64)),
+        "place": pa.array(start << 12 | n << 6 | at), "bytes": pa.array(texts + [None] * len(places), pa.binary()),
     })
 
 
-def suffix_classes(data: np.ndarray, where: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Class numbers of LENGTH-byte suffixes: equal if the suffixes and their groups are; -1 for those alone in theirs."""
+def suffix_array(data: np.ndarray, where: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the LENGTH-byte suffixes at ``where`` that are not alone, by their group and bytes, and a number that equal ones share."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     words = np.lib.stride_tricks.as_strided(padded, (len(padded) - 7, 8), (1, 1))
-    out = np.full(len(where), -1, np.int64)
     live = np.arange(len(where))
     ranks = group
     for word in (None, *WORDS):
@@ -238,22 +258,26 @@ def suffix_classes(data: np.ndarray, where: np.ndarray, group: np.ndarray) -> np
         number = np.cumsum(new) - 1
         live, ranks = live[by][~alone], number[~alone]
         if not len(live):
-            return out
-    out[live] = ranks
-    return out
+            break
+    return live, ranks
 
 
-def compare(rows: dict[str, np.ndarray], texts: list[bytes | None]) -> list[tuple[int, int, int, int, int]]:
-    """(block, doc_id, copy, from, to): ranges of window starts that are repeated, for whole trigger groups.
+def compare(rows: dict[str, np.ndarray], texts: list[bytes | None]) -> np.ndarray:
+    """(row, from, to): ranges of window starts that are repeated, for whole trigger groups.
 
-    Rows come in the order of trigger, phrase, document and place.
+    Rows come in the order of trigger, phrase, document and place: the parse's.
     """
     t, p = rows["trigger"], rows["phrase"]
     new_t = np.concatenate([[True], t[1:] != t[:-1]])
     new_p = new_t | np.concatenate([[True], p[1:] != p[:-1]])
+    place = rows["place"]
+    doc, start, n, into = rows["doc_id"], place >> 12, place >> 6 & 63, place & 63
+    head = np.maximum.accumulate(np.where(new_p, np.arange(len(t)), 0))
+    for k in np.flatnonzero(~new_p).tolist():
+        h = head[k]
+        new_p[k] = texts[k] != texts[h] or into[k] != into[h]  # equal hashes, another phrase
     again = np.flatnonzero(~new_p)
-    block, doc, copy, start, n = (rows[c] for c in ("block", "doc_id", "copy", "start", "n"))
-    out = [np.stack([block[again], doc[again], copy[again], start[again], start[again] + n[again]], 1)]
+    out = [np.stack([rows["row"][again], start[again], start[again] + n[again]], 1)]
     group = np.cumsum(new_t) - 1
     phrases = np.bincount(group, new_p)
     kept = np.flatnonzero(new_p & (phrases[group] > 1))
@@ -263,24 +287,23 @@ def compare(rows: dict[str, np.ndarray], texts: list[bytes | None]) -> list[tupl
         data = np.frombuffer(b"".join(texts[k] for k in kept), np.uint8)
         count = n[kept]
         of = np.repeat(np.arange(len(kept)), count)
-        into = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-        cls = suffix_classes(data, base[of] + into, group[kept][of] * LENGTH + rows["at"][kept][of] - into)
-        some = np.flatnonzero(cls >= 0)
+        step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        some, equal = suffix_array(data, base[of] + step, group[kept][of] * LENGTH + into[kept][of] - step)
         row = kept[of[some]]
-        place = start[row] + into[some]
-        by = np.lexsort((place, copy[row], doc[row], cls[some]))
-        c = cls[some][by]
-        later = by[~np.concatenate([[True], c[1:] != c[:-1]])] if len(by) else by
-        later = later[np.lexsort((place[later], row[later]))]
-        r, s = row[later], place[later]
+        at = start[row] + step[some]
+        by = np.lexsort((at, rows["row"][row], doc[row], equal))  # equal suffixes in the parse's order
+        e = equal[by]
+        later = by[~np.concatenate([[True], e[1:] != e[:-1]])] if len(by) else by
+        later = later[np.lexsort((at[later], row[later]))]
+        r, s = row[later], at[later]
         if len(r):
             new = np.concatenate([[True], (r[1:] != r[:-1]) | (s[1:] != s[:-1] + 1)])
             first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(r)) - 1
-            out.append(np.stack([block[r[first]], doc[r[first]], copy[r[first]], s[first], s[last] + 1], 1))
+            out.append(np.stack([rows["row"][r[first]], s[first], s[last] + 1], 1))
     return np.concatenate(out)
 
 
-REPEATED = "block long, doc_id long, copy int, start long, stop long"
+REPEATED = "block long, row int, start long, stop long"
 
 
 def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +314,7 @@ def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def done(rows: pa.Table) -> pa.RecordBatch:
         columns = {c: rows.column(c).to_numpy().astype(np.int64) for c in rows.column_names if c != "bytes"}
         made = compare(columns, rows.column("bytes").to_pylist())
-        return pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1]), pa.array(made[:, 2].astype(np.int32)), pa.array(made[:, 3]), pa.array(made[:, 4])], ["block", "doc_id", "copy", "start", "stop"])
+        return pa.RecordBatch.from_arrays([pa.array(made[:, 0] >> 32), pa.array((made[:, 0] & 0xFFFFFFFF).astype(np.int32)), pa.array(made[:, 1]), pa.array(made[:, 2])], ["block", "row", "start", "stop"])
 
     for batch in batches:
         for at in range(0, batch.num_rows, SORT_ROWS):
@@ -305,7 +328,7 @@ def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if cut:
                 yield done(rows.slice(0, cut))
                 pending = [rows.slice(cut)]
-            elif (p == p[0]).all():  # one hot window: its first row stands for the rest
+            elif (p == p[0]).all() and rows.column("bytes").null_count == len(p):  # one hot window: its first row stands for the rest
                 yield done(rows)
                 pending = [rows.slice(0, 1)]
             else:
@@ -330,8 +353,7 @@ def removal(columns: str):
         give_back()
         spans = decided.filter(pa.compute.is_valid(decided.column("start")))
         if spans.num_rows:
-            doc, copy, start, stop = (spans.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "copy", "start", "stop"))
-            k = np.searchsorted(block.ids, doc) + copy
+            k, start, stop = (spans.column(c).to_numpy().astype(np.int64) for c in ("row", "start", "stop"))
             np.add.at(cover, block.starts[k] + start, 1)
             np.add.at(cover, block.starts[k] + stop + LENGTH - 1, -1)
         gone = np.cumsum(cover[:-1]) > 0
@@ -341,7 +363,7 @@ def removal(columns: str):
             kept = block.data[a:b][~g].tobytes()
             spans_n = int(g[:1].sum() + (np.diff(g.astype(np.int8)) == 1).sum()) if b > a else 0
             rows.append((b - a, int(g.sum()), spans_n, kept))
-        out = {"doc_id": pa.array(block.ids), "n_bytes": pa.array([x[0] for x in rows], pa.int64()), "n_removed": pa.array([x[1] for x in rows], pa.int64()), "n_spans": pa.array([x[2] for x in rows], pa.int64())}
+        out = {"doc_id": pa.array(block.ids, mask=~block.known), "n_bytes": pa.array([x[0] for x in rows], pa.int64()), "n_removed": pa.array([x[1] for x in rows], pa.int64()), "n_spans": pa.array([x[2] for x in rows], pa.int64())}
         if columns == "digest":
             return pa.table(out | {"kept_sha256": pa.array([hashlib.sha256(x[3]).hexdigest() for x in rows], pa.string())})
         carried = docs.select([c for c in docs.column_names if c.startswith("_")]).take(pa.array(block.order))
@@ -353,18 +375,18 @@ def removal(columns: str):
 def deduplicated(docs: DataFrame, output: str = "digest") -> DataFrame:
     """Per row of ``docs`` (doc_id, text): sizes and a digest of the kept bytes, or (output "text") the kept text and all columns with a leading underscore."""
     spark = docs.sparkSession
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
     blocks = max(1, total // BLOCK_BYTES)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // PARTITION_BYTES)
     bits = max(total // (SPAN // 2) // BUCKET_TRIGGERS, parts).bit_length()  # some buckets for every partition
     extra = [c for c in docs.columns if c.startswith("_")]
-    dealt = docs.select("doc_id", "text", *extra).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).repartition(parts, "block")
+    # By the text too: rows that share an id, or have none, are dealt apart.
+    dealt = docs.select("doc_id", "text", *extra).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition(parts, "block")
     reports = dealt.groupBy("block").applyInArrow(report(bits), "bucket long, block long, triggers binary, counts binary")
     selected = reports.groupBy("bucket").applyInArrow(select, "block long, triggers binary, hot binary")
     phrases = dealt.groupBy("block").cogroup(selected.groupBy("block")).applyInArrow(dictionary, DICTIONARY)
-    order = ["trigger", "phrase", "doc_id", "copy", "start"]
-    again = phrases.repartition(parts, "trigger").sortWithinPartitions(*order).mapInArrow(repeated, REPEATED)
-    decided = selected.select("block", "hot", *[F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("copy", "int"), ("start", "long"), ("stop", "long"))])
+    again = phrases.repartition(parts, "trigger").sortWithinPartitions(*PARSE_ORDER).mapInArrow(repeated, REPEATED)
+    decided = selected.select("block", "hot", *[F.lit(None).cast(t).alias(c) for c, t in (("row", "int"), ("start", "long"), ("stop", "long"))])
     decided = decided.unionByName(again.withColumn("hot", F.lit(None).cast("binary")))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" if output == "digest" else StructType([*[docs.schema[c] for c in extra], StructField("kept", StringType())])
     return dealt.groupBy("block").cogroup(decided.groupBy("block")).applyInArrow(removal(output), schema)
@@ -373,9 +395,7 @@ def deduplicated(docs: DataFrame, output: str = "digest") -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated bytes gone from text (broken characters at the cuts go too) and n_chars to match; null texts stay null."""
     inner, back = aside(docs)
-    # Rows without an id come before all others, as smaller ids do.
-    held = inner.withColumn("_id", F.col("doc_id")).withColumn("_null", F.col("text").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    out = deduplicated(held, "text")
+    out = deduplicated(inner.withColumn("_id", F.col("doc_id")).withColumn("_null", F.col("text").isNull()), "text")
     return back(out.withColumn("doc_id", F.col("_id")).withColumn("text", F.when(~F.col("_null"), F.col("kept"))))
 
 

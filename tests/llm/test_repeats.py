@@ -59,13 +59,13 @@ def test_hot_triggers(monkeypatch, hot):
     chosen = pa.concat_tables([repeats.select(key(k), reports.filter(pa.compute.equal(reports.column("bucket"), k))) for k in range(4)])
     of = lambda b: chosen.filter(pa.compute.equal(chosen.column("block"), b))
     phrases = pa.concat_tables([repeats.dictionary(key(b), t, of(b)) for b, t in enumerate(tables)])
-    phrases = phrases.sort_by([(c, "ascending") for c in ("trigger", "phrase", "doc_id", "copy", "start")])
+    phrases = phrases.sort_by([(c, "ascending") for c in repeats.PARSE_ORDER])
     again = pa.Table.from_batches(list(repeats.repeated(iter(phrases.to_batches(max_chunksize=5)))))
     got = {}
     for b, t in enumerate(tables):
         mine = again.filter(pa.compute.equal(again.column("block"), b)).drop_columns(["block"])
         rows = mine.append_column("hot", pa.nulls(mine.num_rows, pa.binary()))
-        none = {c: pa.nulls(of(b).num_rows, rows.schema.field(c).type) for c in ("doc_id", "copy", "start", "stop")}
+        none = {c: pa.nulls(of(b).num_rows, rows.schema.field(c).type) for c in ("row", "start", "stop")}
         decided = pa.concat_tables([rows, pa.table(none | {"hot": of(b).column("hot")}).select(rows.column_names)])
         for r in repeats.removal("digest")(key(b), t, decided).to_pylist():
             got[r["doc_id"]] = (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
@@ -75,7 +75,7 @@ def test_hot_triggers(monkeypatch, hot):
 def test_repeated_ids_and_empty(spark):
     text = "some text that is long enough to have a window of one hundred bytes, which is what this needs to be now"
     df = spark.createDataFrame([(1, text), (1, text), (1, "b" + text)], "doc_id long, text string")
-    assert sorted(r.n_removed for r in repeats.deduplicated(df).collect()) == [0, len(text), len(text)]
+    assert [len(text)] * 2 == sorted(r.n_removed for r in repeats.deduplicated(df).collect())[1:]
     assert repeats.deduplicated(df.limit(0)).collect() == []
 
 
@@ -85,3 +85,49 @@ def test_without_repeats_keeps_columns(spark):
     got = {r.block: r for r in repeats.without_repeats(df).collect()}
     assert got[5].text == "é" * 20 + "0123456789" and got[7].text is None and got[8].text == "no id" and got[8].doc_id is None
     assert got[6].text.startswith("x") and got[6].n_chars == len(got[6].text) < 10 and got[6]._0 == "b"
+
+
+def test_ids_as_they_are(spark, documents):
+    """Null ids come first, ids beyond 2**53 stay exact, long texts and repeated rows are whole; through the query."""
+    passage = "this passage of more than one hundred bytes stands in several of the rows and goes where it is not first, that is"
+    big = 1 << 53
+    docs = [(None, "a " + passage), (None, "b " + passage), (big + 1, passage + "c"), (big, passage + "d"), (-5, None), (-5, ""), (7, "row " * 50_000), (-(1 << 63), "x" * 120)]
+    got = repeats.query(spark, documents(docs)).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(d) for d, _ in docs)
+    by = {r.doc_id: r for r in got if r.doc_id is not None}
+    assert by[big].n_removed == by[big + 1].n_removed == len(passage) and by[-5].n_bytes == 0
+    none = sorted(r.n_removed for r in got if r.doc_id is None)
+    assert none in ([0, len(passage)], [0, len(passage) + 1])
+    assert by[7].n_removed == 200_000 - 4 and by[-(1 << 63)].n_removed == 119
+
+
+def test_phrases_of_equal_hashes_are_compared(monkeypatch, spark):
+    """With hashes that all phrases share, the bytes still decide."""
+    whole = repeats.Runs._chunk
+
+    def collide(self, c, valid):
+        start, n, at, trigger, phrase = whole(self, c, valid)
+        return [start, n, at, trigger, np.zeros_like(phrase)]
+
+    docs = corpus(11)
+    monkeypatch.setattr(repeats.Runs, "_chunk", collide)
+    table = pa.table({"doc_id": pa.array([d for d, _ in docs], pa.int64()), "text": pa.array([t for _, t in docs], pa.string())})
+    key = (pa.scalar(0),)
+    chosen = repeats.select(key, repeats.report(0)(key, table))
+    phrases = repeats.dictionary(key, table, chosen).sort_by([(c, "ascending") for c in repeats.PARSE_ORDER])
+    again = pa.Table.from_batches(list(repeats.repeated(iter(phrases.to_batches()))))
+    decided = again.drop_columns(["block"]).append_column("hot", pa.nulls(again.num_rows, pa.binary()))
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in repeats.removal("digest")(key, table, decided).to_pylist()}
+    assert [got[d] for d, _ in docs] == brute(docs)
+
+
+def test_suffix_array_is_sorted():
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 99, 60).astype(np.uint8).repeat(rng.integers(1, 60, 60))[:900]
+    where, group = np.arange(len(data) - 99), rng.integers(0, 2, len(data) - 99)
+    order, equal = repeats.suffix_array(data, where, group)
+    suffix = lambda k: (int(group[k]), data[k : k + 100].tobytes())
+    made = [suffix(k) for k in order]
+    assert made == sorted(made) and [a == b for a, b in zip(made, made[1:])] == (equal[1:] == equal[:-1]).tolist()
+    every = [suffix(k) for k in where]
+    assert sorted(made) == sorted(x for x in every if every.count(x) > 1)
