@@ -18,12 +18,18 @@ A pair is verified by aligning the two shingle sequences: the longest common
 subsequence of labelled shingles, by sparse dynamic programming inside the band
 that any alignment of the wanted similarity must keep to.  Similarity is common
 / (all of both - common), at least THRESHOLD.  Classes are the connected
-components of verified pairs, found by repeated contraction.
+components of verified pairs, found by repeated contraction: of each node and
+its neighbours, the one of least id (in the first round, for stars) or of least
+hash (in later ones) stands for it, so chains of any order shrink by a constant
+factor in each round.
 
 Exact copies are joined by digest beforehand, so only one text of each enters.
 Null texts count as empty; texts under five words have one shingle, the whole
 text.  Class ids are the least doc_id of the class.  Repeated rows keep their
-number; an empty table gives no rows.
+number; rows that share an id but not the text are each in their text's class,
+where texts of one least id count as one.  Rows without an id are in no class and get
+nulls; they change nothing for others.  Long texts are sketched and aligned
+whole.  Other columns are not looked at.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import aside, held_by_worker, map_rows, map_slices, mix, staged, table
+from quire.llm.common import aside, held_by_worker, joined_by_key, map_rows, map_slices, mix, staged, table
 
 SHINGLE, SKETCHES, ORDER, THRESHOLD = 5, 24, 4, 0.8
 #: Partners of a member that the first round over unsettled buckets verifies, and by what that grows.
@@ -222,16 +228,17 @@ def profiled(texts: DataFrame) -> DataFrame:
     return map_rows(texts.select("doc_id", "text"), make, "doc long, size long, profile binary")
 
 
-def candidates(buckets: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of members of a bucket (key, doc): each with the least one."""
-    heads = buckets.groupBy("key").agg(F.min("doc").alias("head"), F.count("*").alias("members")).filter("members > 1").select("key", "head")
-    return buckets.join(heads, "key").filter("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
+def candidates(buckets: DataFrame, total: int) -> DataFrame:
+    """Distinct pairs (a < b) of members of a bucket (key, doc), of which there are ``total``: each with the least one."""
+    heads = staged(buckets.groupBy("key").agg(F.min("doc").alias("head"), F.count("*").alias("members")).filter("members > 1"), "heads")
+    return joined_by_key(buckets, heads, "key", "members", total).filter("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
 
 
-def unsettled(buckets: DataFrame) -> DataFrame:
+def unsettled(buckets: DataFrame, total: int) -> DataFrame:
     """Members (key, doc, root, head, parts) of buckets that have several roots and pairs that have not met by ``candidates``."""
     mixed = buckets.groupBy("key").agg(F.count("*").alias("members"), (F.min("root") != F.max("root")).alias("several"), F.min("doc").alias("head")).filter("several and members > 2")
-    return buckets.join(mixed.select("key", "head", F.ceil(F.col("members") / PART).cast("int").alias("parts")), "key").filter("doc <> head")
+    mixed = staged(mixed.select("key", "head", "members", F.ceil(F.col("members") / PART).cast("int").alias("parts")), "mixed")
+    return joined_by_key(buckets, mixed, "key", "members", total).filter("doc <> head")
 
 
 def weighed(members: DataFrame, profiles: DataFrame, partners: int, threshold: float = THRESHOLD) -> DataFrame:
@@ -279,30 +286,41 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) with the least node of each connected component as root, by contraction to the least neighbour."""
+    """(node, root) with the least node of each connected component as root, by contraction to the least neighbour.
+
+    The first round goes by the ids themselves, further ones by their hashes.
+    """
     edges = staged(edges.select("a", "b"), "edges")
-    found = None
+    found, rounds = None, 0
     while not edges.isEmpty():
+        rank = lambda c: F.struct((F.xxhash64(c) if rounds else F.lit(0).cast("long")).alias("by"), F.col(c).alias("of"))  # noqa: B023, E731
         both = edges.union(edges.select("b", "a"))
-        step = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")), "roots")
-        if found is None:
-            found = step
-        else:
-            up = step.select(F.col("node").alias("root"), F.col("root").alias("higher"))
-            found = found.join(up, "root", "left").select("node", F.coalesce("higher", "root").alias("root"))
+        step = staged(both.groupBy("a").agg(F.min(rank("b")).alias("x")).select(F.col("a").alias("node"), F.least("x", rank("a")).getField("of").alias("root")), "least")
+        up = step.select(F.col("node").alias("root"), F.col("root").alias("higher"))
+        # A root that has a root of its own hands it on.
+        step = staged(step.join(up, "root").select("node", F.col("higher").alias("root")), "roots")
+        up = step.select(F.col("node").alias("root"), F.col("root").alias("higher"))
+        found = step if found is None else staged(found.join(up, "root", "left").select("node", F.coalesce("higher", "root").alias("root")), "found")
         of = lambda c: step.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))  # noqa: B023, E731
-        up = edges.join(of("a"), "a").join(of("b"), "b").filter("root_a != root_b")
-        edges = staged(up.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")).distinct(), "edges")
-    return found if found is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        moved = edges.join(of("a"), "a").join(of("b"), "b").filter("root_a != root_b")
+        edges = staged(moved.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")).distinct(), "edges")
+        rounds += 1
+    if found is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    names = staged(found.groupBy("root").agg(F.min("node").alias("least"), F.count("*").alias("members")), "names")
+    return joined_by_key(found, names, "root", "members", found.count()).select("node", F.col("least").alias("root"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, copy_of (least id with that text), class_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    nobody = docs.filter("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("copy_of"), F.lit(None).cast("long").alias("class_id"))
+    docs = docs.filter("doc_id is not null")
     seen = staged(sketched(docs), "sketches")
-    copies = staged(seen.groupBy("digest").agg(F.min(F.struct("doc_id", "sketches")).alias("x")).select("digest", "x.*"), "copies")
+    copies = staged(seen.groupBy("digest").agg(F.min(F.struct("doc_id", "sketches")).alias("x"), F.count("*").alias("members")).select("digest", "members", "x.*"), "copies")
+    total = copies.count() * SKETCHES
     sketch = copies.select(F.col("doc_id").alias("doc"), F.posexplode("sketches").alias("n", "sketch"))
-    first = staged(candidates(sketch.select("doc", F.xxhash64("n", "sketch").alias("key"))), "pairs")
+    first = staged(candidates(sketch.select("doc", F.xxhash64("n", "sketch").alias("key")), total), "pairs")
     # Every document that shares a sketch is in a first pair, so what follows needs no others.
     met = first.select(F.col("a").alias("doc_id")).union(first.select("b")).distinct()
     # Merged, not broadcast where few ids would allow it: one plan at every size.
@@ -312,7 +330,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     buckets = copies.join(met, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), F.posexplode("sketches").alias("n", "sketch")).select("doc", F.xxhash64("n", "sketch").alias("key"))
     rooted = lambda: buckets.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("key", "doc", F.coalesce("root", "doc").alias("root"))
-    left = staged(unsettled(rooted()), "unsettled")
+    left = staged(unsettled(rooted(), total), "unsettled")
     profiles, partners = None, PARTNERS
     while not left.isEmpty():
         if profiles is None:  # later rounds have members of the first only
@@ -326,9 +344,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             roots = staged(components(links), "components")
         if round_.filter("a is null").isEmpty():
             break
-        left, partners = staged(unsettled(rooted()), "unsettled"), partners * GROWTH
-    class_of = copies.select("digest", F.col("doc_id").alias("copy_of")).join(roots.select(F.col("node").alias("copy_of"), F.col("root").alias("class_id")), "copy_of", "left")
-    return seen.select("doc_id", "digest").join(class_of, "digest").select("doc_id", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"))
+        left, partners = staged(unsettled(rooted(), total), "unsettled"), partners * GROWTH
+    class_of = copies.select("digest", "members", F.col("doc_id").alias("copy_of")).join(roots.select(F.col("node").alias("copy_of"), F.col("root").alias("class_id")), "copy_of", "left")
+    class_of = staged(class_of.select("digest", "members", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id")), "classes")
+    out = joined_by_key(seen.select("doc_id", "digest"), class_of, "digest", "members", seen.count())
+    return out.select("doc_id", "copy_of", "class_id").unionByName(nobody)
 
 
 def representatives(docs: DataFrame) -> DataFrame:

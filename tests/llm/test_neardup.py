@@ -83,6 +83,49 @@ def test_components(spark):
     assert got == root
 
 
+def test_components_of_long_chains(spark, monkeypatch):
+    """Ascending, descending and shuffled chains of 10,000 and a star take few rounds."""
+    rounds = []
+    held = N.staged
+    monkeypatch.setattr(N, "staged", lambda df, name: rounds.append(name) or held(df, name))
+    order = list(range(30_000, 40_000))
+    random.Random(3).shuffle(order)
+    edges = [(k, k + 1) for k in range(10_000)] + list(zip(order, order[1:])) + [(50_000, k) for k in range(50_001, 52_000)]
+    edges = spark.createDataFrame([(min(e), max(e)) for e in edges], "a long, b long")
+    got = N.components(edges).groupBy("root").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 10_001), (30_000, 10_000), (50_000, 2_000)]
+    assert rounds.count("roots") <= 20
+
+
+def test_rows_without_an_id(spark, documents):
+    """They get nulls and change nothing; ids beyond 2**53 and repeated rows are exact; through the query."""
+    rng = random.Random(8)
+    one, other, big = words(rng, 100), words(rng, 60), 1 << 53
+    near = " ".join(one[:50] + ["x"] + one[51:])
+    docs = [(None, " ".join(one)), (1, " ".join(one)), (2, " ".join(one)), (None, None), (big + 1, near), (big + 3, " ".join(other)), (big + 3, " ".join(other)), (5, None), (6, ""), (7, "long " * 100_000), (8, "long " * 100_000)]
+    got = N.query(spark, documents(docs, extra="key long, members string, head string, digest string"))
+    assert got.columns == ["doc_id", "copy_of", "class_id"]
+    want = [(1, 1, 1), (2, 1, 1), (big + 1, big + 1, 1), *[(big + 3,) * 3] * 2, (5, 5, 5), (6, 5, 5), (7, 7, 7), (8, 7, 7)]
+    assert sorted(r for r in map(tuple, got.collect()) if r[0] is not None) == sorted(want)
+    assert [r for r in map(tuple, got.collect()) if r[0] is None] == [(None, None, None)] * 2
+
+
+def test_texts_that_share_an_id(spark):
+    rng = random.Random(9)
+    a, b = words(rng, 80), words(rng, 80)
+    docs = [(1, " ".join(a)), (2, " ".join(a)), (2, " ".join(b)), (3, " ".join(b[:-1])), (4, "other")]
+    got = N.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id) for r in got) == [(1, 1), (2, 1), (2, 2), (3, 2), (4, 4)]
+
+
+def test_hot_keys_are_joined_in_place(spark, monkeypatch):
+    """Whatever counts as hot, the result is the same."""
+    docs = spark.createDataFrame([(d, t) for d, t in corpus()], "doc_id long, text string")
+    for share in (1, 1 << 40):
+        monkeypatch.setattr("quire.llm.common.HOT_SHARE", share)
+        assert {r.doc_id: r.class_id for r in N.classes(docs).collect()} == brute(corpus())
+
+
 def test_sketches_order_and_blocks(monkeypatch):
     h = np.random.default_rng(1).integers(1, 1 << 62, 500).astype(np.uint64)
     whole = N.sketches(h)
