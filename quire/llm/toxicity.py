@@ -1,23 +1,29 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word's input has two parts.  Evidence: the smoothed log-odds of being in a
-toxic training text, of the word itself and (largest and mean) of its character
-n-grams with marks at both ends; a training text's own counts are taken out for
-that text, so rare words do not give it away.  Vectors: the mean of hashed
-n-gram vectors, which are learned with the network.  Unseen words built from
-known parts so get a sensible input.  Windows of WINDOW words, each starting STEP words
-after the last and the final one ending with the text, cover every word of a
-text, most of them twice.  In each window both directions' states are pooled by
-attention into one logit; a text's score is that of its highest window.
-
-Training takes a bounded sample of labelled rows (at most PER_CLASS of each
-label, by a hash of the id) and learns from each text's currently highest
-window and from random windows of clean texts, since labels are for texts.
+A word's input has two learned parts: a vector of the word itself, for words of
+MIN_TEXTS training texts at least, and the mean of the vectors of its hashed
+character n-grams with marks at both ends, so unseen words built from known
+parts get a sensible input.  Windows of WINDOW words start every STEP words, a
+quarter of a window, and the last ends with the text: all of them are scored,
+and any passage of WINDOW - STEP + 1 words is whole in one.  In each window both
+directions' states are pooled by attention into one logit; a text's score is
+that of its highest window.
+
+Training takes a bounded sample of labelled rows: at most PER_CLASS of each
+label, by a hash of the id, of texts of at most SAMPLE_CHARS characters.  Vectors
+are learned first, with the words of whole texts pooled by attention to a linear
+score; then the network, from each text's currently highest window and from
+random windows of clean texts, since labels are for texts.  Words and n-grams of
+too few texts have no vector.  One in SET_APART texts is not learned from: on
+those the logits are scaled to likelihoods.
 
 Null, empty and letterless texts have one empty window, whose score is the
 network's for no input.  Without both labels to learn from all scores are 0.
-Repeated rows are scored alike; labels with conflicting rows are averaged and
-left out of training unless they agree.
+Repeated rows and rows without an id are scored like any other; labels with
+conflicting rows are left out of training; a score equal to the threshold is
+toxic; an empty ``documents`` gives no rows.  Texts of any length are scored
+whole, BATCH_WINDOWS windows at a time.  Other columns are carried or not looked
+at, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,18 +41,26 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quire.llm.common import doc_id_crc_mod, held_by_worker, table
 
-WINDOW, STEP = 48, 32
-HIDDEN, EVIDENCE, LEARNED = 8, 3, 5
-WIDTH = EVIDENCE + LEARNED
-#: Rows of the evidence tables for words and n-grams and of the learned vectors.
-WORD_ROWS, GRAM_ROWS, VECTOR_ROWS = 1 << 17, 1 << 19, 1 << 12
+WINDOW, STEP = 48, 12
+#: Hidden units of a direction, and the length of a word's own vector and of its n-grams'.
+HIDDEN, LEARNED = 8, 8
+WIDTH = 2 * LEARNED
+#: Rows of the tables of word and n-gram vectors.
+WORD_ROWS, GRAM_ROWS = 1 << 17, 1 << 16
 GRAMS = (3, 4, 5, 6)
+#: Training texts, and their share, that a word or n-gram with a vector is in: what fewer have would be learned by heart.
+MIN_TEXTS, MIN_SHARE = 3, 0.01
 #: Most labelled texts of each label that are learned from, their most characters, and windows scored at once.
-PER_CLASS, SAMPLE_CHARS, BATCH_WINDOWS = 1000, 200_000, 1 << 11
+PER_CLASS, SAMPLE_CHARS, BATCH_WINDOWS = 1000, 20_000, 1 << 10
 ROUNDS, STEPS, BATCH, RATE, DECAY, DROPPED = 4, 80, 64, 0.01, 1e-4, 0.3
 KEPT_WORDS = 300_000
 THRESHOLD = 0.7
 WORDS = re.compile(r"[^\W\d_]+")
+#: Tables of vectors, of which only rows that enough texts have move, at their own rate.
+KNOWN = ("word", "gram")
+TABLE_RATE, TABLE_DECAY = 0.03, 1e-3
+#: Steps that learn vectors alone, texts of each, and which part of the sample only sets the scale of the logits.
+WARM_STEPS, WARM_BATCH, SET_APART = 150, 32, 5
 
 
 def words_of(text: str | None) -> list[str]:
@@ -62,12 +76,11 @@ def features(word: str) -> tuple[int, list[int]]:
     return crc(marked) & (WORD_ROWS - 1), grams or [crc(marked) & (GRAM_ROWS - 1)]
 
 
-def spans(n: int) -> list[tuple[int, int]]:
-    """All windows over ``n`` words."""
+def starts(n: int) -> np.ndarray:
+    """Where the windows over ``n`` words begin; all have WINDOW words, or all the words there are."""
     if n <= WINDOW:
-        return [(0, n)]
-    starts = list(range(0, n - WINDOW, STEP)) + [n - WINDOW]
-    return [(s, s + WINDOW) for s in starts]
+        return np.zeros(1, np.int64)
+    return np.append(np.arange(0, n - WINDOW, STEP), n - WINDOW)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -92,44 +105,40 @@ class Vocabulary:
                 self.sizes.append(len(grams))
         return np.array([row[w] for w in words], np.int32)
 
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word rows, n-gram rows end to end, and where each word's begin (and the last's end)."""
+        return np.array(self.own, np.int64), np.array(self.flat, np.int64), np.concatenate([[0], np.cumsum(self.sizes)])
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
-    """Of a text with the feature, shrunk by how many texts have it."""
-    n = toxic + clean
-    raw = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
-    return (np.clip(raw, -4, 4) * n / (n + 4)).astype(np.float32)
 
-
-def evidence(own: np.ndarray, flat: np.ndarray, sizes: np.ndarray, of_word: Callable, of_gram: Callable) -> np.ndarray:
-    starts = np.cumsum(sizes) - sizes
-    grams = of_gram(flat)
-    return np.stack([of_word(own), np.maximum.reduceat(grams, starts), np.add.reduceat(grams, starts) / sizes], 1).astype(np.float32)
+def ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, end to end."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Network:
+    """Weights; rows of words and n-grams in too few texts stay zero."""
+
     def __init__(self, seed: int = 7):
         rng = np.random.default_rng(seed)
         init = lambda *shape, s: rng.normal(0, s, shape).astype(np.float32)
         h, d = HIDDEN, WIDTH
-        self.p = {"gram": init(VECTOR_ROWS, LEARNED, s=0.1)}
+        self.p = {"word": init(WORD_ROWS, LEARNED, s=0.1), "gram": init(GRAM_ROWS, LEARNED, s=0.1)}
         for side in "fb":
             self.p |= {f"W{side}": init(d, 3 * h, s=0.4), f"U{side}": init(h, 3 * h, s=0.3), f"c{side}": np.zeros(3 * h, np.float32)}
-        self.p |= {"A": init(2 * h, h, s=0.3), "a": init(h, s=0.5), "o": init(2 * h, s=0.5), "b": np.full(1, -1.0, np.float32)}
+        self.p |= {"A": init(2 * h, h, s=0.3), "a": init(h, s=0.5), "o": init(2 * h, s=0.5), "b": np.full(1, -1.0, np.float32), "v": init(d, s=0.5), "v0": np.full(1, -1.0, np.float32)}
 
-    def inputs(self, vocabulary: Vocabulary, tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        """Of all the vocabulary's rows but the first."""
-        own, sizes, flat = (np.array(x[1:], np.int32) for x in (vocabulary.own, vocabulary.sizes, vocabulary.flat))
-        words, grams = tables
-        known = evidence(own, flat, sizes, words.__getitem__, grams.__getitem__)
-        sums = np.add.reduceat(self.p["gram"][flat % VECTOR_ROWS], np.cumsum(sizes) - sizes)
-        return np.concatenate([known, sums / sizes[:, None].astype(np.float32)], 1)
+    def inputs(self, own: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Of words with these word rows and, end to end, n-gram rows."""
+        grams = np.add.reduceat(self.p["gram"][flat], np.cumsum(sizes) - sizes) / sizes[:, None].astype(np.float32)
+        return np.concatenate([self.p["word"][own], grams], 1)
 
-    def _run(self, gates: np.ndarray, present: np.ndarray, side: str, keep: list | None) -> np.ndarray:
+    def _run(self, gates: np.ndarray, present: np.ndarray, side: str, keep: list) -> np.ndarray:
         """States [time, window, hidden] of one direction; gates has the projected inputs."""
         steps, n, _ = gates.shape
         h, U = HIDDEN, self.p[f"U{side}"]
-        out = np.zeros((steps, n, h), np.float32)
-        state = np.zeros((n, h), np.float32)
+        out = np.zeros((steps, n, h), gates.dtype)
+        state = np.zeros((n, h), gates.dtype)
         for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
             g = gates[t]
             u = state @ U
@@ -137,42 +146,29 @@ class Network:
             z, r = zr[:, :h], zr[:, h:]
             c = np.tanh(g[:, 2 * h :] + r * u[:, 2 * h :])
             m = present[t][:, None]
-            new = state + m * z * (c - state)
-            if keep is not None:
-                keep.append((t, state, z, r, c, u[:, 2 * h :], m))
-            state = out[t] = new
+            keep.append((t, state, z, r, c, u[:, 2 * h :], m))
+            state = out[t] = state + m * z * (c - state)
         return out
 
-    def logits(self, gates_f: np.ndarray, gates_b: np.ndarray, present: np.ndarray, tape: dict | None = None) -> np.ndarray:
-        keep_f, keep_b = ([], []) if tape is not None else (None, None)
-        s = np.concatenate([self._run(gates_f, present, "f", keep_f), self._run(gates_b, present, "b", keep_b)], 2)
-        q = np.tanh(s @ self.p["A"])
-        e = q @ self.p["a"] + np.where(present > 0, 0, -1e4).astype(np.float32)
+    def logits(self, x: np.ndarray, present: np.ndarray, tape: dict) -> np.ndarray:
+        """Of windows of inputs [time, window, width]; ``tape`` gets what gradients need."""
+        p, keep_f, keep_b = self.p, [], []
+        s = np.concatenate([self._run(x @ p["Wf"] + p["cf"], present, "f", keep_f), self._run(x @ p["Wb"] + p["cb"], present, "b", keep_b)], 2)
+        q = np.tanh(s @ p["A"])
+        e = q @ p["a"] + np.where(present > 0, 0, -1e4).astype(np.float32)
         w = np.exp(e - e.max(0))
         w = w / w.sum(0) * present.max(0)
         pooled = np.einsum("tn,tnh->nh", w, s)
-        if tape is not None:
-            tape |= {"s": s, "q": q, "w": w, "pooled": pooled, "f": keep_f, "b": keep_b}
-        return pooled @ self.p["o"] + self.p["b"][0]
-
-    def gradients(self, ids: np.ndarray, known: np.ndarray, target: np.ndarray, vocabulary: Vocabulary, kept: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean cross-entropy for windows ``ids`` [time, window] with their evidence; ``kept`` masks vectors."""
-        p, h = self.p, HIDDEN
-        rows, back = np.unique(ids, return_inverse=True)
-        back = back.reshape(ids.shape)
-        bounds = vocabulary.bounds
-        grams = [vocabulary.flat[bounds[r] : bounds[r + 1]] for r in rows]
-        sizes = np.array([len(g) for g in grams])
-        flat = np.concatenate(grams) % VECTOR_ROWS
-        starts = np.cumsum(sizes) - sizes
-        x_rows = np.add.reduceat(p["gram"][flat], starts) / sizes[:, None].astype(np.float32)
-        x = np.concatenate([known, x_rows[back] * kept[:, :, None]], 2)
-        present = (ids > 0).astype(np.float32)
-        tape: dict = {}
-        z = self.logits(x @ p["Wf"] + p["cf"], x @ p["Wb"] + p["cb"], present, tape)
+        tape |= {"s": s, "q": q, "w": w, "pooled": pooled, "f": keep_f, "b": keep_b}
+        return pooled @ p["o"] + p["b"][0]
+
+    def gradients(self, x: np.ndarray, present: np.ndarray, target: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """Of the mean cross-entropy, for the dense weights and the inputs."""
+        p, h, tape = self.p, HIDDEN, {}
+        z = self.logits(x, present, tape)
         n = len(target)
-        dz = ((sigmoid(z) - target) / n).astype(np.float32)
-        g = {"b": np.array([dz.sum()], np.float32), "o": tape["pooled"].T @ dz}
+        dz = ((sigmoid(z) - target) / n).astype(x.dtype)
+        g = {"b": np.array([dz.sum()]), "o": tape["pooled"].T @ dz}
         s, q, w = tape["s"], tape["q"], tape["w"]
         d_pooled = dz[:, None] * p["o"]
         d_s = w[:, :, None] * d_pooled
@@ -180,13 +176,13 @@ class Network:
         d_e = w * (d_w - (w * d_w).sum(0))
         g["a"] = np.einsum("tn,tnh->h", d_e, q)
         d_q = d_e[:, :, None] * p["a"] * (1 - q * q)
-        g["A"] = np.einsum("tni,tnj->ij", s, d_q)
+        g["A"] = s.reshape(-1, 2 * h).T @ d_q.reshape(-1, h)
         d_s = d_s + d_q @ p["A"].T
         d_x = np.zeros_like(x)
         for side, part in (("f", slice(0, h)), ("b", slice(h, 2 * h))):
             U = p[f"U{side}"]
-            d_gates, d_U = np.zeros((*ids.shape, 3 * h), np.float32), np.zeros_like(U)
-            d_state = np.zeros((n, h), np.float32)
+            d_gates, d_U = np.zeros((*present.shape, 3 * h), x.dtype), np.zeros_like(U)
+            d_state = np.zeros((n, h), x.dtype)
             for t, before, zt, r, c, uc, m in reversed(tape[side]):
                 d_new = d_s[t][:, part] + d_state
                 d_c = d_new * m * zt * (1 - c * c)
@@ -197,73 +193,142 @@ class Network:
                 d_U += before.T @ d_u
                 d_state = d_new * (1 - m * zt) + d_u @ U.T
             g[f"U{side}"], g[f"c{side}"] = d_U, d_gates.sum((0, 1))
-            g[f"W{side}"] = np.einsum("tni,tnj->ij", x, d_gates)
+            g[f"W{side}"] = x.reshape(-1, WIDTH).T @ d_gates.reshape(-1, 3 * h)
             d_x += d_gates @ p[f"W{side}"].T
-        d_rows = np.zeros_like(x_rows)
-        masked = d_x[:, :, EVIDENCE:] * (present * kept)[:, :, None]
-        np.add.at(d_rows, back.ravel(), masked.reshape(-1, LEARNED))
-        g["gram"] = np.zeros_like(p["gram"])
-        np.add.at(g["gram"], flat, np.repeat(d_rows / sizes[:, None].astype(np.float32), sizes, 0))
-        return g
+        return g, d_x
+
+
+class Adam:
+    """Steps of weights; of tables only the rows that have gradients move."""
+
+    def __init__(self, weights: dict[str, np.ndarray]):
+        self.p, self.step = weights, 0
+        self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in weights.items()}
+
+    def _move(self, name: str, rows, grad: np.ndarray):
+        m, v = (x[rows] for x in self.moments[name])
+        m, v = m + 0.1 * (grad - m), v + 0.001 * (grad * grad - v)
+        self.moments[name][0][rows], self.moments[name][1][rows] = m, v
+        old = self.p[name][rows]
+        rate, decay = (TABLE_RATE, TABLE_DECAY) if name in KNOWN else (RATE, DECAY)
+        self.p[name][rows] = old * (1 - decay) - rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-8)
+
+    def __call__(self, dense: dict[str, np.ndarray], tables: dict[str, tuple[np.ndarray, np.ndarray]]):
+        self.step += 1
+        for name, grad in dense.items():
+            self._move(name, slice(None), grad)
+        for name, (rows, grad) in tables.items():
+            self._move(name, rows, grad)
+
+
+def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows, and the sums of their values."""
+    order = np.argsort(rows, kind="stable")
+    r = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+    return r[first], np.add.reduceat(values[order], first)
 
 
 class Scorer:
-    """Scores texts with projected inputs kept for each word."""
+    """Scores texts with projected inputs kept for each word.
+
+    Units come before windows in arrays, so every step works on long rows.
+    """
 
     def __init__(self, weights: dict[str, np.ndarray]):
-        self.net = Network()
-        self.tables = weights["odds_word"], weights["odds_gram"]
+        self.net, p, h = Network.__new__(Network), weights, HIDDEN
         self.net.p = weights
+        # A sigmoid is half of a hyperbolic tangent of half its input, and one half.
+        half = np.repeat(np.array([0.5, 1.0], np.float32), [2 * h, h])
+        self.wide = np.concatenate([p["Wf"] * half, p["Wb"] * half], 1)
+        self.bias = np.concatenate([p["cf"] * half, p["cb"] * half])
+        self.U = [np.ascontiguousarray((p[f"U{side}"] * half).T) for side in "fb"]
+        self.pool = np.ascontiguousarray(np.concatenate([p["A"], p["o"][:, None]], 1).T)
         self._fresh()
 
     def _fresh(self):
-        p = self.net.p
         self.row: dict[str, int] = {}
-        self.wide = np.concatenate([p["Wf"], p["Wb"]], 1)
-        self.bias = np.concatenate([p["cf"], p["cb"]])
-        self.table = np.zeros((KEPT_WORDS + (1 << 16), 6 * HIDDEN), np.float32)  # pages are taken as they fill
-        self.table[0] = self.bias
+        self.table = np.zeros((2, KEPT_WORDS + (1 << 16), 3 * HIDDEN), np.float32)  # pages are taken as they fill
+        self.table[:, 0, :HIDDEN] = -1e4  # no word: the state stays
         self.filled = 1
 
     def _learn(self, words: list[str]):
         """Rows for words not seen before."""
         v = Vocabulary()
         v.add(words)
-        made = self.net.inputs(v, self.tables) @ self.wide + self.bias
-        if self.filled + len(made) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros((len(made), 6 * HIDDEN), np.float32)])
-        self.table[self.filled : self.filled + len(made)] = made
-        for w in v.row:
-            self.row[w] = self.filled
-            self.filled += 1
+        own, flat, bounds = v.arrays()
+        made = self.net.inputs(own[1:], flat[1:], np.diff(bounds)[1:]) @ self.wide + self.bias
+        more = self.filled + len(made) - self.table.shape[1]
+        if more > 0:
+            self.table = np.concatenate([self.table, np.zeros((2, more, 3 * HIDDEN), np.float32)], 1)
+        self.table[:, self.filled : self.filled + len(made)] = made.reshape(len(made), 2, -1).transpose(1, 0, 2)
+        self.row.update(zip(v.row, range(self.filled, self.filled + len(made)), strict=True))
+        self.filled += len(made)
+
+    def _states(self, side: int, grid: np.ndarray, out: np.ndarray):
+        """States of one direction into ``out`` [time, hidden, window]."""
+        (steps, n), h = grid.shape, HIDDEN
+        state, u = np.zeros((h, n), np.float32), np.empty((3 * h, n), np.float32)
+        zr, z, r, c = u[: 2 * h], u[:h], u[h : 2 * h], u[2 * h :]
+        for t in range(steps - 1, -1, -1) if side else range(steps):
+            g = self.table[side][grid[t]].T
+            np.matmul(self.U[side], state, out=u)
+            zr += g[: 2 * h]
+            np.tanh(zr, out=zr)
+            zr += 1  # twice the gates
+            c *= r
+            c *= 0.5
+            c += g[2 * h :]
+            np.tanh(c, out=c)
+            c -= state
+            c *= z
+            c *= 0.5
+            state = np.add(state, c, out=out[t])
+
+    def _logits(self, grid: np.ndarray) -> np.ndarray:
+        """Of windows of word rows [time, window]."""
+        p, h = self.net.p, HIDDEN
+        s = np.empty((len(grid), 2 * h, grid.shape[1]), np.float32)
+        self._states(0, grid, s[:, :h])
+        self._states(1, grid, s[:, h:])
+        q = self.pool @ s
+        value = q[:, h].copy()
+        e = np.tensordot(p["a"], np.tanh(q[:, :h]), (0, 1))
+        empty = grid == 0
+        e[empty] = -1e4
+        w = np.exp(e - e.max(0))
+        w *= ~empty[0] / w.sum(0)
+        return (w * value).sum(0) + p["b"][0]
 
     def window_logits(self, texts: list[list[str]]) -> list[np.ndarray]:
         """For each text, the logits of all its windows."""
         if len(self.row) > KEPT_WORDS:
             self._fresh()
-        new = {w: None for text in texts for w in text if w not in self.row}
+        row = self.row
+        found = [[row.get(w, 0) for w in text] for text in texts]
+        new = {w: None for text, rows in zip(texts, found, strict=True) if 0 in rows for w, k in zip(text, rows, strict=True) if not k}
         if new:
             self._learn(list(new))
-        row, jobs = self.row, []
-        ids = [np.array([row[w] for w in text], np.int32) for text in texts]
-        for k, x in enumerate(ids):
-            jobs += [(k, s, e) for s, e in spans(len(x))]
-        out: list[list[float]] = [[] for _ in texts]
-        for at in range(0, len(jobs), BATCH_WINDOWS):
-            some = jobs[at : at + BATCH_WINDOWS]
-            steps = max(1, max(e - s for _, s, e in some))
-            grid = np.zeros((len(some), steps), np.int32)
-            for i, (k, s, e) in enumerate(some):
-                grid[i, : e - s] = ids[k][s:e]
-            grid = grid.T
-            gates, present = self.table[grid], (grid > 0).astype(np.float32)
-            z = self.net.logits(gates[:, :, : 3 * HIDDEN], gates[:, :, 3 * HIDDEN :], present)
-            for (k, _, _), value in zip(some, z.tolist(), strict=True):
-                out[k].append(value)
-        return [np.array(x) for x in out]
+            found = [[row[w] for w in text] if 0 in rows else rows for text, rows in zip(texts, found, strict=True)]
+        sizes = np.array([len(x) for x in found])
+        words = np.concatenate([np.fromiter((k for x in found for k in x), np.int32, int(sizes.sum())), np.zeros(WINDOW, np.int32)])
+        begins = [starts(n) for n in sizes.tolist()]
+        counts = np.array([len(x) for x in begins])
+        begin = np.concatenate(begins) + np.repeat(np.cumsum(sizes) - sizes, counts)
+        length = np.repeat(np.minimum(sizes, WINDOW), counts)
+        out = np.zeros(len(begin), np.float32)
+        by = np.argsort(length, kind="stable")  # windows of like lengths together
+        for at in range(0, len(by), BATCH_WINDOWS):
+            some = by[at : at + BATCH_WINDOWS]
+            step = np.arange(max(1, int(length[some[-1]])))[:, None]
+            grid = words[begin[some] + step]
+            if length[some[0]] < len(step):
+                grid[step >= length[some]] = 0
+            out[some] = self._logits(grid)
+        return np.split(out, np.cumsum(counts)[:-1])
 
     def scores(self, texts: list[str | None]) -> list[float]:
-        return [float(sigmoid(z.max())) for z in self.window_logits([words_of(t) for t in texts])]
+        return [float(sigmoid(z.max())) for z in self.window_logits([words_of(t) for t in texts])] if texts else []
 
 
 def _scorer(weights: dict[str, np.ndarray]) -> Scorer:
@@ -271,73 +336,114 @@ def _scorer(weights: dict[str, np.ndarray]) -> Scorer:
     return held_by_worker(f"toxicity {zlib.crc32(weights['gram'].tobytes())}", lambda: Scorer(weights))
 
 
-def fit(texts: list[str | None], toxic: list[int], seed: int = 7) -> dict[str, np.ndarray] | None:
-    """Weights learned from labelled texts; None without both labels."""
+def calibrated(p: dict[str, np.ndarray], split: list[list[str]], toxic: np.ndarray) -> dict[str, np.ndarray]:
+    """Weights whose logits, scaled and moved, are likeliest for texts that were not learned from; the scale stays near one for few texts."""
+    z = np.array([x.max() for x in Scorer(p).window_logits(split)], np.float64)
+    x, theta = np.stack([z, np.ones_like(z)], 1), np.array([1.0, 0.0])
+    for _ in range(50):
+        q = sigmoid(x @ theta)
+        grad = x.T @ (q - toxic) + (theta - [1, 0])
+        theta = theta - np.linalg.solve(x.T @ (x * (q * (1 - q))[:, None]) + np.eye(2), grad)
+    scale, shift = max(float(theta[0]), 0.1), float(theta[1])
+    return p | {"o": (p["o"] * scale).astype(np.float32), "b": (p["b"] * scale + shift).astype(np.float32)}
+
+
+def fit(texts: list[str | None], toxic: list[int], seed: int = 7, without: tuple[str, ...] = ()) -> dict[str, np.ndarray] | None:
+    """Weights learned from labelled texts; None without both labels.  ``without`` leaves out "word" or "gram" vectors, for comparisons."""
     toxic_of = np.array(toxic, np.float32)
     if not len(toxic_of) or toxic_of.min() == toxic_of.max():
         return None
     rng = np.random.default_rng(seed)
     net, vocabulary = Network(seed), Vocabulary()
-    ids = [vocabulary.add(words_of(t)) for t in texts]
-    bounds = vocabulary.bounds = np.concatenate([[0], np.cumsum(vocabulary.sizes)])
-    vocabulary.flat = np.array(vocabulary.flat)
-    own_of, sizes_of = np.array(vocabulary.own), np.array(vocabulary.sizes)
-    n_of = [float((toxic_of == y).sum()) for y in (0, 1)]
-    counts = [[np.zeros(n, np.float32) for n in (WORD_ROWS, GRAM_ROWS)] for _ in (0, 1)]
-    grams_of = lambda rows: np.concatenate([vocabulary.flat[bounds[r] : bounds[r + 1]] for r in rows]) if len(rows) else np.zeros(0, np.int32)
-    for k, x in enumerate(ids):
+    split = [words_of(t) for t in texts]
+    apart = np.zeros(len(texts), bool)
+    for y in (0, 1):
+        apart[np.flatnonzero(toxic_of == y)[SET_APART - 1 :: SET_APART]] = True
+    later, later_toxic = [w for w, a in zip(split, apart, strict=True) if a], toxic_of[apart]
+    split, toxic_of = [w for w, a in zip(split, apart, strict=True) if not a], toxic_of[~apart]
+    ids = [vocabulary.add(w) for w in split]
+    own, flat, bounds = vocabulary.arrays()
+    p, known = net.p, {name: np.zeros(len(p_), np.int32) for name, p_ in net.p.items() if name in KNOWN}
+    for x in ids:
         rows = np.unique(x)
-        for c, where in zip(counts[int(toxic_of[k])], (own_of[rows], grams_of(rows)), strict=True):
-            c[np.unique(where)] += 1
-    known = []
-    for k, x in enumerate(ids):
-        rows, back = np.unique(x, return_inverse=True)
-        flat = grams_of(rows)
-        if not len(rows):
-            known.append(np.zeros((0, EVIDENCE), np.float32))
-            continue
-        y = toxic_of[k]
-        without = lambda t: lambda where: log_odds(counts[1][t][where] - y, counts[0][t][where] - (1 - y), n_of[1] - y, n_of[0] - (1 - y))  # noqa: B023, E731
-        known.append(evidence(own_of[rows], flat, sizes_of[rows], without(0), without(1))[back])
-    tables = {f"odds_{name}": log_odds(counts[1][t], counts[0][t], n_of[1], n_of[0]) for t, name in enumerate(("word", "gram"))}
-    windows = [spans(len(x)) for x in ids]
+        known["word"][np.unique(own[rows])] += 1
+        known["gram"][np.unique(flat[ranges(bounds[rows], np.diff(bounds)[rows])])] += 1
+    for name in KNOWN:
+        known[name] = (known[name] >= max(MIN_TEXTS, MIN_SHARE * len(split))) & (name not in without)
+        p[name] *= known[name][:, None]
+    begins = [starts(len(x)) for x in ids]
     groups = [np.flatnonzero(toxic_of == y) for y in (0, 1)]
-    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
-    step, top = 0, None
-    for _ in range(ROUNDS):
+    adam = Adam(p)
+
+    def tables(rows: np.ndarray, grams: np.ndarray, sizes: np.ndarray, d_rows: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        """Gradients of the vectors that are learned, from those of the inputs of ``rows``."""
+        moved = {}
+        for name, where, d in (("word", own[rows], d_rows[:, :LEARNED]), ("gram", grams, np.repeat(d_rows[:, LEARNED:] / sizes[:, None], sizes, 0))):
+            some = known[name][where]
+            if some.any():
+                moved[name] = summed(where[some], d[some])
+        return moved
+
+    # First the vectors alone: whole texts, their words pooled by attention to a linear score.
+    distinct = [np.unique(x) for x in ids]
+    for _ in range(WARM_STEPS):
+        picked = np.concatenate([rng.choice(g, WARM_BATCH // 2) for g in groups])
+        picked = picked[[len(distinct[j]) > 0 for j in picked]]
+        counts = np.array([len(distinct[j]) for j in picked])
+        if not len(counts):
+            break
+        at = np.cumsum(counts) - counts
+        rows, back = np.unique(np.concatenate([distinct[j] for j in picked]), return_inverse=True)
+        sizes = np.diff(bounds)[rows]
+        grams = flat[ranges(bounds[rows], sizes)]
+        x = net.inputs(own[rows], grams, sizes)
+        kept = rng.random(len(back)) > DROPPED
+        score = (x @ p["v"])[back]
+        w = np.exp(score - np.repeat(np.maximum.reduceat(score, at), counts)) * kept + 1e-9
+        w /= np.repeat(np.add.reduceat(w, at), counts)
+        z = np.add.reduceat(w * score, at)
+        dz = (sigmoid(z + p["v0"][0]) - toxic_of[picked]) / len(picked)
+        d_score = np.bincount(back, np.repeat(dz, counts) * w * (1 + score - np.repeat(z, counts)), minlength=len(rows))
+        adam({"v": x.T @ d_score, "v0": np.array([dz.sum()])}, tables(rows, grams, sizes, d_score[:, None] * p["v"]))
+    best_word = [int((net.inputs(own[x], flat[ranges(bounds[x], np.diff(bounds)[x])], np.diff(bounds)[x]) @ p["v"]).argmax()) if len(x) else 0 for x in ids]
+    top = [int(np.abs(b + WINDOW // 2 - k).argmin()) for b, k in zip(begins, best_word, strict=True)]
+    for k in range(ROUNDS):
         for _ in range(STEPS):
             picked = np.concatenate([rng.choice(g, BATCH // 2) for g in groups])
-            grid = np.zeros((WINDOW, len(picked)), np.int32)
-            facts = np.zeros((WINDOW, len(picked), EVIDENCE), np.float32)
-            for i, k in enumerate(picked):
-                best = top is not None and (toxic_of[k] or i % 2)
-                s, e = windows[k][top[k] if best else rng.integers(len(windows[k]))]
-                grid[: e - s, i], facts[: e - s, i] = ids[k][s:e], known[k][s:e]
-            step += 1
-            kept = (rng.random(grid.shape) > DROPPED).astype(np.float32)
-            for name, grad in net.gradients(grid, facts, toxic_of[picked], vocabulary, kept).items():
-                m, v = moments[name]
-                m += 0.1 * (grad - m)
-                v += 0.001 * (grad * grad - v)
-                net.p[name] = net.p[name] * (1 - DECAY) - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        scorer = Scorer(net.p | tables)
-        top = [int(scorer.window_logits([words_of(t)])[0].argmax()) for t in texts]
-    return net.p | tables
+            grid = np.zeros((WINDOW, len(picked)), np.int64)
+            for i, j in enumerate(picked):
+                best = toxic_of[j] or i % 2
+                some = ids[j][begins[j][top[j] if best else rng.integers(len(begins[j]))] :][:WINDOW]
+                grid[: len(some), i] = some
+            rows, back = np.unique(grid, return_inverse=True)
+            back, sizes = back.reshape(grid.shape), np.diff(bounds)[rows]
+            grams = flat[ranges(bounds[rows], sizes)]
+            x = net.inputs(own[rows], grams, sizes)[back]
+            kept = np.repeat(rng.random((2, *grid.shape)) > DROPPED, LEARNED, 0).transpose(1, 2, 0) * (grid > 0)[:, :, None]
+            dense, d_x = net.gradients((x * kept).astype(np.float32), (grid > 0).astype(np.float32), toxic_of[picked])
+            _, d_rows = summed(back.ravel(), (d_x * kept).reshape(-1, WIDTH))
+            adam(dense, tables(rows, grams, sizes, d_rows))
+        if k < ROUNDS - 1:
+            top = [int(z.argmax()) for z in Scorer(p).window_logits(split)]
+    p = {k: v.astype(np.float32) for k, v in p.items()}
+    return calibrated(p, later, later_toxic) if len(later) else p
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[list[str], list[int]]:
-    """At most ``per_class`` texts of each label, by a hash of the id; ids with conflicting labels and giant texts are left out."""
+    """At most ``per_class`` texts of each label, by a hash of the id, among those that are short enough; ids with conflicting labels are left out.
+
+    Ids are chosen before any text is read for the driver.
+    """
     known = labels.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most and toxic in (0, 1)").select("doc_id", "toxic")
-    texts, values = [], []
+    short = docs.filter(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).select("doc_id")
+    fit_for = known.join(short, "doc_id", "left_semi")
     chosen = None
     for y in (0, 1):
-        some = known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        some = fit_for.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
     rows = docs.select("doc_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(2 * per_class)
-    for r in rows.collect():
-        texts.append(r.text)
-        values.append(r.toxic)
-    return texts, values
+    found = rows.collect()
+    return [r.text for r in found], [r.toxic for r in found]
 
 
 def _scored(docs: DataFrame, weights: dict[str, np.ndarray] | None, columns: list[str]) -> DataFrame:
