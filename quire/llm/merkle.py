@@ -13,9 +13,13 @@ one approximate percentile aggregate; the first document of each range is also
 sent to the range before, so ``lead`` finds every next document in one shuffle
 of the texts and no task holds more than a range.
 
-Null texts are empty: one empty paragraph, one leaf-less section.  Repeated ids
-follow each other in the order of their texts' hashes; a table of one row is its
-own next document; empty tables give no rows.
+Roots are whole digests.  Inner nodes and leaves are written, and leaves compared
+for the likeness, by their first SHORT hexadecimal digits.
+
+Null texts are empty: one empty paragraph, one leaf-less section.  Rows without
+an id come first; repeated ids follow each other in the order of their texts'
+hashes; a table of one row is its own next document; empty tables give no rows.
+Texts of any length are read whole.  Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -87,17 +91,15 @@ def with_range(docs: DataFrame, bounds: list[int]) -> DataFrame:
 
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """Each row of ``docs`` (doc_id and ``columns``) with ``next_<column>`` of the next row by doc_id, cyclically."""
-    spark = docs.sparkSession
     count = docs.select("doc_id").count()
     ranges = min(MOST_RANGES, max(1, count // RANGE_ROWS))
     found = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 100 * ranges)).first()[0] if ranges > 1 else None
     docs = with_range(docs, sorted(set(found or []))).withColumn("_order", F.xxhash64(*columns))
-    heads = docs.groupBy("range").agg(F.min(F.struct("doc_id", "_order")).alias("head")).select("range", "head.*").orderBy("range").collect()  # at most MOST_RANGES + 1
-    if not heads:
-        return docs.select("doc_id", *columns, *[F.col(c).alias(f"next_{c}") for c in columns])
-    before = spark.createDataFrame([(h["range"], heads[k - 1]["range"]) for k, h in enumerate(heads)], "range int, before int")
-    least = spark.createDataFrame([(h["range"], h["doc_id"], h["_order"]) for h in heads], "range int, head_id long, head_order long")
-    copies = docs.join(F.broadcast(least.join(before, "range")), "range").filter("doc_id <=> head_id and _order = head_order")
+    # At most MOST_RANGES + 1 rows.
+    every = Window.partitionBy(F.lit(0))
+    heads = docs.groupBy("range").agg(F.min(F.struct("doc_id", "_order")).alias("head")).select("range", F.col("head.doc_id").alias("head_id"), F.col("head._order").alias("head_order"))
+    heads = heads.withColumn("before", F.coalesce(F.lag("range").over(every.orderBy("range")), F.max("range").over(every)))
+    copies = docs.join(F.broadcast(heads), "range").filter("doc_id <=> head_id and _order = head_order")
     names = ["doc_id", "_order", *columns]
     both = docs.select("range", *names, F.lit(0).alias("_copy")).unionByName(copies.select(F.col("before").alias("range"), *names, F.lit(1).alias("_copy")))
     w = Window.partitionBy("range").orderBy("_copy", F.col("doc_id").asc_nulls_first(), "_order")
