@@ -44,12 +44,12 @@ HOT_SHARE = 1024
 def joined_by_key(rows: DataFrame, of_keys: DataFrame, key: str, members: str, total: int) -> DataFrame:
     """``rows`` with the columns of ``of_keys``: a row for each key, with how many of ``total`` rows have it in ``members``.
 
-    Hot keys, at most HOT_SHARE, are broadcast, so their rows stay where they are; the others' are shuffled.
+    Hot keys, at most HOT_SHARE, are broadcast, so their rows stay where they are; the others' are shuffled, at any size.
     ``of_keys`` is read several times: give a staged one.
     """
     is_hot = F.col(members) * HOT_SHARE >= total
     hot, others = of_keys.filter(is_hot).drop(members), of_keys.filter(~is_hot).drop(members)
-    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(others, key))
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(others.hint("merge"), key))
 
 
 _HELD: dict[str, Any] = {}
