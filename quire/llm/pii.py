@@ -6,19 +6,28 @@ plain ones with possessive repeats, and with a look-behind where a failed match
 would be tried again inside the same run; they match the same strings, in
 linear time.
 
-Bootstrapping.  Candidates are identifier-like tokens (at least ID_DIGITS digits)
-that overlap no base match.  The lexical pattern of a base match or candidate is
-the two words before it.  Patterns and the values that they extract form a
-graph.  Base values are the seeds; in each of ROUNDS rounds a pattern's score is
-the share of its distinct values that are known, and counts if at least SUPPORT
-of them are and the share is PATTERN_SHARE or more; a value becomes known if the
-patterns that extract it leave a doubt (product of one less their scores) of at
-most 1 - VALUE_SCORE.  Candidates whose value is known at the end are spans of
-the kind ``id``.  Base spans always stay.
-
-Null texts are empty.  Repeated rows get equal results each.  Empty tables give
-no rows.  Only rows of the graph's patterns and values are shuffled, partly
-aggregated, never a document's text.
+Bootstrapping.  Candidates are tokens of ID_DIGITS digits at least, handles and
+spelled-out mail addresses that overlap no base match.  Lexical patterns of a
+base match or candidate are the two words before it; the word before it, and the
+word behind it, with the value's shape (digits, letters, signs); and its shape
+with the kinds of what is beside it.  Words are in lower case with digits alike;
+contexts reach CONTEXT_CHARS characters, so a longer word counts by its near end.
+
+Patterns and the distinct values that they extract form a graph.  Base values
+are the seeds.  In each round a pattern's score is known / (known + UNSEEN *
+others), since a value that is not known yet speaks less against a pattern than
+a known one for it; it counts if SUPPORT values at least are known and the score
+is PATTERN_SCORE or more.  A value becomes known if the patterns that extract it
+leave a doubt (product of one less their scores) of at most 1 - VALUE_SCORE.
+Rounds go on until no value is new.  Candidates whose value is known at the end
+are spans of the kind ``id``.  Base spans always stay.
+
+Null texts are empty.  Rows without an id and repeated rows get equal results
+each; of equal spans each kind is one, ordered by start and then kind.  Empty
+tables give no rows.  Texts of any length are searched whole.  Other columns are
+not looked at, or carried, whatever their names.  Only rows of the graph's
+patterns and values are shuffled, partly aggregated, never a document's text;
+patterns that many values share are joined in place.
 """
 
 from __future__ import annotations
@@ -26,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import aside, staged, table
+from quire.llm.common import aside, joined_by_key, staged, table
 
 #: Kinds in the order that ties have, their pattern, and what a text must hold to be searched.
 KINDS: list[tuple[str, str, str]] = [
@@ -36,19 +45,24 @@ KINDS: list[tuple[str, str, str]] = [
     ("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+"),
 ]
 ID_DIGITS = 4
-CANDIDATE = r"(?<![A-Za-z0-9_-])(?=(?:[A-Za-z_-]*+[0-9]){%d})[A-Za-z0-9][A-Za-z0-9_-]{5,}+" % ID_DIGITS
+#: A token with digits, a handle, a mail address with its signs spelled out.
+CANDIDATE = (
+    r"(?<![A-Za-z0-9_-])(?=(?:[A-Za-z_-]*+[0-9]){%d})[A-Za-z0-9][A-Za-z0-9_-]{5,}+" % ID_DIGITS
+    + r"|(?<![A-Za-z0-9_.@-])@[A-Za-z0-9_]{3,}+"
+    + r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]++)++"
+)
 CONTEXT_CHARS = 48
-ROUNDS, SUPPORT, PATTERN_SHARE, VALUE_SCORE = 3, 5, 0.8, 0.8
+SUPPORT, UNSEEN, PATTERN_SCORE, VALUE_SCORE = 5, 0.5, 0.5, 0.6
 OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 NAMES = [k for k, _, _ in KINDS] + ["id"]
 
 
 def pieces(text: str, pattern: str, condition: Column, rank: int) -> Column:
-    """Matches in order: array of structs (rank, n, value, gap before it, last characters of the gap)."""
+    """Matches in order: array of structs (rank, n, value, gap before it, what is beside it)."""
     found = F.when(condition, F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)))
     gaps = F.split(F.col(text), pattern, -1)
-    one = lambda v, g, k: F.struct(F.lit(rank).alias("rank"), k.alias("n"), v.alias("value"), F.length(g).alias("gap"), F.right(g, F.lit(CONTEXT_CHARS)).alias("before"))
-    zipped = F.transform(F.arrays_zip(found.alias("v"), F.slice(gaps, 1, F.size(found)).alias("g")), lambda x, k: one(x["v"], x["g"], k))
+    beside = lambda v, g, a, k: F.struct(F.lit(rank).alias("rank"), k.alias("n"), v.alias("value"), F.length(g).alias("gap"), F.right(g, F.lit(CONTEXT_CHARS)).alias("before"), F.left(a, F.lit(CONTEXT_CHARS)).alias("after"))
+    zipped = F.transform(F.arrays_zip(found.alias("v"), F.slice(gaps, 1, F.size(found)).alias("g"), F.slice(gaps, 2, F.size(found)).alias("a")), lambda x, k: beside(x["v"], x["g"], x["a"], k))
     return F.when(F.size(found) > 0, zipped)
 
 
@@ -69,20 +83,33 @@ def valid(rank: Column, value: Column) -> Column:
     )
 
 
+def patterns(value: Column, before: Column, after: Column) -> Column:
+    """The lexical patterns of a value."""
+    plain = lambda c: F.regexp_replace(F.lower(c), "[0-9]", "#")
+    left, right = F.regexp_extract(before, r"(\S+)\s*[\"'(\[]*$", 1), F.regexp_extract(after, r"^[\"')\].,;:!]*\s*(\S+)", 1)
+    two = F.regexp_replace(F.regexp_extract(before, r"(\S+\s+\S+)\s*[\"'(\[]*$", 1), r"\s+", " ")
+    shape = F.regexp_replace(F.regexp_replace(value, "[A-Za-z]+", "a"), "[0-9]", "#")
+    kind = lambda c: F.when(c == "", "none").when(c.rlike(r"^\p{L}"), "word").when(c.rlike("^[0-9]"), "number").otherwise("sign")
+    made = F.array(
+        F.when(two != "", F.concat(F.lit("two "), plain(two))), F.when(left != "", F.concat_ws(" ", F.lit("left"), plain(left), shape)),
+        F.when(right != "", F.concat_ws(" ", F.lit("right"), shape, plain(right))), F.concat_ws(" ", F.lit("shape"), kind(left), shape, kind(right)),
+    )
+    return F.filter(made, lambda p: p.isNotNull())
+
+
 def matches(docs: DataFrame) -> DataFrame:
-    """One row per base match and candidate of ``docs`` (_row, text and more): rank, first, last (end), value, pattern."""
+    """One row per base match and candidate of ``docs`` (_row, text and more): rank, first, last (end), value, patterns."""
     digit = F.col("text").rlike("[0-9]")
+    spelled = F.contains("text", F.lit("@")) | F.contains("text", F.lit("at]")) | F.contains("text", F.lit("at)"))
     arrays = [pieces("text", p, F.contains("text", F.lit(needs)) if needs else digit, k) for k, (_, p, needs) in enumerate(KINDS)]
-    arrays.append(pieces("text", CANDIDATE, digit, len(KINDS)))
+    arrays.append(pieces("text", CANDIDATE, digit | spelled, len(KINDS)))
     # One column for each kind: a text without a kind's mark is not searched for it.
     wide = docs.select("*", *[a.alias(f"_m{k}") for k, a in enumerate(arrays)])
-    empty = F.array().cast("array<struct<rank:int,n:int,value:string,gap:int,before:string>>")
+    empty = F.array().cast("array<struct<rank:int,n:int,value:string,gap:int,before:string,after:string>>")
     rows = wide.select("_row", *[c for c in docs.columns if c not in ("_row", "text")], F.explode(F.concat(*[F.coalesce(f"_m{k}", empty) for k in range(len(arrays))])).alias("m")).select("*", "m.*").drop("m")
     w = Window.partitionBy("_row", "rank").orderBy("n")
     rows = rows.withColumn("last", F.sum(F.col("gap") + F.length("value")).over(w)).withColumn("first", F.col("last") - F.length("value"))
-    words = F.regexp_extract(F.lower("before"), r"(\S+\s+\S+)\s*[\"'(\[]*$", 1)
-    pattern = F.regexp_replace(F.regexp_replace(words, r"[0-9]", "#"), r"\s+", " ")
-    return rows.filter(valid(F.col("rank"), F.col("value"))).withColumn("pattern", pattern).drop("before", "gap", "n")
+    return rows.filter(valid(F.col("rank"), F.col("value"))).withColumn("patterns", patterns(F.col("value"), F.col("before"), F.col("after"))).drop("before", "after", "gap", "n")
 
 
 def apart(rows: DataFrame) -> DataFrame:
@@ -96,26 +123,31 @@ def apart(rows: DataFrame) -> DataFrame:
 
 def bootstrap(rows: DataFrame) -> DataFrame:
     """Values (distinct) that the graph of patterns and values makes known beyond the seeds."""
-    seed = (F.col("rank") < len(KINDS)).cast("int")
-    graph = rows.filter("pattern <> ''").groupBy("pattern", "value").agg(F.max(seed).alias("seed"))
+    is_seed = F.col("rank") < len(KINDS)
+    edges = rows.select(F.explode("patterns").alias("pattern"), "value", is_seed.cast("int").alias("seed")).groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
+    edges = staged(edges, "pii-edges")
     # Patterns of fewer than SUPPORT values never count, in any round.
-    enough = graph.groupBy("pattern").agg(F.count("*").alias("values")).filter(F.col("values") >= SUPPORT)
-    graph = staged(graph.join(enough, "pattern"), "pii-graph")
-    known = graph.select("pattern", "value", "values", F.col("seed").alias("known"))
-    for _ in range(ROUNDS):
-        scored = known.groupBy("pattern", "values").agg(F.sum("known").alias("n")).filter((F.col("n") >= SUPPORT) & (F.col("n") >= PATTERN_SHARE * F.col("values")))
-        scored = scored.select("pattern", (F.col("n") / F.col("values")).alias("score"))
-        doubt = known.join(scored, "pattern").groupBy("value").agg(F.min(F.when(F.col("score") >= 1, 0.0).otherwise(1.0)).alias("sure"), F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("score")))).alias("doubt"))
-        found = doubt.filter((F.col("sure") == 0) | (F.exp("doubt") <= 1 - VALUE_SCORE)).select("value", F.lit(1).alias("now"))
-        known = known.join(found, "value", "left").select("pattern", "value", "values", F.greatest("known", F.coalesce("now", F.lit(0))).alias("known"))
-    return known.filter("known = 1").select("value").distinct()
+    enough = staged(edges.groupBy("pattern").agg(F.count("*").alias("members")).filter(F.col("members") >= SUPPORT), "pii-patterns")
+    graph = staged(joined_by_key(edges, enough, "pattern", "members", edges.count()), "pii-graph")
+    total = graph.count()
+    known = staged(graph.filter("seed = 1").select("value").distinct(), "pii-known")
+    while True:
+        # A value found in a round is known in the next.
+        counted = graph.join(known.withColumn("now", F.lit(1)), "value", "left").groupBy("pattern").agg(F.count("now").alias("n"), F.count("*").alias("members"))
+        score = F.col("n") / (F.col("n") + UNSEEN * (F.col("members") - F.col("n")))
+        scored = staged(counted.withColumn("score", score).filter((F.col("n") >= SUPPORT) & (F.col("score") >= PATTERN_SCORE)).select("pattern", "members", "score"), "pii-scores")
+        doubt = joined_by_key(graph.select("pattern", "value"), scored, "pattern", "members", total).groupBy("value").agg(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("score")))).alias("doubt"))
+        found = staged(doubt.filter(F.exp("doubt") <= 1 - VALUE_SCORE).select("value").join(known, "value", "left_anti"), "pii-found")
+        if found.isEmpty():
+            return known
+        known = known.unionByName(found)
 
 
 def spans(docs: DataFrame, key: list[str]) -> DataFrame:
     """One row per ``key`` with a match: arrays ``base`` and ``every`` of structs (first, rank, last), in order."""
     with_row = docs.withColumn("_row", F.monotonically_increasing_id())
     rows = staged(apart(matches(with_row.select("_row", *key, "text"))).drop("_row"), "pii-matches")
-    new = bootstrap(rows).withColumn("_new", F.lit(True))
+    new = bootstrap(rows)
     is_base = F.col("rank") < len(KINDS)
     base = rows.filter(is_base).select(*key, "rank", "first", "last")
     found = rows.filter(~is_base).join(new, "value", "left_semi").select(*key, "rank", "first", "last")
