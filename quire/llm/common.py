@@ -22,17 +22,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
+    """The folder that driver and executors share, named by ``spark.checkpoint.dir``.
+
+    Only a local session, whose executors are in the driver, gets a temporary one where none is set.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="quire-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+def stage_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_dir(spark)}/quire-{spark.sparkContext.applicationId}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/quire/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -135,6 +145,6 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def clear_stages(spark: SparkSession) -> None:
-    """Removes the stage tables from the shared folder, once no DataFrame made from them is needed."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/quire")
+    """Removes this application's stage tables from the shared folder, once no DataFrame made from them is needed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
