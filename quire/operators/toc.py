@@ -2,8 +2,10 @@
 
 Ancestors come from one window over what precedes: the latest entry of a level
 at most k is the ancestor at level k if its level is k.  Boundaries come from
-the same in descending order.  One document is one window partition, with one
-exchange for all operators chained here.
+the same in descending order.  The levels are those that the outlines have,
+however deep; operators ask for them in one small aggregate unless they are
+given.  One document is one window partition, with one exchange for all
+operators chained here.
 """
 
 from __future__ import annotations
@@ -13,7 +15,11 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import clean_filename, contains_any, strip
 
-MAX_LEVEL = 8
+
+
+def levels_of(toc: DataFrame) -> list[int]:
+    """The levels that occur, ascending: a row of one array."""
+    return sorted(toc.agg(F.collect_set("level").alias("levels")).first().levels)
 
 
 def in_order() -> WindowSpec:
@@ -34,34 +40,39 @@ def with_children(toc: DataFrame) -> DataFrame:
     return toc.withColumn("has_children", F.coalesce(F.lead("level").over(in_order()) > F.col("level"), F.lit(False)))
 
 
-def _of_level(columns: list[str], window, deepest: int = MAX_LEVEL) -> list[Column]:
-    """For each level k: struct of ``columns`` and level of the nearest entry whose level is at most k."""
-    return [F.last(F.when(F.col("level") <= k, F.struct("level", *columns)), ignorenulls=True).over(window) for k in range(1, deepest + 1)]
+def _of_level(columns: list[str], window: WindowSpec, levels: list[int]) -> list[Column]:
+    """For each of ``levels``: struct of ``columns`` and level of the nearest entry whose level is at most that."""
+    return [F.last(F.when(F.col("level") <= k, F.struct("level", *columns)), ignorenulls=True).over(window) for k in levels]
 
 
-def with_end(toc: DataFrame, pages: str = "n_pages") -> DataFrame:
+def with_end(toc: DataFrame, pages: str = "n_pages", levels: list[int] | None = None) -> DataFrame:
     """Inclusive ``end``: the page before the next entry of the same or a higher rank, or the last page."""
-    nearest = F.array(*[c.getField("start") for c in _of_level(["start"], after())])
-    boundary = F.element_at(nearest, F.least(F.col("level"), F.lit(MAX_LEVEL)))
+    levels = levels_of(toc) if levels is None else levels
+    nearest = F.array(*[c.getField("start") for c in _of_level(["start"], after(), levels)]).cast("array<int>")
+    boundary = F.get(nearest, F.array_position(F.array(*map(F.lit, levels)).cast("array<int>"), F.col("level").cast("int")).cast("int") - 1)
     return toc.withColumn("end", F.greatest(F.coalesce(boundary, F.col(pages)) - 1, F.col("start")))
 
 
-def ancestors(columns: list[str]) -> Column:
+def ancestors(columns: list[str], levels: list[int]) -> Column:
     """Array of structs of the ancestors, outermost first."""
-    found = F.array(*[F.when(c["level"] == k, c) for k, c in enumerate(_of_level(columns, in_order().rowsBetween(Window.unboundedPreceding, -1)), 1)])
+    before = in_order().rowsBetween(Window.unboundedPreceding, -1)
+    # One level more, so that the array has a type where no level is.
+    found = F.array(*[F.when(c["level"] == k, c) for k, c in zip([*levels, None], _of_level(columns, before, [*levels, levels[-1] if levels else 0]), strict=True)])
     return F.filter(found, lambda a: a.isNotNull() & (a["level"] < F.col("level")))
 
 
-def with_blacklist(toc: DataFrame, blacklist: list[str]) -> DataFrame:
+def with_blacklist(toc: DataFrame, blacklist: list[str], levels: list[int] | None = None) -> DataFrame:
     """``is_blacklisted``: the title as it came, or an ancestor's, holds a listed string."""
+    levels = levels_of(toc) if levels is None else levels
     hit = toc.withColumn("_hit", contains_any("raw_title" if "raw_title" in toc.columns else "title", blacklist))
-    up = hit.withColumn("_up", ancestors(["_hit"]))
+    up = hit.withColumn("_up", ancestors(["_hit"], levels))
     return up.withColumn("is_blacklisted", F.col("_hit") | F.exists("_up", lambda a: a["_hit"])).drop("_hit", "_up")
 
 
-def with_category(toc: DataFrame) -> DataFrame:
+def with_category(toc: DataFrame, levels: list[int] | None = None) -> DataFrame:
     """``category``: ancestors' titles joined by slashes; call after blacklisted rows are gone."""
-    return toc.withColumn("_up", ancestors(["title"])).withColumn("category", F.array_join(F.transform("_up", lambda a: a["title"]), "/")).drop("_up")
+    levels = levels_of(toc) if levels is None else levels
+    return toc.withColumn("_up", ancestors(["title"], levels)).withColumn("category", F.array_join(F.transform("_up", lambda a: a["title"]), "/")).drop("_up")
 
 
 def with_kind(toc: DataFrame, split_level: int) -> DataFrame:
@@ -70,9 +81,10 @@ def with_kind(toc: DataFrame, split_level: int) -> DataFrame:
     return toc.withColumn("kind", F.when((level == split_level) | ((level < split_level) & ~F.col("has_children")), "file").when(level < split_level, "folder").otherwise("content"))
 
 
-def with_path(toc: DataFrame) -> DataFrame:
+def with_path(toc: DataFrame, levels: list[int] | None = None) -> DataFrame:
     """``path``: cleaned titles of the folders above and the entry's own; equal paths of a document get ``pos`` added."""
-    up = toc.withColumn("_up", ancestors(["title", "kind"]))
+    levels = levels_of(toc) if levels is None else levels
+    up = toc.withColumn("_up", ancestors(["title", "kind"], levels))
     folders = F.filter("_up", lambda a: a["kind"] == "folder")
     own = F.concat_ws("/", F.transform(folders, lambda a: clean_filename(a["title"])), clean_filename("title"))
     same = Window.partitionBy("doc_id", "path").orderBy("pos")
@@ -81,9 +93,10 @@ def with_path(toc: DataFrame) -> DataFrame:
 
 def plan(toc: DataFrame, blacklist: list[str], split_level: int) -> DataFrame:
     """The whole outline plan, without running anything over pages; blacklisted entries still bound their neighbours."""
-    bounded = with_end(with_children(entries(toc)))
-    kept = with_blacklist(bounded, blacklist).filter(~F.col("is_blacklisted"))
-    planned = with_path(with_category(with_kind(kept, split_level)))
+    levels = levels_of(toc)
+    bounded = with_end(with_children(entries(toc)), levels=levels)
+    kept = with_blacklist(bounded, blacklist, levels).filter(~F.col("is_blacklisted"))
+    planned = with_path(with_category(with_kind(kept, split_level), levels), levels)
     reason = F.when(F.col("kind") == "file", F.when(F.col("level") == split_level, "level").otherwise("leaf"))
     return planned.withColumns({"page_count": F.col("end") - F.col("start") + 1, "reason": reason})
 
@@ -99,9 +112,10 @@ def uncovered_pages(planned: DataFrame, documents: DataFrame) -> DataFrame:
     return every.join(article_pages(planned).select("doc_id", "page").distinct(), ["doc_id", "page"], "left_anti")
 
 
-def nav_entries(nav: DataFrame) -> DataFrame:
+def nav_entries(nav: DataFrame, levels: list[int] | None = None) -> DataFrame:
     """Flat navigation rows (doc_id, pos, level, title, href, is_section) to (doc_id, href, title, category); later rows win."""
     section = F.when(F.col("is_section"), clean_filename(F.coalesce(F.col("title"), F.lit("未命名"))))
-    up = nav.withColumn("_section", section).withColumn("_up", ancestors(["_section"]))
+    levels = levels_of(nav) if levels is None else levels
+    up = nav.withColumn("_section", section).withColumn("_up", ancestors(["_section"], levels))
     flat = up.filter(~F.col("is_section")).select("doc_id", "pos", strip(F.substring_index("href", "#", 1)).alias("href"), "title", F.array_join(F.transform("_up", lambda a: a["_section"]), "/").alias("category")).filter("href <> ''")
     return flat.groupBy("doc_id", "href").agg(F.max_by(F.struct("title", "category"), "pos").alias("x")).select("doc_id", "href", "x.*")
