@@ -1,12 +1,14 @@
 """HTML to Markdown with the standard library's parser, and the parts that regular expressions do safely.
 
 Nesting follows a parser that closes nothing by itself: an unclosed element
-holds all that follows up to its parent's end.
+holds all that follows up to its parent's end.  Elements are read and written
+with explicit stacks, so any depth of nesting does.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -16,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-BLOCKS = {"p", "div", "article", "section", "header", "footer", "nav", "main", "aside", "ul", "ol", "table", "blockquote", "pre", "figure", "dl", "form", "body", "html", "h1", "h2", "h3", "h4", "h5", "h6"}
+BLOCKS = {"p", "div", "article", "section", "header", "footer", "nav", "main", "aside", "ul", "ol", "table", "blockquote", "pre", "figure", "dl", "form", "body", "html", "h1", "h2", "h3", "h4", "h5", "h6", "li"}
+#: Deeper lists are written with this many indents.
+INDENTS = 50
 #: Element and its mark on both sides.
 MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`", "del": "~~", "s": "~~"}
 
@@ -37,20 +41,23 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("")
         self.open = [self.root]
+        self.count: Counter[str] = Counter()  # of open elements
 
     def handle_starttag(self, tag, attrs):
         node = Node(tag, {k: v or "" for k, v in attrs})
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.open[-1].children.append(Node(tag, {k: v or "" for k, v in attrs}))
 
     def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                del self.open[k:]
+        while self.count[tag]:  # what is open inside ends too
+            closed = self.open.pop().tag
+            self.count[closed] -= 1
+            if closed == tag:
                 break
 
     def handle_data(self, data):
@@ -80,73 +87,148 @@ def _emphasised(mark: str, text: str) -> str:
     return f"{lead}{mark}{core}{mark}{tail}"
 
 
-def _table(node: Node) -> str:
-    rows = []
-    for n in walk(node):
-        if n.tag == "tr":
-            rows.append([re.sub(r"\s+", " ", _render(c)).strip() for c in n.children if isinstance(c, Node) and c.tag in ("td", "th")])
-    rows = [r for r in rows if r]
-    if not rows:
-        return ""
+def _rows(table: Node) -> tuple[list, list[list[Node]]]:
+    """What of a table is in no cell, and its own rows' cells; inner tables keep theirs."""
+    holds: set[int] = set()  # elements between the table and its rows
+    way, stack = {}, [table]
+    while stack:
+        n = stack.pop()
+        for c in n.children:
+            if isinstance(c, Node) and c.tag != "table":
+                way[id(c)] = n
+                if c.tag == "tr":
+                    up = n
+                    while up is not table and id(up) not in holds:
+                        holds.add(id(up))
+                        up = way[id(up)]
+                stack.append(c)
+    loose: list = []
+    rows: list[list[Node]] = []
+    stack = list(reversed(table.children))
+    while stack:
+        c = stack.pop()
+        if isinstance(c, Node) and c.tag == "tr":
+            cells = [x for x in c.children if isinstance(x, Node) and x.tag in ("td", "th")]
+            stack += [x for x in reversed(c.children) if not (isinstance(x, Node) and x.tag in ("td", "th"))]
+            rows.append(cells)
+        elif isinstance(c, Node) and id(c) in holds:
+            stack += reversed(c.children)
+        else:
+            loose.append(c)
+    return loose, [r for r in rows if r]
+
+
+def _table_lines(rows: list[list[str]]) -> str:
     width = max(map(len, rows))
     lines = ["| " + " | ".join(r + [""] * (width - len(r))) + " |" for r in rows]
     return "\n".join([lines[0], "| " + " | ".join(["---"] * width) + " |", *lines[1:]])
 
 
-def _list(node: Node, depth: int) -> str:
+class _Frame:
+    """An element that is being written: what is left of its children, and the texts of the others."""
+
+    def __init__(self, node: Node, lists: int):
+        self.node, self.lists, self.texts, self.rows = node, lists, [], None
+        self.todo = node.children
+        if node.tag == "table":
+            loose, self.rows = _rows(node)
+            self.todo = [Node("", {}, loose), *(Node("", {}, cell.children) for row in self.rows for cell in row)]
+        elif node.tag in ("ul", "ol"):
+            self.todo = [c for c in node.children if isinstance(c, Node)]
+        self.next = 0
+
+
+def _without_blank_lines(text: str) -> str:
+    while "\n\n" in text:
+        text = text.replace("\n\n", "\n")
+    return text
+
+
+def _list_lines(frame: _Frame) -> str:
     out, n = [], 0
-    for c in node.children:
-        if isinstance(c, Node) and c.tag == "li":
+    indent = "  " * min(frame.lists, INDENTS)
+    for c, text in zip(frame.todo, frame.texts, strict=True):
+        if c.tag == "li":
             n += 1
-            text = re.sub(r"\n{2,}", "\n", _render(c, depth + 1)).strip()
-            out.append("  " * depth + (f"{n}. " if node.tag == "ol" else "- ") + text)
-        elif isinstance(c, Node):
-            out.append(_render(Node("", {}, [c]), depth).strip())
+            out.append(indent + (f"{n}. " if frame.node.tag == "ol" else "- ") + _without_blank_lines(text).strip())
+        else:
+            out.append(text.strip("\n"))
     return "\n".join(x for x in out if x.strip())
 
 
-def _render(node: Node, depth: int = 0) -> str:
-    """Children to text.  Elements are entered by recursion up to a bound, then as plain text."""
-    parts: list[str] = []
-    for c in node.children:
+def _closed(frame: _Frame) -> str:
+    """An element's text from its children's."""
+    node, tag = frame.node, frame.node.tag
+    if tag == "table":
+        cells = iter(frame.texts[1:])
+        rows = [[" ".join(next(cells).split()) for _ in row] for row in frame.rows]
+        return f"\n\n{frame.texts[0].strip()}\n\n" + (_table_lines(rows) + "\n\n" if rows else "")
+    if tag in ("ul", "ol"):
+        return "\n\n" + _list_lines(frame) + "\n\n"
+    inner = "".join(frame.texts)
+    if tag in MARKS:
+        return _emphasised(MARKS[tag], inner)
+    if tag == "a":
+        href = node.attrs.get("href", "")
+        return f"[{inner.strip()}]({href})" if inner.strip() and href else inner
+    if len(tag) == 2 and tag[0] == "h" and tag[1] in "123456":
+        text = re.sub(r"\s+", " ", inner).strip()
+        return f"\n\n{'#' * int(tag[1])} {text}\n\n" if text else ""
+    if tag == "blockquote":
+        return "\n\n" + "\n".join(f"> {x}".rstrip() for x in inner.strip().split("\n")) + "\n\n"
+    if tag in BLOCKS:
+        return f"\n\n{inner.strip()}\n\n"
+    return inner
+
+
+def _leaf(node: Node) -> str | None:
+    """The text of an element that needs no look at its children's; None for others."""
+    tag = node.tag
+    if tag in ("script", "style"):
+        return ""
+    if tag == "br":
+        return "  \n"
+    if tag == "hr":
+        return "\n\n---\n\n"
+    if tag == "img":
+        return f"![{node.attrs.get('alt', '')}]({node.attrs.get('src', '')})"
+    if tag == "pre":
+        text = "".join(walk_texts(node))
+        return f"\n\n```\n{text.strip(chr(10))}\n```\n\n"
+    return None
+
+
+def walk_texts(node: Node) -> Iterator[str]:
+    """All text inside, in order."""
+    stack = list(reversed(node.children))
+    while stack:
+        c = stack.pop()
         if isinstance(c, str):
-            parts.append(re.sub(r"\s+", " ", c))
-            continue
-        tag = c.tag
-        if tag in ("script", "style"):
+            yield c
+        else:
+            stack += reversed(c.children)
+
+
+def _render(root: Node) -> str:
+    """The children of ``root`` as text."""
+    top = _Frame(Node("", {}, root.children), 0)
+    stack = [top]
+    while True:
+        frame = stack[-1]
+        if frame.next == len(frame.todo):
+            if frame is top:
+                return "".join(top.texts)
+            stack.pop()
+            stack[-1].texts.append(_closed(frame))
             continue
-        if depth > 150:
-            parts.append(" ".join(x for n in walk(c) if n.tag not in ("script", "style") for x in n.children if isinstance(x, str)))
-        elif tag == "br":
-            parts.append("  \n")
-        elif tag == "hr":
-            parts.append("\n\n---\n\n")
-        elif tag == "img":
-            parts.append(f"![{c.attrs.get('alt', '')}]({c.attrs.get('src', '')})")
-        elif tag == "pre":
-            text = "".join(x for n in walk(c) for x in n.children if isinstance(x, str))
-            parts.append(f"\n\n```\n{text.strip(chr(10))}\n```\n\n")
-        elif tag in ("ul", "ol"):
-            parts.append("\n\n" + _list(c, depth if depth < 8 else 8) + "\n\n")
-        elif tag == "table":
-            parts.append("\n\n" + _table(c) + "\n\n")
+        c = frame.todo[frame.next]
+        frame.next += 1
+        if isinstance(c, str):
+            frame.texts.append(re.sub(r"\s+", " ", c))
+        elif (text := _leaf(c)) is not None:
+            frame.texts.append(text)
         else:
-            inner = _render(c, depth + 1)
-            if tag in MARKS:
-                parts.append(_emphasised(MARKS[tag], inner))
-            elif tag == "a":
-                href = c.attrs.get("href", "")
-                parts.append(f"[{inner.strip()}]({href})" if inner.strip() and href else inner)
-            elif len(tag) == 2 and tag[0] == "h" and tag[1] in "123456":
-                text = re.sub(r"\s+", " ", inner).strip()
-                parts.append(f"\n\n{'#' * int(tag[1])} {text}\n\n" if text else "")
-            elif tag == "blockquote":
-                parts.append("\n\n" + "\n".join(f"> {x}".rstrip() for x in inner.strip().split("\n")) + "\n\n")
-            elif tag in BLOCKS or tag == "li":
-                parts.append(f"\n\n{inner.strip()}\n\n")
-            else:
-                parts.append(inner)
-    return "".join(parts)
+            stack.append(_Frame(c, frame.lists + (frame.node.tag in ("ul", "ol"))))
 
 
 def to_markdown(html: str | None, images: dict[str, str] | None = None) -> str:
@@ -169,12 +251,21 @@ def image_sources(html: str | None) -> list[str]:
     return [n.attrs["src"] for n in walk(parse(html or "")) if n.tag == "img" and n.attrs.get("src")]
 
 
-def markdown_pages(pages: DataFrame, html: str = "html", output: str = "markdown") -> DataFrame:
-    @F.pandas_udf("string")
-    def convert(s: pd.Series) -> pd.Series:
-        return s.map(to_markdown)
+def markdown_pages(pages: DataFrame, html: str = "html", output: str = "markdown", error: str | None = None) -> DataFrame:
+    """``output``: the page as Markdown, null for one that cannot be read; ``error`` names a column that says why."""
+
+    @F.pandas_udf("markdown string, error string")
+    def convert(s: pd.Series) -> pd.DataFrame:
+        out = []
+        for page in s:
+            try:
+                out.append((to_markdown(page), None))
+            except Exception as e:  # a page that the parser refuses is a row, not the end of the job
+                out.append((None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(out, columns=["markdown", "error"], dtype=object)
 
-    return pages.withColumn(output, convert(F.col(html)))
+    made = pages.withColumn("_made", convert(F.col(html))).withColumn(output, F.col("_made.markdown"))
+    return (made.withColumn(error, F.col("_made.error")) if error else made).drop("_made")
 
 
 def image_list(html: str = "html") -> Column:

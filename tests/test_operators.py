@@ -4,6 +4,7 @@ import random
 import re
 import zipfile
 
+import pytest
 import yaml
 from pyspark.sql import functions as F
 
@@ -190,7 +191,95 @@ def test_html():
     assert md('<a href="u">t</a><img src="s" alt="i">') == "[t](u)![i](s)"
     assert md("a &amp; b &am") == "a & b &am"
     assert md(None) == md("") == ""
-    assert "deep" in md("<div>" * 3000 + "deep")
+    assert md("<div>" * 3000 + "deep") == md("<b>" * 3000 + "</i>" * 3000 + "<p>deep") .strip("*") == "deep"
+    assert md("<ul><li>a<ul><li>b</li><li>c</li></ul></li><li>d</li></ul>") == "- a\n  - b\n  - c\n- d"
+    assert md("<table><caption>c</caption><tbody><tr><td>out<table><tr><td>in</td></tr></table></td></tr></tbody></table>") == "c\n\n| out | in | | --- | |\n| --- |"
+
+
+@pytest.mark.parametrize("unit", ["<table><tr><td>", "<ul><li>", "<ol><li><div>", "<blockquote>", "<div><table><tr><th>"])
+def test_html_nesting(unit):
+    """Each text comes once at any nesting, in order, and thousands of levels do not fail."""
+    depth = 40 if "quote" in unit else 5000 if "ul" in unit else 700
+    text = html.to_markdown("".join(f"{unit}w{k}w " for k in range(depth)))
+    assert re.findall(r"w\d+w", text) == [f"w{k}w" for k in range(depth)]
+
+
+def plain_render(n, lists=0):
+    """The same Markdown by recursion, for documents of few levels."""
+    if isinstance(n, str):
+        return re.sub(r"\s+", " ", n)
+    if n.tag in ("ul", "ol"):
+        out, k = [], 0
+        for c in n.children:
+            if isinstance(c, html.Node):
+                k += c.tag == "li"
+                inner = re.sub(r"\n{2,}", "\n", "".join(plain_render(x, lists + 1) for x in c.children)).strip() if c.tag == "li" else plain_render(c, lists + 1).strip("\n")
+                out.append(("  " * lists + (f"{k}. " if n.tag == "ol" else "- ") + inner) if c.tag == "li" else inner)
+        return "\n\n" + "\n".join(x for x in out if x.strip()) + "\n\n"
+    inner = "".join(plain_render(x, lists) for x in n.children)
+    if n.tag in html.MARKS:
+        core = inner.strip()
+        return inner.replace(core, f"{html.MARKS[n.tag]}{core}{html.MARKS[n.tag]}", 1) if core else inner
+    if n.tag == "h2":
+        text = " ".join(inner.split())
+        return f"\n\n## {text}\n\n" if text else ""
+    if n.tag == "a":
+        return f"[{inner.strip()}](u)" if inner.strip() else inner
+    return f"\n\n{inner.strip()}\n\n" if n.tag in ("p", "div", "li") else inner
+
+
+def test_html_same_as_recursion():
+    rng = random.Random(12)
+
+    def tree(depth):
+        kind = rng.choice(["text", "p", "div", "b", "i", "a", "h2", "ul", "ol", "span"]) if depth else "text"
+        if kind == "text":
+            return rng.choice(["x", " y ", "z\n", "word word"])
+        inner = "".join(tree(depth - 1) for _ in range(rng.randint(0, 4)))
+        if kind in ("ul", "ol"):
+            inner = "".join(f"<li>{tree(depth - 1)}{tree(depth - 1)}</li>" for _ in range(rng.randint(1, 3)))
+        return f'<a href="u">{inner}</a>' if kind == "a" else f"<{kind}>{inner}</{kind}>"
+
+    for _ in range(400):
+        page = "".join(tree(5) for _ in range(3))
+        want = "".join(plain_render(c) for c in html.parse(page).children)
+        want = "\n".join(x.rstrip(" ") + ("  " if x.endswith("  ") else "") for x in want.split("\n"))
+        assert html.to_markdown(page) == re.sub(r"(\s*\n){3,}", "\n\n", want).strip(), page
+
+
+def test_html_error_is_a_row(spark, monkeypatch):
+    held = html.to_markdown
+    monkeypatch.setattr(html, "to_markdown", held)
+    pages = spark.createDataFrame([(1, "<p>a"), (2, "<![if x"), (3, None)], "page_id long, html string")
+    got = {r.page_id: (r.markdown, r.problem) for r in html.markdown_pages(pages, error="problem").collect()}
+    assert got[1] == ("a", None) and got[3] == ("", None) and len(got) == 3
+    assert html.markdown_pages(pages).columns == ["page_id", "html", "markdown"]
+
+
+def test_outlines_of_any_depth(spark):
+    """Levels to 20 and far apart: ends, categories and blacklists against stacks; an empty outline."""
+    rng = random.Random(10)
+    cases = []
+    for _ in range(40):
+        level, rows = 1, []
+        for k in range(rng.randint(1, 40)):
+            level = rng.randint(max(1, level - 6), min(20, level + 3))
+            rows.append((level if level < 20 else 1000, rng.choice(["a", "b", "c", "d", "BAD"] if k else ["a"]) + str(k), rng.randint(1, 30)))
+        cases.append(rows)
+    df = spark.createDataFrame([(d, k, lv, t, p, 31) for d, c in enumerate(cases) for k, (lv, t, p) in enumerate(c)], "doc_id int, pos int, level int, title string, page int, n_pages int")
+    got = {(r.doc_id, r.pos): r for r in toc.plan(df, ["BAD"], 9).collect()}
+    for d, c in enumerate(cases):
+        stack = []
+        for k, (level, title, page) in enumerate(c):
+            stack = [x for x in stack if x[0] < level]
+            bad = "BAD" in title or any("BAD" in t for _, t in stack)
+            assert ((d, k) not in got) == bad
+            if not bad:
+                after = [p - 1 for lv, _, p in c[k + 1 :] if lv <= level]
+                assert got[d, k].end == max((after[0] if after else 31) - 1, page - 1)
+                assert got[d, k].category == "/".join(t for _, t in stack)
+            stack.append((level, title))
+    assert toc.plan(df.limit(0), ["BAD"], 2).collect() == []
 
 
 BOX = '<container xmlns="urn:oasis:names:tc:opendocument:xmlns:container"><rootfiles><rootfile full-path="OEBPS/c.opf"/></rootfiles></container>'
