@@ -1,4 +1,4 @@
-"""``python -m quire epub|docx|text|html INPUT OUTPUT``: Markdown bundles as a table under OUTPUT."""
+"""``python -m quire epub|pdf|docx|text|html INPUT OUTPUT``: Markdown bundles as a table under OUTPUT."""
 
 from __future__ import annotations
 
@@ -9,21 +9,33 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import clean_filename, file_stem
 from quire.operators import html, reflow
-from quire.plans.books import epub_bundles
+from quire.plans.books import delegated_bundles, epub_bundles, pdf_bundles
 from quire.plans.bundles import bundle, write_table
+from quire.profiles import PROFILES
 from quire.sources import files
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="quire", description=__doc__)
-    parser.add_argument("kind", choices=["epub", "docx", "text", "html"])
+    parser.add_argument("kind", choices=["epub", "pdf", "docx", "text", "html"])
     parser.add_argument("input")
     parser.add_argument("output")
+    parser.add_argument("--profile", choices=sorted(PROFILES), default="a", help="layout of PDF books")
+    parser.add_argument("--level", type=int, default=1, help="outline level whose entries are articles")
+    parser.add_argument("--without", action="append", default=[], help="leave out outline entries whose title holds this")
+    parser.add_argument("--delegate", action="store_true", help="let the PDF library convert the pages")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("quire").getOrCreate()
     if args.kind == "epub":
         made, assets = epub_bundles(spark, args.input)
         write_table(assets, f"{args.output}/assets")
+    elif args.kind == "pdf":
+        if args.delegate:
+            made, errors = delegated_bundles(spark, args.input, args.without, args.level)
+        else:
+            made, assets, errors = pdf_bundles(spark, args.input, PROFILES[args.profile], args.without, args.level)
+            write_table(assets, f"{args.output}/assets")
+        write_table(errors, f"{args.output}/errors")
     else:
         if args.kind == "html":
             pages = html.markdown_pages(files.html_pages(spark, args.input))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from quire.functions.text import clean_filename, file_stem, image_extension
 from quire.operators import html, layout, paragraphs, reflow, toc
 from quire.plans.bundles import bundle
 from quire.profiles import Profile
-from quire.sources import epub
+from quire.sources import epub, pdf
 
 #: Room for a page's images and lines in the order of an article.
 PAGE = 1 << 21
@@ -21,9 +22,22 @@ def numbered_files(images: DataFrame, key: list[str], order: list[str], name: Co
     return images.withColumn("file", F.concat(F.lit("img_"), n.cast("string"), image_extension(name, F.col("content"))))
 
 
-def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profile: Profile, blacklist: list[str], split_level: int, images: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Books from their outline (with n_pages) and layout; pages that several articles share go to each."""
+def with_folder(books: DataFrame) -> DataFrame:
+    """``folder`` of each book (doc_id, book): its clean name, with a number where another has the same."""
+    named = books.withColumn("folder", clean_filename("book"))
+    n = F.row_number().over(Window.partitionBy("folder").orderBy("doc_id"))
+    return named.withColumn("_n", n).withColumn("folder", F.when(F.col("_n") > 1, F.concat_ws("_", "folder", "_n")).otherwise(F.col("folder"))).drop("_n")
+
+
+def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profile: Profile, blacklist: list[str], split_level: int, images: DataFrame | None = None, book: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Books from their outline (with n_pages) and layout; pages that several articles share go to each.
+
+    Paths begin with a folder for each book, ``book`` of its doc_id (as it is, if not given).
+    """
     planned = toc.plan(outline, blacklist, split_level)
+    name = F.col("doc_id").cast("string") if book is None else book
+    folders = with_folder(outline.select("doc_id").distinct().withColumn("book", name))
+    planned = planned.join(folders, "doc_id").withColumn("path", F.concat_ws("/", "folder", "path")).drop("folder")
     key = F.concat_ws("/", F.col("doc_id").cast("string"), F.col("pos").cast("string"))
     articles = planned.filter("kind = 'file'").withColumn("article", key)
     page_of = toc.article_pages(planned).select("doc_id", "page", key.alias("article"))
@@ -45,25 +59,49 @@ def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, block
     paired = paragraphs.paired_notes(rows.filter("region = 'note'").select("doc_id", "page", "ord", "raw", "x0"), paragraphs.page_references(body))
     text = paragraphs.articles(paras, paragraphs.note_islands(paired, profile)).withColumnRenamed("doc_id", "article")
     whole = articles.join(text, "article", "inner")
-    return bundle(whole, F.col("doc_id").cast("string"), F.col("category"), F.col("start") + 1, F.col("title"), F.col("path"), F.col("markdown")), assets
+    return bundle(whole, F.col("book"), F.col("category"), F.col("start") + 1, F.col("title"), F.col("path"), F.col("markdown")), assets
+
+
+def pdf_bundles(spark: SparkSession, path: str, profile: Profile, blacklist: list[str], split_level: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """PDF books at ``path``: bundles, images, and (doc_id, page, error) of what could not be read."""
+    rows = pdf.tables(spark, path).persist(StorageLevel.DISK_ONLY)  # each file is opened once
+    made, assets = layout_bundles(
+        pdf.outline(rows), pdf.spans(rows), pdf.part(rows, "page", "page", "height"), pdf.part(rows, "block", "page", "block_idx", "y0", "text"),
+        pdf.part(rows, "drawing", "page", "x0", "y0", "x1", "y1"), profile, blacklist, split_level, pdf.part(rows, "image", "page", "block_idx", "content"), file_stem("doc_id"),
+    )
+    return made, assets, pdf.part(rows, "error", "page", "error")
+
+
+def delegated_bundles(spark: SparkSession, path: str, blacklist: list[str], split_level: int) -> tuple[DataFrame, DataFrame]:
+    """PDF books converted article by article by the PDF library's converter: flat files, and (doc_id, pos, error)."""
+    rows = pdf.tables(spark, path).persist(StorageLevel.DISK_ONLY)
+    planned = toc.plan(pdf.outline(rows), blacklist, split_level).filter("kind = 'file'")
+    folders = with_folder(planned.select("doc_id").distinct().withColumn("book", file_stem("doc_id")))
+    text = pdf.delegated(spark, path, planned.select("doc_id", "pos", "start", "end")).persist(StorageLevel.DISK_ONLY)
+    whole = planned.join(folders, "doc_id").join(text.filter("error is null"), ["doc_id", "pos"])
+    made = bundle(whole, F.col("book"), F.col("category"), F.col("start") + 1, F.col("title"), F.concat_ws("/", "folder", "path"), F.col("markdown"), flat=True)
+    return made, text.filter("error is not null").select("doc_id", "pos", "error")
 
 
 def epub_bundles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """E-books at ``path``: one bundle for each spine document, reflowed, with its images as files beside it."""
-    rows = epub.members(spark, path)
+    rows = epub.members(spark, path).persist(StorageLevel.DISK_ONLY)  # each file is unpacked once
     part = lambda kind: rows.filter(F.col("kind") == kind)
     nav = toc.nav_entries(part("nav").select("doc_id", F.col("seq").alias("pos"), "level", "title", "href", (F.col("media_type") == "section").alias("is_section")))
     items = part("item")
     docs = epub.spine_documents(part("spine"), items, nav, part("book")).withColumn("html", F.col("content").cast("string"))
     folder = F.concat_ws("/", F.transform(F.filter(F.split("category", "/"), lambda p: p != ""), clean_filename), clean_filename("title"))
-    docs = docs.withColumn("path", folder)
+    book = F.coalesce("book", file_stem("doc_id"))
+    folders = with_folder(docs.select("doc_id", book.alias("book")).distinct()).select("doc_id", "folder")
+    docs = docs.join(folders, "doc_id").withColumn("path", F.concat_ws("/", "folder", folder)).drop("folder")
+    same = F.row_number().over(Window.partitionBy("doc_id", "path").orderBy("order"))
+    docs = docs.withColumn("_n", same).withColumn("path", F.when(F.col("_n") > 1, F.concat_ws("_", "path", "order")).otherwise(F.col("path"))).drop("_n")
     images = docs.select("doc_id", F.col("href").alias("base"), F.posexplode(html.image_list()).alias("n", "src"))
     found = numbered_files(epub.matched_images(images, items), ["doc_id", "base"], ["n"], F.col("href"))
     named = found.groupBy("doc_id", "base").agg(F.collect_list(F.struct("src", F.concat(F.lit("assets/"), "file").alias("file"))).alias("images")).withColumnRenamed("base", "href")
     pages = docs.join(named, ["doc_id", "href"], "left").withColumn("markdown", html.markdown_with_images("html", "images")).withColumn("page", F.concat_ws("#", "doc_id", "order"))
     lines = pages.select("page", F.posexplode(F.split("markdown", "\n")).alias("n", "line"))
     text = docs.withColumn("page", F.concat_ws("#", "doc_id", "order")).join(reflow.reflowed(lines, key="page"), "page", "left")
-    book = F.coalesce("book", file_stem("doc_id"))
     made = bundle(text, book, F.col("category"), F.col("order"), F.col("title"), F.col("path"), F.coalesce("markdown", F.lit("")))
     where = docs.select("doc_id", F.col("href").alias("base"), "path")
     return made, found.join(where, ["doc_id", "base"]).select("doc_id", F.concat("path", F.lit("/assets/"), "file").alias("rel_path"), "content")

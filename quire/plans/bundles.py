@@ -22,6 +22,11 @@ def write_table(bundles: DataFrame, target: str, partition: str | None = None) -
     (writer.partitionBy(partition) if partition else writer).parquet(target)
 
 
+def write_parts(pages: DataFrame, target: str) -> None:
+    """Pages of ``profiling.split_pages`` as a table with a folder for each part's name."""
+    write_table(pages, target, "name")
+
+
 def write_files(bundles: DataFrame, target: str) -> None:
     """One file per row under ``target``, a folder that all executors share; rerun tasks write the same bytes again."""
 

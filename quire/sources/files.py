@@ -1,4 +1,4 @@
-"""Other inputs: web pages, plain text, word-processor files, and an optional PDF adapter."""
+"""Other inputs: web pages, plain text, word-processor files."""
 
 from __future__ import annotations
 
@@ -52,28 +52,3 @@ def docx_lines(spark: SparkSession, path: str) -> DataFrame:
                 yield pd.DataFrame({"doc_id": name, "n": range(len(lines)), "line": lines})
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "doc_id string, n int, line string")
-
-
-def pdf_spans(spark: SparkSession, path: str) -> DataFrame:
-    """Spans of PDF files, where a PDF library is installed."""
-    try:
-        import fitz  # noqa: F401
-    except ImportError as e:
-        raise RuntimeError("reading PDF files needs PyMuPDF, which is not installed") from e
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import fitz
-
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                rows = []
-                with fitz.open(stream=bytes(content), filetype="pdf") as doc:
-                    for page in doc:
-                        line = 0
-                        for block in page.get_text("dict")["blocks"]:
-                            for row in block.get("lines", []):
-                                rows += [(name, page.number, line, k, s["text"], s["size"], s["font"], s["flags"], row["bbox"][0], block["bbox"][1]) for k, s in enumerate(row["spans"])]
-                                line += 1
-                yield pd.DataFrame(rows, columns=["doc_id", "page", "line_idx", "span_idx", "text", "size", "font", "flags", "x0", "y0"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "doc_id string, page int, line_idx int, span_idx int, text string, size double, font string, flags int, x0 double, y0 double")
