@@ -14,10 +14,14 @@ def markdown_stream(spark: SparkSession, path: str, schema: str = "page_id long,
 
 
 def upsert_to(stream: DataFrame, target: str, checkpoint: str, key: str = "page_id") -> StreamingQuery:
-    """Each batch goes to its own folder, so a batch that is run again replaces itself; ``latest`` reads the newest rows."""
+    """Each batch goes to its own folder, so a batch that is run again replaces itself; ``latest`` reads the newest rows.
+
+    Of a batch's rows with one key the largest stays, whatever order they come in, so a rerun writes the same.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.dropDuplicates([key]).withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        one = batch.groupBy(key).agg(F.max(F.struct(*[c for c in batch.columns if c != key])).alias("x")).select(key, "x.*")
+        one.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
