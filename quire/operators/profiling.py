@@ -1,11 +1,22 @@
-"""Probes over spans: size histogram, search by size, keyword blocks, cut points, systematic samples."""
+"""Probes over spans: size histogram, search by size, keyword blocks, page lists, prefix guesses, dividers, cut points, systematic samples."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import shortened, strip
+from quire.functions.text import contains_any, shortened, strip
+
+#: The probe's own thresholds, which are not those of the profiles.  Fixed values.
+PROBE_CENTRE, PROBE_INDENT, PROBE_FLUSH = 150, 120, 105
+PROBE_FOOT, PROBE_WIDTH = 0.6, 50
+PROBE_DIVIDERS = ["____", "————"]
+
+
+def listed_pages(df: DataFrame, numbers: list[int], documents: DataFrame) -> DataFrame:
+    """Rows (0-based page) of the listed 1-based pages that ``documents`` (doc_id, n_pages) have."""
+    inside = df.filter((F.col("page") + 1).isin(numbers)).join(documents.select("doc_id", "n_pages"), "doc_id")
+    return inside.filter((F.col("page") + 1).between(1, F.col("n_pages"))).drop("n_pages")
 
 
 def sampled_pages(df: DataFrame, step: int = 20) -> DataFrame:
@@ -22,6 +33,16 @@ def size_histogram(spans: DataFrame, step: int = 20) -> DataFrame:
     return counted.withColumn("guess", guess)
 
 
+def by_size(histogram: DataFrame) -> DataFrame:
+    """The histogram from the largest size down, each with its place in the report: few rows, sizes have one decimal."""
+    return histogram.withColumn("place", F.row_number().over(Window.orderBy(F.desc("size")))).orderBy("place")
+
+
+def counted(found: DataFrame, key: str = "doc_id") -> DataFrame:
+    """How many results there are for each ``key``."""
+    return found.groupBy(key).agg(F.count("*").alias("n"))
+
+
 def lines_with_size(spans: DataFrame, size: float, tolerance: float = 0.5, shown: int = 80) -> DataFrame:
     """Lines with a span of about ``size``: their text, shortened, and the fonts of those spans."""
     hit = F.abs(F.col("size") - size) <= tolerance
@@ -36,14 +57,47 @@ def keyword_spans(spans: DataFrame, needle: str) -> DataFrame:
     return spans.join(pages, ["doc_id", "page"], "left_semi").withColumn("has_keyword", F.contains("text", F.lit(needle)))
 
 
+def keyword_blocks(blocks: DataFrame, needle: str) -> DataFrame:
+    """The blocks (doc_id, page, block_idx, text) that hold ``needle``."""
+    return blocks.filter(F.contains("text", F.lit(needle)))
+
+
+def guessed_prefixes(lines: DataFrame) -> DataFrame:
+    """``guess`` of each line with text: by its left edge if a font of its spans is bold, else that none is."""
+    x0 = F.col("x0")
+    bold = F.exists("spans", lambda s: bold_font(s["font"]))
+    by_edge = F.when(x0 >= PROBE_CENTRE, "### ").when(x0 >= PROBE_INDENT, "> ").when(x0 > PROBE_FLUSH, "> ?").otherwise("body")
+    text = F.array_join(F.transform("spans", lambda s: s["text"]), "")
+    return lines.filter(strip(text) != "").withColumn("has_heiti", bold).withColumn("guess", F.when(F.col("has_heiti"), by_edge).otherwise("not bold"))
+
+
+def divider_candidates(pages: DataFrame, blocks: DataFrame, drawings: DataFrame) -> DataFrame:
+    """(doc_id, page, y0, kind): wide drawings in the page's foot, and blocks with a divider's signs."""
+    drawn = drawings.join(pages.select("doc_id", "page", "height"), ["doc_id", "page"]).filter((F.col("y0") > F.col("height") * PROBE_FOOT) & (F.col("x1") - F.col("x0") > PROBE_WIDTH))
+    signs = blocks.filter(contains_any("text", PROBE_DIVIDERS))
+    return drawn.select("doc_id", "page", "y0", F.lit("rule").alias("kind")).unionByName(signs.select("doc_id", "page", "y0", F.lit("text").alias("kind")))
+
+
 def bold_font(font: str | Column) -> Column:
     return F.lower(F.col(font) if isinstance(font, str) else font).rlike("hei|bold")
 
 
 def parts(cuts: DataFrame, documents: DataFrame) -> DataFrame:
-    """Half-open page ranges between cut points (doc_id, 1-based page); empty ones are left out."""
+    """Half-open page ranges between cut points (doc_id, 1-based page); empty ones are left out.
+
+    Names begin with the ``stem`` of ``documents``, where they have one.
+    """
+    named = "stem" in documents.columns
+    documents = documents.select("doc_id", "n_pages", *(["stem"] if named else []))
     inner = cuts.join(documents, "doc_id").select("doc_id", (F.col("page") - 1).alias("lo"), "n_pages").filter("lo > 0 and lo < n_pages").select("doc_id", "lo").distinct()
     bounds = inner.unionByName(documents.select("doc_id", F.lit(0).alias("lo")))
     w = Window.partitionBy("doc_id").orderBy("lo")
     ranged = bounds.withColumns({"part": F.row_number().over(w), "hi": F.lead("lo").over(w)}).join(documents, "doc_id").withColumn("hi", F.coalesce("hi", "n_pages"))
-    return ranged.filter("lo < hi").select("doc_id", "part", "lo", "hi", F.format_string("part%d_p%d-p%d", "part", F.col("lo") + 1, F.col("hi")).alias("name"))
+    name = F.format_string("part%d_p%d-p%d", "part", F.col("lo") + 1, F.col("hi"))
+    return ranged.filter("lo < hi").select("doc_id", "part", "lo", "hi", (F.concat("stem", F.lit("_"), name) if named else name).alias("name"))
+
+
+def split_pages(pages: DataFrame, cuts: DataFrame, documents: DataFrame) -> DataFrame:
+    """``pages`` (doc_id, 0-based page and more) with the ``part`` and ``name`` of the range that they are in."""
+    ranges = parts(cuts, documents).withColumn("page", F.explode(F.sequence("lo", F.col("hi") - 1)))
+    return pages.join(ranges.select("doc_id", "page", "part", "name"), ["doc_id", "page"])

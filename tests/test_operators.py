@@ -1,5 +1,6 @@
 """Golden vectors, sequential models and edge cases."""
 
+import json
 import random
 import re
 import zipfile
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators import html, layout, paragraphs, profiling, reflow, toc
 from quire.plans import books
-from quire.plans.bundles import write_files
+from quire.plans.bundles import write_files, write_parts
 from quire.profiles import PROFILE_A, PROFILE_B
 from quire.sources import epub, files
 
@@ -308,8 +309,8 @@ def test_epub_bundles(spark, tmp_path):
             z.writestr(name, data)
     made, assets = books.epub_bundles(spark, str(tmp_path / "b.epub"))
     r = made.first()
-    assert r.rel_path == "Part_ 1/One/index.md" and r.markdown == "---\nbook: Book\ncategory: Part_ 1\norder: 1\ntitle: One\n---\n\nhi\n\n![img](assets/img_1.png)![](gone.png)"
-    assert [(a.rel_path, bytes(a.content)[:4]) for a in assets.collect()] == [("Part_ 1/One/assets/img_1.png", b"\x89PNG")]
+    assert r.rel_path == "Book/Part_ 1/One/index.md" and r.markdown == "---\nbook: Book\ncategory: Part_ 1\norder: 1\ntitle: One\n---\n\nhi\n\n![img](assets/img_1.png)![](gone.png)"
+    assert [(a.rel_path, bytes(a.content)[:4]) for a in assets.collect()] == [("Book/Part_ 1/One/assets/img_1.png", b"\x89PNG")]
 
 
 def test_layout_bundles(spark):
@@ -322,8 +323,143 @@ def test_layout_bundles(spark):
     images = spark.createDataFrame([("b", 1, 0, b"\xff\xd8\xff")], "doc_id string, page int, block_idx int, content binary")
     made, assets = books.layout_bundles(outline, spans, pages, blocks, drawings, PROFILE_A, [], 2, images)
     got = {r.rel_path: r.markdown for r in made.collect()}
-    assert got == {"Part/A_1/index.md": "---\nbook: b\ncategory: Part\norder: 1\ntitle: A:1\n---\n\n# 编者\n\n正文[^1]。\n\n![img](assets/img_1.jpg)\n\n续\n\n[^1]: 注"}
-    assert [r.rel_path for r in assets.collect()] == ["Part/A_1/assets/img_1.jpg"]
+    assert got == {"b/Part/A_1/index.md": "---\nbook: b\ncategory: Part\norder: 1\ntitle: A:1\n---\n\n# 编者\n\n正文[^1]。\n\n![img](assets/img_1.jpg)\n\n续\n\n[^1]: 注"}
+    assert [r.rel_path for r in assets.collect()] == ["b/Part/A_1/assets/img_1.jpg"]
+
+
+def test_books_of_equal_titles(spark, tmp_path):
+    """Two e-books of one title, and two documents of one title in each, keep paths of their own."""
+    opf = OPF.replace('<itemref idref="gone"/>', '<itemref idref="b"/>').replace('<item id="i"', '<item id="b" href="b.xhtml" media-type="application/xhtml+xml"/><item id="i"')
+    ncx = NCX.replace("</navPoint></navPoint>", '</navPoint><navPoint><navLabel><text>One</text></navLabel><content src="b.xhtml"/></navPoint></navPoint>')
+    for book in ("x", "y"):
+        with zipfile.ZipFile(tmp_path / f"{book}.epub", "w") as z:
+            for name, data in (("META-INF/container.xml", BOX), ("OEBPS/c.opf", opf), ("OEBPS/toc.ncx", ncx), ("OEBPS/a.xhtml", f'<p>a of {book}</p><img src="img/p.png"/>'), ("OEBPS/b.xhtml", f"<p>b of {book}</p>"), ("OEBPS/img/p.png", b"\x89PNG\r\n\x1a\n")):
+                z.writestr(name, data)
+    made, assets = books.epub_bundles(spark, str(tmp_path / "*.epub"))
+    got = {r.rel_path: r.markdown.split("\n\n")[1] for r in made.collect()}
+    assert got == {"Book/Part_ 1/One/index.md": "a of x", "Book/Part_ 1/One_2/index.md": "b of x", "Book_2/Part_ 1/One/index.md": "a of y", "Book_2/Part_ 1/One_2/index.md": "b of y"}
+    assert sorted(r.rel_path for r in assets.collect()) == ["Book/Part_ 1/One/assets/img_1.png", "Book_2/Part_ 1/One/assets/img_1.png"]
+    write_files(made, str(tmp_path / "out"))
+    assert (tmp_path / "out/Book_2/Part_ 1/One_2/index.md").read_text().endswith("b of y")
+
+
+#: A PDF library of a few pages, for want of the real one: files are JSON.
+STUB = """
+import json
+from types import SimpleNamespace as N
+class Rect(N):
+    def __init__(self, x0, y0, x1, y1):
+        super().__init__(x0=x0, y0=y0, x1=x1, y1=y1, width=x1 - x0, height=y1 - y0)
+class Page:
+    def __init__(self, spec):
+        self.spec, self.rect = spec, Rect(0, 0, 420, 595)
+    def get_text(self, kind, clip=None):
+        if self.spec == "bad":
+            raise ValueError("bad page")
+        if kind == "blocks":
+            return [(b["x0"], b["y0"], 0, 0, "".join(b["spans"]), k, 0) for k, b in enumerate(self.spec["blocks"]) if "spans" in b]
+        out = []
+        for b in self.spec["blocks"]:
+            if clip and not clip.y0 <= b["y0"] <= clip.y1:
+                continue
+            box = (b["x0"], b["y0"], 0, 0)
+            if "image" in b:
+                out.append({"image": b["image"].encode(), "bbox": box})
+            else:
+                out.append({"bbox": box, "lines": [{"bbox": box, "spans": [{"text": t, "size": b["size"], "font": b.get("font", "S"), "flags": 0} for t in b["spans"]]}]})
+        return {"blocks": out}
+    def get_drawings(self):
+        return [{"rect": Rect(*r)} for r in self.spec["drawings"]] + [{}]
+class Doc:
+    def __init__(self, spec):
+        self.spec, self.page_count = spec, len(spec["pages"])
+    def __enter__(self):
+        return self
+    def __exit__(self, *a):
+        pass
+    def __getitem__(self, k):
+        return Page(self.spec["pages"][k])
+    def get_toc(self):
+        return self.spec["toc"]
+def open(stream, filetype):
+    return Doc(json.loads(stream))
+"""
+CONVERTER = """
+def to_markdown(doc, pages, margins, show_progress):
+    if pages == [2]:
+        raise ValueError("no")
+    return f"pages {pages} without {margins}"
+"""
+
+
+def test_pdf(spark, tmp_path, monkeypatch):
+    """From bookmarks to bundles with a stub of the library; damaged files and pages are rows."""
+    from quire.__main__ import main
+    from quire.sources import pdf
+
+    with pytest.raises(RuntimeError, match="not installed"):
+        pdf.needed("no_such_library")
+    for name, code in ((pdf.LIBRARY, STUB), (pdf.CONVERTER, CONVERTER)):
+        (tmp_path / f"{name}_stub.py").write_text(code)
+        spark.sparkContext.addPyFile(str(tmp_path / f"{name}_stub.py"))
+    monkeypatch.setattr(pdf, "LIBRARY", "fitz_stub")
+    monkeypatch.setattr(pdf, "CONVERTER", "pymupdf4llm_stub")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    block = lambda text, y0, size=9.6, x0=60, **more: {"spans": [text], "x0": x0, "y0": y0, "size": size, **more}
+    first = {"blocks": [block("页眉", 20), block("编 者", 150, 14.4), block("正文①。", 200, x0=110), block("①注", 450)], "drawings": [[10, 440, 80, 441]]}
+    second = {"blocks": [{"image": "\xff\xd8", "x0": 0, "y0": 120}, block("续", 150)], "drawings": []}
+    book = {"toc": [[1, "Part", 1], [2, "A:1", 1], [2, "BAD", 3], [2, "B", 3]], "pages": [first, second, "bad"]}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/b.pdf").write_text(json.dumps(book))
+    (tmp_path / "in/broken.pdf").write_text("no pdf")
+    rows = pdf.tables(spark, str(tmp_path / "in/*.pdf"), clip=(110, 520)).cache()
+    assert sorted((r.doc_id.rsplit("/", 1)[1], r.page) for r in pdf.part(rows, "error", "page", "error").collect()) == [("b.pdf", 2), ("broken.pdf", None)]
+    assert [r.text for r in pdf.spans(rows).filter("page = 0").orderBy("line_idx").collect()] == ["编 者", "正文①。", "①注"]
+    assert pdf.part(rows, "block", "text").filter("text = '页眉'").count() == 1
+    main(["pdf", str(tmp_path / "in/*.pdf"), str(tmp_path / "out"), "--level", "2", "--without", "BAD"])
+    got = {r.rel_path: r.markdown for r in spark.read.parquet(str(tmp_path / "out/bundles")).collect()}
+    assert got == {"b/Part/A_1/index.md": "---\nbook: b\ncategory: Part\norder: 1\ntitle: A:1\n---\n\n# 编者\n\n正文[^1]。\n\n![img](assets/img_1.png)\n\n续\n\n[^1]: 注"}
+    assert spark.read.parquet(str(tmp_path / "out/assets")).first().rel_path == "b/Part/A_1/assets/img_1.png"
+    assert spark.read.parquet(str(tmp_path / "out/errors")).count() == 2
+    main(["pdf", str(tmp_path / "in/b.pdf"), str(tmp_path / "flat"), "--level", "2", "--delegate"])
+    got = {r.rel_path: r.markdown.split("\n\n")[1] for r in spark.read.parquet(str(tmp_path / "flat/bundles")).collect()}
+    assert got == {"b/Part/A_1.md": "pages [0, 1] without (0, 82, 0, 0)"}
+    assert [r.pos for r in spark.read.parquet(str(tmp_path / "flat/errors")).orderBy("pos").collect()] == [2, 3]
+
+
+def test_probes(spark, tmp_path):
+    """Page lists, dividers, keyword blocks, ordered reports, counts and the split table."""
+    docs = spark.createDataFrame([(1, 5, "stem"), (2, 3, "other")], "doc_id int, n_pages int, stem string")
+    pages = docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("page"))
+    got = profiling.listed_pages(pages, [0, 2, 5, 6, -1], docs).orderBy("doc_id", "page").collect()
+    assert [(r.doc_id, r.page) for r in got] == [(1, 1), (1, 4), (2, 1)]
+    heights = spark.createDataFrame([(1, 0, 100.0)], "doc_id int, page int, height double")
+    drawings = spark.createDataFrame([(1, 0, 0.0, 61.0, 51.0, 61.5), (1, 0, 0.0, 60.0, 99.0, 60.0), (1, 0, 0.0, 90.0, 50.0, 90.0)], "doc_id int, page int, x0 double, y0 double, x1 double, y1 double")
+    blocks = spark.createDataFrame([(1, 0, 0, 5.0, "a ____ b"), (1, 0, 1, 7.0, "————"), (1, 0, 2, 8.0, "___")], "doc_id int, page int, block_idx int, y0 double, text string")
+    got = profiling.divider_candidates(heights, blocks, drawings).orderBy("y0").collect()
+    assert [(r.y0, r.kind) for r in got] == [(5.0, "text"), (7.0, "text"), (61.0, "rule")]
+    assert [r.block_idx for r in profiling.keyword_blocks(blocks, "b").collect()] == [0]
+    assert [r.n for r in profiling.counted(blocks).collect()] == [3]
+    rows = [(1, 0, k, 0, t, 9.6, f, 0, x, 0.0) for k, (t, f, x) in enumerate([("a", "SimHei", 150.0), ("a", "SimHei", 120.0), ("a", "SimHei", 110.0), ("a", "Bold", 105.0), ("a", "S", 200.0), (" ", "SimHei", 0.0)])]
+    spans = spark.createDataFrame(rows, "doc_id int, page int, line_idx int, span_idx int, text string, size double, font string, flags int, x0 double, y0 double")
+    got = profiling.guessed_prefixes(layout.lines(spans)).orderBy("line_idx").collect()
+    assert [r.guess for r in got] == ["### ", "> ", "> ?", "body", "not bold"]
+    sizes = spans.withColumn("size", F.col("line_idx") + 8.04)
+    assert [(r.size, r.place) for r in profiling.by_size(profiling.size_histogram(sizes)).collect()] == [(12.0, 1), (11.0, 2), (10.0, 3), (9.0, 4), (8.0, 5)]
+    cuts = spark.createDataFrame([(1, 3)], "doc_id int, page int")
+    write_parts(profiling.split_pages(pages.filter("doc_id = 1 and page < 5"), cuts, docs), str(tmp_path / "parts"))
+    got = spark.read.parquet(str(tmp_path / "parts")).groupBy("name").agg(F.sort_array(F.collect_list("page")).alias("pages")).collect()
+    assert {r["name"]: r["pages"] for r in got} == {"stem_part1_p1-p2": [0, 1], "stem_part2_p3-p5": [2, 3, 4]}
+
+
+def test_stream_batches_do_not_depend_on_order(spark, tmp_path):
+    from quire.streaming import ingest
+
+    schema = "page_id long, url string, html string"
+    for k, rows in enumerate(([(1, "u", "<p>a</p>"), (1, "v", "<p>b</p>")], [(1, "v", "<p>b</p>"), (1, "u", "<p>a</p>")])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in{k}"))
+        ingest.upsert_to(ingest.markdown_stream(spark, str(tmp_path / f"in{k}")), str(tmp_path / f"out{k}"), str(tmp_path / f"ck{k}")).awaitTermination(60)
+    assert [ingest.latest(spark, str(tmp_path / f"out{k}")).first().markdown for k in (0, 1)] == ["b", "b"]
 
 
 def test_files(spark, tmp_path):
