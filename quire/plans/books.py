@@ -85,11 +85,13 @@ def delegated_bundles(spark: SparkSession, path: str, blacklist: list[str], spli
 
 def epub_bundles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """E-books at ``path``: one bundle for each spine document, reflowed, with its images as files beside it."""
-    rows = epub.members(spark, path).persist(StorageLevel.DISK_ONLY)  # each file is unpacked once
-    part = lambda kind: rows.filter(F.col("kind") == kind)
-    nav = toc.nav_entries(part("nav").select("doc_id", F.col("seq").alias("pos"), "level", "title", "href", (F.col("media_type") == "section").alias("is_section")))
-    items = part("item")
-    docs = epub.spine_documents(part("spine"), items, nav, part("book")).withColumn("html", F.col("content").cast("string"))
+    return bundles_of(epub.members(spark, path))
+
+
+def bundles_of(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bundles and images of the ``members`` of e-books."""
+    spine, items, nav, titles = epub.parts(members.persist(StorageLevel.DISK_ONLY))  # each file is unpacked once
+    docs = epub.spine_documents(spine, items, nav, titles).withColumn("html", F.col("content").cast("string"))
     folder = F.concat_ws("/", F.transform(F.filter(F.split("category", "/"), lambda p: p != ""), clean_filename), clean_filename("title"))
     book = F.coalesce("book", file_stem("doc_id"))
     folders = with_folder(docs.select("doc_id", book.alias("book")).distinct()).select("doc_id", "folder")

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import html, layout, paragraphs, profiling, reflow, toc
+from quire.plans import books
 from quire.plans.bundles import bundle, dry_run
 from quire.profiles import PROFILE_A, PROFILE_B, Profile
+from quire.sources import epub
 from quire.sources import fixtures as X
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +225,11 @@ def inline_style(spark: SparkSession, sf: str) -> DataFrame:
 _NUMBERED = "'^([0-9.]+|[一二三四五六七八九十百]+[、.]?)[ \\t]+(.*)$'"
 
 
+def _normalized(c: str) -> str:
+    t = _strip(f"replace({c}, '　', ' ')")
+    return f"case when regexp_matches({t}, {_NUMBERED}) then regexp_extract({t}, {_NUMBERED}, 1) || ' ' || replace(regexp_extract({t}, {_NUMBERED}, 2), ' ', '') else replace({t}, ' ', '') end"
+
+
 _HEAD = "concat(case n % 3 when 0 then '一　' when 1 then '1.2  ' else '' end, line)"
 
 
@@ -232,7 +239,16 @@ def heading_normalize(spark: SparkSession, sf: str) -> DataFrame:
     return X.spark_lines(spark, sf).select("doc_id", "n", T.normalized_heading(F.concat(lead, "line")).alias("heading"))
 
 
-@query("page_marker_clean", "with " + X.SQL["lines"] + " select doc_id, cast(n as int) as n, line as cleaned from lines")
+def _without_marks(c: str) -> str:
+    for mark in ("接上页", "转下页"):
+        c = f"regexp_replace({c}, '\\[{BLANK}*" + f"{BLANK}*".join(mark) + f"{BLANK}*\\]', '', 'g')"
+    return c
+
+
+_MARKED_LINE = "(case when n % 2 = 0 then '[ 接 上 页]' else '' end || line || case when n % 3 = 0 then '[转下页 ]' else '' end)"
+
+
+@query("page_marker_clean", "with " + X.SQL["lines"] + f" select doc_id, cast(n as int) as n, {_without_marks(_MARKED_LINE)} as cleaned from lines")
 def page_marker_clean(spark: SparkSession, sf: str) -> DataFrame:
     marked = F.concat(F.when(F.col("n") % 2 == 0, "[ 接 上 页]").otherwise(""), "line", F.when(F.col("n") % 3 == 0, "[转下页 ]").otherwise(""))
     return X.spark_lines(spark, sf).select("doc_id", "n", T.without_page_markers(marked).alias("cleaned"))
@@ -288,10 +304,11 @@ def note_numbering(spark: SparkSession, sf: str) -> DataFrame:
     return _numbered(spark, sf).select("doc_id", "page", "line_idx", F.col("n_refs").cast("long").alias("n_refs"), "refs_before")
 
 
-_NOTES = _REFS + ", note_lines as (select " + X.NOTE_SQL + " from lines), " + f"""t as (select *, {_strip('raw')} as text from note_lines),
+_NOTE_PAIRS = f"""t as (select *, {_strip('raw')} as text from note_lines),
 mk as (select *, regexp_matches(text, '^[①-⑩]') as is_mark from t where text <> '' and not regexp_matches(text, '[—_]{{8,}}')),
 kk as (select *, case when is_mark then sum(is_mark::int) over (partition by doc_id, page order by ord) end as k from mk),
 pn as (select kk.doc_id, kk.page, ord, is_mark, raw, x0, case when is_mark then '[^' || coalesce(cast(note_id as varchar), 'x') || ']: ' || substr(text, 2) else text end as text from kk left join refs on refs.doc_id = kk.doc_id and refs.page = kk.page and refs.k = kk.k)"""
+_NOTES = _REFS + ", note_lines as (select " + X.NOTE_SQL + " from lines), " + _NOTE_PAIRS
 
 
 def _paired(spark: SparkSession, sf: str) -> DataFrame:
@@ -324,7 +341,7 @@ def note_islands(spark: SparkSession, sf: str) -> DataFrame:
 _SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 
 
-def _para(p: Profile) -> str:
+def _para(p: Profile, source: str = X.SQL["paras"]) -> str:
     w = "over (partition by doc_id order by ord"
     heading = f"not coalesce(lag(text like '#%') {w}) and lag(page) {w}) = page, false)" if p.heading_continues else "true"
     bare = "case when not is_new and text like '> %' and lead_text like '> %' then substr(text, 3)"
@@ -334,7 +351,7 @@ def _para(p: Profile) -> str:
         f"coalesce(case when {a} like '%**' and {b} like '**%' then case when length({a}) > 2 and {_cjk(f'left(right({a}, 3), 1)')} and {_cjk(f'substr({b}, 3, 1)')} then 2 else 0 end"
         f" when {a} like '%*' and {b} like '*%' and {a} not like '%**' and {b} not like '**%' and length({a}) > 1 and {_cjk(f'left(right({a}, 2), 1)')} and {_cjk(f'substr({b}, 2, 1)')} then 1 else 0 end, 0)"
     )
-    return f"""with {X.SQL['paras']},
+    return f"""with {source},
  r as (select * from paras where text <> '' and not regexp_matches(text, '[—_]{{8,}}')),
  b as (select *, text like '> %' as q, row_number() {w}) = 1 as f, case when regexp_matches(text, '^{_SPACE}*\\[\\^[0-9]+\\]') then false when text like '#%' then {heading} else x0 > {p.indent} or starts_with(raw, '　') or starts_with(raw, '  ') end as base from r),
  s as (select *, coalesce(last_value(case when base or q or f then q end ignore nulls) {w} rows between unbounded preceding and 1 preceding), false) as state from b),
@@ -368,15 +385,36 @@ def article_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return paragraphs.articles(blocks, paragraphs.note_islands(_paired(spark, sf), PROFILE_A))
 
 
-@query("layout_markdown")
+# Lines of the regions with their text.  Of a line's spans only one has a reference, and in profile A headings are never cut.
+_LAYOUT = (
+    "with " + X.SQL["spans"] + _REGIONS.removeprefix("with " + X.SQL["lines"]) + _LINES.removeprefix(_SPANS)
+    + f""",
+ kl as (select p.*, page * 12 + line_idx as ord, case when y0 >= split_a then 'note' else 'body' end as region from p join sp using (doc_id, page) where y0 >= least(110, split_a) and y0 <= least(520, height)),
+ nb0 as (select *, cast(len(regexp_extract_all(raw, '[①-⑩]')) as bigint) as n_refs from kl where region = 'body'),
+ nb as (select *, cast(coalesce(sum(n_refs) over (partition by doc_id order by page, line_idx rows between unbounded preceding and 1 preceding), 0) as bigint) as refs_before from nb0),
+ ts0 as (select doc_id, page, line_idx, span_idx, prefix, refs_before, {_without_marks('s.text')} as shown, case when {_BOLD} and {_ITALIC} then '***' when {_BOLD} then '**' when {_ITALIC} then '*' else '' end as mark from spans s join nb using (doc_id, page, line_idx)),
+ ts as (select * exclude (shown), regexp_replace(shown, '[①-⑩]', '[^' || (refs_before + 1) || ']') as text from ts0 where shown <> ''),
+ bt as (select doc_id, page, line_idx, any_value(prefix) as prefix, {_strip("string_agg(case when starts_with(prefix, '#') or mark = '' then text else " + _STYLED + " end, '' order by span_idx)")} as body from ts group by all),
+ lt as (select nb.doc_id, nb.page, nb.ord, raw, x0, case when body = '' then '' when starts_with(bt.prefix, '#') then bt.prefix || {_normalized('body')} when bt.prefix = '> ' then '> ' || body else body end as text from nb join bt using (doc_id, page, line_idx))"""
+)
+_LAYOUT_PARAS = f"paras as ({_LAYOUT} select doc_id, page, cast(ord as bigint) as ord, text, raw, x0 from lt)"
+_LAYOUT_NOTES = (
+    f"with note_lines as ({_LAYOUT} select doc_id, page, cast(ord as bigint) as ord, raw, x0 from kl where region = 'note'), refs as ({_LAYOUT}, ids as (select doc_id, page, unnest(generate_series(refs_before + 1, refs_before + n_refs)) as note_id from nb where n_refs > 0)"
+    " select *, row_number() over (partition by doc_id, page order by note_id) as k from ids), " + _NOTE_PAIRS
+)
+
+
+@query("layout_markdown", "select doc_id, concat_ws(chr(10) || chr(10), body, notes) as markdown from (select doc_id, string_agg(paragraph, chr(10) || chr(10) order by block) as body from (" + _para(PROFILE_A, _LAYOUT_PARAS) + " select * from mq) group by doc_id) full join (select doc_id, string_agg(text, chr(10) || chr(10) order by note) as notes from (" + _LAYOUT_NOTES + _note_islands("is_mark", "na") + " select * from na) group by doc_id) using (doc_id)")
 def layout_markdown(spark: SparkSession, sf: str) -> DataFrame:
-    """From spans to articles: classification, styles, references, regions, paragraphs and notes in one plan."""
+    """From spans to articles: regions, classification, styles, references, paragraphs and notes in one plan."""
     p = PROFILE_A
-    rows = _prefixed(spark, sf, p).withColumn("ord", F.col("page").cast("long") * 12 + F.col("line_idx"))
+    rows = layout.with_region(layout.lines(X.spark_spans(spark, sf)), layout.split_lines(*_regions(spark, sf), p), p)
+    rows = rows.withColumn("ord", F.col("page").cast("long") * 12 + F.col("line_idx"))
     raw = F.array_join(F.transform("spans", lambda s: s["text"]), "")
-    body = layout.with_text(layout.with_references(rows.filter("line_idx < 10")), p).withColumn("raw", raw)
-    blocks = paragraphs.merged_quotes(paragraphs.paragraphs(paragraphs.with_pieces(paragraphs.with_islands(body, p), p)))
-    foot = rows.filter("line_idx >= 10").select("doc_id", "page", "ord", raw.alias("raw"), "x0")
+    body = layout.with_references(layout.with_prefix(layout.with_features(rows.filter("region = 'body'"), p), p))
+    lines = layout.with_text(body, p).withColumn("raw", raw)
+    blocks = paragraphs.merged_quotes(paragraphs.paragraphs(paragraphs.with_pieces(paragraphs.with_islands(lines, p), p)))
+    foot = rows.filter("region = 'note'").select("doc_id", "page", "ord", raw.alias("raw"), "x0")
     notes = paragraphs.note_islands(paragraphs.paired_notes(foot, paragraphs.page_references(body)), p)
     return paragraphs.articles(blocks, notes)
 
@@ -398,10 +436,41 @@ def keyword_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.keyword_spans(X.spark_spans(spark, sf), "①").select("doc_id", "page", "line_idx", "span_idx", "has_keyword")
 
 
-@query("prefix_guess", _LINES + " select doc_id, page, line_idx, case when x0 >= 130 then 'centre' when x0 > 105 then 'indent' else 'flush' end as guess, regexp_matches(lower(raw), 'hei|bold') as names_font from p")
+_HISTOGRAM = ORACLES["font_histogram"]
+
+
+@query("size_report", f"select *, cast(row_number() over (order by size desc) as int) as place from ({_HISTOGRAM})")
+def size_report(spark: SparkSession, sf: str) -> DataFrame:
+    return profiling.by_size(profiling.size_histogram(X.spark_spans(spark, sf)))
+
+
+@query("result_counts", f"select doc_id, count(*) as n from ({ORACLES['spans_by_size']}) group by doc_id")
+def result_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return profiling.counted(profiling.lines_with_size(X.spark_spans(spark, sf), 7.4))
+
+
+@query("block_keywords", _REGIONS + " select doc_id, page, block_idx, text from r where contains(text, '接上页')")
+def block_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    return profiling.keyword_blocks(_regions(spark, sf)[1], "接上页").select("doc_id", "page", "block_idx", "text")
+
+
+@query("divider_probe", _REGIONS + " select r.doc_id, r.page, r.y0, 'rule' as kind from r join pg using (doc_id, page) where n % 12 = 10 and n % 3 = 0 and r.y0 > height * 0.6 union all select doc_id, page, y0, 'text' from r where contains(text, '____') or contains(text, '————')")
+def divider_probe(spark: SparkSession, sf: str) -> DataFrame:
+    return profiling.divider_candidates(*_regions(spark, sf))
+
+
+_LISTED = [1, 2, 3, 5, 52, 88, 9999]
+
+
+@query("page_list", _REGIONS + f", d as (select doc_id, cast(doc_id % 7 as int) as n_pages from documents) select doc_id, page from pg join d using (doc_id) where page + 1 in ({', '.join(map(str, _LISTED))}) and page + 1 <= n_pages")
+def page_list(spark: SparkSession, sf: str) -> DataFrame:
+    docs = X.read(spark, sf, "documents").select("doc_id", (F.col("doc_id") % 7).cast("int").alias("n_pages"))
+    return profiling.listed_pages(_regions(spark, sf)[0], _LISTED, docs).select("doc_id", "page")
+
+
+@query("prefix_guess", _SPANS + f", g as (select doc_id, page, line_idx, min(x0) as x0, bool_or(regexp_matches(lower(font), 'hei|bold')) as has_heiti, string_agg(text, '' order by span_idx) as whole from spans group by all) select doc_id, page, line_idx, has_heiti, case when not has_heiti then 'not bold' when x0 >= 150 then '### ' when x0 >= 120 then '> ' when x0 > 105 then '> ?' else 'body' end as guess from g where {_strip('whole')} <> ''")
 def prefix_guess(spark: SparkSession, sf: str) -> DataFrame:
-    raw = F.array_join(F.transform("spans", lambda s: s["text"]), "")
-    return _prefixed(spark, sf).select("doc_id", "page", "line_idx", F.when(F.col("x0") >= 130, "centre").when(F.col("x0") > 105, "indent").otherwise("flush").alias("guess"), profiling.bold_font(raw).alias("names_font"))
+    return profiling.guessed_prefixes(layout.lines(X.spark_spans(spark, sf))).select("doc_id", "page", "line_idx", "has_heiti", "guess")
 
 
 @query("page_split", "with c as (select o_custkey as doc_id, cast(o_orderkey % 97 as int) as page from orders), d as (select c_custkey as doc_id, 60 as n_pages from customer), i as (select distinct c.doc_id, page - 1 as lo from c join d using (doc_id) where page - 1 > 0 and page - 1 < n_pages), b as (select * from i union all select doc_id, 0 from d), r as (select doc_id, lo, row_number() over (partition by doc_id order by lo) as part, lead(lo) over (partition by doc_id order by lo) as hi from b) select r.doc_id, cast(part as int) as part, lo, coalesce(hi, n_pages) as hi, 'part' || part || '_p' || (lo + 1) || '-p' || coalesce(hi, n_pages) as name from r join d using (doc_id) where lo < coalesce(hi, n_pages)")
@@ -410,6 +479,14 @@ def page_split(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.parts(cuts, X.read(spark, sf, "customer").select(F.col("c_custkey").alias("doc_id"), F.lit(60).alias("n_pages")))
 
 
+@query("page_parts", f"with s as ({ORACLES['page_split']}) select doc_id, page, part, 'c' || doc_id || '_' || name as name from (select c_custkey as doc_id, cast(unnest(generate_series(0, 59)) as int) as page from customer where c_custkey % 10 = 0) join s using (doc_id) where page >= lo and page < hi")
+def page_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with the part that they go to, as the sink writes them; one customer in ten has pages in this fixture."""
+    cuts = X.read(spark, sf, "orders").select(F.col("o_custkey").alias("doc_id"), (F.col("o_orderkey") % 97).cast("int").alias("page"))
+    docs = X.read(spark, sf, "customer").filter("c_custkey % 10 = 0").select(F.col("c_custkey").alias("doc_id"), F.lit(60).alias("n_pages"), F.concat(F.lit("c"), "c_custkey").alias("stem"))
+    return profiling.split_pages(docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(59))).alias("page")), cuts, docs)
+
+
 # ---------------------------------------------------------------- web pages and e-books
 
 # RE2 has no back-references: the two elements are removed one after the other.
@@ -441,14 +518,21 @@ def html_to_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return reflow.reflowed(pages, key="page_id")
 
 
-@query("href_resolve", "select page_id, case k when 0 then 'OEBPS/text/images/' || page_id || '.png' when 1 then 'OEBPS/' || page_id || '.png' when 2 then 'https://x/y.png' else page_id || '.png' end as path from (select page_id, page_id % 4 as k from pages)")
+_SRC = "case page_id % 4 when 0 then './images/' || page_id || '.png' when 1 then '../' || page_id || '.png' when 2 then 'https://x/y.png' else '..\\..\\../' || page_id || '.png' end"
+_RESOLVED = "array_to_string(list_reduce(list_transform(string_split(replace(regexp_replace('{base}', '[^/]*$', '') || src, '\\', '/'), '/'), lambda p: [p]), lambda a, p: case when p[1] in ('', '.') then a when p[1] = '..' then a[1 : len(a) - 1] else a || p end, []::varchar[]), '/')"
+
+
+@query("href_resolve", f"select page_id, case when src = '' or regexp_matches(src, '^(data:|https?://)') then src else {_RESOLVED.format(base='OEBPS/text/c.xhtml')} end as path from (select page_id, {_SRC} as src from pages)")
 def href_resolve(spark: SparkSession, sf: str) -> DataFrame:
     k, name = F.col("page_id") % 4, F.concat("page_id", F.lit(".png"))
     src = F.when(k == 0, F.concat(F.lit("./images/"), name)).when(k == 1, F.concat(F.lit("../"), name)).when(k == 2, "https://x/y.png").otherwise(F.concat(F.lit("..\\..\\../"), name))
     return X.read(spark, sf, "pages").select("page_id", T.resolved_path(F.lit("OEBPS/text/c.xhtml"), src).alias("path"))
 
 
-@query("href_fallback", "select page_id, 'OEBPS/img' || page_id || '.gif' as href from pages where page_id % 3 <> 2")
+_FORMS = "[(0, path), (1, regexp_replace(path, '^\\./', '')), (2, regexp_replace(path, '^/+', '')), (3, 'OEBPS/' || path), (4, replace(path, '\\', '/'))]"
+
+
+@query("href_fallback", f"with items as (select 'OEBPS/img' || page_id || '.gif' as href, page_id % 3 <> 2 as filled from pages), images as (select page_id, case when page_id % 3 = 0 then './img' else 'OEBPS/img' end || page_id || '.gif' as src from pages), local as (select page_id, {_RESOLVED.format(base='text.xhtml')} as path from images), forms as (select page_id, unnest({_FORMS}) as f from local) select page_id, arg_min(href, f[1]) as href from forms join items on href = f[2] where filled group by page_id")
 def href_fallback(spark: SparkSession, sf: str) -> DataFrame:
     from quire.sources.epub import matched_images
 
@@ -458,7 +542,11 @@ def href_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return matched_images(images.withColumn("n", F.col("page_id")), items).select(F.col("n").alias("page_id"), "href")
 
 
-@query("image_ext", "select page_id, case page_id % 5 when 0 then '.jpg' when 1 then '.gif' when 2 then '.png' when 3 then '.webp' else '.jpg' end as ext from pages")
+_NAME = "lower(case page_id % 5 when 0 then 'p.JPEG' when 3 then 'x.webp' else 'p' end)"
+_MAGIC = "case page_id % 5 when 1 then '474946383961' when 4 then 'FFD8FFE0' else '00' end"
+
+
+@query("image_ext", f"select page_id, case when contains(h, 'png') then '.png' when contains(h, 'jpg') or contains(h, 'jpeg') then '.jpg' when contains(h, 'gif') then '.gif' when contains(h, 'webp') then '.webp' when starts_with(m, '89504E470D0A1A0A') then '.png' when starts_with(m, 'FFD8') then '.jpg' when starts_with(m, '474946383961') or starts_with(m, '474946383761') then '.gif' else '.png' end as ext from (select page_id, {_NAME} as h, {_MAGIC} as m from pages)")
 def image_ext(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("page_id") % 5
     name = F.when(k == 0, "p.JPEG").when(k == 3, "x.webp").otherwise("p")
@@ -466,6 +554,28 @@ def image_ext(spark: SparkSession, sf: str) -> DataFrame:
     return X.read(spark, sf, "pages").select("page_id", T.image_extension(name, content).alias("ext"))
 
 
+_BOOKS = """with pg as (select page_id, url, page_id % 20 as b, cast(row_number() over (partition by page_id % 20 order by page_id) as int) as ord from pages),
+ sp as (select b, 'Book ' || b as book, ord, 'OEBPS/text/' || page_id || '.xhtml' as href, case when page_id % 5 = 0 then cast(page_id as varchar) else 'Page ' || page_id end as title, case when page_id % 5 = 0 then 'Book ' || b else 'Part_ ' || (page_id % 2) end as category, page_id, url from pg)"""
+
+
+@query("epub_spine", _BOOKS + " select book, ord as \"order\", href, title, category from sp")
+def epub_spine(spark: SparkSession, sf: str) -> DataFrame:
+    """Spine documents of e-books that are made of the pages, with titles and categories from their navigation."""
+    rows = epub.members_of(X.spark_books(spark, sf))
+    docs = epub.spine_documents(*epub.parts(rows))
+    return docs.select("book", "order", "href", "title", "category")
+
+
+@query("epub_bundles", _BOOKS + " select book || '/' || category || '/' || title || '/index.md' as rel_path, '---' || chr(10) || 'book: ' || book || chr(10) || 'category: ' || category || chr(10) || 'order: ' || ord || chr(10) || 'title: ' || case when page_id % 5 = 0 then chr(39) || title || chr(39) else title end || chr(10) || '---' || chr(10) || chr(10) || '# ' || page_id || chr(10) || chr(10) || url || case when page_id % 4 = 0 then chr(10) || chr(10) || '![img](assets/img_1.png)' else '' end as markdown from sp")
+def epub_bundles(spark: SparkSession, sf: str) -> DataFrame:
+    return books.bundles_of(epub.members_of(X.spark_books(spark, sf)))[0].select("rel_path", "markdown")
+
+
+@query("epub_images", _BOOKS + " select book || '/' || category || '/' || title || '/assets/img_1.png' as rel_path, '89504E470D0A1A0A' as content from sp where page_id % 4 = 0")
+def epub_images(spark: SparkSession, sf: str) -> DataFrame:
+    return books.bundles_of(epub.members_of(X.spark_books(spark, sf)))[1].select("rel_path", F.hex("content").alias("content"))
+
+
 @query("conversation_markdown", "select conv_id, '# ' || conv_id || chr(10) || chr(10) || string_agg('## ' || role || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) order by turn) as markdown from conversations group by conv_id")
 def conversation_markdown(spark: SparkSession, sf: str) -> DataFrame:
     turns = X.read(spark, sf, "conversations")

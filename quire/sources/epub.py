@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.operators.toc import nav_entries
 from quire.functions.text import file_stem, first_text, image_extension, resolved_path, strip, without_fragment
 
 SCHEMA = "doc_id string, kind string, seq int, level int, item_id string, href string, media_type string, title string, content binary, error string"
@@ -78,7 +79,11 @@ def read_book(data: bytes) -> list[dict]:
 
 
 def members(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").load(path)
+    return members_of(spark.read.format("binaryFile").load(path))
+
+
+def members_of(files: DataFrame) -> DataFrame:
+    """Rows of the members of ``files`` (path, content)."""
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,6 +101,13 @@ def members(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, SCHEMA)
 
 
+def parts(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Spine, items, flat navigation and books of ``members``."""
+    of = lambda kind: rows.filter(F.col("kind") == kind)
+    nav = of("nav").select("doc_id", F.col("seq").alias("pos"), "level", "title", "href", (F.col("media_type") == "section").alias("is_section"))
+    return of("spine"), of("item"), nav_entries(nav), of("book")
+
+
 def is_document(href: str = "href"):
     return F.lower(F.col(href)).rlike(r"\.(html|xhtml|htm)$")
 
@@ -118,4 +130,4 @@ def matched_images(images: DataFrame, items: DataFrame) -> DataFrame:
     return best.select("doc_id", "base", "n", "src", "x.href", image_extension("x.href", "x.content").alias("extension"), "x.content")
 
 
-__all__ = ["is_document", "matched_images", "members", "read_book", "spine_documents", "without_fragment"]
+__all__ = ["is_document", "matched_images", "members", "members_of", "parts", "read_book", "spine_documents", "without_fragment"]
