@@ -46,15 +46,16 @@ def with_islands(rows: DataFrame, profile: Profile, strict: bool = False) -> Dat
 
 def with_pieces(rows: DataFrame, profile: Profile) -> DataFrame:
     """``piece`` and the ``separator`` before it: continued quotes and headings lose their marks, emphasis fuses between CJK."""
-    lead = F.first("text").over(Window.partitionBy("doc_id", "island").orderBy("ord"))
+    lead = F.last(F.when(F.col("is_new"), F.col("text")), ignorenulls=True).over(in_order())  # the island's first line
     text, later = F.col("text"), ~F.col("is_new")
     quote = later & F.startswith(text, F.lit("> ")) & F.startswith(lead, F.lit("> "))
     bare = F.when(quote, F.substr(text, F.lit(3)))
     if profile.heading_continues:
         bare = bare.when(later & text.rlike(HEADING) & lead.rlike(HEADING), F.regexp_replace(text, f"^#+{BLANK}*", ""))
     rows = rows.withColumn("bare", bare.otherwise(text))
-    w = Window.partitionBy("doc_id", "island").orderBy("ord")
-    here, prev, after = F.col("bare"), F.lag("bare").over(w), F.lead("bare").over(w)
+    w = in_order()
+    here, prev = F.col("bare"), F.when(~F.col("is_new"), F.lag("bare").over(w))
+    after = F.when(~F.lead("is_new").over(w), F.lead("bare").over(w))
 
     def seam(a: Column, b: Column) -> Column:
         """How many marks each side of a seam loses."""
