@@ -12,12 +12,16 @@ where padding is ``length`` less the window, or nothing if the window's size is
 a power of two.  All but the powers of two need the minimum of f(i) + c(i) over
 a sliding window, which a monotone queue gives in constant time for each place.
 
-Each input partition is packed alone, in blocks: the last window of a block is
-carried into the next, so memory is bounded by a block and one document.  A
+Each input partition is packed alone, in blocks of BLOCK_IDS ids or one document:
+the last window of a block is carried into the next, so memory is bounded by a
+block and one document, and the least cost is that of a block's cuts, not of the
+whole corpus's.  A
 sentence longer than a window is cut where a window fills.  What is left at a
 partition's end is cut into powers of two, so nothing there is padded.  Null
-texts are empty and give one piece of one id; repeated rows are packed once for
-each; an empty table gives no rows.
+texts are empty and give one piece of one id; repeated rows, and rows without an
+id, are packed once for each; of equally cheap cuts the earliest window's longest
+one is taken; an empty table gives no rows.  Very long texts are packed whole.
+Other columns are not looked at.
 """
 
 from __future__ import annotations
