@@ -1,21 +1,22 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word's input has two learned parts: a vector of the word itself, for words of
-MIN_TEXTS training texts at least, and the mean of the vectors of its hashed
-character n-grams with marks at both ends, so unseen words built from known
-parts get a sensible input.  Windows of WINDOW words start every STEP words, a
-quarter of a window, and the last ends with the text: all of them are scored,
-and any passage of WINDOW - STEP + 1 words is whole in one.  In each window both
-directions' states are pooled by attention into one logit; a text's score is
-that of its highest window.
-
-Training takes a bounded sample of labelled rows: at most PER_CLASS of each
-label, by a hash of the id, of texts of at most SAMPLE_CHARS characters.  Vectors
-are learned first, with the words of whole texts pooled by attention to a linear
-score; then the network, from each text's currently highest window and from
-random windows of clean texts, since labels are for texts.  Words and n-grams of
-too few texts have no vector.  One in SET_APART texts is not learned from: on
-those the logits are scaled to likelihoods.
+A word's input has three parts.  Its own vector, learned, for words of enough
+training texts.  The mean of the learned vectors of its hashed character n-grams
+with marks at both ends, so unseen words built from known parts get a sensible
+input.  And evidence: the smoothed log-odds of being in a toxic training text, of
+the word and (largest and mean) of its n-grams; a training text's own counts are
+taken out for that text, so rare words do not give it away.
+
+Windows of WINDOW words start every STEP words, a quarter of a window, and the
+last ends with the text: all of them are scored, and any passage of WINDOW - STEP
++ 1 words is whole in one.  In each window both directions' states are pooled by
+attention into one logit; a text's score is that of its highest window.
+
+Training takes a bounded sample of labelled rows (at most PER_CLASS of each
+label, by a hash of the id, of texts of at most SAMPLE_CHARS characters) and
+learns from each text's currently highest window and from random windows of
+clean texts, since labels are for texts.  The weights of the later rounds are
+averaged.
 
 Null, empty and letterless texts have one empty window, whose score is the
 network's for no input.  Without both labels to learn from all scores are 0.
@@ -43,24 +44,23 @@ from quire.llm.common import doc_id_crc_mod, held_by_worker, table
 
 WINDOW, STEP = 48, 12
 #: Hidden units of a direction, and the length of a word's own vector and of its n-grams'.
-HIDDEN, LEARNED = 8, 8
-WIDTH = 2 * LEARNED
-#: Rows of the tables of word and n-gram vectors.
-WORD_ROWS, GRAM_ROWS = 1 << 17, 1 << 16
+HIDDEN, LEARNED, EVIDENCE = 8, 6, 3
+WIDTH = EVIDENCE + 2 * LEARNED
+#: Rows of the tables of words, of n-grams' log-odds, and of n-grams' vectors.
+WORD_ROWS, GRAM_ROWS, VECTOR_ROWS = 1 << 17, 1 << 19, 1 << 12
 GRAMS = (3, 4, 5, 6)
 #: Training texts, and their share, that a word or n-gram with a vector is in: what fewer have would be learned by heart.
 MIN_TEXTS, MIN_SHARE = 3, 0.01
 #: Most labelled texts of each label that are learned from, their most characters, and windows scored at once.
-PER_CLASS, SAMPLE_CHARS, BATCH_WINDOWS = 1000, 20_000, 1 << 10
+PER_CLASS, SAMPLE_CHARS, BATCH_WINDOWS = 2000, 20_000, 1 << 10
 ROUNDS, STEPS, BATCH, RATE, DECAY, DROPPED = 4, 80, 64, 0.01, 1e-4, 0.3
 KEPT_WORDS = 300_000
 THRESHOLD = 0.7
 WORDS = re.compile(r"[^\W\d_]+")
-#: Tables of vectors, of which only rows that enough texts have move, at their own rate.
+#: Tables of vectors, of which only rows that enough texts have move.
 KNOWN = ("word", "gram")
-TABLE_RATE, TABLE_DECAY = 0.03, 1e-3
-#: Steps that learn vectors alone, texts of each, and which part of the sample only sets the scale of the logits.
-WARM_STEPS, WARM_BATCH, SET_APART = 150, 32, 5
+#: Steps of the later rounds whose weights are averaged: every so many.
+AVERAGED = 8
 
 
 def words_of(text: str | None) -> list[str]:
@@ -116,6 +116,19 @@ def ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
+    """Of a text with the feature, shrunk by how many texts have it."""
+    n = toxic + clean
+    raw = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
+    return (np.clip(raw, -4, 4) * n / (n + 4)).astype(np.float32)
+
+
+def evidence(words: np.ndarray, grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Log-odds of words, and the largest and mean ones of their n-grams."""
+    first = np.cumsum(sizes) - sizes
+    return np.stack([words, np.maximum.reduceat(grams, first), np.add.reduceat(grams, first) / sizes], 1).astype(np.float32) if len(sizes) else np.zeros((0, EVIDENCE), np.float32)
+
+
 class Network:
     """Weights; rows of words and n-grams in too few texts stay zero."""
 
@@ -123,16 +136,20 @@ class Network:
         rng = np.random.default_rng(seed)
         init = lambda *shape, s: rng.normal(0, s, shape).astype(np.float32)
         h, d = HIDDEN, WIDTH
-        self.p = {"word": init(WORD_ROWS, LEARNED, s=0.1), "gram": init(GRAM_ROWS, LEARNED, s=0.1)}
+        self.p = {"word": init(WORD_ROWS, LEARNED, s=0.1), "gram": init(VECTOR_ROWS, LEARNED, s=0.1), "odds_word": np.zeros(WORD_ROWS, np.float32), "odds_gram": np.zeros(GRAM_ROWS, np.float32)}
         for side in "fb":
             self.p |= {f"W{side}": init(d, 3 * h, s=0.4), f"U{side}": init(h, 3 * h, s=0.3), f"c{side}": np.zeros(3 * h, np.float32)}
-        self.p |= {"A": init(2 * h, h, s=0.3), "a": init(h, s=0.5), "o": init(2 * h, s=0.5), "b": np.full(1, -1.0, np.float32), "v": init(d, s=0.5), "v0": np.full(1, -1.0, np.float32)}
+        self.p |= {"A": init(2 * h, h, s=0.3), "a": init(h, s=0.5), "o": init(2 * h, s=0.5), "b": np.full(1, -1.0, np.float32)}
 
-    def inputs(self, own: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Of words with these word rows and, end to end, n-gram rows."""
-        grams = np.add.reduceat(self.p["gram"][flat], np.cumsum(sizes) - sizes) / sizes[:, None].astype(np.float32)
+    def vectors(self, own: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Learned inputs of words with these word rows and, end to end, n-gram rows."""
+        grams = np.add.reduceat(self.p["gram"][flat % VECTOR_ROWS], np.cumsum(sizes) - sizes) / sizes[:, None].astype(np.float32)
         return np.concatenate([self.p["word"][own], grams], 1)
 
+    def inputs(self, own: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        p = self.p
+        return np.concatenate([evidence(p["odds_word"][own], p["odds_gram"][flat], sizes), self.vectors(own, flat, sizes)], 1)
+
     def _run(self, gates: np.ndarray, present: np.ndarray, side: str, keep: list) -> np.ndarray:
         """States [time, window, hidden] of one direction; gates has the projected inputs."""
         steps, n, _ = gates.shape
@@ -210,8 +227,7 @@ class Adam:
         m, v = m + 0.1 * (grad - m), v + 0.001 * (grad * grad - v)
         self.moments[name][0][rows], self.moments[name][1][rows] = m, v
         old = self.p[name][rows]
-        rate, decay = (TABLE_RATE, TABLE_DECAY) if name in KNOWN else (RATE, DECAY)
-        self.p[name][rows] = old * (1 - decay) - rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-8)
+        self.p[name][rows] = old * (1 - DECAY) - RATE * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-8)
 
     def __call__(self, dense: dict[str, np.ndarray], tables: dict[str, tuple[np.ndarray, np.ndarray]]):
         self.step += 1
@@ -336,41 +352,39 @@ def _scorer(weights: dict[str, np.ndarray]) -> Scorer:
     return held_by_worker(f"toxicity {zlib.crc32(weights['gram'].tobytes())}", lambda: Scorer(weights))
 
 
-def calibrated(p: dict[str, np.ndarray], split: list[list[str]], toxic: np.ndarray) -> dict[str, np.ndarray]:
-    """Weights whose logits, scaled and moved, are likeliest for texts that were not learned from; the scale stays near one for few texts."""
-    z = np.array([x.max() for x in Scorer(p).window_logits(split)], np.float64)
-    x, theta = np.stack([z, np.ones_like(z)], 1), np.array([1.0, 0.0])
-    for _ in range(50):
-        q = sigmoid(x @ theta)
-        grad = x.T @ (q - toxic) + (theta - [1, 0])
-        theta = theta - np.linalg.solve(x.T @ (x * (q * (1 - q))[:, None]) + np.eye(2), grad)
-    scale, shift = max(float(theta[0]), 0.1), float(theta[1])
-    return p | {"o": (p["o"] * scale).astype(np.float32), "b": (p["b"] * scale + shift).astype(np.float32)}
-
-
 def fit(texts: list[str | None], toxic: list[int], seed: int = 7, without: tuple[str, ...] = ()) -> dict[str, np.ndarray] | None:
-    """Weights learned from labelled texts; None without both labels.  ``without`` leaves out "word" or "gram" vectors, for comparisons."""
+    """Weights learned from labelled texts; None without both labels.  ``without`` leaves out parts ("word", "gram", "odds_word", "odds_gram"), for comparisons."""
     toxic_of = np.array(toxic, np.float32)
     if not len(toxic_of) or toxic_of.min() == toxic_of.max():
         return None
     rng = np.random.default_rng(seed)
     net, vocabulary = Network(seed), Vocabulary()
     split = [words_of(t) for t in texts]
-    apart = np.zeros(len(texts), bool)
-    for y in (0, 1):
-        apart[np.flatnonzero(toxic_of == y)[SET_APART - 1 :: SET_APART]] = True
-    later, later_toxic = [w for w, a in zip(split, apart, strict=True) if a], toxic_of[apart]
-    split, toxic_of = [w for w, a in zip(split, apart, strict=True) if not a], toxic_of[~apart]
     ids = [vocabulary.add(w) for w in split]
     own, flat, bounds = vocabulary.arrays()
     p, known = net.p, {name: np.zeros(len(p_), np.int32) for name, p_ in net.p.items() if name in KNOWN}
     for x in ids:
         rows = np.unique(x)
         known["word"][np.unique(own[rows])] += 1
-        known["gram"][np.unique(flat[ranges(bounds[rows], np.diff(bounds)[rows])])] += 1
+        known["gram"][np.unique(flat[ranges(bounds[rows], np.diff(bounds)[rows])] % VECTOR_ROWS)] += 1
     for name in KNOWN:
         known[name] = (known[name] >= max(MIN_TEXTS, MIN_SHARE * len(split))) & (name not in without)
         p[name] *= known[name][:, None]
+    # What is known of a text's words from the other texts, so rare words do not give it away.
+    n_of = [float((toxic_of == y).sum()) for y in (0, 1)]
+    tables_of = [np.zeros((2, n), np.float32) for n in (WORD_ROWS, GRAM_ROWS)]
+    parts = []
+    for x, y in zip(ids, toxic_of.astype(int).tolist(), strict=True):
+        rows, back = np.unique(x, return_inverse=True)
+        sizes = np.diff(bounds)[rows]
+        parts.append((own[rows], flat[ranges(bounds[rows], sizes)], sizes, back))
+        for t, where in zip(tables_of, parts[-1], strict=False):
+            t[y, np.unique(where)] += 1
+    p |= {name: log_odds(t[1], t[0], n_of[1], n_of[0]) * (name not in without) for name, t in zip(("odds_word", "odds_gram"), tables_of, strict=True)}
+    known_of = []
+    for (*where, sizes, back), y in zip(parts, toxic_of, strict=True):
+        odds = [log_odds(t[1][w] - y, t[0][w] - (1 - y), n_of[1] - y, n_of[0] - (1 - y)) * (name not in without) for name, t, w in zip(("odds_word", "odds_gram"), tables_of, where, strict=True)]
+        known_of.append(evidence(*odds, sizes)[back])
     begins = [starts(len(x)) for x in ids]
     groups = [np.flatnonzero(toxic_of == y) for y in (0, 1)]
     adam = Adam(p)
@@ -378,55 +392,37 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7, without: tuple
     def tables(rows: np.ndarray, grams: np.ndarray, sizes: np.ndarray, d_rows: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
         """Gradients of the vectors that are learned, from those of the inputs of ``rows``."""
         moved = {}
-        for name, where, d in (("word", own[rows], d_rows[:, :LEARNED]), ("gram", grams, np.repeat(d_rows[:, LEARNED:] / sizes[:, None], sizes, 0))):
+        for name, where, d in (("word", own[rows], d_rows[:, :LEARNED]), ("gram", grams % VECTOR_ROWS, np.repeat(d_rows[:, LEARNED:] / sizes[:, None], sizes, 0))):
             some = known[name][where]
             if some.any():
                 moved[name] = summed(where[some], d[some])
         return moved
 
-    # First the vectors alone: whole texts, their words pooled by attention to a linear score.
-    distinct = [np.unique(x) for x in ids]
-    for _ in range(WARM_STEPS):
-        picked = np.concatenate([rng.choice(g, WARM_BATCH // 2) for g in groups])
-        picked = picked[[len(distinct[j]) > 0 for j in picked]]
-        counts = np.array([len(distinct[j]) for j in picked])
-        if not len(counts):
-            break
-        at = np.cumsum(counts) - counts
-        rows, back = np.unique(np.concatenate([distinct[j] for j in picked]), return_inverse=True)
-        sizes = np.diff(bounds)[rows]
-        grams = flat[ranges(bounds[rows], sizes)]
-        x = net.inputs(own[rows], grams, sizes)
-        kept = rng.random(len(back)) > DROPPED
-        score = (x @ p["v"])[back]
-        w = np.exp(score - np.repeat(np.maximum.reduceat(score, at), counts)) * kept + 1e-9
-        w /= np.repeat(np.add.reduceat(w, at), counts)
-        z = np.add.reduceat(w * score, at)
-        dz = (sigmoid(z + p["v0"][0]) - toxic_of[picked]) / len(picked)
-        d_score = np.bincount(back, np.repeat(dz, counts) * w * (1 + score - np.repeat(z, counts)), minlength=len(rows))
-        adam({"v": x.T @ d_score, "v0": np.array([dz.sum()])}, tables(rows, grams, sizes, d_score[:, None] * p["v"]))
-    best_word = [int((net.inputs(own[x], flat[ranges(bounds[x], np.diff(bounds)[x])], np.diff(bounds)[x]) @ p["v"]).argmax()) if len(x) else 0 for x in ids]
-    top = [int(np.abs(b + WINDOW // 2 - k).argmin()) for b, k in zip(begins, best_word, strict=True)]
+    top = None
+    mean, taken = None, 0
     for k in range(ROUNDS):
-        for _ in range(STEPS):
+        for step in range(STEPS):
             picked = np.concatenate([rng.choice(g, BATCH // 2) for g in groups])
-            grid = np.zeros((WINDOW, len(picked)), np.int64)
+            grid, facts = np.zeros((WINDOW, len(picked)), np.int64), np.zeros((WINDOW, len(picked), EVIDENCE), np.float32)
             for i, j in enumerate(picked):
-                best = toxic_of[j] or i % 2
-                some = ids[j][begins[j][top[j] if best else rng.integers(len(begins[j]))] :][:WINDOW]
-                grid[: len(some), i] = some
+                best = top is not None and (toxic_of[j] or i % 2)
+                at = begins[j][top[j] if best else rng.integers(len(begins[j]))]
+                some = ids[j][at : at + WINDOW]
+                grid[: len(some), i], facts[: len(some), i] = some, known_of[j][at : at + WINDOW]
             rows, back = np.unique(grid, return_inverse=True)
             back, sizes = back.reshape(grid.shape), np.diff(bounds)[rows]
             grams = flat[ranges(bounds[rows], sizes)]
-            x = net.inputs(own[rows], grams, sizes)[back]
+            x = net.vectors(own[rows], grams, sizes)[back]
             kept = np.repeat(rng.random((2, *grid.shape)) > DROPPED, LEARNED, 0).transpose(1, 2, 0) * (grid > 0)[:, :, None]
-            dense, d_x = net.gradients((x * kept).astype(np.float32), (grid > 0).astype(np.float32), toxic_of[picked])
-            _, d_rows = summed(back.ravel(), (d_x * kept).reshape(-1, WIDTH))
+            dense, d_x = net.gradients(np.concatenate([facts, x * kept], 2).astype(np.float32), (grid > 0).astype(np.float32), toxic_of[picked])
+            _, d_rows = summed(back.ravel(), (d_x[:, :, EVIDENCE:] * kept).reshape(-1, 2 * LEARNED))
             adam(dense, tables(rows, grams, sizes, d_rows))
+            if k >= ROUNDS // 2 and step % AVERAGED == 0:
+                taken += 1
+                mean = {n: v.astype(np.float32) for n, v in p.items()} if mean is None else {n: m + (p[n] - m) / taken for n, m in mean.items()}
         if k < ROUNDS - 1:
             top = [int(z.argmax()) for z in Scorer(p).window_logits(split)]
-    p = {k: v.astype(np.float32) for k, v in p.items()}
-    return calibrated(p, later, later_toxic) if len(later) else p
+    return {n: v.astype(np.float32) for n, v in (mean or p).items()}
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[list[str], list[int]]:
