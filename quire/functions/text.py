@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 #: White space as a character class that Java's and RE2's engines read alike.
 BLANK = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 CJK = "[一-鿿]"
-#: Circled digits one to ten, the reference marks of notes.
+# Circled digits one to ten, the reference marks of notes; what file names cannot hold; the number of a
+# numbered heading and what follows it; the marks of a note that goes over pages.
 GLYPHS = "①②③④⑤⑥⑦⑧⑨⑩"
+REFUSED = r'[\\/:*?"<>|]'
+NUMBERED = r"^([0-9.]+|[一二三四五六七八九十百]+[、.]?)[ \t]+(.*)$"
+PAGE_MARKS = ("接上页", "转下页")
 
 
 def col(c: str | Column) -> Column:
@@ -28,7 +32,7 @@ def rstrip(c: str | Column) -> Column:
 
 def clean_filename(c: str | Column) -> Column:
     """Characters that file systems refuse become underscores."""
-    return strip(F.regexp_replace(col(c), r'[\\/:*?"<>|]', "_"))
+    return strip(F.regexp_replace(col(c), REFUSED, "_"))
 
 
 def is_cjk(c: str | Column) -> Column:
@@ -41,7 +45,7 @@ def contains_any(c: str | Column, needles: list[str]) -> Column:
 
 def without_page_markers(c: str | Column) -> Column:
     """Without "continued from" and "continued on" marks, however they are spaced."""
-    for mark in ("接上页", "转下页"):
+    for mark in PAGE_MARKS:
         c = F.regexp_replace(col(c), r"\[" + f"{BLANK}*" + f"{BLANK}*".join(mark) + f"{BLANK}*" + r"\]", "")
     return c
 
@@ -49,8 +53,7 @@ def without_page_markers(c: str | Column) -> Column:
 def normalized_heading(c: str | Column) -> Column:
     """Heading text without inner blanks, but for one after its number."""
     t = strip(F.regexp_replace(col(c), "　", " "))
-    numbered = r"^([0-9.]+|[一二三四五六七八九十百]+[、.]?)[ \t]+(.*)$"
-    number, rest = F.regexp_extract(t, numbered, 1), F.regexp_extract(t, numbered, 2)
+    number, rest = F.regexp_extract(t, NUMBERED, 1), F.regexp_extract(t, NUMBERED, 2)
     tight = lambda x: F.regexp_replace(x, "[ 　]", "")
     return F.when(number != "", F.concat(number, F.lit(" "), tight(rest))).otherwise(tight(t))
 
