@@ -52,7 +52,7 @@ GRAMS = (3, 4, 5, 6)
 #: Training texts, and their share, that a word or n-gram with a vector is in: what fewer have would be learned by heart.
 MIN_TEXTS, MIN_SHARE = 3, 0.01
 #: Most labelled texts of each label that are learned from, their most characters, and windows scored at once.
-PER_CLASS, SAMPLE_CHARS, BATCH_WINDOWS = 2000, 20_000, 1 << 10
+PER_CLASS, SAMPLE_CHARS, BATCH_WINDOWS = 1000, 20_000, 1 << 10
 ROUNDS, STEPS, BATCH, RATE, DECAY, DROPPED = 4, 80, 64, 0.01, 1e-4, 0.3
 KEPT_WORDS = 300_000
 THRESHOLD = 0.7
@@ -107,7 +107,7 @@ class Vocabulary:
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word rows, n-gram rows end to end, and where each word's begin (and the last's end)."""
-        return np.array(self.own, np.int64), np.array(self.flat, np.int64), np.concatenate([[0], np.cumsum(self.sizes)])
+        return np.array(self.own, np.int32), np.array(self.flat, np.int32), np.concatenate([[0], np.cumsum(self.sizes)])
 
 
 def ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -220,7 +220,7 @@ class Adam:
 
     def __init__(self, weights: dict[str, np.ndarray]):
         self.p, self.step = weights, 0
-        self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in weights.items()}
+        self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in weights.items() if not k.startswith("odds")}
 
     def _move(self, name: str, rows, grad: np.ndarray):
         m, v = (x[rows] for x in self.moments[name])
@@ -359,8 +359,8 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7, without: tuple
         return None
     rng = np.random.default_rng(seed)
     net, vocabulary = Network(seed), Vocabulary()
-    split = [words_of(t) for t in texts]
-    ids = [vocabulary.add(w) for w in split]
+    ids = [vocabulary.add(words_of(t)) for t in texts]
+    names = ["", *vocabulary.row]
     own, flat, bounds = vocabulary.arrays()
     p, known = net.p, {name: np.zeros(len(p_), np.int32) for name, p_ in net.p.items() if name in KNOWN}
     for x in ids:
@@ -368,23 +368,27 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7, without: tuple
         known["word"][np.unique(own[rows])] += 1
         known["gram"][np.unique(flat[ranges(bounds[rows], np.diff(bounds)[rows])] % VECTOR_ROWS)] += 1
     for name in KNOWN:
-        known[name] = (known[name] >= max(MIN_TEXTS, MIN_SHARE * len(split))) & (name not in without)
+        known[name] = (known[name] >= max(MIN_TEXTS, MIN_SHARE * len(ids))) & (name not in without)
         p[name] *= known[name][:, None]
     # What is known of a text's words from the other texts, so rare words do not give it away.
     n_of = [float((toxic_of == y).sum()) for y in (0, 1)]
     tables_of = [np.zeros((2, n), np.float32) for n in (WORD_ROWS, GRAM_ROWS)]
-    parts = []
-    for x, y in zip(ids, toxic_of.astype(int).tolist(), strict=True):
+
+    def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of a text's words: their word rows, n-gram rows end to end and how many, and which word is where."""
         rows, back = np.unique(x, return_inverse=True)
         sizes = np.diff(bounds)[rows]
-        parts.append((own[rows], flat[ranges(bounds[rows], sizes)], sizes, back))
-        for t, where in zip(tables_of, parts[-1], strict=False):
+        return own[rows], flat[ranges(bounds[rows], sizes)], sizes, back
+
+    for x, y in zip(ids, toxic_of.astype(int).tolist(), strict=True):
+        for t, where in zip(tables_of, distinct(x)[:2], strict=True):
             t[y, np.unique(where)] += 1
     p |= {name: log_odds(t[1], t[0], n_of[1], n_of[0]) * (name not in without) for name, t in zip(("odds_word", "odds_gram"), tables_of, strict=True)}
     known_of = []
-    for (*where, sizes, back), y in zip(parts, toxic_of, strict=True):
+    for x, y in zip(ids, toxic_of, strict=True):
+        *where, sizes, back = distinct(x)
         odds = [log_odds(t[1][w] - y, t[0][w] - (1 - y), n_of[1] - y, n_of[0] - (1 - y)) * (name not in without) for name, t, w in zip(("odds_word", "odds_gram"), tables_of, where, strict=True)]
-        known_of.append(evidence(*odds, sizes)[back])
+        known_of.append(evidence(*odds, sizes)[back].astype(np.float16))
     begins = [starts(len(x)) for x in ids]
     groups = [np.flatnonzero(toxic_of == y) for y in (0, 1)]
     adam = Adam(p)
@@ -398,8 +402,7 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7, without: tuple
                 moved[name] = summed(where[some], d[some])
         return moved
 
-    top = None
-    mean, taken = None, 0
+    top, mean, taken = None, None, 0
     for k in range(ROUNDS):
         for step in range(STEPS):
             picked = np.concatenate([rng.choice(g, BATCH // 2) for g in groups])
@@ -419,9 +422,15 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7, without: tuple
             adam(dense, tables(rows, grams, sizes, d_rows))
             if k >= ROUNDS // 2 and step % AVERAGED == 0:
                 taken += 1
-                mean = {n: v.astype(np.float32) for n, v in p.items()} if mean is None else {n: m + (p[n] - m) / taken for n, m in mean.items()}
+                if mean is None:
+                    mean = {n: v.copy() for n, v in p.items()}
+                for n, m in mean.items():
+                    m += (p[n] - m) / taken
         if k < ROUNDS - 1:
-            top = [int(z.argmax()) for z in Scorer(p).window_logits(split)]
+            scorer = Scorer(p)
+            some = (ids[at : at + BATCH] for at in range(0, len(ids), BATCH))
+            top = [int(z.argmax()) for part in some for z in scorer.window_logits([[names[i] for i in x] for x in part])]
+            del scorer
     return {n: v.astype(np.float32) for n, v in (mean or p).items()}
 
 
