@@ -32,6 +32,8 @@ patterns that many values share are joined in place.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +54,8 @@ CANDIDATE = (
     + r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]++)++"
 )
 CONTEXT_CHARS = 48
+#: Characters of the pieces that masked texts are cut from.
+CHUNK = 1024
 SUPPORT, UNSEEN, PATTERN_SCORE, VALUE_SCORE = 5, 0.5, 0.5, 0.6
 OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 NAMES = [k for k, _, _ in KINDS] + ["id"]
@@ -117,7 +121,9 @@ def apart(rows: DataFrame) -> DataFrame:
     is_base = F.col("rank") < len(KINDS)
     w = Window.partitionBy("_row").orderBy("first", "rank")
     reach = F.max(F.when(is_base, F.col("last"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.min(F.when(is_base, F.col("first"))).over(w.rowsBetween(0, Window.unboundedFollowing))
+    # The other way round, since a frame up to the end is gone through again for each row.
+    back = Window.partitionBy("_row").orderBy(F.desc("first"), F.desc("rank"))
+    ahead = F.min(F.when(is_base, F.col("first"))).over(back.rowsBetween(Window.unboundedPreceding, 0))
     return rows.select("*", reach.alias("_reach"), ahead.alias("_ahead")).filter(is_base | (F.coalesce(F.col("_reach") <= F.col("first"), F.lit(True)) & F.coalesce(F.col("_ahead") >= F.col("last"), F.lit(True)))).drop("_reach", "_ahead")
 
 
@@ -169,18 +175,48 @@ def with_spans(docs: DataFrame) -> DataFrame:
     return keyed.join(found, ["_id", "_hash"], "left").withColumn("base", F.coalesce("base", empty)).withColumn("every", F.coalesce("every", empty)).drop("_id", "_hash")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, though a function over an array's elements uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def part(values: Column, first: Column, count: Column) -> Column:
+    """``count`` elements from place ``first`` (from 0), in time that grows with ``count``; ``slice`` copies the whole array."""
+    last = F.least(first + count, F.size(values)) - 1
+    return F.when(last >= first, F.transform(F.sequence(first, last), lambda k: F.get(values, k)))
+
+
 def masked(text: Column, every: Column) -> Column:
-    """``text`` with each span replaced by its kind in angle brackets; spans that overlap are replaced as one."""
-    names = F.array(*[F.lit(f"<{n}>") for n in NAMES])
-    start = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("at"))
+    """``text`` with each span replaced by its kind in angle brackets; spans that overlap are replaced as one.
 
-    def step(s, x):
-        gap = F.substring(text, (s["at"] + 1).cast("int"), (x["first"] - s["at"]).cast("int"))
-        ahead = F.struct(F.concat(s["done"], gap, F.element_at(names, x["rank"] + 1)).alias("done"), x["last"].alias("at"))
-        inside = F.struct(s["done"].alias("done"), F.greatest(s["at"], x["last"]).alias("at"))
-        return F.when(x["first"] >= s["at"], ahead).otherwise(inside)
+    ``every`` is ordered by start and then kind.  A span opens a group if no earlier one reaches beyond its start; a
+    group ends where the spans before the next one's first reach.  What lies between groups is cut from pieces of
+    CHUNK characters, so that no cut counts from the text's start, and all is joined once.
+    """
+    names = F.array(*[F.lit(f"<{n}>") for n in NAMES])
 
-    return F.when(F.size(every) == 0, text).otherwise(F.aggregate(every, start, step, lambda s: F.concat(s["done"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))))
+    def opened(last: Column, width: Column) -> Column:
+        """Structs (first, rank, reach of all before) of the spans that open a group; reach by blocks of ``width`` spans."""
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(last) / width).cast("int") - 1), lambda j: F.array_max(part(last, j * width, width)))
+        before = let(blocks, lambda tops: F.transform(tops, lambda _, j: F.array_max(part(tops, F.lit(0), j))))
+        block = lambda k: F.floor(k / width).cast("int")
+        reach = lambda high, k: F.greatest(F.get(high, block(k)), F.array_max(part(last, block(k) * width, k - block(k) * width)))
+        with_reach = let(before, lambda high: F.transform(every, lambda x, k: F.struct(x["first"].alias("first"), x["rank"].alias("rank"), reach(high, k).alias("reach"))))
+        return F.filter(with_reach, lambda x: x["reach"].isNull() | (x["reach"] <= x["first"]))
+
+    def joined(chunks: Column, last: Column) -> Column:
+        piece = lambda at: F.floor(at / CHUNK).cast("int")
+        around = lambda a, b: F.coalesce(F.array_join(part(chunks, piece(a), piece(b) - piece(a) + 1), ""), F.lit(""))
+        between = lambda a, b: F.substring(around(a, b), (a - piece(a) * CHUNK).cast("int") + 1, (b - a).cast("int"))
+        start = lambda x: F.coalesce(x["reach"], F.lit(0).cast("long"))
+        groups = opened(last, F.ceil(F.sqrt(F.size(last))).cast("int"))
+        shown = F.transform(groups, lambda x: F.concat(between(start(x), x["first"]), F.element_at(names, x["rank"] + 1)))
+        end = F.array_max(last)
+        return F.concat(F.array_join(shown, ""), between(end, F.greatest(end, F.size(chunks) * F.lit(CHUNK).cast("long"))))
+
+    chunks = F.regexp_extract_all(text, F.lit(r"(?s).{1,%d}" % CHUNK), F.lit(0))
+    found = let(chunks, lambda c: let(F.transform(every, lambda x: x["last"]), lambda last: joined(c, last)))
+    return F.when(F.size(every) == 0, text).otherwise(found)
 
 
 def without_pii(docs: DataFrame) -> DataFrame:

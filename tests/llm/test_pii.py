@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -149,3 +150,39 @@ def test_native(spark, monkeypatch):
     for df in plans:
         plan = df._jdf.queryExecution().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "ExistingRDD", "SerializeFromObject")), plan
+
+
+def cut(text, spans):
+    out, at = [], 0
+    for first, rank, last in spans:
+        if first >= at:
+            out += [text[at:first], f"<{pii.NAMES[rank]}>"]
+        at = max(at, last)
+    return "".join([*out, text[at:]])
+
+
+def test_masked_same_as_one_walk(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(300):
+        text = "".join(rng.choice("ab é\n𝄞1") for _ in range(rng.choice([1, 20, 1023, 1024, 1025, 5000])))
+        spans = sorted({(a, rng.randrange(5), min(len(text), a + rng.choice([1, 3, 40, 2000]))) for a in (rng.randrange(len(text)) for _ in range(rng.choice([0, 1, 2, 30, 200])))})
+        rows.append((k, text, spans))
+    df = spark.createDataFrame(rows, "k int, text string, every array<struct<first:bigint,rank:int,last:bigint>>")
+    got = {r.k: r.m for r in df.select("k", pii.masked(F.col("text"), F.col("every")).alias("m")).collect()}
+    assert got == {k: cut(text, spans) for k, text, spans in rows}
+
+
+def test_long_text_with_many_spans(spark):
+    """10 MB with 100,000 spans, in time that grows with the text."""
+    one = "call +1 (017) 555-7713 or write to someone@example.org " + "and so on é " * 12
+    text = one * 51_000
+    assert len(text.encode()) > 10_000_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = [(k * len(one) + a, r, k * len(one) + b) for k in range(51_000) for a, r, b in ((5, 3, 22), (35, 0, 54))]
+    every = spark.createDataFrame([(1, spans)], "doc_id long, every array<struct<first:bigint,rank:int,last:bigint>>")
+    began = time.time()
+    got = df.join(every, "doc_id").select(pii.masked(F.col("text"), F.col("every")).alias("m")).first().m
+    assert got == cut(text, spans) and time.time() - began < 60
+    began = time.time()
+    assert pii.without_pii(df).first().text == cut(text, spans) and time.time() - began < 180
