@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, language, media, merkle, neardup, packing, pii, repeats, secrets, toxicity
+from quire.llm import bpe, language, media, merkle, neardup, packing, periodic, pii, repeats, resampling, secrets, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": repeats.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_packing": packing.query,
     "op10_pii": pii.query,
+    "op11_importance_resampling": resampling.query,
+    "op13_periodic_runs": periodic.query,
 }
 
-ORACLES: dict[str, str] = {"op5_merkle_fingerprints": merkle.ORACLE}
+ORACLES: dict[str, str] = {"op5_merkle_fingerprints": merkle.ORACLE, "op11_importance_resampling": resampling.ORACLE}
