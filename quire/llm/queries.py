@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, language, media, merkle, neardup, packing, periodic, pii, repeats, resampling, secrets, toxicity
+from quire.llm import bpe, language, media, merkle, neardup, packing, periodic, pii, repeats, resampling, secrets, shinglejoin, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": repeats.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_packing": packing.query,
     "op10_pii": pii.query,
     "op11_importance_resampling": resampling.query,
+    "op12_shingle_join": shinglejoin.query,
     "op13_periodic_runs": periodic.query,
 }
 
