@@ -1,36 +1,30 @@
 """Outline operators over ``toc`` rows (doc_id, pos, level, title, page), in preorder by ``pos``.
 
-Ancestors come from one window over what precedes: the latest entry of a level
-at most k is the ancestor at level k if its level is k.  Boundaries come from
-the same in descending order.  The levels are those that the outlines have,
-however deep; operators ask for them in one small aggregate unless they are
-given.  One document is one window partition, with one exchange for all
-operators chained here.
+What hangs on ancestors or on the next entry of a rank comes from one walk over
+each outline in order (``nested``): entries wait on a stack of the open ones and
+leave it when an entry of the same or a higher rank comes.  So the plan is the
+same for any number of levels, and a task holds the open entries only, however
+long an outline is.  ``plan`` walks once for all that it needs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from quire.functions.text import clean_filename, contains_any, strip
-
-
-
-def levels_of(toc: DataFrame) -> list[int]:
-    """The levels that occur, ascending: a row of one array."""
-    return sorted(toc.agg(F.collect_set("level").alias("levels")).first().levels)
+from quire.operators.names import unique_names
 
 
 def in_order() -> WindowSpec:
     return Window.partitionBy("doc_id").orderBy("pos")
 
 
-def after() -> WindowSpec:
-    """What follows, nearest last: frames that grow with the row cost no more than one pass."""
-    return Window.partitionBy("doc_id").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
-
-
 def entries(toc: DataFrame) -> DataFrame:
     """Stripped titles and 0-based starts; unresolved bookmarks start at 0 and are marked."""
     return toc.withColumns({"raw_title": F.col("title"), "title": strip("title"), "start": F.greatest(F.col("page") - 1, F.lit(0)), "unresolved": F.col("page") < 1})
@@ -40,39 +34,91 @@ def with_children(toc: DataFrame) -> DataFrame:
     return toc.withColumn("has_children", F.coalesce(F.lead("level").over(in_order()) > F.col("level"), F.lit(False)))
 
 
-def _of_level(columns: list[str], window: WindowSpec, levels: list[int]) -> list[Column]:
-    """For each of ``levels``: struct of ``columns`` and level of the nearest entry whose level is at most that."""
-    return [F.last(F.when(F.col("level") <= k, F.struct("level", *columns)), ignorenulls=True).over(window) for k in levels]
-
-
-def with_end(toc: DataFrame, pages: str = "n_pages", levels: list[int] | None = None) -> DataFrame:
+def nested(toc: DataFrame, paths: dict[str, str] | None = None, flags: dict[str, str] | None = None, boundary: tuple[str, str] | None = None, children: str | None = None) -> DataFrame:
+    """``toc`` with what its nesting gives, by one walk over each outline.
+
+    ``paths``: new column by text column, the ancestors' values (but nulls) joined by slashes, null if there is none.
+    ``flags``: new column by boolean column, whether it holds for the entry or an ancestor.
+    ``boundary``: new column and column, the value of the next entry of the same or a higher rank, null if none comes.
+    ``children``: name of the column for whether the next entry is of a lower rank.
+    An entry without a level has the highest rank.
+    """
+    paths, flags = paths or {}, flags or {}
+    added = [StructField(n, StringType()) for n in paths] + [StructField(n, BooleanType()) for n in flags]
+    added += [StructField(boundary[0], toc.schema[boundary[1]].dataType)] if boundary else []
+    added += [StructField(children, BooleanType())] if children else []
+    schema = StructType([*toc.schema.fields, *added])
+    names = toc.columns
+    n = len(names)
+    at = {c: k for k, c in enumerate(names)}
+    key, level_at = at["doc_id"], at["level"]
+    path_of, flag_of = [at[c] for c in paths.values()], [at[c] for c in flags.values()]
+    bound_of = at[boundary[1]] if boundary else None
+    end_at = n + len(paths) + len(flags)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        done: list[list] = []
+        open_: list[tuple[int, list, list, list]] = []  # level, row, paths and flags for what is below it
+        doc: tuple = ()
+
+        def close(level: int | None, bound) -> None:
+            while open_ and (level is None or open_[-1][0] >= level):
+                row = open_.pop()[1]
+                if boundary:
+                    row[end_at] = bound
+                done.append(row)
+
+        def made() -> pa.RecordBatch:
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), arrow, strict=True)]
+            done.clear()
+            return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+        for batch in batches:
+            for values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if doc != (values[key],):
+                    close(None, None)
+                    doc = (values[key],)
+                level = values[level_at] or 0
+                if children and open_ and open_[-1][0] < level:
+                    open_[-1][1][-1] = True
+                close(level, values[bound_of] if boundary else None)
+                above = open_[-1][2] if open_ else [None] * len(path_of)
+                under = open_[-1][3] if open_ else [False] * len(flag_of)
+                own = [bool(values[k]) or f for k, f in zip(flag_of, under, strict=True)]
+                row = [*values, *above, *own, *([None] if boundary else []), *([False] if children else [])]
+                below = [a if values[k] is None else values[k] if a is None else f"{a}/{values[k]}" for k, a in zip(path_of, above, strict=True)]
+                open_.append((level, row, below, own))
+            if done:
+                yield made()
+        close(None, None)
+        if done:
+            yield made()
+
+    return toc.repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(run, schema)
+
+
+def _ended(boundary: str, pages: str):
+    return F.greatest(F.coalesce(F.col(boundary), F.col(pages)) - 1, F.col("start"))
+
+
+def _hit(toc: DataFrame, blacklist: list[str]):
+    return contains_any("raw_title" if "raw_title" in toc.columns else "title", blacklist)
+
+
+def with_end(toc: DataFrame, pages: str = "n_pages") -> DataFrame:
     """Inclusive ``end``: the page before the next entry of the same or a higher rank, or the last page."""
-    levels = levels_of(toc) if levels is None else levels
-    nearest = F.array(*[c.getField("start") for c in _of_level(["start"], after(), levels)]).cast("array<int>")
-    boundary = F.get(nearest, F.array_position(F.array(*map(F.lit, levels)).cast("array<int>"), F.col("level").cast("int")).cast("int") - 1)
-    return toc.withColumn("end", F.greatest(F.coalesce(boundary, F.col(pages)) - 1, F.col("start")))
-
+    return nested(toc, boundary=("_boundary", "start")).withColumn("end", _ended("_boundary", pages)).drop("_boundary")
 
-def ancestors(columns: list[str], levels: list[int]) -> Column:
-    """Array of structs of the ancestors, outermost first."""
-    before = in_order().rowsBetween(Window.unboundedPreceding, -1)
-    # One level more, so that the array has a type where no level is.
-    found = F.array(*[F.when(c["level"] == k, c) for k, c in zip([*levels, None], _of_level(columns, before, [*levels, levels[-1] if levels else 0]), strict=True)])
-    return F.filter(found, lambda a: a.isNotNull() & (a["level"] < F.col("level")))
 
-
-def with_blacklist(toc: DataFrame, blacklist: list[str], levels: list[int] | None = None) -> DataFrame:
+def with_blacklist(toc: DataFrame, blacklist: list[str]) -> DataFrame:
     """``is_blacklisted``: the title as it came, or an ancestor's, holds a listed string."""
-    levels = levels_of(toc) if levels is None else levels
-    hit = toc.withColumn("_hit", contains_any("raw_title" if "raw_title" in toc.columns else "title", blacklist))
-    up = hit.withColumn("_up", ancestors(["_hit"], levels))
-    return up.withColumn("is_blacklisted", F.col("_hit") | F.exists("_up", lambda a: a["_hit"])).drop("_hit", "_up")
+    return nested(toc.withColumn("_hit", _hit(toc, blacklist)), flags={"is_blacklisted": "_hit"}).drop("_hit")
 
 
-def with_category(toc: DataFrame, levels: list[int] | None = None) -> DataFrame:
+def with_category(toc: DataFrame) -> DataFrame:
     """``category``: ancestors' titles joined by slashes; call after blacklisted rows are gone."""
-    levels = levels_of(toc) if levels is None else levels
-    return toc.withColumn("_up", ancestors(["title"], levels)).withColumn("category", F.array_join(F.transform("_up", lambda a: a["title"]), "/")).drop("_up")
+    return nested(toc, paths={"category": "title"}).fillna("", ["category"])
 
 
 def with_kind(toc: DataFrame, split_level: int) -> DataFrame:
@@ -81,22 +127,29 @@ def with_kind(toc: DataFrame, split_level: int) -> DataFrame:
     return toc.withColumn("kind", F.when((level == split_level) | ((level < split_level) & ~F.col("has_children")), "file").when(level < split_level, "folder").otherwise("content"))
 
 
-def with_path(toc: DataFrame, levels: list[int] | None = None) -> DataFrame:
-    """``path``: cleaned titles of the folders above and the entry's own; equal paths of a document get ``pos`` added."""
-    levels = levels_of(toc) if levels is None else levels
-    up = toc.withColumn("_up", ancestors(["title", "kind"], levels))
-    folders = F.filter("_up", lambda a: a["kind"] == "folder")
-    own = F.concat_ws("/", F.transform(folders, lambda a: clean_filename(a["title"])), clean_filename("title"))
-    same = Window.partitionBy("doc_id", "path").orderBy("pos")
-    return up.withColumn("path", own).withColumn("_n", F.row_number().over(same)).withColumn("path", F.when(F.col("_n") > 1, F.concat("path", F.lit("_"), F.col("pos"))).otherwise(F.col("path"))).drop("_up", "_n")
+def _own_path(toc: DataFrame, folders: str) -> DataFrame:
+    """``path`` from the folders above; equal ones of a document get ``pos`` added, so that no two are."""
+    own = F.concat_ws("/", folders, clean_filename("title"))
+    return unique_names(toc.withColumn("path", own), ["doc_id"], "path", "pos", F.col("pos"))
+
+
+def with_path(toc: DataFrame) -> DataFrame:
+    """``path``: cleaned titles of the folders above and the entry's own, unique in a document."""
+    folder = toc.withColumn("_folder", F.when(F.col("kind") == "folder", clean_filename("title")))
+    return _own_path(nested(folder, paths={"_folders": "_folder"}), "_folders").drop("_folder", "_folders")
 
 
 def plan(toc: DataFrame, blacklist: list[str], split_level: int) -> DataFrame:
-    """The whole outline plan, without running anything over pages; blacklisted entries still bound their neighbours."""
-    levels = levels_of(toc)
-    bounded = with_end(with_children(entries(toc)), levels=levels)
-    kept = with_blacklist(bounded, blacklist, levels).filter(~F.col("is_blacklisted"))
-    planned = with_path(with_category(with_kind(kept, split_level), levels), levels)
+    """The whole outline plan, without running anything over pages; blacklisted entries still bound their neighbours.
+
+    With an entry all below it is blacklisted, so the ancestors of what stays are those of the whole outline; those
+    above the split level have children, hence are folders.
+    """
+    rows = entries(toc)
+    rows = rows.withColumns({"_hit": _hit(rows, blacklist), "_folder": F.when(F.col("level") < split_level, clean_filename("title"))})
+    walked = nested(rows, {"category": "title", "_folders": "_folder"}, {"is_blacklisted": "_hit"}, ("_boundary", "start"), "has_children").withColumn("end", _ended("_boundary", "n_pages"))
+    kept = with_kind(walked.filter(~F.col("is_blacklisted")).fillna("", ["category"]), split_level)
+    planned = _own_path(kept, "_folders").drop("_hit", "_folder", "_folders", "_boundary")
     reason = F.when(F.col("kind") == "file", F.when(F.col("level") == split_level, "level").otherwise("leaf"))
     return planned.withColumns({"page_count": F.col("end") - F.col("start") + 1, "reason": reason})
 
@@ -112,10 +165,9 @@ def uncovered_pages(planned: DataFrame, documents: DataFrame) -> DataFrame:
     return every.join(article_pages(planned).select("doc_id", "page").distinct(), ["doc_id", "page"], "left_anti")
 
 
-def nav_entries(nav: DataFrame, levels: list[int] | None = None) -> DataFrame:
+def nav_entries(nav: DataFrame) -> DataFrame:
     """Flat navigation rows (doc_id, pos, level, title, href, is_section) to (doc_id, href, title, category); later rows win."""
     section = F.when(F.col("is_section"), clean_filename(F.coalesce(F.col("title"), F.lit("未命名"))))
-    levels = levels_of(nav) if levels is None else levels
-    up = nav.withColumn("_section", section).withColumn("_up", ancestors(["_section"], levels))
-    flat = up.filter(~F.col("is_section")).select("doc_id", "pos", strip(F.substring_index("href", "#", 1)).alias("href"), "title", F.array_join(F.transform("_up", lambda a: a["_section"]), "/").alias("category")).filter("href <> ''")
+    up = nested(nav.withColumn("_section", section), paths={"category": "_section"}).fillna("", ["category"])
+    flat = up.filter(~F.col("is_section")).select("doc_id", "pos", strip(F.substring_index("href", "#", 1)).alias("href"), "title", "category").filter("href <> ''")
     return flat.groupBy("doc_id", "href").agg(F.max_by(F.struct("title", "category"), "pos").alias("x")).select("doc_id", "href", "x.*")

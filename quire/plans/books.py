@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import clean_filename, file_stem, image_extension
 from quire.operators import html, layout, paragraphs, reflow, toc
+from quire.operators.names import unique_names
 from quire.plans.bundles import bundle
 from quire.profiles import Profile
 from quire.sources import epub, pdf
@@ -24,9 +25,7 @@ def numbered_files(images: DataFrame, key: list[str], order: list[str], name: Co
 
 def with_folder(books: DataFrame) -> DataFrame:
     """``folder`` of each book (doc_id, book): its clean name, with a number where another has the same."""
-    named = books.withColumn("folder", clean_filename("book"))
-    n = F.row_number().over(Window.partitionBy("folder").orderBy("doc_id"))
-    return named.withColumn("_n", n).withColumn("folder", F.when(F.col("_n") > 1, F.concat_ws("_", "folder", "_n")).otherwise(F.col("folder"))).drop("_n")
+    return unique_names(books.withColumn("folder", clean_filename("book")), [], "folder", "doc_id")
 
 
 def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profile: Profile, blacklist: list[str], split_level: int, images: DataFrame | None = None, book: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
@@ -96,8 +95,7 @@ def bundles_of(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     book = F.coalesce("book", file_stem("doc_id"))
     folders = with_folder(docs.select("doc_id", book.alias("book")).distinct()).select("doc_id", "folder")
     docs = docs.join(folders, "doc_id").withColumn("path", F.concat_ws("/", "folder", folder)).drop("folder")
-    same = F.row_number().over(Window.partitionBy("doc_id", "path").orderBy("order"))
-    docs = docs.withColumn("_n", same).withColumn("path", F.when(F.col("_n") > 1, F.concat_ws("_", "path", "order")).otherwise(F.col("path"))).drop("_n")
+    docs = unique_names(docs, ["doc_id"], "path", "order", F.col("order"))
     images = docs.select("doc_id", F.col("href").alias("base"), F.posexplode(html.image_list()).alias("n", "src"))
     found = numbered_files(epub.matched_images(images, items), ["doc_id", "base"], ["n"], F.col("href"))
     named = found.groupBy("doc_id", "base").agg(F.collect_list(F.struct("src", F.concat(F.lit("assets/"), "file").alias("file"))).alias("images")).withColumnRenamed("base", "href")
