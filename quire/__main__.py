@@ -1,4 +1,7 @@
-"""``python -m quire epub|pdf|docx|text|html INPUT OUTPUT``: Markdown bundles as a table under OUTPUT."""
+"""``python -m quire epub|pdf|docx|text|html INPUT OUTPUT``: Markdown bundles as a table under OUTPUT.
+
+Images are a table beside it, and so is ``errors``: what could not be read or converted, and why.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +12,11 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import clean_filename, file_stem
 from quire.operators import html, reflow
-from quire.plans.books import delegated_bundles, epub_bundles, pdf_bundles
+from quire.plans.books import delegated_bundles, epub_tables, pdf_bundles
 from quire.plans.bundles import bundle, write_table
 from quire.profiles import PROFILES
 from quire.sources import files
+from quire.sources.shared import written
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -27,7 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("quire").getOrCreate()
     if args.kind == "epub":
-        made, assets = epub_bundles(spark, args.input)
+        made, assets, errors = epub_tables(spark, args.input)
         write_table(assets, f"{args.output}/assets")
     elif args.kind == "pdf":
         if args.delegate:
@@ -35,15 +39,21 @@ def main(argv: list[str] | None = None) -> None:
         else:
             made, assets, errors = pdf_bundles(spark, args.input, PROFILES[args.profile], args.without, args.level)
             write_table(assets, f"{args.output}/assets")
-        write_table(errors, f"{args.output}/errors")
     else:
+        errors = None
         if args.kind == "html":
-            pages = html.markdown_pages(files.html_pages(spark, args.input))
+            pages = written(html.markdown_pages(files.html_pages(spark, args.input), error="error").select("page_id", "markdown", "error"), "pages")
+            errors = pages.filter("error is not null").select(F.col("page_id").alias("doc_id"), "error")
             lines = pages.select(F.col("page_id").alias("doc_id"), F.posexplode(F.split("markdown", "\n")).alias("n", "line"))
+        elif args.kind == "docx":
+            rows = written(files.docx_rows(spark, args.input), "docx")
+            errors, lines = rows.filter("error is not null").select("doc_id", "error"), rows.filter("error is null").drop("error")
         else:
-            lines = (files.docx_lines if args.kind == "docx" else files.text_lines)(spark, args.input)
+            lines = files.text_lines(spark, args.input)
         stem = file_stem("doc_id")
         made = bundle(reflow.reflowed(lines), stem, F.lit(""), F.lit(1), stem, clean_filename(stem), F.col("markdown"))
+    if errors is not None:
+        write_table(errors, f"{args.output}/errors")
     write_table(made, f"{args.output}/bundles")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from quire.operators.names import unique_names
 from quire.plans.bundles import bundle
 from quire.profiles import Profile
 from quire.sources import epub, pdf
+from quire.sources.shared import written
 
 #: Room for a page's images and lines in the order of an article.
 PAGE = 1 << 21
@@ -63,7 +63,7 @@ def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, block
 
 def pdf_bundles(spark: SparkSession, path: str, profile: Profile, blacklist: list[str], split_level: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """PDF books at ``path``: bundles, images, and (doc_id, page, error) of what could not be read."""
-    rows = pdf.tables(spark, path).persist(StorageLevel.DISK_ONLY)  # each file is opened once
+    rows = written(pdf.tables(spark, path), "pdf")  # each file is opened once
     made, assets = layout_bundles(
         pdf.outline(rows), pdf.spans(rows), pdf.part(rows, "page", "page", "height"), pdf.part(rows, "block", "page", "block_idx", "y0", "text"),
         pdf.part(rows, "drawing", "page", "x0", "y0", "x1", "y1"), profile, blacklist, split_level, pdf.part(rows, "image", "page", "block_idx", "content"), file_stem("doc_id"),
@@ -73,10 +73,10 @@ def pdf_bundles(spark: SparkSession, path: str, profile: Profile, blacklist: lis
 
 def delegated_bundles(spark: SparkSession, path: str, blacklist: list[str], split_level: int) -> tuple[DataFrame, DataFrame]:
     """PDF books converted article by article by the PDF library's converter: flat files, and (doc_id, pos, error)."""
-    rows = pdf.tables(spark, path).persist(StorageLevel.DISK_ONLY)
+    rows = written(pdf.tables(spark, path), "pdf")
     planned = toc.plan(pdf.outline(rows), blacklist, split_level).filter("kind = 'file'")
     folders = with_folder(planned.select("doc_id").distinct().withColumn("book", file_stem("doc_id")))
-    text = pdf.delegated(spark, path, planned.select("doc_id", "pos", "start", "end")).persist(StorageLevel.DISK_ONLY)
+    text = written(pdf.delegated(spark, path, planned.select("doc_id", "pos", "start", "end")), "pdf-text")
     whole = planned.join(folders, "doc_id").join(text.filter("error is null"), ["doc_id", "pos"])
     made = bundle(whole, F.col("book"), F.col("category"), F.col("start") + 1, F.col("title"), F.concat_ws("/", "folder", "path"), F.col("markdown"), flat=True)
     return made, text.filter("error is not null").select("doc_id", "pos", "error")
@@ -84,12 +84,22 @@ def delegated_bundles(spark: SparkSession, path: str, blacklist: list[str], spli
 
 def epub_bundles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """E-books at ``path``: one bundle for each spine document, reflowed, with its images as files beside it."""
-    return bundles_of(epub.members(spark, path))
+    return epub_tables(spark, path)[:2]
+
+
+def epub_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bundles and images as ``epub_bundles`` has them, and (doc_id, error) of the books that could not be read."""
+    rows = written(epub.members(spark, path), "epub")  # each file is unpacked once
+    return *_bundles(rows), epub.errors(rows)
 
 
 def bundles_of(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Bundles and images of the ``members`` of e-books."""
-    spine, items, nav, titles = epub.parts(members.persist(StorageLevel.DISK_ONLY))  # each file is unpacked once
+    return _bundles(written(members, "epub"))  # each file is unpacked once
+
+
+def _bundles(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    spine, items, nav, titles = epub.parts(members)
     docs = epub.spine_documents(spine, items, nav, titles).withColumn("html", F.col("content").cast("string"))
     folder = F.concat_ws("/", F.transform(F.filter(F.split("category", "/"), lambda p: p != ""), clean_filename), clean_filename("title"))
     book = F.coalesce("book", file_stem("doc_id"))

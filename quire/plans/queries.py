@@ -14,6 +14,8 @@ from quire.plans.bundles import bundle, dry_run
 from quire.profiles import PROFILE_A, PROFILE_B, Profile
 from quire.sources import epub
 from quire.sources import fixtures as X
+from quire.sources.shared import own_folder
+from quire.streaming import articles
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -385,6 +387,14 @@ def article_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return paragraphs.articles(blocks, paragraphs.note_islands(_paired(spark, sf), PROFILE_A))
 
 
+@query("article_stream", "select cast(doc_id as varchar) as doc_id, markdown from (" + ORACLES["article_markdown"] + ")")
+def article_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same articles from a stream of their pages, with the open paragraphs and notes in the state store."""
+    folder = own_folder(spark, "article-stream")
+    articles.pages(X.spark_paras(spark, sf), X.spark_notes(spark, sf), paragraphs.page_references(_numbered(spark, sf))).write.parquet(f"{folder}/pages")
+    return articles.streamed(spark, f"{folder}/pages", folder)
+
+
 # Lines of the regions with their text.  Of a line's spans only one has a reference, and in profile A headings are never cut.
 _LAYOUT = (
     "with " + X.SQL["spans"] + _REGIONS.removeprefix("with " + X.SQL["lines"]) + _LINES.removeprefix(_SPANS)

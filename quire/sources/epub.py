@@ -12,6 +12,7 @@ import posixpath
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -27,30 +28,41 @@ def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1]
 
 
-def _nav(root: ET.Element, folder: str) -> Iterator[tuple[int, str, str, bool]]:
-    """(level, title, href, is section) of an NCX or navigation document, in preorder."""
-    points = [(root.find(".//{*}navMap"), 0)] if _local(root.tag) == "ncx" else [(n, 0) for n in root.iter() if _local(n.tag) == "nav" and any("toc" in v for v in n.attrib.values())][:1]
-
-    def point(n: ET.Element, level: int):
-        if _local(n.tag) == "navPoint":
-            text, src = n.find("{*}navLabel/{*}text"), n.find("{*}content")
-            children = [c for c in n if _local(c.tag) == "navPoint"]
-            yield level, (text.text or "") if text is not None else "", src.get("src", "") if src is not None else "", bool(children)
-        else:
-            label = next((c for c in n if _local(c.tag) in ("a", "span")), None)
-            lists = [c for c in n if _local(c.tag) == "ol"]
-            children = [li for o in lists for li in o if _local(li.tag) == "li"]
-            yield level, "".join(label.itertext()) if label is not None else "", label.get("href", "") if label is not None else "", bool(children)
-        for c in children:
-            yield from point(c, level + 1)
-
-    for n, _ in points:
-        if n is None:
-            continue
-        tops = [c for c in n if _local(c.tag) == "navPoint"] or [li for o in n if _local(o.tag) == "ol" for li in o if _local(li.tag) == "li"]
-        for c in tops:
-            for level, title, href, section in point(c, 1):
-                yield level, title.strip(), posixpath.normpath(posixpath.join(folder, href)) if href else "", section
+def _member(folder: str, address: str, names: set[str]) -> str:
+    """Path and fragment of the member that an address names: as it is written, or with its percent signs decoded."""
+    path, sign, fragment = address.partition("#")
+    if not path:
+        return ""
+    raw = posixpath.normpath(posixpath.join(folder, path))
+    decoded = posixpath.normpath(posixpath.join(folder, unquote(path)))
+    return (raw if raw in names else decoded) + sign + fragment
+
+
+def _point(n: ET.Element) -> tuple[str, str, list[ET.Element]]:
+    """Title, address and children of an entry of an NCX or navigation document."""
+    if _local(n.tag) == "navPoint":
+        text, src = n.find("{*}navLabel/{*}text"), n.find("{*}content")
+        return (text.text or "") if text is not None else "", src.get("src", "") if src is not None else "", [c for c in n if _local(c.tag) == "navPoint"]
+    label = next((c for c in n if _local(c.tag) in ("a", "span")), None)
+    children = [li for o in n if _local(o.tag) == "ol" for li in o if _local(li.tag) == "li"]
+    return "".join(label.itertext()) if label is not None else "", label.get("href", "") if label is not None else "", children
+
+
+def _nav(root: ET.Element, folder: str, names: set[str]) -> Iterator[tuple[int, str, str, bool]]:
+    """(level, title, href, is section) of an NCX or navigation document of any depth, in preorder."""
+    if _local(root.tag) == "ncx":
+        top = root.find(".//{*}navMap")
+    else:
+        top = next((n for n in root.iter() if _local(n.tag) == "nav" and any("toc" in v for v in n.attrib.values())), None)
+    if top is None:
+        return
+    tops = [c for c in top if _local(c.tag) == "navPoint"] or [li for o in top if _local(o.tag) == "ol" for li in o if _local(li.tag) == "li"]
+    open_ = [(c, 1) for c in reversed(tops)]
+    while open_:
+        n, level = open_.pop()
+        title, address, children = _point(n)
+        yield level, title.strip(), _member(folder, address, names), bool(children)
+        open_ += [(c, level + 1) for c in reversed(children)]
 
 
 def read_book(data: bytes) -> list[dict]:
@@ -66,14 +78,14 @@ def read_book(data: bytes) -> list[dict]:
         names = set(z.namelist())
         for e in package.iter():
             if _local(e.tag) == "item":
-                href = posixpath.normpath(posixpath.join(folder, e.get("href", "")))
+                href = _member(folder, e.get("href", ""), names)
                 items[e.get("id")] = (href, e.get("media-type", ""), e.get("properties", ""))
                 out.append({"kind": "item", "item_id": e.get("id"), "href": href, "media_type": e.get("media-type"), "content": z.read(href) if href in names else None})
         refs = [e.get("idref") for e in package.iter() if _local(e.tag) == "itemref"]
         out += [{"kind": "spine", "seq": k, "item_id": r} for k, r in enumerate(refs, 1)]
         nav = next((h for h, t, p in items.values() if "nav" in p.split() or t == "application/x-dtbncx+xml"), None)
         if nav in names:
-            for k, (level, t, href, section) in enumerate(_nav(ET.fromstring(z.read(nav)), posixpath.dirname(nav))):
+            for k, (level, t, href, section) in enumerate(_nav(ET.fromstring(z.read(nav)), posixpath.dirname(nav), names)):
                 out.append({"kind": "nav", "seq": k, "level": level, "title": t, "href": href, "media_type": "section" if section else ""})
     return out
 
@@ -108,6 +120,11 @@ def parts(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     return of("spine"), of("item"), nav_entries(nav), of("book")
 
 
+def errors(rows: DataFrame) -> DataFrame:
+    """(doc_id, error) of the files of ``members`` that could not be read."""
+    return rows.filter("kind = 'error'").select("doc_id", "error")
+
+
 def is_document(href: str = "href"):
     return F.lower(F.col(href)).rlike(r"\.(html|xhtml|htm)$")
 
@@ -123,11 +140,11 @@ def spine_documents(spine: DataFrame, items: DataFrame, nav: DataFrame, books: D
 def matched_images(images: DataFrame, items: DataFrame) -> DataFrame:
     """Images (doc_id, base, n, src) with the item that the first fitting form of their address names; n by order of found ones."""
     local = images.filter("src <> ''").filter(~F.col("src").rlike("^(data:|https?://)")).withColumn("path", resolved_path("base", "src"))
-    forms = F.array("path", F.regexp_replace("path", r"^\./", ""), F.regexp_replace("path", "^/+", ""), F.concat(F.lit("OEBPS/"), "path"), F.regexp_replace("path", r"\\", "/"))
+    forms = F.array("path", F.regexp_replace("path", r"^\./", ""), F.regexp_replace("path", "^/+", ""), F.concat(F.lit("OEBPS/"), "path"), F.regexp_replace("path", r"\\", "/"), F.try_url_decode(F.regexp_replace("path", r"\+", "%2B")))
     each = local.select("*", F.posexplode(forms).alias("rank", "href"))
     hit = each.join(items.select("doc_id", "href", "content"), ["doc_id", "href"]).filter("content is not null and length(content) > 0")
     best = hit.groupBy("doc_id", "base", "n", "src").agg(F.min_by(F.struct("href", "content"), "rank").alias("x"))
     return best.select("doc_id", "base", "n", "src", "x.href", image_extension("x.href", "x.content").alias("extension"), "x.content")
 
 
-__all__ = ["is_document", "matched_images", "members", "members_of", "parts", "read_book", "spine_documents", "without_fragment"]
+__all__ = ["errors", "is_document", "matched_images", "members", "members_of", "parts", "read_book", "spine_documents", "without_fragment"]
