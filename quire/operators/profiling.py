@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import contains_any, shortened, strip
+from quire.operators.intervals import containing
 
 #: The probe's own thresholds, which are not those of the profiles.  Fixed values.
 PROBE_CENTRE, PROBE_INDENT, PROBE_FLUSH = 150, 120, 105
@@ -99,5 +100,5 @@ def parts(cuts: DataFrame, documents: DataFrame) -> DataFrame:
 
 def split_pages(pages: DataFrame, cuts: DataFrame, documents: DataFrame) -> DataFrame:
     """``pages`` (doc_id, 0-based page and more) with the ``part`` and ``name`` of the range that they are in."""
-    ranges = parts(cuts, documents).withColumn("page", F.explode(F.sequence("lo", F.col("hi") - 1)))
-    return pages.join(ranges.select("doc_id", "page", "part", "name"), ["doc_id", "page"])
+    ranges = parts(cuts, documents).select("doc_id", F.col("lo").alias("_first"), (F.col("hi") - 1).alias("_last"), "part", "name")
+    return containing(pages, ranges, ["doc_id"], "page", "_first", "_last").drop("_first", "_last")

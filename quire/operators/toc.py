@@ -18,6 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from quire.functions.text import clean_filename, contains_any, strip
+from quire.operators.intervals import containing
 from quire.operators.names import unique_names
 
 
@@ -159,10 +160,16 @@ def article_pages(planned: DataFrame) -> DataFrame:
     return planned.filter("kind = 'file'").select("doc_id", "pos", "title", F.explode(F.sequence("start", "end")).alias("page"))
 
 
+def articles_of(pages: DataFrame, planned: DataFrame) -> DataFrame:
+    """Rows of ``pages`` (doc_id, 0-based page and more) with ``pos`` of each file entry whose pages hold theirs."""
+    ranges = planned.filter("kind = 'file'").select("doc_id", "pos", F.col("start").alias("_first"), F.col("end").alias("_last"))
+    return containing(pages, ranges, ["doc_id"], "page", "_first", "_last").drop("_first", "_last")
+
+
 def uncovered_pages(planned: DataFrame, documents: DataFrame) -> DataFrame:
     """Pages of ``documents`` (doc_id, n_pages) that no article has."""
     every = documents.select("doc_id", F.explode(F.sequence(F.lit(0), F.col("n_pages") - 1)).alias("page"))
-    return every.join(article_pages(planned).select("doc_id", "page").distinct(), ["doc_id", "page"], "left_anti")
+    return every.join(articles_of(every, planned).select("doc_id", "page").distinct(), ["doc_id", "page"], "left_anti")
 
 
 def nav_entries(nav: DataFrame) -> DataFrame:

@@ -39,7 +39,8 @@ def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, block
     planned = planned.join(folders, "doc_id").withColumn("path", F.concat_ws("/", "folder", "path")).drop("folder")
     key = F.concat_ws("/", F.col("doc_id").cast("string"), F.col("pos").cast("string"))
     articles = planned.filter("kind = 'file'").withColumn("article", key)
-    page_of = toc.article_pages(planned).select("doc_id", "page", key.alias("article"))
+    # Each page meets its articles once, its lines and images then by the page.
+    page_of = toc.articles_of(pages.select("doc_id", "page").distinct(), planned).select("doc_id", "page", key.alias("article"))
 
     splits = layout.split_lines(pages, blocks, drawings, profile)
     rows = layout.with_region(layout.lines(spans), splits, profile).join(page_of, ["doc_id", "page"])
