@@ -5,19 +5,22 @@ occurred before.  For each of SKETCHES hash functions the ORDER labelled
 shingles of least hash are taken and hashed in the order the text has them, so
 equal sketches speak for an alignment rather than for common content alone.
 
-Texts that share a sketch are candidates.  First each member of a bucket meets
+Texts that share a sketch are candidates: of two with half of their shingles in
+common 0.96, with four tenths 0.8.  First each member of a bucket meets
 the one of least id.  In buckets whose members are in several classes after
 that, every pair of members from different classes is weighed by a profile: the
-counts of shingles by some bits of their hashes, whose differences bound the
+counts of words by some bits of their hashes, whose differences bound the
 common ones from above.  Pairs that the bound rules out are not similar; of the
 others, each member meets its PARTNERS likeliest first, then GROWTH times as
 many, with the classes found anew, until a round holds no pair back.  So no two
 classes are left that share a bucket and a similar pair in it.
 
-A pair is verified by aligning the two shingle sequences: the longest common
-subsequence of labelled shingles, by sparse dynamic programming inside the band
-that any alignment of the wanted similarity must keep to.  Similarity is common
-/ (all of both - common), at least THRESHOLD.  Classes are the connected
+A pair is verified by aligning the two texts' words: the longest common
+subsequence inside the band that any alignment of the wanted similarity must
+keep to, by vectors of bits over the band, after equal beginnings and ends.
+Similarity is the words that agree in order, of the longer text's: at least
+THRESHOLD.  So one changed word counts as one, not as the shingles around it.
+Words are compared by 64-bit hashes.  Classes are the connected
 components of verified pairs, found by repeated contraction: of each node and
 its neighbours, the one of least id (in the first round, for stars) or of least
 hash (in later ones) stands for it, so chains of any order shrink by a constant
@@ -34,7 +37,7 @@ whole.  Other columns are not looked at.  An empty table gives no rows.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from math import ceil
 
 import numpy as np
 import xxhash
@@ -43,33 +46,38 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import aside, held_by_worker, joined_by_key, map_rows, map_slices, mix, staged, table
 
-SHINGLE, SKETCHES, ORDER, THRESHOLD = 5, 24, 4, 0.8
+SHINGLE, SKETCHES, ORDER, THRESHOLD = 5, 24, 3, 0.8
 #: Partners of a member that the first round over unsettled buckets verifies, and by what that grows.
 PARTNERS, GROWTH = 4, 16
 #: Most counts in a profile; members of a bucket that are weighed at once (larger buckets go in pairs of parts).
 PROFILE, PART = 1 << 12, 1 << 11
 BLOCK = 1 << 15
+#: Words that are aligned at once, at least.
+ROWS = 1 << 10
 _M2, _M3 = np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 _STEPS = np.arange(1, SHINGLE + 1, dtype=np.uint64) * _M3
 
 
 class Shingler:
-    """Labelled shingle hashes of texts; keeps hashes of words."""
+    """Hashes of the words of texts and of their labelled shingles; keeps hashes of words."""
 
     def __init__(self, kept: int = 300_000):
-        self.words: dict[str, int] = {}
+        self.known: dict[str, int] = {}
         self.most = kept
 
     def _hash(self, word: str) -> int:
-        if len(self.words) >= self.most:
-            self.words.clear()
-        h = self.words[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) | 1
+        if len(self.known) >= self.most:
+            self.known.clear()
+        h = self.known[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) | 1
         return h
 
+    def words(self, text: str | None) -> np.ndarray:
+        get, make = self.known.get, self._hash
+        return np.array([get(x) or make(x) for x in (text or "").lower().split()], np.uint64)
+
     def __call__(self, text: str | None) -> np.ndarray:
-        get, make = self.words.get, self._hash
-        w = np.array([get(x) or make(x) for x in (text or "").lower().split()], np.uint64)
+        w = self.words(text)
         n = len(w) - SHINGLE + 1
         if n < 1:
             w = np.concatenate([w, np.zeros(SHINGLE - len(w), np.uint64)])
@@ -117,32 +125,84 @@ def sketches(h: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def common_in_order(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> int:
-    """Length of the best alignment's matches inside the band that ``threshold`` allows."""
-    band = int((len(a) + len(b)) * (1 - threshold) / (1 + threshold)) + 1
+def _places(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(b, kind="stable")
-    at = np.searchsorted(b[order], a)
-    hit = np.flatnonzero(at < len(b))
-    hit = hit[b[order[at[hit]]] == a[hit]]
-    places = order[at[hit]]
-    places = places[np.abs(places - hit) <= band]
-    if len(places) < 2 or (np.diff(places) > 0).all():
-        return len(places)
-    tails: list[int] = []
-    for p in places.tolist():  # each labelled shingle is once in b: the longest rising run of places
-        k = bisect_left(tails, p)
-        if k == len(tails):
-            tails.append(p)
-        else:
-            tails[k] = p
-    return len(tails)
+    return b[order], order
+
+
+def _masks(rows: np.ndarray, values: np.ndarray, order: np.ndarray, low: int, high: int) -> dict[int, int]:
+    """Of each word of ``rows`` that is there: the bits of its places from ``low`` to ``high``."""
+    found = np.unique(rows)
+    starts, ends = np.searchsorted(values, found), np.searchsorted(values, found, "right")
+    out = {}
+    for word, i, j in zip(found.tolist(), starts.tolist(), ends.tolist(), strict=True):
+        own = order[i:j]
+        own = own[np.searchsorted(own, low) : np.searchsorted(own, high)] - low
+        if len(own) > 16:
+            bits = np.zeros(high - low, np.uint8)
+            bits[own] = 1
+            out[word] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+        elif len(own):
+            mask = 0
+            for p in own.tolist():
+                mask |= 1 << p
+            out[word] = mask
+    return out
+
+
+def _in_band(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Longest common subsequence whose places differ by ``band`` at most (or little more).
+
+    A bit of the vector stands for a place of ``b``: 0 where the best alignment up to it is longer than that before it.
+    Places that the band has left are counted and dropped, those that it reaches begin as 1.
+    """
+    values, order = _places(b)
+    rows = max(ROWS, band // 2)
+    low = high = done = vector = 0
+    for r in range(0, len(a), rows):
+        first, last = min(len(b), max(0, r - band)), min(len(b), r + rows + band)
+        vector |= ((1 << (last - high)) - 1) << (high - low)
+        high = last
+        gone = vector & ((1 << (first - low)) - 1)
+        done += first - low - gone.bit_count()
+        vector >>= first - low
+        low = first
+        part = a[r : r + rows]
+        masks, every = _masks(part, values, order, low, high), (1 << (high - low)) - 1
+        for word in part.tolist():
+            mask = masks.get(word)
+            if mask:
+                both = vector & mask
+                vector = ((vector + both) | (vector - both)) & every
+    return done + high - low - vector.bit_count()
+
+
+def common_in_order(a: np.ndarray, b: np.ndarray, least: int = 0) -> int:
+    """Words (hashes) of the best alignment, if they are ``least`` or more; else some lower number."""
+    short = min(len(a), len(b))
+    differ = np.flatnonzero(a[:short] != b[:short])
+    head = int(differ[0]) if len(differ) else short
+    rest = short - head
+    differ = np.flatnonzero(a[len(a) - rest :][::-1] != b[len(b) - rest :][::-1])
+    tail = int(differ[0]) if len(differ) else rest
+    a, b, known = a[head : len(a) - tail], b[head : len(b) - tail], head + tail
+    if min(len(a), len(b)) + known < least or not min(len(a), len(b)):
+        return known
+    x, in_a = np.unique(a, return_counts=True)
+    y, in_b = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    if known + int(np.minimum(in_a[i], in_b[j]).sum()) < least:
+        return known
+    return known + _in_band(a, b, max(len(a), len(b)) - max(0, least - known))
 
 
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    if min(len(a), len(b)) < threshold * max(len(a), len(b)):
-        return 0.0
-    m = common_in_order(a, b, threshold)
-    return m / (len(a) + len(b) - m)
+    """Of two texts' words: how many agree in order, of the longer text's; below ``threshold``, some lower number."""
+    longer = max(len(a), len(b))
+    if not longer:
+        return 1.0
+    least = ceil(threshold * longer - 1e-9)
+    return common_in_order(a, b, least) / longer if min(len(a), len(b)) >= least else 0.0
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -160,15 +220,15 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def profile(h: np.ndarray) -> bytes:
-    """Counts of shingles by bits of their hashes, up to 255 each; as many counts as shingles, in powers of two."""
-    size = min(PROFILE, 1 << (len(h) - 1).bit_length())
+    """Counts of words by bits of their hashes, up to 255 each; as many counts as words, in powers of two."""
+    size = min(PROFILE, 1 << max(0, len(h) - 1).bit_length())
     return np.minimum(np.bincount((mix(h) & np.uint64(size - 1)).astype(np.int64), minlength=size), 255).astype(np.uint8).tobytes()
 
 
 def possible(roots: np.ndarray, sizes: np.ndarray, parts: np.ndarray, profiles: list[bytes], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the pairs of different roots (and different parts, where there are two) that may be similar, with the bound of their similarity.
 
-    Counts that differ, cut at 255 or added up in pairs or not, stand for at least as many shingles that are not common.
+    Counts that differ, cut at 255 or added up in pairs or not, stand for at least as many words that are not common.
     """
     width = np.array([len(p) for p in profiles])
     across = parts.min() != parts.max()
@@ -192,7 +252,7 @@ def possible(roots: np.ndarray, sizes: np.ndarray, parts: np.ndarray, profiles:
             apart = (np.maximum(counts[j], counts[k]) - np.minimum(counts[j], counts[k])).sum(1, dtype=np.int64)
             both = sizes[at[j]] + sizes[i]
             most = (both - apart) // 2
-            bound = most / (both - most)
+            bound = most / np.maximum(np.maximum(sizes[at[j]], sizes[i]), 1)
             may = bound >= threshold
             left.append(np.full(int(may.sum()), i))
             right.append(at[j[may]])
@@ -214,13 +274,13 @@ def likeliest(i: np.ndarray, j: np.ndarray, bounds: np.ndarray, partners: int) -
 
 
 def profiled(texts: DataFrame) -> DataFrame:
-    """doc, number of shingles, profile."""
+    """doc, number of words, profile."""
 
     def make():
         shingles = shared()
 
         def one(doc_id, text):
-            h = shingles(text)
+            h = shingles.words(text)
             return doc_id, len(h), profile(h)
 
         return one
@@ -277,8 +337,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
 
         def one(a, b, text_a, text_b):
             if last[0] != a:
-                last[:] = a, shingles(text_a)
-            return a, b, similarity(last[1], shingles(text_b), threshold)
+                last[:] = a, shingles.words(text_a)
+            return a, b, similarity(last[1], shingles.words(text_b), threshold)
 
         return one
 

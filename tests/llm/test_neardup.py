@@ -25,52 +25,98 @@ def corpus():
     return docs + [(900, None), (901, ""), (902, "one two"), (903, "one two"), (904, "one two three"), (905, "w " * 300), (906, "w " * 300), (907, "w " * 290)]
 
 
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j], row[j + 1])
+    return row[-1]
+
+
+def alike(a, b, threshold=0.8):
+    """Edit similarity without the operator's code: words in order, of the longer text's."""
+    a, b = (a or "").lower().split(), (b or "").lower().split()
+    return a == b or (min(len(a), len(b)) >= threshold * max(len(a), len(b)) and len(set(a) & set(b)) > 0 and longest_common(a, b) >= threshold * max(len(a), len(b)))
+
+
+def grams(text):
+    w = (text or "").lower().split()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+
 def brute(docs):
-    shingles = {d: N.Shingler()(t) for d, t in docs}
-    root = {d: d for d in shingles}
+    """Classes by every pair that has a shingle in common."""
+    root = {d: d for d, _ in docs}
     find = lambda x: x if root[x] == x else find(root[x])
-    keys = sorted(shingles)
-    for i, a in enumerate(keys):
-        for b in keys[i + 1 :]:
-            same = np.array_equal(shingles[a], shingles[b])
-            if same or N.similarity(shingles[a], shingles[b]) >= N.THRESHOLD:
+    every = sorted((d, t, grams(t)) for d, t in ((d, t or "") for d, t in docs))
+    for i, (a, t, g) in enumerate(every):
+        for b, u, h in every[i + 1 :]:
+            if find(a) != find(b) and g & h and alike(t, u):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-    return {k: find(k) for k in keys}
+    return {k: find(k) for k in root}
+
+
+def same_class(classes):
+    by = {}
+    for d, c in classes.items():
+        by.setdefault(c, []).append(d)
+    return {(a, b) for own in by.values() for a in own for b in own if a < b}
 
 
-def test_same_classes_as_brute_force(spark):
+def test_classes_against_brute_force(spark):
+    """Nothing is joined that edit similarity does not join; of what it joins, sketches find 0.95 (0.9 are asked for)."""
     docs = corpus()
     df = spark.createDataFrame([(d, t, "k") for d, t in docs], "doc_id long, text string, key string")
     got = {r.doc_id: r.class_id for r in N.classes(df).collect()}
-    assert got == brute(docs)
+    found, want = same_class(got), same_class(brute(docs))
+    assert found <= want and len(found) >= 0.95 * len(want) and got.keys() == dict(docs).keys()
     kept = N.representatives(df.union(df.limit(1))).collect()
-    assert sorted(r.doc_id for r in kept) == sorted(set(brute(docs).values())) and kept[0].key == "k"
+    assert sorted(r.doc_id for r in kept) == sorted(set(got.values())) and kept[0].key == "k"
     assert N.classes(df.limit(0)).collect() == []
 
 
-def longest_common(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b):
-            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j], row[j + 1])
-    return row[-1]
-
-
-def test_alignment():
+def test_alignment(monkeypatch):
+    """The longest common subsequence, over several blocks of rows and with repeated words."""
     rng = random.Random(1)
-    for _ in range(200):
-        a = rng.sample(range(1000), 40)
-        b = [x for x in a if rng.random() < 0.95]
-        rng.random() < 0.5 and b.insert(rng.randrange(len(b)), 5000)
+    monkeypatch.setattr(N, "ROWS", 8)
+    for _ in range(400):
+        kinds = rng.choice([3, 20, 1000])
+        a = [rng.randrange(kinds) for _ in range(rng.randint(1, 90))]
+        b = [x for x in a if rng.random() < 0.93]
+        for _ in range(rng.randint(0, 5)):
+            b.insert(rng.randrange(len(b) + 1), rng.randrange(kinds))
+        b = b or [1]
         x, y = np.array(a, np.uint64), np.array(b, np.uint64)
         want = longest_common(a, b)
-        sim = want / (len(a) + len(b) - want)
-        if sim >= N.THRESHOLD:
-            assert N.common_in_order(x, y) == want
-        else:
-            assert N.similarity(x, y) < N.THRESHOLD
+        assert N.common_in_order(x, y) == want
+        sim = want / max(len(a), len(b))
+        assert N.similarity(x, y) == sim if sim >= N.THRESHOLD else N.similarity(x, y) < N.THRESHOLD
+
+
+def test_long_alignment():
+    """60,000 words, of which one in twenty is another."""
+    rng = random.Random(3)
+    a = [rng.randrange(5000) for _ in range(60_000)]
+    b = [rng.randrange(5000) if rng.random() < 0.05 else x for x in a]
+    same = sum(x == y for x, y in zip(a, b))
+    assert same / 60_000 <= N.similarity(np.array(a, np.uint64), np.array(b, np.uint64)) < 0.97
+
+
+def test_changed_words_count_once(spark):
+    """Texts with one word in fifteen changed are near copies, though half of their shingles differ."""
+    rng = random.Random(5)
+    docs, pairs = [], 150
+    for k in range(pairs):
+        w = words(rng, rng.choice([60, 150, 400]))
+        v = list(w)
+        for p in rng.sample(range(len(w)), len(w) // 15):
+            v[p] = words(rng, 1)[0]
+        docs += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+    got = {r.doc_id: r.class_id for r in N.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = sum(got[2 * k] == got[2 * k + 1] for k in range(pairs))
+    assert found >= 0.95 * pairs and all(got[d] // 2 == d // 2 for d in got)
 
 
 def test_components(spark):
@@ -121,9 +167,10 @@ def test_texts_that_share_an_id(spark):
 def test_hot_keys_are_joined_in_place(spark, monkeypatch):
     """Whatever counts as hot, the result is the same."""
     docs = spark.createDataFrame([(d, t) for d, t in corpus()], "doc_id long, text string")
+    want = {r.doc_id: r.class_id for r in N.classes(docs).collect()}
     for share in (1, 1 << 40):
         monkeypatch.setattr("quire.llm.common.HOT_SHARE", share)
-        assert {r.doc_id: r.class_id for r in N.classes(docs).collect()} == brute(corpus())
+        assert {r.doc_id: r.class_id for r in N.classes(docs).collect()} == want
 
 
 def test_sketches_order_and_blocks(monkeypatch):
@@ -144,13 +191,13 @@ def test_star_around_a_middle_id(spark, monkeypatch):
         for k in rng.sample(range(400), 7):
             w[k] = words(rng, 1)[0]
         docs.append((d, " ".join(w)))
-    shingles = {d: N.Shingler()(t) for d, t in docs}
-    want = {d: 0 if N.similarity(shingles[500], shingles[d]) >= N.THRESHOLD else None for d in shingles}
-    assert None not in want.values() and N.similarity(shingles[0], shingles[1000]) < N.THRESHOLD
+    text = dict(docs)
+    want = {d: 0 for d in text}
+    assert all(alike(text[500], text[d], 0.975) for d in random.Random(1).sample(range(1001), 30)) and not alike(text[0], text[1000], 0.975)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    assert {r.doc_id: r.class_id for r in N.classes(df).collect()} == want
+    assert {r.doc_id: r.class_id for r in N.classes(df, 0.975).collect()} == want
     monkeypatch.setattr(N, "PART", 300)
-    assert {r.doc_id: r.class_id for r in N.classes(df).collect()} == want
+    assert {r.doc_id: r.class_id for r in N.classes(df, 0.975).collect()} == want
 
 
 def test_bound_of_similarity():
@@ -164,7 +211,7 @@ def test_bound_of_similarity():
             for _ in range(edits):
                 w[rng.randrange(len(w))] = words(rng, 1)[0]
             texts.append(w[: max(1, len(w) - rng.randrange(n // 12 + 1))])
-    h = [N.Shingler()(" ".join(w)) for w in texts]
+    h = [N.Shingler().words(" ".join(w)) for w in texts]
     many = np.arange(1, 3001, dtype=np.uint64) << np.uint64(20)
     h += [many, many[:2900]]
     i, j, bounds = N.possible(np.arange(len(h)), np.array([len(x) for x in h]), np.zeros(len(h), int), [N.profile(x) for x in h], N.THRESHOLD)
