@@ -16,6 +16,8 @@ a time.
 
 from __future__ import annotations
 
+import functools
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,12 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
+@functools.cache
+def letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
 def pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str], list[int]]]:
     """Batches of at most CHUNK characters: each piece's text, its string, and how many of its places begin an n-gram.
 
@@ -65,7 +73,7 @@ def grams(strings: list[str], own: list[int]) -> tuple[np.ndarray, np.ndarray]:
     row = np.repeat(np.arange(len(strings), dtype=np.uint32), sizes)
     left = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     begins = left < np.repeat(np.array(own), sizes)
-    plain = (codes >= 97) & (codes <= 122) | (codes >= 0xC0)
+    plain = letters()[codes]
     c = np.where(plain, codes, 32).astype(np.uint32)
     h, keep = c * np.uint32(0x9E3779B1), plain
     found = []

@@ -179,7 +179,7 @@ def test_language(spark):
 def brute_grams(text):
     """Hashed n-grams one by one, as the definition has them."""
     codes = [ord(x) for x in f" {text.lower()} "]
-    plain = [97 <= c <= 122 or c >= 0xC0 for c in codes]
+    plain = [chr(c).isalpha() for c in codes]
     c = [x if p else 32 for x, p in zip(codes, plain, strict=True)]
     out, m = [], (1 << 32) - 1
     for k in range(len(c)):
