@@ -2,7 +2,10 @@
 
 Nesting follows a parser that closes nothing by itself: an unclosed element
 holds all that follows up to its parent's end.  Elements are read and written
-with explicit stacks, so any depth of nesting does.
+with explicit stacks, so any depth of nesting does.  Quotes and the indents of
+lists are marks in the text until it is whole; then each line gets them once, so
+the work grows with the output.  The marks are noncharacters of Unicode, which
+pages lose.
 """
 
 from __future__ import annotations
@@ -19,8 +22,10 @@ from pyspark.sql import functions as F
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCKS = {"p", "div", "article", "section", "header", "footer", "nav", "main", "aside", "ul", "ol", "table", "blockquote", "pre", "figure", "dl", "form", "body", "html", "h1", "h2", "h3", "h4", "h5", "h6", "li"}
-#: Deeper lists are written with this many indents.
-INDENTS = 50
+#: A quote's begin and end; before and after the number of a line's indents.
+OPEN, CLOSE, INDENT, INDENTED = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+_INDENTS = re.compile(f"{INDENT}([0-9]+){INDENTED}")
+_NONE = str.maketrans("", "", OPEN + CLOSE + INDENT + INDENTED)
 #: Element and its mark on both sides.
 MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`", "del": "~~", "s": "~~"}
 
@@ -44,14 +49,14 @@ class _Builder(HTMLParser):
         self.count: Counter[str] = Counter()  # of open elements
 
     def handle_starttag(self, tag, attrs):
-        node = Node(tag, {k: v or "" for k, v in attrs})
+        node = Node(tag, {k: (v or "").translate(_NONE) for k, v in attrs})
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
             self.count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].children.append(Node(tag, {k: v or "" for k, v in attrs}))
+        self.open[-1].children.append(Node(tag, {k: (v or "").translate(_NONE) for k, v in attrs}))
 
     def handle_endtag(self, tag):
         while self.count[tag]:  # what is open inside ends too
@@ -61,7 +66,7 @@ class _Builder(HTMLParser):
                 break
 
     def handle_data(self, data):
-        self.open[-1].children.append(data)
+        self.open[-1].children.append(data.translate(_NONE))
 
 
 def parse(html: str) -> Node:
@@ -79,12 +84,34 @@ def walk(node: Node) -> Iterator[Node]:
         stack += [c for c in reversed(n.children) if isinstance(c, Node)]
 
 
-def _emphasised(mark: str, text: str) -> str:
+def _bare(text: str) -> str:
+    """Without blanks around it, and without the indents of its first line."""
+    text = text.strip()
+    return _INDENTS.sub("", text, count=1).lstrip() if text.startswith(INDENT) else text
+
+
+def _whole(text: str) -> str:
+    """``text`` with the quotes and indents that its marks stand for."""
+    if INDENT in text:
+        text = _INDENTS.sub(lambda m: "  " * int(m[1]), text)
+    if OPEN not in text:
+        return text
+    out, depth = [], 0
+    for line in text.split("\n"):
+        opened, closed = line.count(OPEN), line.count(CLOSE)
+        if depth or opened:
+            line = ("> " * depth + line.replace(OPEN, "> ").replace(CLOSE, "")).rstrip()
+        out.append(line)
+        depth += opened - closed
+    return "\n".join(out)
+
+
+def _emphasised(mark: str, text: str, pad: str = "") -> str:
     core = text.strip()
     if not core:
         return text
     lead, tail = text[: len(text) - len(text.lstrip())], text[len(text.rstrip()) :]
-    return f"{lead}{mark}{core}{mark}{tail}"
+    return f"{lead}{mark}{pad}{core}{pad}{mark}{tail}"
 
 
 def _rows(table: Node) -> tuple[list, list[list[Node]]]:
@@ -134,50 +161,80 @@ class _Frame:
             loose, self.rows = _rows(node)
             self.todo = [Node("", {}, loose), *(Node("", {}, cell.children) for row in self.rows for cell in row)]
         elif node.tag in ("ul", "ol"):
-            self.todo = [c for c in node.children if isinstance(c, Node)]
+            self.todo = [c for c in node.children if isinstance(c, Node) or c.strip()]
         self.next = 0
 
 
 def _without_blank_lines(text: str) -> str:
-    while "\n\n" in text:
-        text = text.replace("\n\n", "\n")
-    return text
+    """Blank lines stay in fences and quotes."""
+    out, fence, depth = [], "", 0
+    for line in text.split("\n"):
+        if line or fence or depth:
+            out.append(line)
+        depth += line.count(OPEN) - line.count(CLOSE)
+        ticks = re.match("`{3,}", line)
+        if ticks and (not fence or line == fence):
+            fence = "" if fence else ticks[0]
+    return "\n".join(out)
 
 
 def _list_lines(frame: _Frame) -> str:
-    out, n = [], 0
-    indent = "  " * min(frame.lists, INDENTS)
+    start = frame.node.attrs.get("start", "")
+    out, n = [], int(start) - 1 if re.fullmatch("[0-9]{1,9}", start) else 0
+    indent = f"{INDENT}{frame.lists}{INDENTED}" if frame.lists else ""
     for c, text in zip(frame.todo, frame.texts, strict=True):
-        if c.tag == "li":
+        if isinstance(c, str):
+            out.append(indent + text.strip())
+        elif c.tag == "li":
             n += 1
-            out.append(indent + (f"{n}. " if frame.node.tag == "ol" else "- ") + _without_blank_lines(text).strip())
+            out.append(indent + (f"{n}. " if frame.node.tag == "ol" else "- ") + _bare(_without_blank_lines(text)))
         else:
             out.append(text.strip("\n"))
     return "\n".join(x for x in out if x.strip())
 
 
+def _titled(address: str, node: Node) -> str:
+    """An address with the title that the element has."""
+    title = node.attrs.get("title", "").replace('"', '\\"')
+    return f'{address} "{title}"' if title else address
+
+
+def _ticked(text: str) -> str:
+    """Code between more backticks than stand together in it."""
+    longest = max(map(len, re.findall("`+", text)), default=0)
+    return _emphasised("`" * (longest + 1), text, " " if longest else "")
+
+
 def _closed(frame: _Frame) -> str:
     """An element's text from its children's."""
     node, tag = frame.node, frame.node.tag
     if tag == "table":
         cells = iter(frame.texts[1:])
-        rows = [[" ".join(next(cells).split()) for _ in row] for row in frame.rows]
-        return f"\n\n{frame.texts[0].strip()}\n\n" + (_table_lines(rows) + "\n\n" if rows else "")
+        rows = [[" ".join(_whole(next(cells)).split()) for _ in row] for row in frame.rows]
+        return f"\n\n{_bare(frame.texts[0])}\n\n" + (_table_lines(rows) + "\n\n" if rows else "")
     if tag in ("ul", "ol"):
         return "\n\n" + _list_lines(frame) + "\n\n"
     inner = "".join(frame.texts)
+    if tag == "blockquote":
+        return f"\n\n{OPEN}{_bare(inner)}{CLOSE}\n\n"
+    if tag == "code":
+        return _ticked(_whole(inner))
     if tag in MARKS:
-        return _emphasised(MARKS[tag], inner)
+        return _emphasised(MARKS[tag], _whole(inner))
     if tag == "a":
-        href = node.attrs.get("href", "")
-        return f"[{inner.strip()}]({href})" if inner.strip() and href else inner
+        inner, href = _whole(inner), node.attrs.get("href", "")
+        return f"[{inner.strip()}]({_titled(href, node)})" if inner.strip() and href else inner
     if len(tag) == 2 and tag[0] == "h" and tag[1] in "123456":
-        text = re.sub(r"\s+", " ", inner).strip()
+        text = re.sub(r"\s+", " ", _whole(inner)).strip()
         return f"\n\n{'#' * int(tag[1])} {text}\n\n" if text else ""
-    if tag == "blockquote":
-        return "\n\n" + "\n".join(f"> {x}".rstrip() for x in inner.strip().split("\n")) + "\n\n"
+    if tag == "dt":
+        text = re.sub(r"\s+", " ", _whole(inner)).strip()
+        return f"\n\n{text}\n" if text else ""
+    if tag == "dd":
+        lines = _whole(inner).strip().split("\n")
+        return "\n" + "\n".join([f":   {lines[0]}", *(f"    {x}".rstrip() for x in lines[1:])]) + "\n" if lines[0] else ""
     if tag in BLOCKS:
-        return f"\n\n{inner.strip()}\n\n"
+        return f"\n\n{_bare(inner)}\n\n"
     return inner
 
 
@@ -191,10 +248,11 @@ def _leaf(node: Node) -> str | None:
     if tag == "hr":
         return "\n\n---\n\n"
     if tag == "img":
-        return f"![{node.attrs.get('alt', '')}]({node.attrs.get('src', '')})"
+        return f"![{node.attrs.get('alt', '')}]({_titled(node.attrs.get('src', ''), node)})"
     if tag == "pre":
         text = "".join(walk_texts(node))
-        return f"\n\n```\n{text.strip(chr(10))}\n```\n\n"
+        fence = "`" * max(3, 1 + max(map(len, re.findall("`{3,}", text)), default=0))
+        return f"\n\n{fence}\n{text.strip(chr(10))}\n{fence}\n\n"
     return None
 
 
@@ -243,8 +301,9 @@ def to_markdown(html: str | None, images: dict[str, str] | None = None) -> str:
         if n.tag == "img" and n.attrs.get("src") in images:
             n.attrs = {"src": images[n.attrs["src"]], "alt": "img"}
     body = next((n for n in walk(root) if n.tag == "body"), root)
-    text = "\n".join(x.rstrip(" ") if not x.endswith("  ") else x.rstrip(" ") + "  " for x in _render(body).split("\n"))
-    return re.sub(r"(\s*\n){3,}", "\n\n", text).strip()
+    text = "\n".join(x.rstrip(" ") if not x.endswith("  ") else x.rstrip(" ") + "  " for x in _whole(_render(body)).split("\n"))
+    # Blanks with three line ends or more become one blank line, and what indents the line after them stays.
+    return re.sub(r"(?<!\s)[^\S\n]*\n\s*", lambda m: m[0] if m[0].count("\n") < 3 else "\n\n" + m[0][m[0].rindex("\n") + 1 :], text).strip()
 
 
 def image_sources(html: str | None) -> list[str]:
