@@ -247,6 +247,34 @@ def _without_marks(c: str) -> str:
     return c
 
 
+def _line_texts(p: Profile) -> str:
+    """Lines with their text, by one fold over each line's spans in order."""
+    exact = ", ".join(str(x) for x, prefix in p.fonts if prefix.startswith("#"))
+    never = "prefix in ('# ', '## ', '### ')" if p.heading_continues else "prefix = '### '"
+    lines = _LINES.removeprefix(_SPANS).replace(_nearest_case("max_size", PROFILE_A), _nearest_case("max_size", p)).replace("x0 > 120", f"x0 > {p.centre}")
+    return "with " + X.SQL["head_spans"] + lines + f""",
+ s0 as (select s.doc_id, s.page, s.line_idx, span_idx, prefix, starts_with(prefix, '#') as head, {_without_marks('s.text')} as text, {_nearest_case('size', p)} = 'SUBTITLE' as subtitle, size in ({exact}) as header, case when {_BOLD} and {_ITALIC} then '***' when {_BOLD} then '**' when {_ITALIC} then '*' else '' end as mark from spans s join p using (doc_id, page, line_idx)),
+ s1 as (select *, {_strip('text')} as bare from s0 where text <> ''),
+ s2 as (select * replace (case when subtitle then '**' || bare || '**' else text end as text), length(bare) = 1 and not {_cjk('bare')} and not regexp_matches(bare, '^[\\p{{L}}\\p{{N}}]$') as sign, regexp_matches(bare, '^([①-⑩]|[0-9]+)$') as joins from s1),
+ s3 as (select * replace (case when head or mark = '' then text else {_STYLED} end as text) from s2),
+ s4 as (select doc_id, page, line_idx, any_value(prefix) as prefix, list({{'done': text, 'header': header, 'sign': sign, 'subtitle': subtitle, 'joins': joins}} order by span_idx) as parts from s3 group by all),
+ s5 as (select *, {_strip("""(list_reduce(list_concat([{'done': '', 'header': starts_with(prefix, '#'), 'sign': false, 'subtitle': false, 'joins': false}], parts), lambda a, x: {
+   'done': a.done || case when (a.header and not x.header and not x.sign and not (NEVER) and not x.joins) or (x.subtitle and (a.done <> '' or prefix <> '') and not ends_with(a.done, chr(10))) then chr(10) || chr(10) else '' end || x.done,
+   'header': case when x.sign then a.header else x.header end, 'sign': false, 'subtitle': false, 'joins': false})).done""").replace("NEVER", never)} as body from s4)
+ select doc_id, page, line_idx, prefix, case when body = '' then '' when starts_with(prefix, '#') then prefix || {_normalized('body')} when prefix = '> ' then '> ' || body else body end as text from s5"""
+
+
+@query("heading_lines", f"select 'a' as profile, * from ({_line_texts(PROFILE_A)}) union all select 'b', * from ({_line_texts(PROFILE_B)})")
+def heading_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of three spans in both profiles: breaks after headings and before subtitles, single marks and numbers that join."""
+
+    def one(p: Profile) -> DataFrame:
+        rows = layout.with_prefix(layout.with_features(layout.lines(X.spark_head_spans(spark, sf)), p), p).withColumn("refs_before", F.lit(0))
+        return layout.with_text(rows, p).filter(F.exists("spans", lambda s: T.without_page_markers(s["text"]) != "")).select(F.lit(p.name).alias("profile"), "doc_id", "page", "line_idx", "prefix", "text")
+
+    return one(PROFILE_A).unionByName(one(PROFILE_B))
+
+
 _MARKED_LINE = "(case when n % 2 = 0 then '[ 接 上 页]' else '' end || line || case when n % 3 = 0 then '[转下页 ]' else '' end)"
 
 
@@ -489,12 +517,19 @@ def page_split(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.parts(cuts, X.read(spark, sf, "customer").select(F.col("c_custkey").alias("doc_id"), F.lit(60).alias("n_pages")))
 
 
-@query("page_parts", f"with s as ({ORACLES['page_split']}) select doc_id, page, part, 'c' || doc_id || '_' || name as name from (select c_custkey as doc_id, cast(unnest(generate_series(0, 59)) as int) as page from customer where c_custkey % 10 = 0) join s using (doc_id) where page >= lo and page < hi")
+_PARTS = _REGIONS + """, c as (select o_custkey as doc_id, cast(o_orderkey % 9 as int) as page from orders), d as (select doc_id, max(page) + 1 as n_pages from pg group by doc_id),
+ i as (select distinct c.doc_id, page - 1 as lo from c join d using (doc_id) where page - 1 > 0 and page - 1 < n_pages), b as (select * from i union all select doc_id, 0 from d),
+ o as (select doc_id, lo, cast(row_number() over (partition by doc_id order by lo) as int) as part, lead(lo) over (partition by doc_id order by lo) as hi from b)
+ select doc_id, pg.page, part, 'd' || doc_id || '_part' || part || '_p' || (lo + 1) || '-p' || coalesce(hi, n_pages) as name from pg join d using (doc_id) join o using (doc_id) where pg.page >= lo and pg.page < coalesce(hi, n_pages)"""
+
+
+@query("page_parts", _PARTS)
 def page_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages with the part that they go to, as the sink writes them; one customer in ten has pages in this fixture."""
-    cuts = X.read(spark, sf, "orders").select(F.col("o_custkey").alias("doc_id"), (F.col("o_orderkey") % 97).cast("int").alias("page"))
-    docs = X.read(spark, sf, "customer").filter("c_custkey % 10 = 0").select(F.col("c_custkey").alias("doc_id"), F.lit(60).alias("n_pages"), F.concat(F.lit("c"), "c_custkey").alias("stem"))
-    return profiling.split_pages(docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(59))).alias("page")), cuts, docs)
+    """The documents' pages with the part that they go to, as the sink writes them."""
+    pages = _regions(spark, sf)[0].select("doc_id", "page")
+    cuts = X.read(spark, sf, "orders").select(F.col("o_custkey").alias("doc_id"), (F.col("o_orderkey") % 9).cast("int").alias("page"))
+    docs = pages.groupBy("doc_id").agg((F.max("page") + 1).alias("n_pages")).withColumn("stem", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    return profiling.split_pages(pages, cuts, docs)
 
 
 # ---------------------------------------------------------------- web pages and e-books

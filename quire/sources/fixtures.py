@@ -21,6 +21,12 @@ SPAN_SQL = """doc_id, cast(floor(n/12.0) as int) page, cast(n % 12 as int) line_
   case (doc_id+n+k) % 5 when 0 then 'FangSong' when 1 then 'KaiTi' when 2 then 'SimHei' when 3 then 'SimSun' else 'Times-Bold' end font,
   cast(case when n % 3=0 then 16 else 0 end + case when n % 5=0 then 2 else 0 end as int) flags,
   cast(case when n % 9=5 then 130 when n % 4=0 then 110 else 90 end as double) x0, cast(100 + 35*(n % 12) as double) y0"""
+#: Three spans a line, in sizes of both profiles, with single marks and numbers between texts.
+HEAD_SPAN_SQL = """doc_id, cast(floor(n/12.0) as int) page, cast(n % 12 as int) line_idx, cast(k as int) span_idx,
+  translate(case when k=0 then substr(line,1,14) when k=1 and n % 6 = 0 then '：' when k=1 and n % 6 = 1 then '7' when k=1 and n % 6 = 2 then '、' when k=1 then substr(line,15,9) else substr(line,24,30) end, 'aeiou', '甲乙丙丁戊') text,
+  cast(case (n * 5 + k * (n % 4)) % 11 when 0 then 36 when 1 then 26.1 when 2 then 18 when 3 then 15.2 when 4 then 14 when 5 then 29 when 6 then 14.4 when 7 then 11 when 8 then 22 when 9 then 15 else 12 end as double) size,
+  case when n % 9 = 4 then 'SimHei' when n % 7 = 5 then 'FangSong' when (n + k) % 8 = 3 then 'KaiTi' else 'SimSun' end font,
+  cast(case when (n + k) % 5 = 0 then 16 else 0 end as int) flags, cast(case when n % 3 = 1 then 130 else 90 end as double) x0, cast(100 + 35*(n % 12) as double) y0"""
 MARKED_SQL = """case n % 7 when 0 then concat('# ',line) when 2 then concat('> ',line) when 3 then concat('- ',line) when 4 then concat('1. ',line)
   when 6 then '```' else concat(line, '  ') end"""
 PARA_SQL = """doc_id, cast(floor(n/12.0) as int) page, cast(n as bigint) ord,
@@ -41,6 +47,7 @@ SQL = {
       toc_docs as (select doc_id, cast(max(page) + 3 as int) as n_pages from toc_pages group by doc_id)""",
 }
 SQL["spans"] = SQL["lines"] + f", spans as (select {SPAN_SQL} from lines cross join (select 0 k union all select 1) z)"
+SQL["head_spans"] = SQL["lines"] + f", spans as (select {HEAD_SPAN_SQL} from lines cross join (select unnest([0, 1, 2]) k) z)"
 SQL["marked"] = SQL["lines"] + f", marked as (select doc_id, n, {MARKED_SQL} as line from lines)"
 SQL["paras"] = SQL["lines"] + f", paras as (select {PARA_SQL} from lines)"
 SQL["notes"] = SQL["lines"] + f", note_lines as (select {NOTE_SQL} from lines)"
@@ -60,6 +67,11 @@ def spark_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr(*_split(SPAN_SQL))
 
 
+def spark_head_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark_lines(spark, sf_dir).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    return rows.selectExpr(*_split(HEAD_SPAN_SQL))
+
+
 def spark_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_lines(spark, sf_dir).selectExpr("doc_id", "n", MARKED_SQL + " as line")
 
