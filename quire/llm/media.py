@@ -334,14 +334,22 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def sniff(media: DataFrame, value_col: str = "media", declared_col: str = "declared", id_col: str = "doc_id") -> DataFrame:
-    """Per row: the true type, whether the declared one was wrong, and the objects carved from the value."""
+    """Per row: the true type, whether the declared one was wrong, and the objects carved from the value.
+
+    Outermost objects come with their bytes; one that begins inside another that came is named by its place and size
+    and has null content, so what a value gives is never longer than it, however its objects are nested.
+    """
 
     def make():
         sniffer = Sniffer()
 
         def one(key, value, declared):
             kind, inside = sniffer.true_type(value or b"")
-            return key, kind, kind != declared, [(x.kind, x.offset, x.size, (value or b"")[x.offset : x.offset + x.size]) for x in inside]
+            carved, reach = [], 0
+            for x in inside:  # by offset, the longest first
+                carved.append((x.kind, x.offset, x.size, value[x.offset : x.offset + x.size] if x.offset >= reach else None))
+                reach = max(reach, x.offset + x.size)
+            return key, kind, kind != declared, carved
 
         return one
 

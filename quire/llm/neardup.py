@@ -389,8 +389,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     roots = staged(components(links), "components")
 
     buckets = copies.join(met, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), F.posexplode("sketches").alias("n", "sketch")).select("doc", F.xxhash64("n", "sketch").alias("key"))
-    rooted = lambda: buckets.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("key", "doc", F.coalesce("root", "doc").alias("root"))
-    left = staged(unsettled(rooted(), total), "unsettled")
+    rooted = lambda held: held.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("key", "doc", F.coalesce("root", "doc").alias("root"))
+    left = staged(unsettled(rooted(buckets), total), "unsettled")
     profiles, partners = None, PARTNERS
     while not left.isEmpty():
         if profiles is None:  # later rounds have members of the first only
@@ -404,7 +404,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             roots = staged(components(links), "components")
         if round_.filter("a is null").isEmpty():
             break
-        left, partners = staged(unsettled(rooted(), total), "unsettled"), partners * GROWTH
+        # A bucket of one class stays so: only the unsettled ones are looked at again.
+        held = left.select("key", "doc").unionByName(left.select("key", F.col("head").alias("doc")).distinct())
+        left, partners = staged(unsettled(rooted(held), total), "unsettled"), partners * GROWTH
     class_of = copies.select("digest", "members", F.col("doc_id").alias("copy_of")).join(roots.select(F.col("node").alias("copy_of"), F.col("root").alias("class_id")), "copy_of", "left")
     class_of = staged(class_of.select("digest", "members", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id")), "classes")
     out = joined_by_key(seen.select("doc_id", "digest"), class_of, "digest", "members", seen.count())

@@ -25,8 +25,9 @@ them there is an exact second way: their windows are sent singly under a 128-bit
 digest, once for each block, so a window that a third of all documents has costs
 a row for each block.
 
-Hashes only bring phrases together: the same phrase under the same trigger means
-equal bytes, which are compared.
+Elsewhere hashes only bring phrases together: the same phrase under the same
+trigger means equal bytes, which are compared.  Windows of such frequent triggers
+are told apart by their digests alone.
 
 Null texts are empty; texts under LENGTH bytes have no windows and keep all.
 Rows without an id come before all others.  Rows with one doc_id are ordered by

@@ -415,3 +415,17 @@ def test_secrets_count_all_documents(spark, monkeypatch):
     monkeypatch.setattr(secrets, "DICTIONARY", 9)
     assert len(secrets.dictionary_of(few)) <= 9 and "ordinary" in secrets.dictionary_of(few)
     assert secrets.trained(docs.limit(0))[0] == []
+
+
+def test_nested_objects_are_carved_once(spark):
+    """10,000 headers that end at one trailer: each is named, the outermost has its bytes."""
+    value = b"%PDF-1.4\n" * 10_000 + b"startxref\n0\n%%EOF"
+    inner = media.put_wav(b"x" * 192)
+    rows = [(1, value, "image/png"), (2, b"ab" + inner + b"cd" + inner, None), (3, media.put_bmp(inner + b" " * (-len(inner) % 192)), "image/bmp"), (4, None, None), (5, b"", "x")]
+    got = {r.doc_id: r for r in media.sniff(spark.createDataFrame(rows, "doc_id long, media binary, declared string")).collect()}
+    for d, value, _ in rows:
+        parts = [c for c in got[d].carved if c.content is not None]
+        assert sum(len(c.content) for c in parts) <= len(value or b"") and all(bytes(c.content) == value[c.offset : c.offset + c.size] for c in parts)
+    found = media.Sniffer().true_type(rows[0][1])[1]
+    assert len(got[1].carved) == len(found) and sum(c.content is not None for c in got[1].carved) == min(1, len(found))
+    assert [(c.offset, c.content is not None) for c in got[2].carved] == [(2, True), (4 + len(inner), True)] and got[4].carved == got[5].carved == []
