@@ -64,7 +64,7 @@ def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, block
 
 def pdf_bundles(spark: SparkSession, path: str, profile: Profile, blacklist: list[str], split_level: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """PDF books at ``path``: bundles, images, and (doc_id, page, error) of what could not be read."""
-    rows = written(pdf.tables(spark, path), "pdf")  # each file is opened once
+    rows = written(pdf.tables(spark, path, profile), "pdf")  # each file is opened once
     made, assets = layout_bundles(
         pdf.outline(rows), pdf.spans(rows), pdf.part(rows, "page", "page", "height"), pdf.part(rows, "block", "page", "block_idx", "y0", "text"),
         pdf.part(rows, "drawing", "page", "x0", "y0", "x1", "y1"), profile, blacklist, split_level, pdf.part(rows, "image", "page", "block_idx", "content"), file_stem("doc_id"),

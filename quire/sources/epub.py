@@ -65,29 +65,35 @@ def _nav(root: ET.Element, folder: str, names: set[str]) -> Iterator[tuple[int,
         open_ += [(c, level + 1) for c in reversed(children)]
 
 
-def read_book(data: bytes) -> list[dict]:
+def package(z: zipfile.ZipFile) -> list[dict]:
+    """Rows of an e-book's package and navigation, and of its items without their contents."""
     out: list[dict] = []
+    box = ET.fromstring(z.read("META-INF/container.xml"))
+    opf = next(e.get("full-path") for e in box.iter() if _local(e.tag) == "rootfile")
+    folder = posixpath.dirname(opf)
+    root = ET.fromstring(z.read(opf))
+    title = next((e.text for e in root.iter() if _local(e.tag) == "title" and (e.text or "").strip()), None)
+    out.append({"kind": "book", "title": (title or "unknown").strip()})
+    items = {}
+    names = set(z.namelist())
+    for e in root.iter():
+        if _local(e.tag) == "item":
+            href = _member(folder, e.get("href", ""), names)
+            items[e.get("id")] = (href, e.get("media-type", ""), e.get("properties", ""))
+            out.append({"kind": "item", "item_id": e.get("id"), "href": href, "media_type": e.get("media-type")})
+    refs = [e.get("idref") for e in root.iter() if _local(e.tag) == "itemref"]
+    out += [{"kind": "spine", "seq": k, "item_id": r} for k, r in enumerate(refs, 1)]
+    nav = next((h for h, t, p in items.values() if "nav" in p.split() or t == "application/x-dtbncx+xml"), None)
+    if nav in names:
+        for k, (level, t, href, section) in enumerate(_nav(ET.fromstring(z.read(nav)), posixpath.dirname(nav), names)):
+            out.append({"kind": "nav", "seq": k, "level": level, "title": t, "href": href, "media_type": "section" if section else ""})
+    return out
+
+
+def read_book(data: bytes) -> list[dict]:
     with zipfile.ZipFile(io.BytesIO(data)) as z:
-        box = ET.fromstring(z.read("META-INF/container.xml"))
-        opf = next(e.get("full-path") for e in box.iter() if _local(e.tag) == "rootfile")
-        folder = posixpath.dirname(opf)
-        package = ET.fromstring(z.read(opf))
-        title = next((e.text for e in package.iter() if _local(e.tag) == "title" and (e.text or "").strip()), None)
-        out.append({"kind": "book", "title": (title or "unknown").strip()})
-        items = {}
         names = set(z.namelist())
-        for e in package.iter():
-            if _local(e.tag) == "item":
-                href = _member(folder, e.get("href", ""), names)
-                items[e.get("id")] = (href, e.get("media-type", ""), e.get("properties", ""))
-                out.append({"kind": "item", "item_id": e.get("id"), "href": href, "media_type": e.get("media-type"), "content": z.read(href) if href in names else None})
-        refs = [e.get("idref") for e in package.iter() if _local(e.tag) == "itemref"]
-        out += [{"kind": "spine", "seq": k, "item_id": r} for k, r in enumerate(refs, 1)]
-        nav = next((h for h, t, p in items.values() if "nav" in p.split() or t == "application/x-dtbncx+xml"), None)
-        if nav in names:
-            for k, (level, t, href, section) in enumerate(_nav(ET.fromstring(z.read(nav)), posixpath.dirname(nav), names)):
-                out.append({"kind": "nav", "seq": k, "level": level, "title": t, "href": href, "media_type": "section" if section else ""})
-    return out
+        return [r | {"content": z.read(r["href"])} if r["kind"] == "item" and r["href"] in names else r for r in package(z)]
 
 
 def members(spark: SparkSession, path: str) -> DataFrame:

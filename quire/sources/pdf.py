@@ -8,12 +8,17 @@ gives a row with ``error`` and stops nothing else.
 from __future__ import annotations
 
 import importlib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.text import PAGE_MARKS
+from quire.operators.layout import DIVIDER
+from quire.profiles import Profile
+
 LIBRARY, CONVERTER = "fitz", "pymupdf4llm"
 SCHEMA = (
     "doc_id string, kind string, page int, pos int, level int, n_pages int, block_idx int, line_idx int, span_idx int, text string, size double, font string, flags int,"
@@ -31,15 +36,30 @@ def needed(name: str):
         raise RuntimeError(f"reading PDF files needs {name}, which is not installed") from e
 
 
-def page_rows(page, number: int, rect, clip: tuple[float, float] | None) -> Iterator[dict]:
-    """Rows of one page; ``clip`` (top, bottom) is what text and images are read from, blocks and drawings are read whole."""
+def page_clip(blocks: list[dict], drawings: list[dict], height: float, profile: Profile) -> tuple[float, float]:
+    """Top and bottom of what an article takes from a page: from the profile's top, or from the notes where they begin above it."""
+    rules = [d["y0"] for d in drawings if d["y1"] - d["y0"] < 5 and 60 <= d["x1"] - d["x0"] <= 75]
+    dividers = [b["y0"] for b in blocks if b["y0"] > profile.top and re.search(DIVIDER, b["text"])]
+    marks = [b["y0"] for b in [b for b in blocks if b["y0"] > profile.detect][:5] if PAGE_MARKS[0] in b["text"]]
+    if profile.rule_divides and rules:
+        split = max(rules) - 2
+    elif not profile.rule_divides and dividers:
+        split = dividers[0] - 2
+    else:
+        split = marks[0] - 1 if marks else height
+    return min(profile.top, split), min(profile.bottom or height, height)
+
+
+def page_rows(page, number: int, rect, clip: tuple[float, float] | Profile | None) -> Iterator[dict]:
+    """Rows of one page; ``clip`` (top, bottom, or the profile that they follow from) is what text and images are read from, blocks and drawings are read whole."""
     width, height = float(page.rect.width), float(page.rect.height)
     yield {"kind": "page", "width": width, "height": height}
-    for k, b in enumerate(page.get_text("blocks")):
-        yield {"kind": "block", "block_idx": k, "x0": b[0], "y0": b[1], "x1": b[2], "y1": b[3], "text": b[4]}
-    for k, d in enumerate(page.get_drawings()):
-        if r := d.get("rect"):
-            yield {"kind": "drawing", "pos": k, "x0": r.x0, "y0": r.y0, "x1": r.x1, "y1": r.y1}
+    blocks = [{"kind": "block", "block_idx": k, "x0": b[0], "y0": b[1], "x1": b[2], "y1": b[3], "text": b[4]} for k, b in enumerate(page.get_text("blocks"))]
+    drawings = [{"kind": "drawing", "pos": k, "x0": r.x0, "y0": r.y0, "x1": r.x1, "y1": r.y1} for k, d in enumerate(page.get_drawings()) if (r := d.get("rect"))]
+    yield from blocks
+    yield from drawings
+    if isinstance(clip, Profile):
+        clip = page_clip(blocks, drawings, height, clip)
     inside = {"clip": rect(0, clip[0], width, min(clip[1], height))} if clip else {}
     line = 0
     for k, block in enumerate(page.get_text("dict", **inside)["blocks"]):
@@ -51,7 +71,7 @@ def page_rows(page, number: int, rect, clip: tuple[float, float] | None) -> Iter
             line += 1
 
 
-def file_rows(library, data: bytes, clip: tuple[float, float] | None) -> Iterator[dict]:
+def file_rows(library, data: bytes, clip: tuple[float, float] | Profile | None) -> Iterator[dict]:
     with library.open(stream=data, filetype="pdf") as doc:
         yield {"kind": "book", "n_pages": doc.page_count}
         for k, (level, title, page, *_) in enumerate(doc.get_toc()):
@@ -64,7 +84,7 @@ def file_rows(library, data: bytes, clip: tuple[float, float] | None) -> Iterato
                 yield {"kind": "error", "page": number, "error": f"{type(e).__name__}: {e}"}
 
 
-def tables(spark: SparkSession, path: str, clip: tuple[float, float] | None = None) -> DataFrame:
+def tables(spark: SparkSession, path: str, clip: tuple[float, float] | Profile | None = None) -> DataFrame:
     """All rows of the files at ``path``; ``kind`` says which table a row belongs to."""
     name_of_library = LIBRARY
     needed(name_of_library)

@@ -2,9 +2,13 @@
 
 import zipfile
 
+from pyspark.sql import functions as F
+
 from quire import __main__ as command
+from quire.operators import layout
 from quire.plans import books
-from quire.sources import epub, files
+from quire.profiles import PROFILE_A, PROFILE_B
+from quire.sources import epub, epub_format, files, pdf
 
 BOX = '<container xmlns="urn:oasis:names:tc:opendocument:xmlns:container"><rootfiles><rootfile full-path="OEBPS/c.opf"/></rootfiles></container>'
 WORD = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
@@ -79,3 +83,41 @@ def test_errors_reach_the_output(spark, tmp_path, monkeypatch):
     assert [(r.doc_id.rsplit("/")[-1], r.error.split(":")[0]) for r in read("epub/errors")] == [("bad.epub", "BadZipFile")] and read("epub/bundles") == []
     assert [(r.doc_id.rsplit("/")[-1], r.error.split(":")[0]) for r in read("docx/errors")] == [("bad.docx", "BadZipFile")] and [r.markdown.endswith("fine") for r in read("docx/bundles")] == [True]
     assert read("html/errors") == [] and len(read("html/bundles")) == 2
+
+
+def test_format(spark, tmp_path):
+    """The rows of the members, in several tasks a book; filters, damage, no files."""
+    point = lambda t, src: f"<navPoint><navLabel><text>{t}</text></navLabel><content src='{src}'/></navPoint>"
+    for b in range(3):
+        members = {f"OEBPS/{k}.xhtml": f"<p>{b}-{k} {'x' * 500}</p>" for k in range(20)}
+        manifest = "".join(f"<item id='p{k}' href='{k}.xhtml' media-type='application/xhtml+xml'/>" for k in range(21))  # one is not there
+        book(tmp_path / f"{b}.epub", "<ncx><navMap>" + "".join(point(f"t{k}", f"{k}.xhtml") for k in range(20)) + "</navMap></ncx>", members, manifest, "".join(f"<itemref idref='p{k}'/>" for k in range(20)))
+    (tmp_path / "bad.epub").write_bytes(b"no archive")
+    epub_format.register(spark)
+    rows = spark.read.format("epub").option("partition_bytes", 3000).load(str(tmp_path / "*.epub"))
+    names = [c for c in rows.columns if c != "doc_id"]
+    plain = lambda df: sorted((r.doc_id.rsplit("/")[-1], *(str(r[c]) for c in names)) for r in df.collect())
+    assert plain(rows) == plain(epub.members(spark, str(tmp_path / "*.epub")))
+    assert rows.rdd.getNumPartitions() > 12
+    some = spark.read.format("epub").option("kinds", "spine").load(str(tmp_path / "*.epub"))
+    assert some.count() == 60 and some.rdd.getNumPartitions() == 4  # a task for each file: members are not read
+    assert rows.filter(F.col("kind").isin("error", "book")).count() == 4
+    spine, items, nav, titles = epub.parts(rows)
+    assert epub.spine_documents(spine, items, nav, titles).filter("title like 't%'").count() == 60
+    assert spark.read.format("epub").load(str(tmp_path / "none*.epub")).count() == 0
+
+
+def test_clip_same_as_regions(spark):
+    """What is read of a page begins and ends where its regions do."""
+    pages = [
+        ([(0, 30.0, "接上页"), (1, 200.0, "x")], [(300.0, 370.0, 90.0, 91.0)], 595.0), ([(0, 30.0, "x"), (1, 300.0, "————————")], [], 500.0),
+        ([(0, 20.0, "接上页"), (1, 60.0, "a 接上页")], [], 595.0), ([], [(10.0, 80.0, 440.0, 441.0), (10.0, 72.0, 400.0, 404.0)], 595.0), ([], [], 400.0),
+    ]
+    blocks = spark.createDataFrame([(k, 0, i, y, t) for k, (b, _, _) in enumerate(pages) for i, y, t in b], "doc_id int, page int, block_idx int, y0 double, text string")
+    drawings = spark.createDataFrame([(k, 0, *d) for k, (_, ds, _) in enumerate(pages) for d in ds], "doc_id int, page int, x0 double, x1 double, y0 double, y1 double")
+    heights = spark.createDataFrame([(k, 0, h) for k, (_, _, h) in enumerate(pages)], "doc_id int, page int, height double")
+    for p in (PROFILE_A, PROFILE_B):
+        split = {r.doc_id: r.split_y for r in layout.split_lines(heights, blocks, drawings, p).collect()}
+        for k, (b, ds, h) in enumerate(pages):
+            got = pdf.page_clip([{"y0": y, "text": t} for _, y, t in b], [{"x0": x0, "x1": x1, "y0": y0, "y1": y1} for x0, x1, y0, y1 in ds], h, p)
+            assert got == (min(p.top, split[k]), min(p.bottom or h, h))
