@@ -11,14 +11,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import BLANK, GLYPHS, is_cjk, normalized_heading, strip, without_page_markers
-from quire.profiles import TOLERANCE, Profile
+from quire.profiles import SETTINGS, TOLERANCE, Profile, Settings
 
 GLYPH = f"[{GLYPHS[0]}-{GLYPHS[-1]}]"
 DIVIDER = "[—_]{8,}"
 
 
-def nearest_prefix(size: Column, profile: Profile) -> Column:
+def nearest_prefix(size: Column, profile: Settings) -> Column:
     """Prefix of the nearest mapped size if closer than the tolerance, else empty; the earlier wins a tie."""
+    if not isinstance(profile, Profile):
+        near = F.array_min(F.transform(profile.fonts, lambda f, k: F.struct(F.abs(size - f["size"]).alias("d"), k.alias("k"), f["prefix"].alias("prefix"))))
+        return F.when(near["d"] < TOLERANCE, near["prefix"]).otherwise("")
     found = F.array_min(F.array(*[F.struct(F.abs(size - s).alias("d"), F.lit(k).alias("k"), F.lit(p).alias("prefix")) for k, (s, p) in enumerate(profile.fonts)]))
     return F.when(found["d"] < TOLERANCE, found["prefix"]).otherwise("")
 
@@ -29,7 +32,7 @@ def lines(spans: DataFrame) -> DataFrame:
     return spans.groupBy("doc_id", "page", "line_idx").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.array_sort(F.collect_list(one)).alias("spans"))
 
 
-def with_features(rows: DataFrame, profile: Profile) -> DataFrame:
+def with_features(rows: DataFrame, profile: Settings) -> DataFrame:
     """Largest size and which font families occur, a span counting for the first family that fits it."""
     font = lambda s: F.lower(s["font"])
     fang = lambda s: F.contains(font(s), F.lit("fang"))
@@ -40,7 +43,7 @@ def with_features(rows: DataFrame, profile: Profile) -> DataFrame:
     return rows.withColumn("mapped", nearest_prefix(F.col("max_size"), profile))
 
 
-def with_prefix(rows: DataFrame, profile: Profile) -> DataFrame:
+def with_prefix(rows: DataFrame, profile: Settings) -> DataFrame:
     mapped = F.col("mapped")
     prefix = (
         F.when(F.startswith(mapped, F.lit("#")), mapped).when(F.col("has_heiti") & (F.col("x0") > profile.centre), "### ")
@@ -73,15 +76,18 @@ def with_references(rows: DataFrame) -> DataFrame:
     return rows.withColumn("refs_before", F.coalesce(F.sum("n_refs").over(w), F.lit(0)))
 
 
-def with_text(rows: DataFrame, profile: Profile, strict: bool = False) -> DataFrame:
+def with_text(rows: DataFrame, profile: Settings, strict: bool = False) -> DataFrame:
     """``text``: the line as Markdown with its prefix.  ``strict`` loses what follows an inserted break in a numbered heading.
 
     Spans go through a few projections of their array, each computing a thing once; only where breaks fall is a fold.
     """
-    exact = [s for s, p in profile.fonts if p.startswith("#")]
+    if isinstance(profile, Profile):
+        exact = lambda size: size.isin([s for s, p in profile.fonts if p.startswith("#")])
+    else:
+        exact = lambda size: F.exists(profile.fonts, lambda f: F.startswith(f["prefix"], F.lit("#")) & (f["size"] == size))
     prefix = F.col("prefix")
     head = F.startswith(prefix, F.lit("#"))
-    no_split = (prefix == "### ") | (prefix.isin("# ", "## ") if profile.heading_continues else F.lit(False))
+    no_split = (prefix == "### ") | (prefix.isin("# ", "## ") & F.lit(profile.heading_continues))
     each = lambda f: F.transform("_s", f)
     struct = lambda **columns: F.struct(*[c.alias(k) for k, c in columns.items()])
     bold = lambda s: (s["flags"].bitwiseAND(16) != 0) | F.lower(s["font"]).rlike("hei|bold")
@@ -90,7 +96,7 @@ def with_text(rows: DataFrame, profile: Profile, strict: bool = False) -> DataFr
 
     rows = rows.withColumn("_s", F.transform("spans", lambda s: struct(text=without_page_markers(s["text"]), size=s["size"], emphasis=emphasis(s), n=F.regexp_count(s["text"], F.lit(GLYPH)))))
     rows = rows.withColumn("_s", F.filter("_s", lambda s: s["text"] != ""))
-    rows = rows.withColumn("_s", each(lambda s: struct(text=s["text"], bare=strip(s["text"]), emphasis=s["emphasis"], n=s["n"], header=s["size"].isin(exact), subtitle=nearest_prefix(s["size"], profile) == "SUBTITLE")))
+    rows = rows.withColumn("_s", each(lambda s: struct(text=s["text"], bare=strip(s["text"]), emphasis=s["emphasis"], n=s["n"], header=exact(s["size"]), subtitle=nearest_prefix(s["size"], profile) == "SUBTITLE")))
     mark = lambda s: (F.length(s["bare"]) == 1) & ~is_cjk(s["bare"]) & ~s["bare"].rlike(r"^[\p{L}\p{N}]$")
     before = lambda k: F.col("refs_before") + F.aggregate(F.slice("_s", 1, k), F.lit(0), lambda a, s: a + s["n"])
     shown = lambda s: F.when(s["subtitle"], F.concat(F.lit("**"), s["bare"], F.lit("**"))).otherwise(s["text"])
@@ -113,13 +119,20 @@ def with_text(rows: DataFrame, profile: Profile, strict: bool = False) -> DataFr
     return rows.withColumn("text", F.when(F.col("_body") == "", "").otherwise(text)).drop("_body", "_s")
 
 
-def split_lines(pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profile: Profile) -> DataFrame:
-    """(doc_id, page, split_y): where notes begin: a rule or divider, else a continuation mark, else the page's foot."""
+def split_lines(pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profile: Settings) -> DataFrame:
+    """(doc_id, page, split_y): where notes begin: a rule or divider, else a continuation mark, else the page's foot.
+
+    With settings by book, ``pages`` and ``blocks`` bring them.
+    """
     key = ["doc_id", "page"]
-    if profile.rule_divides:
-        rule = drawings.filter("y1 - y0 < 5 and x1 - x0 between 60 and 75").groupBy(*key).agg((F.max("y0") - 2).alias("by_rule"))
+    held = [SETTINGS] if not isinstance(profile, Profile) else []
+    by_rule = lambda: drawings.filter("y1 - y0 < 5 and x1 - x0 between 60 and 75").groupBy(*key).agg((F.max("y0") - 2).alias("by_rule"))
+    by_text = lambda: blocks.filter((F.col("y0") > profile.top) & F.col("text").rlike(DIVIDER)).groupBy(*key).agg((F.min_by("y0", "block_idx") - 2).alias("by_rule"))
+    if held:
+        both = by_rule().join(by_text().withColumnRenamed("by_rule", "by_text"), key, "full")
+        rule = pages.select(*key, SETTINGS).join(both, key).select(*key, F.when(profile.rule_divides, F.col("by_rule")).otherwise(F.col("by_text")).alias("by_rule"))
     else:
-        rule = blocks.filter((F.col("y0") > profile.top) & F.col("text").rlike(DIVIDER)).groupBy(*key).agg((F.min_by("y0", "block_idx") - 2).alias("by_rule"))
+        rule = by_rule() if profile.rule_divides else by_text()
     w = Window.partitionBy(*key).orderBy("block_idx")
     first = blocks.filter(F.col("y0") > profile.detect).withColumn("_n", F.row_number().over(w)).filter("_n <= 5")
     mark = first.filter(F.contains("text", F.lit("接上页"))).groupBy(*key).agg((F.min_by("y0", "block_idx") - 1).alias("by_mark"))
@@ -127,8 +140,8 @@ def split_lines(pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profil
     return joined.select(*key, "height", F.coalesce("by_rule", "by_mark", "height").alias("split_y"))
 
 
-def with_region(rows: DataFrame, splits: DataFrame, profile: Profile) -> DataFrame:
+def with_region(rows: DataFrame, splits: DataFrame, profile: Settings) -> DataFrame:
     """Lines inside the clip, with ``region`` body or note; a rule of blanks or underscores is dropped."""
-    clip_end = F.least(F.lit(profile.bottom), F.col("height")) if profile.bottom else F.col("height")
+    clip_end = F.least(F.lit(profile.bottom).cast("double"), F.col("height"))  # without a bottom, the page's height
     kept = rows.join(splits, ["doc_id", "page"]).filter((F.col("y0") >= F.least(F.lit(profile.top), F.col("split_y"))) & (F.col("y0") <= clip_end))
     return kept.withColumn("region", F.when(F.col("y0") >= F.col("split_y"), "note").otherwise("body"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quire.functions.text import BLANK, is_cjk, strip, without_page_markers
 from quire.operators.layout import DIVIDER, GLYPH
 from quire.operators.reflow import joined
-from quire.profiles import Profile
+from quire.profiles import Settings
 
 HEADING = r"^#+[\t-\r\x1c-\x20\x85\p{Z}]"
 
@@ -23,17 +23,17 @@ def in_order() -> WindowSpec:
     return Window.partitionBy("doc_id").orderBy("ord")
 
 
-def indented(raw: Column, x0: Column, profile: Profile) -> Column:
+def indented(raw: Column, x0: Column, profile: Settings) -> Column:
     return (x0 > profile.indent) | F.startswith(raw, F.lit("　")) | F.startswith(raw, F.lit("  "))
 
 
-def with_islands(rows: DataFrame, profile: Profile, strict: bool = False) -> DataFrame:
+def with_islands(rows: DataFrame, profile: Settings, strict: bool = False) -> DataFrame:
     """``is_new`` and ``island`` of each line that has text and is no divider; ``strict`` glues text on to an image."""
     rows = rows.filter((F.col("text") != "") & ~F.col("text").rlike(DIVIDER))
     image = F.col("is_image") if "is_image" in rows.columns else F.lit(False)
     rows = rows.withColumns({"_heading": F.startswith("text", F.lit("#")) & ~image, "_quote": F.startswith("text", F.lit("> "))})
     last_heading = F.coalesce(F.when(F.lag("page").over(in_order()) == F.col("page"), F.lag("_heading").over(in_order())), F.lit(False))
-    heading = ~last_heading if profile.heading_continues else F.lit(True)
+    heading = ~(last_heading & F.lit(profile.heading_continues))
     note = F.col("text").rlike(f"^{BLANK}*" + r"\[\^[0-9]+\]")
     rows = rows.withColumns({"_first": F.row_number().over(in_order()) == 1, "_base": F.when(image, True).when(note, False).when(F.col("_heading"), heading).otherwise(indented(F.col("raw"), F.col("x0"), profile))})
     if not strict and "is_image" in rows.columns:
@@ -44,14 +44,13 @@ def with_islands(rows: DataFrame, profile: Profile, strict: bool = False) -> Dat
     return rows.withColumn("island", F.sum(F.col("is_new").cast("int")).over(in_order())).drop("_heading", "_quote", "_first", "_base")
 
 
-def with_pieces(rows: DataFrame, profile: Profile) -> DataFrame:
+def with_pieces(rows: DataFrame, profile: Settings) -> DataFrame:
     """``piece`` and the ``separator`` before it: continued quotes and headings lose their marks, emphasis fuses between CJK."""
     lead = F.last(F.when(F.col("is_new"), F.col("text")), ignorenulls=True).over(in_order())  # the island's first line
     text, later = F.col("text"), ~F.col("is_new")
     quote = later & F.startswith(text, F.lit("> ")) & F.startswith(lead, F.lit("> "))
     bare = F.when(quote, F.substr(text, F.lit(3)))
-    if profile.heading_continues:
-        bare = bare.when(later & text.rlike(HEADING) & lead.rlike(HEADING), F.regexp_replace(text, f"^#+{BLANK}*", ""))
+    bare = bare.when(F.lit(profile.heading_continues) & later & text.rlike(HEADING) & lead.rlike(HEADING), F.regexp_replace(text, f"^#+{BLANK}*", ""))
     rows = rows.withColumn("bare", bare.otherwise(text))
     w = in_order()
     here, prev = F.col("bare"), F.when(~F.col("is_new"), F.lag("bare").over(w))
@@ -101,11 +100,9 @@ def paired_notes(notes: DataFrame, references: DataFrame) -> DataFrame:
     return found.withColumn("text", F.when(F.col("is_mark"), F.concat(label, F.substr("text", F.lit(2)))).otherwise(F.col("text"))).drop("k")
 
 
-def note_islands(notes: DataFrame, profile: Profile) -> DataFrame:
+def note_islands(notes: DataFrame, profile: Settings) -> DataFrame:
     """(doc_id, note, text): a mark opens a note, so do indents in some books; other lines are glued on, over pages too."""
-    new = F.col("is_mark")
-    if profile.indent_opens_note:
-        new = new | (F.col("x0") > profile.indent) | F.startswith("raw", F.lit("　"))
+    new = F.col("is_mark") | (F.lit(profile.indent_opens_note) & ((F.col("x0") > profile.indent) | F.startswith("raw", F.lit("　"))))
     first = F.row_number().over(in_order()) == 1
     rows = notes.withColumn("_new", (new | first).cast("int")).withColumn("note", F.sum("_new").over(in_order()))
     return rows.groupBy("doc_id", "note").agg(joined(F.col("ord"), F.col("text"), "").alias("text"))

@@ -9,7 +9,7 @@ from quire.functions.text import clean_filename, file_stem, image_extension
 from quire.operators import html, layout, paragraphs, reflow, toc
 from quire.operators.names import unique_names
 from quire.plans.bundles import bundle
-from quire.profiles import Profile
+from quire.profiles import BY_BOOK, SETTINGS, Profile, with_settings
 from quire.sources import epub, pdf
 from quire.sources.shared import written
 
@@ -28,11 +28,17 @@ def with_folder(books: DataFrame) -> DataFrame:
     return unique_names(books.withColumn("folder", clean_filename("book")), [], "folder", "doc_id")
 
 
-def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profile: Profile, blacklist: list[str], split_level: int, images: DataFrame | None = None, book: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
+def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profile: Profile | DataFrame, blacklist: list[str], split_level: int, images: DataFrame | None = None, book: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Books from their outline (with n_pages) and layout; pages that several articles share go to each.
 
-    Paths begin with a folder for each book, ``book`` of its doc_id (as it is, if not given).
+    Paths begin with a folder for each book, ``book`` of its doc_id (as it is, if not given).  ``profile`` may be a
+    table (doc_id, profile) that names each book's.
     """
+    own: list[str] = []
+    with_own = lambda rows: rows
+    if isinstance(profile, DataFrame):
+        of, profile, own = profile, BY_BOOK, [SETTINGS]
+        with_own = lambda rows: with_settings(rows, of)
     planned = toc.plan(outline, blacklist, split_level)
     name = F.col("doc_id").cast("string") if book is None else book
     folders = with_folder(outline.select("doc_id").distinct().withColumn("book", name))
@@ -42,21 +48,21 @@ def layout_bundles(outline: DataFrame, spans: DataFrame, pages: DataFrame, block
     # Each page meets its articles once, its lines and images then by the page.
     page_of = toc.articles_of(pages.select("doc_id", "page").distinct(), planned).select("doc_id", "page", key.alias("article"))
 
-    splits = layout.split_lines(pages, blocks, drawings, profile)
-    rows = layout.with_region(layout.lines(spans), splits, profile).join(page_of, ["doc_id", "page"])
+    splits = layout.split_lines(with_own(pages), with_own(blocks), drawings, profile)
+    rows = layout.with_region(with_own(layout.lines(spans)), splits, profile).join(page_of, ["doc_id", "page"])
     raw = F.array_join(F.transform("spans", lambda s: s["text"]), "")
     rows = rows.withColumns({"doc_id": F.col("article"), "raw": raw, "ord": F.col("page").cast("long") * PAGE + PAGE // 2 + F.col("line_idx")}).drop("article")
     body = layout.with_references(layout.with_prefix(layout.with_features(rows.filter("region = 'body'"), profile), profile))
-    lines = layout.with_text(body, profile).select("doc_id", "page", "ord", "text", "raw", "x0", F.lit(False).alias("is_image"))
+    lines = layout.with_text(body, profile).select("doc_id", "page", "ord", "text", "raw", "x0", F.lit(False).alias("is_image"), *own)
     assets = None
     if images is not None:
         found = images.join(page_of, ["doc_id", "page"]).withColumn("doc_id", F.col("article")).drop("article")
         found = numbered_files(found, ["doc_id"], ["page", "block_idx"], F.lit(""))
         shown = found.select("doc_id", "page", (F.col("page").cast("long") * PAGE + F.col("block_idx")).alias("ord"), F.concat(F.lit("![img](assets/"), "file", F.lit(")")).alias("text"), F.lit("").alias("raw"), F.lit(0.0).alias("x0"), F.lit(True).alias("is_image"))
-        lines = lines.unionByName(shown)
+        lines = lines.unionByName(shown, allowMissingColumns=True)
         assets = found.join(articles.select(F.col("article").alias("doc_id"), "path"), "doc_id").select("doc_id", F.concat("path", F.lit("/assets/"), "file").alias("rel_path"), "content")
     paras = paragraphs.merged_quotes(paragraphs.paragraphs(paragraphs.with_pieces(paragraphs.with_islands(lines, profile), profile)))
-    paired = paragraphs.paired_notes(rows.filter("region = 'note'").select("doc_id", "page", "ord", "raw", "x0"), paragraphs.page_references(body))
+    paired = paragraphs.paired_notes(rows.filter("region = 'note'").select("doc_id", "page", "ord", "raw", "x0", *own), paragraphs.page_references(body))
     text = paragraphs.articles(paras, paragraphs.note_islands(paired, profile)).withColumnRenamed("doc_id", "article")
     whole = articles.join(text, "article", "inner")
     return bundle(whole, F.col("book"), F.col("category"), F.col("start") + 1, F.col("title"), F.col("path"), F.col("markdown")), assets

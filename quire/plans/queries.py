@@ -11,7 +11,7 @@ from quire.functions import text as T
 from quire.operators import html, layout, paragraphs, profiling, reflow, toc
 from quire.plans import books
 from quire.plans.bundles import bundle, dry_run
-from quire.profiles import PROFILE_A, PROFILE_B, Profile
+from quire.profiles import BY_BOOK, PROFILE_A, PROFILE_B, SETTINGS, Profile, Settings, with_settings
 from quire.sources import epub
 from quire.sources import fixtures as X
 from quire.sources.shared import own_folder
@@ -442,21 +442,46 @@ _LAYOUT_NOTES = (
 )
 
 
-@query("layout_markdown", "select doc_id, concat_ws(chr(10) || chr(10), body, notes) as markdown from (select doc_id, string_agg(paragraph, chr(10) || chr(10) order by block) as body from (" + _para(PROFILE_A, _LAYOUT_PARAS) + " select * from mq) group by doc_id) full join (select doc_id, string_agg(text, chr(10) || chr(10) order by note) as notes from (" + _LAYOUT_NOTES + _note_islands("is_mark", "na") + " select * from na) group by doc_id) using (doc_id)")
-def layout_markdown(spark: SparkSession, sf: str) -> DataFrame:
-    """From spans to articles: regions, classification, styles, references, paragraphs and notes in one plan."""
-    p = PROFILE_A
-    rows = layout.with_region(layout.lines(X.spark_spans(spark, sf)), layout.split_lines(*_regions(spark, sf), p), p)
+def _article_sql(p: Profile) -> str:
+    """Articles of the layout in a profile; the parts above are those of profile A."""
+    paras, notes, new = _LAYOUT_PARAS, _LAYOUT_NOTES, "is_mark"
+    if p is PROFILE_B:
+        for a, b in ((_nearest_case("max_size", PROFILE_A), _nearest_case("max_size", PROFILE_B)), ("y0 >= split_a then", "y0 >= split_b then"), ("y0 >= least(110, split_a) and y0 <= least(520, height)", "y0 >= least(80, split_b) and y0 <= height")):
+            assert a in paras and a in notes
+            paras, notes = paras.replace(a, b), notes.replace(a, b)
+        new = _INDENT_NOTE
+    body = "select doc_id, string_agg(paragraph, chr(10) || chr(10) order by block) as body from (" + _para(p, paras) + " select * from mq) group by doc_id"
+    foot = "select doc_id, string_agg(text, chr(10) || chr(10) order by note) as notes from (" + notes + _note_islands(new, "na") + " select * from na) group by doc_id"
+    return f"select doc_id, concat_ws(chr(10) || chr(10), body, notes) as markdown from ({body}) full join ({foot}) using (doc_id)"
+
+
+def _laid_out(spark: SparkSession, sf: str, p: Settings, with_own=lambda rows: rows) -> DataFrame:
+    pages, blocks, drawings = _regions(spark, sf)
+    rows = layout.with_region(with_own(layout.lines(X.spark_spans(spark, sf))), layout.split_lines(with_own(pages), with_own(blocks), drawings, p), p)
     rows = rows.withColumn("ord", F.col("page").cast("long") * 12 + F.col("line_idx"))
     raw = F.array_join(F.transform("spans", lambda s: s["text"]), "")
     body = layout.with_references(layout.with_prefix(layout.with_features(rows.filter("region = 'body'"), p), p))
     lines = layout.with_text(body, p).withColumn("raw", raw)
     blocks = paragraphs.merged_quotes(paragraphs.paragraphs(paragraphs.with_pieces(paragraphs.with_islands(lines, p), p)))
-    foot = rows.filter("region = 'note'").select("doc_id", "page", "ord", raw.alias("raw"), "x0")
+    own = [c for c in rows.columns if c == SETTINGS]
+    foot = rows.filter("region = 'note'").select("doc_id", "page", "ord", raw.alias("raw"), "x0", *own)
     notes = paragraphs.note_islands(paragraphs.paired_notes(foot, paragraphs.page_references(body)), p)
     return paragraphs.articles(blocks, notes)
 
 
+@query("layout_markdown", _article_sql(PROFILE_A))
+def layout_markdown(spark: SparkSession, sf: str) -> DataFrame:
+    """From spans to articles: regions, classification, styles, references, paragraphs and notes in one plan."""
+    return _laid_out(spark, sf, PROFILE_A)
+
+
+@query("layout_by_book", f"select * from ({_article_sql(PROFILE_A)}) where doc_id % 2 = 0 union all select * from ({_article_sql(PROFILE_B)}) where doc_id % 2 = 1")
+def layout_by_book(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in one plan over books of both profiles, whose settings are data."""
+    of = X.read(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b").alias("profile"))
+    return _laid_out(spark, sf, BY_BOOK, lambda rows: with_settings(rows, of))
+
+
 # ---------------------------------------------------------------- probes
 
 @query("font_histogram", _SPANS + f", s as (select *, {_strip('text')} as bare from spans where page % 20 = 0), g as (select round(size, 1) as size, count(*) as n, first(bare order by length(bare) desc, doc_id, page, line_idx, span_idx) as example from s where bare <> '' group by 1) select *, case when n = (select max(n) from g) then 'body' when size < 10 then 'note' when n < 1000 then 'heading' else '' end as guess from g")

@@ -327,6 +327,23 @@ def test_layout_bundles(spark):
     assert [r.rel_path for r in assets.collect()] == ["b/Part/A_1/assets/img_1.jpg"]
 
 
+def test_books_of_both_profiles(spark):
+    """One run over books whose profiles are data gives what a run for each profile gives."""
+    rng = random.Random(6)
+    texts = ["一 题", "正文①。", "x y", "①注", "　缩进", "副题", "1.2 節"]
+    spans = [(b, page, line, k, rng.choice(texts), rng.choice([36.0, 26.0, 22.2, 18.0, 15.1, 14.0, 29.0, 16.6, 14.4, 13.0, 11.0, 7.4, 9.6]), rng.choice(["S", "FangSong", "KaiTi", "SimHei"]), rng.choice([0, 16, 2]), rng.choice([60.0, 78.0, 110.0, 130.0]), 30.0 + 40 * line) for b in "pqrs" for page in range(3) for line in range(13) for k in range(2)]
+    spans = spark.createDataFrame(spans, "doc_id string, page int, line_idx int, span_idx int, text string, size double, font string, flags int, x0 double, y0 double")
+    outline = spark.createDataFrame([(b, k, 1, f"t{k}", k + 1, 3) for b in "pqrs" for k in range(2)], "doc_id string, pos int, level int, title string, page int, n_pages int")
+    pages = spark.createDataFrame([(b, p, 560.0) for b in "pqrs" for p in range(3)], "doc_id string, page int, height double")
+    blocks = spark.createDataFrame([(b, p, k, 50.0 + 90 * k, rng.choice(["x", "接上页", "————————"])) for b in "pqrs" for p in range(3) for k in range(5)], "doc_id string, page int, block_idx int, y0 double, text string")
+    drawings = spark.createDataFrame([(b, p, 10.0, 400.0, 80.0, 401.0) for b in "pr" for p in range(2)], "doc_id string, page int, x0 double, y0 double, x1 double, y1 double")
+    images = spark.createDataFrame([("p", 0, 0, b"\xff\xd8\xff"), ("s", 1, 2, b"\xff\xd8\xff")], "doc_id string, page int, block_idx int, content binary")
+    of = spark.createDataFrame([("p", "a"), ("q", "b"), ("r", "b"), ("s", "a")], "doc_id string, profile string")
+    run = lambda p: {r.rel_path: r.markdown for r in books.layout_bundles(outline, spans, pages, blocks, drawings, p, [], 1, images)[0].collect()}
+    a, b, both = run(PROFILE_A), run(PROFILE_B), run(of)
+    assert both == {k: v for k, v in a.items() if k[0] in "ps"} | {k: v for k, v in b.items() if k[0] in "qr"} and len(both) == 8 and a != b
+
+
 def test_books_of_equal_titles(spark, tmp_path):
     """Two e-books of one title, and two documents of one title in each, keep paths of their own."""
     opf = OPF.replace('<itemref idref="gone"/>', '<itemref idref="b"/>').replace('<item id="i"', '<item id="b" href="b.xhtml" media-type="application/xhtml+xml"/><item id="i"')
