@@ -6,14 +6,17 @@ shingles of least hash are taken and hashed in the order the text has them, so
 equal sketches speak for an alignment rather than for common content alone.
 
 Texts that share a sketch are candidates: of two with half of their shingles in
-common 0.96, with four tenths 0.8.  First each member of a bucket meets
-the one of least id.  In buckets whose members are in several classes after
-that, every pair of members from different classes is weighed by a profile: the
-counts of words by some bits of their hashes, whose differences bound the
-common ones from above.  Pairs that the bound rules out are not similar; of the
-others, each member meets its PARTNERS likeliest first, then GROWTH times as
-many, with the classes found anew, until a round holds no pair back.  So no two
-classes are left that share a bucket and a similar pair in it.
+common 0.96, with four tenths 0.8.  First each member of a bucket meets the one
+of least id.  What these pairs connect, alike or not, is a group: texts that
+share a sketch are in one.  Groups that are of several classes after that go,
+each text once, to one task; those of over PART words are dealt into parts, which
+meet themselves first and then each other, with the classes known.  There every
+text outside the largest class meets all of other classes that share a sketch
+with it, but those that a bound rules out: counts of words by some bits of their
+hashes, whose differences bound the common ones from above.  The likeliest come
+first, and a pair whose classes a link has joined meanwhile is not aligned.  So no
+two classes are left that share a bucket and a similar pair in it, and what comes
+out of a task is the links that joined classes.
 
 A pair is verified by aligning the two texts' words: the longest common
 subsequence inside the band that any alignment of the wanted similarity must
@@ -47,10 +50,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import aside, held_by_worker, joined_by_key, map_rows, map_slices, mix, staged, table
 
 SHINGLE, SKETCHES, ORDER, THRESHOLD = 5, 24, 3, 0.8
-#: Partners of a member that the first round over unsettled buckets verifies, and by what that grows.
-PARTNERS, GROWTH = 4, 16
-#: Most counts in a profile; members of a bucket that are weighed at once (larger buckets go in pairs of parts).
-PROFILE, PART = 1 << 12, 1 << 11
+#: Most counts in a profile; words of a part of a group.
+PROFILE, PART = 1 << 10, 1 << 21
 BLOCK = 1 << 15
 #: Words that are aligned at once, at least.
 ROWS = 1 << 10
@@ -206,86 +207,79 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> fl
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, digest of the text, sketches."""
+    """doc_id, digest of the text, sketches, number of words."""
 
     def make():
         shingles = shared()
 
         def one(doc_id, text):
-            return doc_id, xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass")), sketches(shingles(text)).tolist()
+            return doc_id, xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass")), sketches(shingles(text)).tolist(), len((text or "").split())
 
         return one
 
-    return map_rows(docs.select("doc_id", F.col("text").cast("string")), make, "doc_id long, digest binary, sketches array<long>")
-
-
-def profile(h: np.ndarray) -> bytes:
-    """Counts of words by bits of their hashes, up to 255 each; as many counts as words, in powers of two."""
-    size = min(PROFILE, 1 << max(0, len(h) - 1).bit_length())
-    return np.minimum(np.bincount((mix(h) & np.uint64(size - 1)).astype(np.int64), minlength=size), 255).astype(np.uint8).tobytes()
-
-
-def possible(roots: np.ndarray, sizes: np.ndarray, parts: np.ndarray, profiles: list[bytes], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the pairs of different roots (and different parts, where there are two) that may be similar, with the bound of their similarity.
-
-    Counts that differ, cut at 255 or added up in pairs or not, stand for at least as many words that are not common.
-    """
-    width = np.array([len(p) for p in profiles])
-    across = parts.min() != parts.max()
-    none = np.zeros(0, np.int64)
-    left, right, bounds = [none], [none], [np.zeros(0)]
-    for w in np.unique(width):
-        same, twice = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
-        at = np.concatenate([same, twice])
-        counts = np.frombuffer(b"".join(profiles[k] for k in same), np.uint8).reshape(-1, w)
-        if len(twice):
-            wide = np.frombuffer(b"".join(profiles[k] for k in twice), np.uint8).reshape(-1, 2, w).sum(1, dtype=np.uint16)
-            counts = np.concatenate([counts, np.minimum(wide, 255).astype(np.uint8)])
-        for k in range(len(same)):
-            i, others = same[k], at[k + 1 :]
-            fits = (roots[others] != roots[i]) & (np.minimum(sizes[others], sizes[i]) >= threshold * np.maximum(sizes[others], sizes[i]))
-            if across:
-                fits &= parts[others] != parts[i]
-            j = np.flatnonzero(fits) + k + 1
-            if len(j) == 0:
-                continue
-            apart = (np.maximum(counts[j], counts[k]) - np.minimum(counts[j], counts[k])).sum(1, dtype=np.int64)
-            both = sizes[at[j]] + sizes[i]
-            most = (both - apart) // 2
-            bound = most / np.maximum(np.maximum(sizes[at[j]], sizes[i]), 1)
-            may = bound >= threshold
-            left.append(np.full(int(may.sum()), i))
-            right.append(at[j[may]])
-            bounds.append(bound[may])
-    return np.concatenate(left), np.concatenate(right), np.concatenate(bounds)
-
-
-def likeliest(i: np.ndarray, j: np.ndarray, bounds: np.ndarray, partners: int) -> np.ndarray:
-    """Which pairs are among the ``partners`` of highest bound of either member."""
-    pair = np.tile(np.arange(len(i)), 2)
-    member = np.concatenate([i, j])
-    order = np.lexsort((pair, -bounds[pair], member))
-    s = member[order]
-    place = np.arange(len(s))
-    start = np.maximum.accumulate(np.where(np.concatenate([[True], s[1:] != s[:-1]]), place, 0)) if len(s) else place
-    out = np.zeros(len(i), bool)
-    out[pair[order[place - start < partners]]] = True
-    return out
-
-
-def profiled(texts: DataFrame) -> DataFrame:
-    """doc, number of words, profile."""
+    return map_rows(docs.select("doc_id", F.col("text").cast("string")), make, "doc_id long, digest binary, sketches array<long>, words long")
+
+
+def profile(h: np.ndarray, size: int = PROFILE) -> np.ndarray:
+    """Counts of words by bits of their hashes."""
+    return np.bincount((mix(h) & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.int32)
+
+
+def bounds(one: np.ndarray, others: np.ndarray, size: int, sizes: np.ndarray) -> np.ndarray:
+    """Most that a text's similarity to others can be: counts that differ stand for as many words that are not common."""
+    apart = np.abs(others - one).sum(1, dtype=np.int64)
+    return ((size + sizes - apart) // 2) / np.maximum(np.maximum(sizes, size), 1)
+
+
+def joining(words: list[np.ndarray], sketch: np.ndarray, classes: np.ndarray, side: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+    """Links between the texts of two sides, or within one, that join ``classes``: after them, similar texts that share a sketch are of one class."""
+    apart = bool((side != side[0]).any())
+    sizes = np.array([len(w) for w in words])
+    # As many counts as the longest text has words, in powers of two.
+    width = min(PROFILE, 1 << max(0, int(sizes.max()) - 1).bit_length())
+    profiles = np.stack([profile(w, width) for w in words])
+    _, classes = np.unique(classes, return_inverse=True)
+    waiting = np.ones(len(words), bool)
+    out: list[tuple[int, int]] = []
+    while True:
+        left = np.flatnonzero(waiting)
+        if len(left) == 0 or (apart and not (side[left].any() and (~side[left]).any())):
+            return out
+        others = left[classes[left] != np.bincount(classes[left]).argmax()]
+        if len(others) == 0:
+            return out
+        q = int(others[0])
+        waiting[q] = False
+        fits = (classes != classes[q]) & (np.minimum(sizes, sizes[q]) >= threshold * np.maximum(sizes, sizes[q]))
+        if apart:
+            fits &= side != side[q]
+        met = np.flatnonzero(fits)
+        met = met[(sketch[met] == sketch[q]).any(1)]
+        most = bounds(profiles[q], profiles[met], int(sizes[q]), sizes[met])
+        for k in np.argsort(-most, kind="stable"):
+            if most[k] < threshold:
+                break
+            c = int(met[k])
+            if classes[c] != classes[q] and similarity(words[q], words[c], threshold) >= threshold:
+                classes[classes == classes[c]] = classes[q]
+                out.append((q, c))
+
+
+def searched(groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b) of ``groups`` (of: array of doc, class, side, words, sketches)."""
 
     def make():
-        shingles = shared()
-
-        def one(doc_id, text):
-            h = shingles.words(text)
-            return doc_id, len(h), profile(h)
+        def several(groups):
+            out = []
+            for of in groups:
+                docs = [m["doc"] for m in of]
+                found = joining([np.frombuffer(m["words"], np.uint64) for m in of], np.array([m["sketches"] for m in of], np.int64), np.array([m["class"] for m in of]), np.array([m["side"] for m in of], bool), threshold)
+                out += [(docs[a], docs[b]) for a, b in found]
+            return out
 
-        return one
+        return several
 
-    return map_rows(texts.select("doc_id", "text"), make, "doc long, size long, profile binary")
+    return map_slices(groups.select("of"), make, "a long, b long")
 
 
 def candidates(buckets: DataFrame, total: int) -> DataFrame:
@@ -294,36 +288,24 @@ def candidates(buckets: DataFrame, total: int) -> DataFrame:
     return joined_by_key(buckets, heads, "key", "members", total).filter("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
 
 
-def unsettled(buckets: DataFrame, total: int) -> DataFrame:
-    """Members (key, doc, root, head, parts) of buckets that have several roots and pairs that have not met by ``candidates``."""
-    mixed = buckets.groupBy("key").agg(F.count("*").alias("members"), (F.min("root") != F.max("root")).alias("several"), F.min("doc").alias("head")).filter("several and members > 2")
-    mixed = staged(mixed.select("key", "head", "members", F.ceil(F.col("members") / PART).cast("int").alias("parts")), "mixed")
-    return joined_by_key(buckets, mixed, "key", "members", total).filter("doc <> head")
-
-
-def weighed(members: DataFrame, profiles: DataFrame, partners: int, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a < b) of ``unsettled`` members that may be similar, ``partners`` for each; a row without ids where a bucket holds some back."""
-    part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
-    dealt = members.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "doc", "root", "part")
-    groups = dealt.join(profiles.hint("merge"), "doc").groupBy("key", "low", "high").agg(F.collect_list(F.struct("doc", "root", "size", "part", "profile")).alias("of"), F.min("root").alias("least"), F.max("root").alias("most"))
-
-    def make():
-        def several(groups):
-            out = set()
-            for of in groups:
-                docs, roots, sizes, parts = (np.array([m[c] for m in of], np.int64) for c in ("doc", "root", "size", "part"))
-                i, j, bounds = possible(roots, sizes, parts, [m["profile"] for m in of], threshold)
-                taken = likeliest(i, j, bounds, partners)
-                a, b = docs[i[taken]], docs[j[taken]]
-                out.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
-                if not taken.all():
-                    out.add((None, None))
-            return list(out)
-
-        return several
-
-    return map_slices(groups.filter("least <> most").select("of"), make, "a long, b long").distinct()
+def links_within(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Links that join classes among ``members`` (doc, words, sketches, class, group, parts)."""
+    of = F.collect_list(F.struct("doc", "class", "side", "words", "sketches")).alias("of")
+    several = (F.min("class") != F.max("class")).alias("several")
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    alone = dealt.withColumn("side", F.lit(False)).groupBy("group", "part").agg(of, several).filter("several")
+    within = staged(searched(alone, threshold), "links-within")
+    large = dealt.filter("parts > 1")
+    if large.isEmpty():
+        return within
+    # A class that a link joined goes by its new name.
+    ends = within.join(members.select(F.col("doc").alias("a"), F.col("class").alias("class_a")), "a").join(members.select(F.col("doc").alias("b"), F.col("class").alias("class_b")), "b")
+    renamed = components(ends.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))).withColumnsRenamed({"node": "class", "root": "now"})
+    known = large.join(renamed, "class", "left").withColumn("class", F.coalesce("now", "class")).drop("now")
+    met = known.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).filter("other <> part")
+    met = met.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")}).withColumn("side", F.col("part") == F.col("high"))
+    across = met.groupBy("group", "low", "high").agg(of, several).filter("several")
+    return staged(within.unionByName(searched(across, threshold)), "links-across")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -377,7 +359,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nobody = docs.filter("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("copy_of"), F.lit(None).cast("long").alias("class_id"))
     docs = docs.filter("doc_id is not null")
     seen = staged(sketched(docs), "sketches")
-    copies = staged(seen.groupBy("digest").agg(F.min(F.struct("doc_id", "sketches")).alias("x"), F.count("*").alias("members")).select("digest", "members", "x.*"), "copies")
+    copies = staged(seen.groupBy("digest").agg(F.min(F.struct("doc_id", "sketches", "words")).alias("x"), F.count("*").alias("members")).select("digest", "members", "x.*"), "copies")
     total = copies.count() * SKETCHES
     sketch = copies.select(F.col("doc_id").alias("doc"), F.posexplode("sketches").alias("n", "sketch"))
     first = staged(candidates(sketch.select("doc", F.xxhash64("n", "sketch").alias("key")), total), "pairs")
@@ -386,27 +368,22 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Merged, not broadcast where few ids would allow it: one plan at every size.
     texts = staged(docs.join(met.hint("merge"), "doc_id", "left_semi"), "texts")
     links = staged(verified(first, texts, threshold), "links")
-    roots = staged(components(links), "components")
+    roots = staged(components(links).withColumnsRenamed({"node": "doc", "root": "class"}), "components")
+    grouped = components(first).withColumnsRenamed({"node": "doc", "root": "group"}).join(roots, "doc", "left").withColumn("class", F.coalesce("class", "doc"))
+    grouped = staged(grouped.join(copies.select(F.col("doc_id").alias("doc"), "sketches", "words"), "doc"), "groups")
+    mixed = grouped.groupBy("group").agg(F.count("*").alias("members"), (F.min("class") != F.max("class")).alias("several"), F.ceil(F.sum("words") / PART).cast("int").alias("parts"))
+    # With two members the pair has met.
+    mixed = staged(mixed.filter("several and members > 2").select("group", "members", "parts"), "mixed")
+    left = joined_by_key(grouped.drop("words"), mixed, "group", "members", total)
 
-    buckets = copies.join(met, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), F.posexplode("sketches").alias("n", "sketch")).select("doc", F.xxhash64("n", "sketch").alias("key"))
-    rooted = lambda held: held.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("key", "doc", F.coalesce("root", "doc").alias("root"))
-    left = staged(unsettled(rooted(buckets), total), "unsettled")
-    profiles, partners = None, PARTNERS
-    while not left.isEmpty():
-        if profiles is None:  # later rounds have members of the first only
-            profiles = staged(profiled(texts.join(left.select(F.col("doc").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")), "profiles")
-        round_ = staged(weighed(left, profiles, partners, threshold), "weighed")
-        pairs = staged(round_.filter("a is not null").join(first, ["a", "b"], "left_anti"), "pairs")
-        more = staged(verified(pairs, texts, threshold), "links")
-        first = first.unionByName(pairs)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = staged(components(links), "components")
-        if round_.filter("a is null").isEmpty():
-            break
-        # A bucket of one class stays so: only the unsettled ones are looked at again.
-        held = left.select("key", "doc").unionByName(left.select("key", F.col("head").alias("doc")).distinct())
-        left, partners = staged(unsettled(rooted(held), total), "unsettled"), partners * GROWTH
+    def make():
+        shingles = shared()
+        return lambda doc, text: (doc, shingles.words(text).tobytes())
+
+    own = map_rows(texts.join(left.select(F.col("doc").alias("doc_id")).hint("merge"), "doc_id", "left_semi").select("doc_id", "text"), make, "doc long, words binary")
+    members = staged(left.join(own, "doc"), "group-words")
+    links = links.select("a", "b").unionByName(links_within(members, threshold))
+    roots = staged(components(links), "components")
     class_of = copies.select("digest", "members", F.col("doc_id").alias("copy_of")).join(roots.select(F.col("node").alias("copy_of"), F.col("root").alias("class_id")), "copy_of", "left")
     class_of = staged(class_of.select("digest", "members", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id")), "classes")
     out = joined_by_key(seen.select("doc_id", "digest"), class_of, "digest", "members", seen.count())

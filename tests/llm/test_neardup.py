@@ -196,7 +196,7 @@ def test_star_around_a_middle_id(spark, monkeypatch):
     assert all(alike(text[500], text[d], 0.975) for d in random.Random(1).sample(range(1001), 30)) and not alike(text[0], text[1000], 0.975)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     assert {r.doc_id: r.class_id for r in N.classes(df, 0.975).collect()} == want
-    monkeypatch.setattr(N, "PART", 300)
+    monkeypatch.setattr(N, "PART", 120_000)
     assert {r.doc_id: r.class_id for r in N.classes(df, 0.975).collect()} == want
 
 
@@ -214,8 +214,38 @@ def test_bound_of_similarity():
     h = [N.Shingler().words(" ".join(w)) for w in texts]
     many = np.arange(1, 3001, dtype=np.uint64) << np.uint64(20)
     h += [many, many[:2900]]
-    i, j, bounds = N.possible(np.arange(len(h)), np.array([len(x) for x in h]), np.zeros(len(h), int), [N.profile(x) for x in h], N.THRESHOLD)
-    got = {(min(a, b), max(a, b)): s for a, b, s in zip(i.tolist(), j.tolist(), bounds, strict=True)}
-    similar = {(a, b): s for a in range(len(h)) for b in range(a + 1, len(h)) if (s := N.similarity(h[a], h[b])) >= N.THRESHOLD}
-    assert len(similar) > 20 and all(got[p] >= s for p, s in similar.items())
-    assert len(got) < len(h) * 4
+    sizes = np.array([len(x) for x in h])
+    for width in (64, 1024):
+        profiles = np.stack([N.profile(x, width) for x in h])
+        got = np.stack([N.bounds(p, profiles, n, sizes) for p, n in zip(profiles, sizes.tolist(), strict=True)])
+        similar = {(a, b): s for a in range(len(h)) for b in range(a + 1, len(h)) if (s := N.similarity(h[a], h[b])) >= N.THRESHOLD}
+        assert len(similar) > 20 and all(got[p] >= s for p, s in similar.items())
+    assert (got >= N.THRESHOLD).sum() < len(h) * 8
+
+
+def test_search_joins_what_is_similar():
+    """In one part or between two, whatever the classes known: similar texts that share a sketch end in one class, by links that hold."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(12):
+        base = words(rng, 60)
+        for _ in range(rng.randint(1, 6)):
+            w = list(base)
+            for k in rng.sample(range(60), rng.randint(0, 14)):
+                w[k] = words(rng, 1)[0]
+            texts.append(" ".join(w))
+    shingler = N.Shingler()
+    hashes, sketch = [shingler.words(t) for t in texts], np.array([N.sketches(shingler(t)) for t in texts])
+    for apart in (False, True):
+        side = np.array([apart and rng.random() < 0.5 for _ in texts])
+        classes = np.arange(len(texts))
+        found = N.joining(hashes, sketch, classes, side)
+        assert all(N.similarity(hashes[a], hashes[b]) >= 0.8 for a, b in found) and (not apart or all(side[a] != side[b] for a, b in found))
+        root = list(range(len(texts)))
+        for _ in texts:
+            for a, b in found:
+                root[a] = root[b] = min(root[a], root[b])
+        for a in range(len(texts)):
+            for b in range(a):
+                if (not apart or side[a] != side[b]) and (sketch[a] == sketch[b]).any() and N.similarity(hashes[a], hashes[b]) >= 0.8:
+                    assert root[a] == root[b]
