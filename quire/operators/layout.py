@@ -76,6 +76,14 @@ def with_references(rows: DataFrame) -> DataFrame:
     return rows.withColumn("refs_before", F.coalesce(F.sum("n_refs").over(w), F.lit(0)))
 
 
+def reference_counts(spans: DataFrame) -> DataFrame:
+    """Lines with ``n_refs`` and ``refs_before`` as ``with_references`` has them, where no text is asked for: none is shuffled."""
+    spans = spans.withColumn("_n", F.regexp_count("text", F.lit(GLYPH)))
+    rows = spans.groupBy("doc_id", "page", "line_idx").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("n_refs"))
+    w = Window.partitionBy("doc_id").orderBy("page", "line_idx").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("refs_before", F.coalesce(F.sum("n_refs").over(w), F.lit(0)))
+
+
 def with_text(rows: DataFrame, profile: Settings, strict: bool = False) -> DataFrame:
     """``text``: the line as Markdown with its prefix.  ``strict`` loses what follows an inserted break in a numbered heading.
 

@@ -85,27 +85,44 @@ def merged_quotes(paras: DataFrame) -> DataFrame:
 
 def page_references(body: DataFrame) -> DataFrame:
     """(doc_id, page, k, note_id): the k-th reference of a page, from lines with n_refs and refs_before."""
-    ids = body.filter("n_refs > 0").select("doc_id", "page", F.explode(F.sequence(F.col("refs_before") + 1, F.col("refs_before") + F.col("n_refs"))).alias("note_id"))
-    return ids.withColumn("k", F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("note_id")))
+    w = Window.partitionBy("doc_id").orderBy("page", "refs_before")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = body.filter("n_refs > 0").select("doc_id", "page", "refs_before", "n_refs")
+    rows = rows.withColumns({"_sum": F.coalesce(F.sum("n_refs").over(before), F.lit(0)), "_opens": ~F.col("page").eqNullSafe(F.lag("page").over(w)) | (F.row_number().over(w) == 1)})
+    rows = rows.withColumn("_k", F.col("_sum") - F.last(F.when(F.col("_opens"), F.col("_sum")), ignorenulls=True).over(w))
+    ids = rows.select("doc_id", "page", "_k", F.posexplode(F.sequence(F.col("refs_before") + 1, F.col("refs_before") + F.col("n_refs"))).alias("_at", "note_id"))
+    return ids.select("doc_id", "page", "note_id", (F.col("_k") + F.col("_at") + 1).alias("k"))
 
 
 def paired_notes(notes: DataFrame, references: DataFrame) -> DataFrame:
-    """Note lines (doc_id, page, ord, raw, x0) with their reference's id in place of the mark; ``[^x]`` where there is none."""
-    w = Window.partitionBy("doc_id", "page").orderBy("ord")
+    """Note lines (doc_id, page, ord, raw, x0) with their reference's id in place of the mark; ``[^x]`` where there is none.
+
+    A page's references are one row before its lines, so lines meet them in a window over the article and are dealt once.
+    ``wide``: the line begins with a wide blank.
+    """
     rows = notes.withColumn("text", strip(without_page_markers("raw"))).filter((F.col("text") != "") & ~F.col("text").rlike(DIVIDER))
-    rows = rows.withColumn("is_mark", F.col("text").rlike(f"^{GLYPH}"))
-    rows = rows.withColumn("k", F.when(F.col("is_mark"), F.sum(F.col("is_mark").cast("int")).over(w)))
-    found = rows.join(references, ["doc_id", "page", "k"], "left")
-    label = F.concat(F.lit("[^"), F.coalesce(F.col("note_id").cast("string"), F.lit("x")), F.lit("]: "))
-    return found.withColumn("text", F.when(F.col("is_mark"), F.concat(label, F.substr("text", F.lit(2)))).otherwise(F.col("text"))).drop("k")
-
-
-def note_islands(notes: DataFrame, profile: Settings) -> DataFrame:
-    """(doc_id, note, text): a mark opens a note, so do indents in some books; other lines are glued on, over pages too."""
-    new = F.col("is_mark") | (F.lit(profile.indent_opens_note) & ((F.col("x0") > profile.indent) | F.startswith("raw", F.lit("　"))))
-    first = F.row_number().over(in_order()) == 1
-    rows = notes.withColumn("_new", (new | first).cast("int")).withColumn("note", F.sum("_new").over(in_order()))
-    return rows.groupBy("doc_id", "note").agg(joined(F.col("ord"), F.col("text"), "").alias("text"))
+    rows = rows.withColumns({"is_mark": F.col("text").rlike(f"^{GLYPH}"), "wide": F.startswith("raw", F.lit("　")), "_ids": F.lit(None).cast("array<bigint>")})
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("k", "note_id"))), lambda r: r["note_id"].cast("bigint"))
+    heads = references.groupBy("doc_id", "page").agg(ids.alias("_ids"))
+    w = Window.partitionBy("doc_id").orderBy("page", F.col("_ids").isNull(), "ord")
+    rows = rows.unionByName(heads, allowMissingColumns=True).withColumn("_marks", F.coalesce(F.sum(F.col("is_mark").cast("int")).over(w), F.lit(0)))
+    rows = rows.withColumn("_head", F.last(F.when(F.col("_ids").isNotNull(), F.struct("page", "_ids", "_marks")), ignorenulls=True).over(w)).filter(F.col("_ids").isNull())
+    found = F.when((F.col("_head.page") == F.col("page")) & F.col("doc_id").isNotNull(), F.get(F.col("_head._ids"), (F.col("_marks") - F.col("_head._marks") - 1).cast("int")))
+    label = F.concat(F.lit("[^"), F.coalesce(found.cast("string"), F.lit("x")), F.lit("]: "))
+    return rows.withColumn("text", F.when(F.col("is_mark"), F.concat(label, F.substr("text", F.lit(2)))).otherwise(F.col("text"))).drop("_ids", "_marks", "_head")
+
+
+def note_islands(notes: DataFrame, profile: Settings, by: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, note, text): a mark opens a note, so do indents in some books; other lines are glued on, over pages too.
+
+    ``by``: columns that, beside the article, tell copies of its lines apart.
+    """
+    w = Window.partitionBy("doc_id", *by).orderBy("ord")
+    wide = F.col("wide") if "wide" in notes.columns else F.startswith("raw", F.lit("　"))
+    new = F.col("is_mark") | (F.lit(profile.indent_opens_note) & ((F.col("x0") > profile.indent) | wide))
+    first = F.row_number().over(w) == 1
+    rows = notes.withColumn("_new", (new | first).cast("int")).withColumn("note", F.sum("_new").over(w))
+    return rows.groupBy("doc_id", *by, "note").agg(joined(F.col("ord"), F.col("text"), "").alias("text"))
 
 
 def articles(blocks: DataFrame, notes: DataFrame) -> DataFrame:

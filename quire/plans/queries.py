@@ -326,7 +326,7 @@ refs as (select *, row_number() over (partition by doc_id, page order by note_id
 
 
 def _numbered(spark: SparkSession, sf: str) -> DataFrame:
-    return layout.with_references(layout.lines(X.spark_spans(spark, sf).filter("line_idx < 10")))
+    return layout.reference_counts(X.spark_spans(spark, sf).filter("line_idx < 10"))
 
 
 @query("note_numbering", _REFS + " select doc_id, page, line_idx, n_refs, refs_before from n")
@@ -341,8 +341,13 @@ pn as (select kk.doc_id, kk.page, ord, is_mark, raw, x0, case when is_mark then
 _NOTES = _REFS + ", note_lines as (select " + X.NOTE_SQL + " from lines), " + _NOTE_PAIRS
 
 
+def _references(spark: SparkSession, sf: str) -> DataFrame:
+    """The references of pages; lines without any do not count."""
+    return paragraphs.page_references(layout.reference_counts(X.spark_spans(spark, sf, dealt=True).filter(F.col("text").rlike(layout.GLYPH) & (F.col("line_idx") < 10))))
+
+
 def _paired(spark: SparkSession, sf: str) -> DataFrame:
-    return paragraphs.paired_notes(X.spark_notes(spark, sf), paragraphs.page_references(_numbered(spark, sf)))
+    return paragraphs.paired_notes(X.spark_notes(spark, sf, dealt=True), _references(spark, sf))
 
 
 @query("note_pairing", _NOTES + " select doc_id, page, ord, is_mark, text from pn")
@@ -361,9 +366,9 @@ _INDENT_NOTE = "(is_mark or x0 > 75 or starts_with(raw, '　'))"
 
 @query("note_islands", _NOTES + _note_islands("is_mark", "na") + _note_islands(_INDENT_NOTE, "nb") + " select 'a' as profile, * from na union all select 'b', * from nb")
 def note_islands(spark: SparkSession, sf: str) -> DataFrame:
-    paired = _paired(spark, sf)
-    one = lambda p: paragraphs.note_islands(paired, p).withColumn("profile", F.lit(p.name))
-    return one(PROFILE_A).unionByName(one(PROFILE_B))
+    each = [F.struct(F.lit(p.name).alias("profile"), F.lit(float(p.indent)).alias("indent"), F.lit(p.indent_opens_note).alias("indent_opens_note")) for p in (PROFILE_A, PROFILE_B)]
+    rows = _paired(spark, sf).withColumn(SETTINGS, F.explode(F.array(*each))).withColumn("profile", F.col(f"{SETTINGS}.profile"))
+    return paragraphs.note_islands(rows, BY_BOOK, ("profile",)).select("doc_id", "note", "text", "profile")
 
 
 # ---------------------------------------------------------------- paragraphs
