@@ -31,17 +31,18 @@ def with_islands(rows: DataFrame, profile: Settings, strict: bool = False) -> Da
     """``is_new`` and ``island`` of each line that has text and is no divider; ``strict`` glues text on to an image."""
     rows = rows.filter((F.col("text") != "") & ~F.col("text").rlike(DIVIDER))
     image = F.col("is_image") if "is_image" in rows.columns else F.lit(False)
-    rows = rows.withColumns({"_heading": F.startswith("text", F.lit("#")) & ~image, "_quote": F.startswith("text", F.lit("> "))})
+    # What a line shows by itself is found before the exchange, so ``raw`` need not go through it.
+    rows = rows.withColumns({"_heading": F.startswith("text", F.lit("#")) & ~image, "_quote": F.startswith("text", F.lit("> ")), "_indent": indented(F.col("raw"), F.col("x0"), profile)})
     last_heading = F.coalesce(F.when(F.lag("page").over(in_order()) == F.col("page"), F.lag("_heading").over(in_order())), F.lit(False))
     heading = ~(last_heading & F.lit(profile.heading_continues))
     note = F.col("text").rlike(f"^{BLANK}*" + r"\[\^[0-9]+\]")
-    rows = rows.withColumns({"_first": F.row_number().over(in_order()) == 1, "_base": F.when(image, True).when(note, False).when(F.col("_heading"), heading).otherwise(indented(F.col("raw"), F.col("x0"), profile))})
+    rows = rows.withColumns({"_first": F.row_number().over(in_order()) == 1, "_base": F.when(image, True).when(note, False).when(F.col("_heading"), heading).otherwise(F.col("_indent"))})
     if not strict and "is_image" in rows.columns:
         rows = rows.withColumn("_base", F.col("_base") | F.coalesce(F.lag("is_image").over(in_order()), F.lit(False)))
     decides = F.col("_base") | F.col("_quote") | F.col("_first")
     state = F.coalesce(F.last(F.when(decides, F.col("_quote")), ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
     rows = rows.withColumn("is_new", F.col("_first") | F.col("_base") | (F.col("_quote") & ~state))
-    return rows.withColumn("island", F.sum(F.col("is_new").cast("int")).over(in_order())).drop("_heading", "_quote", "_first", "_base")
+    return rows.withColumn("island", F.sum(F.col("is_new").cast("int")).over(in_order())).drop("_heading", "_quote", "_indent", "_first", "_base")
 
 
 def with_pieces(rows: DataFrame, profile: Settings) -> DataFrame:

@@ -405,7 +405,7 @@ def _para(p: Profile, source: str = X.SQL["paras"]) -> str:
 
 
 def _pieces(spark: SparkSession, sf: str, p: Profile) -> DataFrame:
-    return paragraphs.with_pieces(paragraphs.with_islands(X.spark_paras(spark, sf), p), p)
+    return paragraphs.with_pieces(paragraphs.with_islands(X.spark_paras(spark, sf, dealt=True), p), p)
 
 
 for _p in (PROFILE_A, PROFILE_B):

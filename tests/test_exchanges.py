@@ -17,7 +17,7 @@ def dealt(df):
     return len(re.findall(r"^[ :|+-]*Exchange hashpartitioning", plan, re.M))
 
 
-@pytest.mark.parametrize("name", ["note_islands", "note_pairing"])
+@pytest.mark.parametrize("name", ["article_markdown", "note_islands", "note_pairing", "quote_merge_a"])
 def test_one_exchange(spark, name):
     assert dealt(Q.QUERIES[name](spark, SF)) == 1
 
