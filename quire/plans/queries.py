@@ -424,7 +424,7 @@ def article_markdown(spark: SparkSession, sf: str) -> DataFrame:
 def article_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same articles from a stream of their pages, with the open paragraphs and notes in the state store."""
     folder = own_folder(spark, "article-stream")
-    articles.pages(X.spark_paras(spark, sf), X.spark_notes(spark, sf), paragraphs.page_references(_numbered(spark, sf))).write.parquet(f"{folder}/pages")
+    articles.pages(X.spark_paras(spark, sf, dealt=True), X.spark_notes(spark, sf, dealt=True), _references(spark, sf)).write.option("compression", "zstd").parquet(f"{folder}/pages")
     return articles.streamed(spark, f"{folder}/pages", folder)
 
 

@@ -1,8 +1,8 @@
 """Articles from pages as they come, in any order and batching: paragraphs and notes leave as soon as they are closed.
 
 A row of the stream is a page: article, ``seq`` (its place in the article, from
-0), ``is_last``, and ``content``, the JSON of its body lines (text, raw, x0 and
-is_image, in order), its note lines (raw, x0, in order) and its number of
+0), ``is_last``, and ``content``, the JSON of its body lines (text, raw or its first
+two characters, x0 and is_image, in order), its note lines (raw, x0, in order) and its number of
 references; ``pages`` makes such rows of the tables of ``operators.paragraphs``.
 
 The state of an article is what a reader between two pages knows: the open
@@ -38,16 +38,21 @@ _MARKS = re.compile("|".join(r"\[\s*" + r"\s*".join(m) + r"\s*\]" for m in PAGE_
 
 
 def pages(body: DataFrame, notes: DataFrame, references: DataFrame) -> DataFrame:
-    """Page rows of body lines and note lines (doc_id, page, ord, ...) and the references of pages (doc_id, page, k)."""
+    """Page rows of body lines and note lines (doc_id, page, ord, ...) and the references of pages (doc_id, page, k).
+
+    The three are dealt once, by article; of a body line's ``raw`` a reader needs the blanks that it begins with.
+    """
     key = ["doc_id", "page"]
-    image = F.col("is_image") if "is_image" in body.columns else F.lit(False)
-    lines = lambda df, *columns: df.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("ord", *columns))).alias("lines"))
-    own = lines(body.withColumn("is_image", image), "text", "raw", "x0", "is_image").withColumnRenamed("lines", "body")
-    foot = lines(notes, "raw", "x0").withColumnRenamed("lines", "notes")
-    count = references.groupBy(*key).agg(F.count("*").alias("references"))
-    every = own.join(foot, key, "full").join(count, key, "full").withColumn("content", F.to_json(F.struct("body", "notes", F.coalesce("references", F.lit(0)).alias("references"))))
+    image = F.when(F.col("is_image"), True) if "is_image" in body.columns else F.lit(None).cast("boolean")
+    own = body.select(*key, F.struct("ord", "text", F.substring("raw", 1, 2).alias("raw"), "x0", image.alias("is_image")).alias("body"))
+    foot = notes.select(*key, F.struct("ord", "raw", "x0").alias("notes"))
+    count = references.select(*key, F.lit(1).alias("references"))
+    every = own.unionByName(foot, allowMissingColumns=True).unionByName(count, allowMissingColumns=True)
+    lines = lambda name: F.transform(F.array_sort(F.collect_list(name)), lambda line: line.dropFields("ord")).alias(name)
     w = paragraphs.Window.partitionBy("doc_id").orderBy("page")
-    return every.select(F.col("doc_id").cast("string").alias("doc_id"), (F.row_number().over(w) - 1).alias("seq"), F.lead("page").over(w).isNull().alias("is_last"), "content")
+    found = every.withColumn("seq", F.dense_rank().over(w) - 1).groupBy(*key, "seq").agg(lines("body"), lines("notes"), F.coalesce(F.sum("references"), F.lit(0)).alias("references"))
+    rows = found.select(*key, "seq", F.to_json(F.struct("body", "notes", "references")).alias("content"))
+    return rows.select(F.col("doc_id").cast("string").alias("doc_id"), "seq", F.lead("page").over(w).isNull().alias("is_last"), "content")
 
 
 def is_cjk(c: str) -> bool:
@@ -195,21 +200,38 @@ class Articles(StatefulProcessor):
             for _ in rows:
                 pass
             return
+        reader, ended, early = Reader(PROFILES[self.profile], state), False, self.early.exists()
         for frame in rows:
-            for seq, last, content in zip(frame["seq"], frame["is_last"], frame["content"], strict=True):
-                if int(seq) >= state.get("next", 0):
-                    self.early.updateValue((int(seq),), (bool(last), content))
-        yield from self._read(key, state, over_gaps=False)
+            frame = frame.sort_values("seq", kind="stable")
+            for seq, last, content in zip(frame["seq"].tolist(), frame["is_last"].tolist(), frame["content"], strict=True):
+                if ended or seq < reader.state["next"]:
+                    continue
+                if seq > reader.state["next"]:  # before its turn
+                    self.early.updateValue((seq,), (bool(last), content))
+                    early = True
+                    continue
+                reader.page(content)
+                ended = bool(last)
+                while early and not ended and self.early.containsKey((reader.state["next"],)):
+                    ended = self._next(reader)
+            if reader.out and not ended:  # what is closed does not wait for the article's end
+                yield self._closed(key, reader)
+        yield from self._leave(key, reader, ended)
         if self.timeout:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            if not self._state().get("ended"):
+            if not ended:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state = self._state()
         if not state.get("ended"):
-            yield from self._read(key, state, over_gaps=True)
+            reader = Reader(PROFILES[self.profile], state)
+            for seq in sorted(k[0] for k in self.early.keys()):
+                reader.state["next"] = seq
+                if self._next(reader):
+                    break
+            yield from self._leave(key, reader, True)
 
     def close(self) -> None:
         pass
@@ -217,26 +239,25 @@ class Articles(StatefulProcessor):
     def _state(self) -> dict:
         return json.loads(self.open.get()[0]) if self.open.exists() else {}
 
-    def _read(self, key, state: dict, over_gaps: bool) -> Iterator[pd.DataFrame]:
-        reader = Reader(PROFILES[self.profile], state)
-        ended = False
-        waiting = sorted(k[0] for k in self.early.keys()) if over_gaps else None
-        while not ended:
-            seq = reader.state["next"] if waiting is None else waiting.pop(0) if waiting else None
-            if seq is None or not self.early.containsKey((seq,)):
-                break
-            ended, content = self.early.getValue((seq,))
-            self.early.removeKey((seq,))
-            reader.state["next"] = seq
-            reader.page(content)
-        if ended or over_gaps:
+    def _next(self, reader: Reader) -> bool:
+        """Reads the waiting page whose turn it is; whether it is the last."""
+        turn = (reader.state["next"],)
+        last, content = self.early.getValue(turn)
+        self.early.removeKey(turn)
+        reader.page(content)
+        return last
+
+    def _closed(self, key, reader: Reader) -> pd.DataFrame:
+        out, reader.out = reader.out, []
+        return pd.DataFrame([(key[0], *r) for r in out], columns=["doc_id", "part", "n", "text"])
+
+    def _leave(self, key, reader: Reader, ended: bool) -> Iterator[pd.DataFrame]:
+        if ended:
             reader.end()
             self.early.clear()
-            self.open.update((json.dumps({"ended": True}),))
-        else:
-            self.open.update((json.dumps(reader.state),))
+        self.open.update((json.dumps({"ended": True} if ended else reader.state),))
         if reader.out:
-            yield pd.DataFrame([(key[0], *r) for r in reader.out], columns=["doc_id", "part", "n", "text"])
+            yield self._closed(key, reader)
 
 
 def blocks(page_rows: DataFrame, profile: str = "a", timeout_ms: int | None = None) -> DataFrame:
@@ -251,7 +272,7 @@ def run_to(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     before = spark.conf.get(PROVIDER[0], None)
     spark.conf.set(*PROVIDER)
     try:
-        return stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        return stream.writeStream.format("parquet").option("compression", "zstd").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
         if before is None:
             spark.conf.unset(PROVIDER[0])

@@ -1,11 +1,14 @@
 """Texts are dealt to their documents once, whatever is made of them."""
 
+import json
 import re
 
 import pytest
 
 from quire.operators import paragraphs
 from quire.plans import queries as Q
+from quire.sources import fixtures as X
+from quire.streaming import articles
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,3 +41,42 @@ def test_notes_without_page_or_document_have_no_reference(spark):
     notes = spark.createDataFrame([(1, 0, 0, "①a", 0.0), (1, None, 1, "①b", 0.0), (None, 0, 2, "①c", 0.0), (1, 2, 3, "①d", 0.0)], "doc_id int, page int, ord int, raw string, x0 double")
     got = {r.ord: r.text for r in paragraphs.paired_notes(notes, refs).collect()}
     assert got == {0: "[^7]: a", 1: "[^x]: b", 2: "[^x]: c", 3: "[^x]: d"}
+
+
+def test_pages_of_a_stream_are_dealt_once(spark):
+    pages = articles.pages(X.spark_paras(spark, SF, dealt=True), X.spark_notes(spark, SF, dealt=True), Q._references(spark, SF))
+    assert dealt(pages) == 1
+    assert all(len(line["raw"]) <= 2 for r in pages.limit(20).collect() for line in json.loads(r.content)["body"])
+
+
+def test_pages_in_turn_do_not_wait_in_the_state():
+    class State:
+        def __init__(self):
+            self.held, self.puts = {}, 0
+
+        exists = lambda self: bool(self.held)
+        get = lambda self: self.held["value"]
+        update = lambda self, value: self.held.update(value=value)
+        keys = lambda self: list(self.held)
+        containsKey = lambda self, k: k in self.held
+        getValue = lambda self, k: self.held[k]
+        removeKey = lambda self, k: self.held.pop(k)
+        clear = lambda self: self.held.clear()
+
+        def updateValue(self, k, value):
+            self.held[k], self.puts = value, self.puts + 1
+
+    import pandas as pd
+
+    def run(seqs):
+        own = articles.Articles("a", None)
+        own.open, own.early = State(), State()
+        line = '{"body": [{"text": "l%d", "raw": "　", "x0": 130.0}], "references": 0}'
+        frames = [pd.DataFrame({"seq": some, "is_last": [k == 5 for k in some], "content": [line % k for k in some]}) for some in seqs]
+        out = [t for f in own.handleInputRows(("d",), iter(frames), None) for t in f["text"]]
+        return out, own.early.puts
+
+    want = [f"l{k}" for k in range(6)]
+    assert run([[0, 1, 2], [3, 4, 5]]) == (want, 0)
+    assert run([[2, 0, 1], [5, 4, 3]]) == (want, 0)
+    assert run([[1, 4], [5, 0], [3, 2]]) == (want, 3)
