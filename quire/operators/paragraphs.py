@@ -106,7 +106,8 @@ def paired_notes(notes: DataFrame, references: DataFrame) -> DataFrame:
     ids = F.transform(F.array_sort(F.collect_list(F.struct("k", "note_id"))), lambda r: r["note_id"].cast("bigint"))
     heads = references.groupBy("doc_id", "page").agg(ids.alias("_ids"))
     w = Window.partitionBy("doc_id").orderBy("page", F.col("_ids").isNull(), "ord")
-    rows = rows.unionByName(heads, allowMissingColumns=True).withColumn("_marks", F.coalesce(F.sum(F.col("is_mark").cast("int")).over(w), F.lit(0)))
+    # A union of dealt tables may claim a partitioning that it does not have when it runs, and give wrong notes silently; so it is dealt here.
+    rows = rows.unionByName(heads, allowMissingColumns=True).repartition("doc_id").withColumn("_marks", F.coalesce(F.sum(F.col("is_mark").cast("int")).over(w), F.lit(0)))
     rows = rows.withColumn("_head", F.last(F.when(F.col("_ids").isNotNull(), F.struct("page", "_ids", "_marks")), ignorenulls=True).over(w)).filter(F.col("_ids").isNull())
     found = F.when((F.col("_head.page") == F.col("page")) & F.col("doc_id").isNotNull(), F.get(F.col("_head._ids"), (F.col("_marks") - F.col("_head._marks") - 1).cast("int")))
     label = F.concat(F.lit("[^"), F.coalesce(found.cast("string"), F.lit("x")), F.lit("]: "))

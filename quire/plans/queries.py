@@ -343,11 +343,11 @@ _NOTES = _REFS + ", note_lines as (select " + X.NOTE_SQL + " from lines), " + _N
 
 def _references(spark: SparkSession, sf: str) -> DataFrame:
     """The references of pages; lines without any do not count."""
-    return paragraphs.page_references(layout.reference_counts(X.spark_spans(spark, sf, dealt=True).filter(F.col("text").rlike(layout.GLYPH) & (F.col("line_idx") < 10))))
+    return paragraphs.page_references(layout.reference_counts(X.spark_spans(spark, sf).filter(F.col("text").rlike(layout.GLYPH) & (F.col("line_idx") < 10))))
 
 
 def _paired(spark: SparkSession, sf: str) -> DataFrame:
-    return paragraphs.paired_notes(X.spark_notes(spark, sf, dealt=True), _references(spark, sf))
+    return paragraphs.paired_notes(X.spark_notes(spark, sf), _references(spark, sf))
 
 
 @query("note_pairing", _NOTES + " select doc_id, page, ord, is_mark, text from pn")
@@ -405,7 +405,7 @@ def _para(p: Profile, source: str = X.SQL["paras"]) -> str:
 
 
 def _pieces(spark: SparkSession, sf: str, p: Profile) -> DataFrame:
-    return paragraphs.with_pieces(paragraphs.with_islands(X.spark_paras(spark, sf, dealt=True), p), p)
+    return paragraphs.with_pieces(paragraphs.with_islands(X.spark_paras(spark, sf), p), p)
 
 
 for _p in (PROFILE_A, PROFILE_B):
@@ -424,7 +424,7 @@ def article_markdown(spark: SparkSession, sf: str) -> DataFrame:
 def article_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same articles from a stream of their pages, with the open paragraphs and notes in the state store."""
     folder = own_folder(spark, "article-stream")
-    articles.pages(X.spark_paras(spark, sf, dealt=True), X.spark_notes(spark, sf, dealt=True), _references(spark, sf)).write.option("compression", "zstd").parquet(f"{folder}/pages")
+    articles.page_rows(X.spark_page_lines(spark, sf, layout.GLYPH)).write.option("compression", "zstd").parquet(f"{folder}/pages")
     return articles.streamed(spark, f"{folder}/pages", folder)
 
 

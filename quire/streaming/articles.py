@@ -47,7 +47,12 @@ def pages(body: DataFrame, notes: DataFrame, references: DataFrame) -> DataFrame
     own = body.select(*key, F.struct("ord", "text", F.substring("raw", 1, 2).alias("raw"), "x0", image.alias("is_image")).alias("body"))
     foot = notes.select(*key, F.struct("ord", "raw", "x0").alias("notes"))
     count = references.select(*key, F.lit(1).alias("references"))
-    every = own.unionByName(foot, allowMissingColumns=True).unionByName(count, allowMissingColumns=True)
+    return page_rows(own.unionByName(foot, allowMissingColumns=True).unionByName(count, allowMissingColumns=True).repartition("doc_id"))
+
+
+def page_rows(every: DataFrame) -> DataFrame:
+    """Page rows of one table of lines: doc_id, page, ``body`` or ``notes`` (a line, null for others) and ``references``, a number; dealt by article if it is not."""
+    key = ["doc_id", "page"]
     lines = lambda name: F.transform(F.array_sort(F.collect_list(name)), lambda line: line.dropFields("ord")).alias(name)
     w = paragraphs.Window.partitionBy("doc_id").orderBy("page")
     found = every.withColumn("seq", F.dense_rank().over(w) - 1).groupBy(*key, "seq").agg(lines("body"), lines("notes"), F.coalesce(F.sum("references"), F.lit(0)).alias("references"))
