@@ -135,15 +135,16 @@ def split_lines(pages: DataFrame, blocks: DataFrame, drawings: DataFrame, profil
     key = ["doc_id", "page"]
     held = [SETTINGS] if not isinstance(profile, Profile) else []
     by_rule = lambda: drawings.filter("y1 - y0 < 5 and x1 - x0 between 60 and 75").groupBy(*key).agg((F.max("y0") - 2).alias("by_rule"))
-    by_text = lambda: blocks.filter((F.col("y0") > profile.top) & F.col("text").rlike(DIVIDER)).groupBy(*key).agg((F.min_by("y0", "block_idx") - 2).alias("by_rule"))
+    by_text = lambda: blocks.filter((F.col("y0") > profile.top) & F.col("text").rlike(DIVIDER)).select(*key, "block_idx", "y0").groupBy(*key).agg((F.min_by("y0", "block_idx") - 2).alias("by_rule"))
     if held:
         both = by_rule().join(by_text().withColumnRenamed("by_rule", "by_text"), key, "full")
         rule = pages.select(*key, SETTINGS).join(both, key).select(*key, F.when(profile.rule_divides, F.col("by_rule")).otherwise(F.col("by_text")).alias("by_rule"))
     else:
         rule = by_rule() if profile.rule_divides else by_text()
     w = Window.partitionBy(*key).orderBy("block_idx")
-    first = blocks.filter(F.col("y0") > profile.detect).withColumn("_n", F.row_number().over(w)).filter("_n <= 5")
-    mark = first.filter(F.contains("text", F.lit("接上页"))).groupBy(*key).agg((F.min_by("y0", "block_idx") - 1).alias("by_mark"))
+    # What a block shows is found before blocks are numbered, so no text goes through that.
+    first = blocks.filter(F.col("y0") > profile.detect).select(*key, "block_idx", "y0", F.contains("text", F.lit("接上页")).alias("_mark"))
+    mark = first.withColumn("_n", F.row_number().over(w)).filter("_n <= 5").filter("_mark").groupBy(*key).agg((F.min_by("y0", "block_idx") - 1).alias("by_mark"))
     joined = pages.join(rule, key, "left").join(mark, key, "left")
     return joined.select(*key, "height", F.coalesce("by_rule", "by_mark", "height").alias("split_y"))
 

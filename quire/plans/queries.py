@@ -14,7 +14,7 @@ from quire.plans.bundles import bundle, dry_run
 from quire.profiles import BY_BOOK, PROFILE_A, PROFILE_B, SETTINGS, Profile, Settings, with_settings
 from quire.sources import epub
 from quire.sources import fixtures as X
-from quire.sources.shared import own_folder
+from quire.sources.shared import own_folder, written
 from quire.streaming import articles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,7 +286,7 @@ def page_marker_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 def _regions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages, text blocks and drawings derived from lines."""
-    rows = X.spark_lines(spark, sf).select("doc_id", F.floor(F.col("n") / 12.0).cast("int").alias("page"), (F.col("n") % 12).cast("int").alias("block_idx"), F.col("n"), F.col("line"))
+    rows = X.spark_lines(spark, sf, dealt=True).select("doc_id", F.floor(F.col("n") / 12.0).cast("int").alias("page"), (F.col("n") % 12).cast("int").alias("block_idx"), F.col("n"), F.col("line"))
     mark = F.when((F.col("n") % 12 == 2) & (F.col("n") % 7 == 0), "接上页").when((F.col("n") % 12 == 9) & (F.col("n") % 5 == 0), "————————").otherwise("")
     blocks = rows.select("doc_id", "page", "block_idx", (100.0 + 35 * F.col("block_idx")).alias("y0"), F.concat("line", mark).alias("text"))
     drawings = rows.filter("n % 12 = 10 and n % 3 = 0").select("doc_id", "page", F.lit(300.0).alias("x0"), (100.0 + 35 * F.col("block_idx")).alias("y0"), F.lit(370.0).alias("x1"), (101.0 + 35 * F.col("block_idx")).alias("y1"))
@@ -462,8 +462,10 @@ def _article_sql(p: Profile) -> str:
 
 def _laid_out(spark: SparkSession, sf: str, p: Settings, with_own=lambda rows: rows) -> DataFrame:
     pages, blocks, drawings = _regions(spark, sf)
-    rows = layout.with_region(with_own(layout.lines(X.spark_spans(spark, sf))), layout.split_lines(with_own(pages), with_own(blocks), drawings, p), p)
-    rows = rows.withColumn("ord", F.col("page").cast("long") * 12 + F.col("line_idx"))
+    # Lines are kept once: body, notes and references are all made of them.
+    splits = layout.split_lines(with_own(pages), with_own(blocks), drawings, p)
+    rows = layout.with_region(with_own(layout.lines(X.spark_spans(spark, sf, dealt=True))), splits, p)
+    rows = written(rows, "laid-out").withColumn("ord", F.col("page").cast("long") * 12 + F.col("line_idx"))
     raw = F.array_join(F.transform("spans", lambda s: s["text"]), "")
     body = layout.with_references(layout.with_prefix(layout.with_features(rows.filter("region = 'body'"), p), p))
     lines = layout.with_text(body, p).withColumn("raw", raw)

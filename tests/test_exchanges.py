@@ -83,3 +83,8 @@ def test_pages_in_turn_do_not_wait_in_the_state():
     assert run([[0, 1, 2], [3, 4, 5]]) == (want, 0)
     assert run([[2, 0, 1], [5, 4, 3]]) == (want, 0)
     assert run([[1, 4], [5, 0], [3, 2]]) == (want, 3)
+
+
+@pytest.mark.parametrize("name", ["layout_markdown", "layout_by_book"])
+def test_laid_out_lines_are_made_once(spark, name):
+    assert dealt(Q.QUERIES[name](spark, SF)) <= 3  # lines of the body, of the notes, and counts of references
