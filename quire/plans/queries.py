@@ -638,7 +638,7 @@ _BOOKS = """with pg as (select page_id, url, page_id % 20 as b, cast(row_number(
 @query("epub_spine", _BOOKS + " select book, ord as \"order\", href, title, category from sp")
 def epub_spine(spark: SparkSession, sf: str) -> DataFrame:
     """Spine documents of e-books that are made of the pages, with titles and categories from their navigation."""
-    rows = epub.members_of(X.spark_books(spark, sf))
+    rows = written(epub.members_of(X.spark_books(spark, sf)), "epub")  # each book is made and unpacked once
     docs = epub.spine_documents(*epub.parts(rows))
     return docs.select("book", "order", "href", "title", "category")
 

@@ -7,14 +7,14 @@ nothing else.
 
 from __future__ import annotations
 
-import io
 import posixpath
 import xml.etree.ElementTree as ET
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
+from typing import BinaryIO
 from urllib.parse import unquote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +22,15 @@ from quire.operators.toc import nav_entries
 from quire.functions.text import file_stem, first_text, image_extension, resolved_path, strip, without_fragment
 
 SCHEMA = "doc_id string, kind string, seq int, level int, item_id string, href string, media_type string, title string, content binary, error string"
+#: What a task holds of a book's rows: their number, and the bytes of their contents (or one member's, if that is more).
+ROWS, BYTES = 1000, 4 << 20
 
 
 def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1]
 
 
-def _member(folder: str, address: str, names: set[str]) -> str:
+def _member(folder: str, address: str, names: Container[str]) -> str:
     """Path and fragment of the member that an address names: as it is written, or with its percent signs decoded."""
     path, sign, fragment = address.partition("#")
     if not path:
@@ -48,7 +50,7 @@ def _point(n: ET.Element) -> tuple[str, str, list[ET.Element]]:
     return "".join(label.itertext()) if label is not None else "", label.get("href", "") if label is not None else "", children
 
 
-def _nav(root: ET.Element, folder: str, names: set[str]) -> Iterator[tuple[int, str, str, bool]]:
+def _nav(root: ET.Element, folder: str, names: Container[str]) -> Iterator[tuple[int, str, str, bool]]:
     """(level, title, href, is section) of an NCX or navigation document of any depth, in preorder."""
     if _local(root.tag) == "ncx":
         top = root.find(".//{*}navMap")
@@ -65,35 +67,44 @@ def _nav(root: ET.Element, folder: str, names: set[str]) -> Iterator[tuple[int,
         open_ += [(c, level + 1) for c in reversed(children)]
 
 
-def package(z: zipfile.ZipFile) -> list[dict]:
+def package(z: zipfile.ZipFile) -> Iterator[dict]:
     """Rows of an e-book's package and navigation, and of its items without their contents."""
-    out: list[dict] = []
     box = ET.fromstring(z.read("META-INF/container.xml"))
     opf = next(e.get("full-path") for e in box.iter() if _local(e.tag) == "rootfile")
     folder = posixpath.dirname(opf)
     root = ET.fromstring(z.read(opf))
     title = next((e.text for e in root.iter() if _local(e.tag) == "title" and (e.text or "").strip()), None)
-    out.append({"kind": "book", "title": (title or "unknown").strip()})
-    items = {}
-    names = set(z.namelist())
+    yield {"kind": "book", "title": (title or "unknown").strip()}
+    navs: dict[str | None, str | None] = {}  # by item: its address if it is the navigation
+    names = z.NameToInfo
     for e in root.iter():
         if _local(e.tag) == "item":
-            href = _member(folder, e.get("href", ""), names)
-            items[e.get("id")] = (href, e.get("media-type", ""), e.get("properties", ""))
-            out.append({"kind": "item", "item_id": e.get("id"), "href": href, "media_type": e.get("media-type")})
-    refs = [e.get("idref") for e in root.iter() if _local(e.tag) == "itemref"]
-    out += [{"kind": "spine", "seq": k, "item_id": r} for k, r in enumerate(refs, 1)]
-    nav = next((h for h, t, p in items.values() if "nav" in p.split() or t == "application/x-dtbncx+xml"), None)
+            href, media = _member(folder, e.get("href", ""), names), e.get("media-type", "")
+            navs[e.get("id")] = href if "nav" in e.get("properties", "").split() or media == "application/x-dtbncx+xml" else None
+            yield {"kind": "item", "item_id": e.get("id"), "href": href, "media_type": e.get("media-type")}
+    for k, e in enumerate((e for e in root.iter() if _local(e.tag) == "itemref"), 1):
+        yield {"kind": "spine", "seq": k, "item_id": e.get("idref")}
+    nav = next((h for h in navs.values() if h is not None), None)
+    del root, navs  # before the navigation is read
     if nav in names:
         for k, (level, t, href, section) in enumerate(_nav(ET.fromstring(z.read(nav)), posixpath.dirname(nav), names)):
-            out.append({"kind": "nav", "seq": k, "level": level, "title": t, "href": href, "media_type": "section" if section else ""})
-    return out
+            yield {"kind": "nav", "seq": k, "level": level, "title": t, "href": href, "media_type": "section" if section else ""}
 
 
-def read_book(data: bytes) -> list[dict]:
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        names = set(z.namelist())
-        return [r | {"content": z.read(r["href"])} if r["kind"] == "item" and r["href"] in names else r for r in package(z)]
+def _check(z: zipfile.ZipFile) -> None:
+    """Reads all that ``read_book`` reads, and keeps the addresses only."""
+    for href in [r["href"] for r in package(z) if r["kind"] == "item" and r["href"] in z.NameToInfo]:
+        with z.open(href) as member:
+            while member.read(1 << 20):
+                pass
+
+
+def read_book(file: BinaryIO) -> Iterator[dict]:
+    """Rows of an e-book, one member at a time; a damaged book fails before its first row."""
+    with zipfile.ZipFile(file) as z:
+        _check(z)
+        for r in package(z):
+            yield r | {"content": z.read(r["href"])} if r["kind"] == "item" and r["href"] in z.NameToInfo else r
 
 
 def members(spark: SparkSession, path: str) -> DataFrame:
@@ -102,21 +113,30 @@ def members(spark: SparkSession, path: str) -> DataFrame:
 
 def members_of(files: DataFrame) -> DataFrame:
     """Rows of the members of ``files`` (path, content)."""
-    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    types = {"string": pa.string(), "int": pa.int32(), "binary": pa.binary()}
+    schema = pa.schema([(name, types[kind]) for name, kind in map(str.split, SCHEMA.split(", "))])
+
+    def rows_of(path: str, content: pa.BinaryScalar) -> Iterator[dict]:
+        try:
+            for r in read_book(pa.BufferReader(content.as_buffer())):  # no copy is made
+                yield {"doc_id": path} | r
+        except Exception as e:  # a damaged file is a row, not the end of the job
+            yield {"doc_id": path, "kind": "error", "error": f"{type(e).__name__}: {e}"}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    rows = read_book(bytes(content))
-                except Exception as e:  # a damaged file is a row, not the end of the job
-                    rows = [{"kind": "error", "error": f"{type(e).__name__}: {e}"}]
-                frame = pd.DataFrame([{"doc_id": path} | r for r in rows]).reindex(columns=names)
-                for c in ("seq", "level"):
-                    frame[c] = frame[c].astype("Int32")
-                yield frame.astype(object).where(frame.notna(), None)
-
-    return files.select("path", "content").mapInPandas(run, SCHEMA)
+                some, held = [], 0
+                for r in rows_of(path.as_py(), content):
+                    some.append(r)
+                    held += len(r.get("content") or b"")
+                    if len(some) == ROWS or held >= BYTES:
+                        yield pa.RecordBatch.from_pylist(some, schema)
+                        some, held = [], 0
+                if some:
+                    yield pa.RecordBatch.from_pylist(some, schema)
+
+    return files.select("path", "content").mapInArrow(run, SCHEMA)
 
 
 def parts(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

@@ -78,7 +78,7 @@ class Reader(DataSourceReader):
         if not part.path:
             return
         with zipfile.ZipFile(part.path) as z:
-            rows = epub.package(z)
+            rows = list(epub.package(z))
             if part.package:
                 yield from (row(r) for r in rows if r["kind"] != "item" and r["kind"] in self.kinds)
             if "item" not in self.kinds:
